@@ -38,9 +38,11 @@ MANIFEST = (
 )
 
 BINDING_LIST = (
-    "set_id STRING, kind STRING, list_date DATE, dc_identifier STRING"
+    "set_id STRING, kind STRING, list_date DATE, dc_identifier STRING, run_id STRING"
+)
+LIST_MARKERS = (
+    "set_id STRING, kind STRING, list_date DATE, run_id STRING, n_rows BIGINT"
 )
-LIST_MARKERS = "set_id STRING, kind STRING, list_date DATE, n_rows BIGINT"
 SUBSET_SPLIT = "set_id STRING, priority INT, prefix STRING"
 RUNS = "set_id STRING, run_id STRING, state STRING, execution_date TIMESTAMP"
 ENTRIES = (

@@ -129,10 +129,13 @@ def _with_results(batch: pd.DataFrame, start: int, results: list[tuple]) -> pd.D
 
 
 def write_fetched(fetched: DataFrame, path: str) -> DataFrame:
-    """Write fetch results by subset and kind, and return them as read back."""
-    by = [c for c in ("subset_id", "kind") if c in fetched.columns]
+    """Write fetch results by kind, and return them as read back.
+
+    ``subset_id`` stays in the files, which are sorted into subsets by the range
+    partitioning: the empty prefix cannot be a folder.
+    """
     schema = fetched.schema
-    fetched.write.mode("errorifexists").partitionBy(*by).parquet(path)
+    fetched.write.mode("errorifexists").partitionBy("kind").parquet(path)
     return fetched.sparkSession.read.schema(schema).parquet(path)
 
 

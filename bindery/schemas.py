@@ -56,3 +56,9 @@ VERSIONS = (
     "version_id STRING, created_at TIMESTAMP, set_id STRING, subset_id STRING, "
     "location STRING"
 )
+# ``run_id``, ``target`` and ``kind`` are folders; the others are in the files.
+ARCHIVE = (
+    "set_id STRING, subset_id STRING, binding_id STRING, page_number INT, "
+    "path STRING, size BIGINT, content BINARY, "
+    "run_id STRING, target STRING, kind STRING"
+)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery import schemas
-from bindery.functions import files, ids
+from bindery.functions import files, ids, names
 
 ROWS_PER_BATCH = 10_000
 
@@ -168,7 +168,7 @@ def select_files(
     """Files of one binding, of one kind, or of some subsets.
 
     A binding alone does not prune the ``subset_id`` partitions; give the
-    subsets as well, or use ``plans.versions.select_binding``.
+    subsets as well, or use ``plans.publication.select_binding``.
     """
     if subset_ids is not None:
         archive = archive.where(F.col("subset_id").isin(subset_ids))
@@ -203,7 +203,10 @@ def local_issues(spark: SparkSession, root: str) -> DataFrame:
 
 
 def as_entries(archive: DataFrame) -> DataFrame:
-    """Archive table as entry rows, one archive per subset."""
+    """Archive table as entry rows, named after the targets of its subsets."""
     return archive.select(
-        F.col("subset_id").alias("archive"), "path", F.lit(False).alias("is_dir"), "size"
+        names.target_name("set_id", "subset_id").alias("archive"),
+        "path",
+        F.lit(False).alias("is_dir"),
+        "size",
     )

@@ -91,23 +91,24 @@ def latest_lists(lists: DataFrame, markers: DataFrame) -> DataFrame:
     return lists.join(newest, keys, "left_semi")
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Text list files below ``<root>/<set>/``, empty ones included, no content."""
-    name = F.substring_index("path", "/", -1)
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Names, prefixes and days of the text list files of one set's folder.
+
+    Spark's file sources pass over empty files, and an empty list does count, so
+    the folder is listed through the Hadoop file system. It has two files a month.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        raise FileNotFoundError(f"no binding list in {folder}")
+    rows = [(s.getPath().getName(),) for s in fs.listStatus(path)]
     return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length")
-        .where(~F.col("path").endswith(".swp"))
+        spark.createDataFrame(rows, "name STRING")
+        .where(~F.col("name").endswith(".swp"))
         .select(
-            F.substring_index(F.substring_index("path", "/", -2), "/", 1).alias(
-                "set_folder"
-            ),
-            F.regexp_extract(name, r"^(.*)_[^_]*$", 1).alias("file_prefix"),
-            names.list_date(name).alias("list_date"),
-            "path",
-            "length",
+            "name",
+            F.regexp_extract("name", r"^(.*)_[^_]*$", 1).alias("file_prefix"),
+            names.list_date("name").alias("list_date"),
         )
     )
 
@@ -120,17 +121,14 @@ def read_latest_list(
     The newest day is taken over all files of the set; it is an error when the
     set has no list, or none of the wanted kind on that day.
     """
-    folder = set_id.replace(":", "_")
-    days = list_files(spark, root).where(F.col("set_folder") == folder)
-    newest = days.agg(F.max("list_date")).first()[0]
-    wanted = None
-    if newest is not None:
-        wanted = days.where(
-            (F.col("list_date") == F.lit(newest)) & (F.col("file_prefix") == file_prefix)
-        ).first()
+    folder = f"{root}/{set_id.replace(':', '_')}"
+    newest = list_files(spark, folder).groupBy("list_date").agg(
+        F.max(F.when(F.col("file_prefix") == file_prefix, F.col("name"))).alias("name")
+    )
+    wanted = newest.agg(F.max_by(F.struct("name"), "list_date")["name"]).first()[0]
     if wanted is None:
         raise FileNotFoundError(f"no {file_prefix} list found for set {set_id}")
-    return spark.read.text(wanted["path"]).select(
+    return spark.read.text(f"{folder}/{wanted}").select(
         F.col("value").alias("dc_identifier"),
         ids.binding_id("value").alias("binding_id"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,6 +10,15 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def computed_once(rows: DataFrame, name: str, expression: Column) -> DataFrame:
+    """Add a costly column so that it is evaluated once per row.
+
+    A filter on a plain column is pushed below it with a copy of its expression,
+    which would parse a document again for every use. Filters stop at a generator.
+    """
+    return rows.select("*", F.explode(F.array(expression)).alias(name))
+
+
 def binding_id(dc_identifier: Column | str) -> Column:
     """Text after the last slash of a DC identifier URL ('' if it ends in one)."""
     return F.substring_index(col(dc_identifier), "/", -1)

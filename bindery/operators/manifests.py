@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bindery import schemas
 from bindery.functions import dates, files
+from bindery.functions.ids import computed_once
 
 # The file groups that hold access images.
 IMAGE_GROUP_USES = ["Images", "reference"]
@@ -26,15 +27,19 @@ def parse_manifests(docs: DataFrame, column: str = "xml") -> DataFrame:
     so reading a manifest does not shuffle.
     """
     keep = [c for c in docs.columns if c != column]
-    parsed = docs.withColumn("_m", F.from_xml(F.col(column), schemas.MANIFEST, _XML))
-    parsed = parsed.withColumn(
-        "elements", _elements(F.col("_m.fileSec.fileGrp"))
+    parsed = computed_once(
+        docs, "_m", F.from_xml(F.col(column), schemas.MANIFEST, _XML)
     )
-    malformed = F.col(column).isNull() | F.col("_m._corrupt_record").isNotNull()
-    return parsed.select(
+    malformed = F.col("_m").isNull() | F.col("_m._corrupt_record").isNotNull()
+    elements = F.struct(
+        _elements(F.col("_m.fileSec.fileGrp")).alias("elements"),
+        malformed.alias("malformed"),
+    )
+    found = computed_once(parsed, "_e", elements).select(*keep, "_e.*")
+    return found.select(
         *keep,
         "elements",
-        F.when(malformed, F.lit("malformed"))
+        F.when(F.col("malformed"), F.lit("malformed"))
         .otherwise(_fault(F.col("elements")))
         .alias("manifest_error"),
     )
@@ -209,9 +214,8 @@ def date_issued(docs: DataFrame, column: str = "xml") -> DataFrame:
         ),
         F.lit(""),
     )
-    return docs.select(*keep, text.alias("date_text")).withColumn(
-        "date_issued", dates.partial_date("date_text")
-    )
+    found = computed_once(docs, "date_text", text).select(*keep, "date_text")
+    return found.withColumn("date_issued", dates.partial_date("date_text"))
 
 
 def issued_between(

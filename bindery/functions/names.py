@@ -15,7 +15,7 @@ def folder_name(set_id: Column | str) -> Column:
 
 def subset_name(set_id: Column | str, prefix: Column | str) -> Column:
     set_id, prefix = col(set_id), col(prefix)
-    return F.when(prefix == "", set_id).otherwise(F.concat_ws("_", set_id, prefix))
+    return F.when(prefix == "", set_id).otherwise(F.concat(set_id, F.lit("_"), prefix))
 
 
 def target_name(set_id: Column | str, prefix: Column | str) -> Column:

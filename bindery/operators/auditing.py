@@ -137,8 +137,32 @@ def unlisted_files(classified: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def binding_states(classified: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per archive and binding: is it listed, seen, and does it have other files.
+
+    One aggregation over flags answers all questions about whole bindings, and
+    combines the many files of a binding before the shuffle.
+    """
+    no, yes = F.lit(False), F.lit(True)
+    held = classified.where(F.col("binding_id").isNotNull()).select(
+        "archive",
+        "binding_id",
+        no.alias("listed"),
+        F.col("is_mets").alias("seen"),
+        (~F.col("is_mets")).alias("other"),
+    )
+    listed = pairs.select(
+        "archive", "binding_id", yes.alias("listed"), no.alias("seen"), no.alias("other")
+    )
+    return held.unionByName(listed).groupBy("archive", "binding_id").agg(
+        *[F.bool_or(flag).alias(flag) for flag in ("listed", "seen", "other")]
+    )
+
+
 def integrity_errors(
-    entries: DataFrame, expected_page_files: DataFrame, expected_ids: DataFrame,
+    entries: DataFrame,
+    expected_page_files: DataFrame,
+    expected_ids: DataFrame,
     archives: DataFrame | None = None,
 ) -> DataFrame:
     """All errors of all archives: archive, binding_id, error_class, detail.
@@ -146,27 +170,33 @@ def integrity_errors(
     ``archives`` names those to audit; without it, those that have entries.
     """
     classified = classified_entries(entries)
-    pairs = expected_bindings(
-        expected_ids, entries if archives is None else archives
-    )
-    seen = seen_bindings(classified)
+    pairs = expected_bindings(expected_ids, entries if archives is None else archives)
+    states = binding_states(classified, pairs)
     none = F.lit(None).cast("string")
 
-    def errors(rows: DataFrame, error_class: str, detail=none) -> DataFrame:
-        binding = F.col("binding_id") if "binding_id" in rows.columns else none
+    def errors(rows: DataFrame, error_class, binding, detail) -> DataFrame:
         return rows.select(
             "archive",
             binding.alias("binding_id"),
-            F.lit(error_class).alias("error_class"),
+            error_class.alias("error_class"),
             detail.alias("detail"),
         )
 
+    binding, path = F.col("binding_id"), F.col("path")
+    listed, seen = F.col("listed"), F.col("seen")
+    of_mets = F.when(listed & ~seen, F.lit("missing_mets")).when(
+        seen & ~listed, F.lit("extra_mets")
+    )
+    # Files of unlisted bindings: the few such bindings pick their rows.
+    unlisted = states.where(~listed & F.col("other")).select("archive", "binding_id")
+    others = classified.where(~F.col("is_mets")).join(
+        unlisted, ["archive", "binding_id"], "left_semi"
+    )
     parts = [
-        errors(malformed_paths(classified), "malformed_path", F.col("path")),
+        errors(malformed_paths(classified), F.lit("malformed_path"), none, path),
         missing_files(expected_page_files, entries),
-        errors(unlisted_files(classified, pairs), "unlisted_file", F.col("path")),
-        errors(missing_mets(pairs, seen), "missing_mets"),
-        errors(extra_mets(seen, pairs), "extra_mets"),
+        errors(others, F.lit("unlisted_file"), binding, path),
+        errors(states.where(of_mets.isNotNull()), of_mets, binding, none),
     ]
     return reduce(DataFrame.unionByName, parts)
 

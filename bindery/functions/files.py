@@ -18,14 +18,26 @@ DEFAULT_BASE_PATH = "downloads"
 
 def page_filename(page_number: Column | str, extension: Column | str) -> Column:
     """Page number padded to five digits, longer numbers kept whole, + extension."""
-    return F.concat(F.format_string("%05d", col(page_number)), col(extension))
+    page = col(page_number)
+    # lpad would cut longer numbers; for the others it is the faster way.
+    padded = F.when(
+        page.between(0, 99999), F.lpad(page.cast("string"), 5, "0")
+    ).otherwise(F.format_string("%05d", page))
+    return F.concat(padded, col(extension))
 
 
 def image_extension(location_xlink: Column | str) -> Column:
-    """All suffixes of the location's base name (``.tar.gz``, ``.jp2``, or '')."""
-    base = F.regexp_extract(col(location_xlink), r"([^/]+)/*$", 1)
-    suffixes = F.regexp_extract(base, r"(?s)^\.*[^.]*(.*)$", 1)
-    return F.when(base.endswith("."), F.lit("")).otherwise(suffixes)
+    """All suffixes of the location's base name (``.tar.gz``, ``.jp2``, or '').
+
+    Dots at the start of the name do not begin a suffix, and a name that ends in
+    a dot has none.
+    """
+    base = F.substring_index(F.rtrim(col(location_xlink), F.lit("/")), "/", -1)
+    name = F.ltrim(base, F.lit("."))
+    dot = F.instr(name, ".")
+    return F.when(base.endswith(".") | (dot == 0), F.lit("")).otherwise(
+        name.substr(dot, F.length(name))
+    )
 
 
 def alto_url(dc: Column | str, page_number: Column | str) -> Column:

@@ -66,7 +66,9 @@ def binding_of_entry(path: Column | str) -> Column:
 
     Null marks a malformed path with fewer than three segments.
     """
-    return F.try_element_at(F.split(col(path), "/"), F.lit(-3))
+    path = col(path)
+    tail = F.substring_index(path, "/", -3)
+    return F.when(path.like("%/%/%"), F.substring_index(tail, "/", 1))
 
 
 def binding_of_path(path: Column | str) -> Column:
@@ -81,8 +83,18 @@ def binding_of_path(path: Column | str) -> Column:
 
 def mets_base_path(path: Column | str) -> Column:
     """Binding directory of a METS entry: the path without its last two segments."""
-    parts = F.split(col(path), "/")
-    return F.when(
-        F.size(parts) > 2,
-        F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 2, F.lit(0))), "/"),
-    ).otherwise(F.lit(""))
+    path = col(path)
+    length = F.length(path) - F.length(F.substring_index(path, "/", -2)) - 1
+    return path.substr(F.lit(1), F.greatest(length, F.lit(0)))
+
+
+def ancestors(directory: Column | str) -> Column:
+    """A directory path ending in a slash and all those above it, as an array."""
+    directory = col(directory)
+    depth = F.length(directory) - F.length(F.translate(directory, "/", ""))
+    return F.transform(
+        F.sequence(F.lit(1), depth),
+        lambda n: F.concat(
+            F.call_function("substring_index", directory, F.lit("/"), n), F.lit("/")
+        ),
+    )

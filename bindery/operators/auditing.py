@@ -114,8 +114,18 @@ def missing_files(expected: DataFrame, entries: DataFrame) -> DataFrame:
 
 def plain_name(path):
     """Path with the optional name prefix of page files taken off."""
-    plain = F.regexp_replace(path, r"(^|/)alto/al-(?=[^/]*$)", "$1alto/")
-    return F.regexp_replace(plain, r"(^|/)access_img/pr-(?=[^/]*$)", "$1access_img/")
+    path = ids.col(path)
+    return (
+        F.when(
+            path.contains("alto/al-"),
+            F.regexp_replace(path, r"(^|/)alto/al-(?=[^/]*$)", "$1alto/"),
+        )
+        .when(
+            path.contains("access_img/pr-"),
+            F.regexp_replace(path, r"(^|/)access_img/pr-(?=[^/]*$)", "$1access_img/"),
+        )
+        .otherwise(path)
+    )
 
 
 def missing_mets(pairs: DataFrame, seen: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from bindery.functions.ids import computed_once
 IMAGE_GROUP_USES = ["Images", "reference"]
 IMAGE_GROUP_IDS = ["IMGGRP", "ACIMGGRP"]
 
+# Faults of a file element, the most serious first.
+FAULTS = ["location_count", "missing_location", "group_attributes", "page_number"]
+
 _XML = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
 _CHILDREN = ["FLocat", "FContent", "stream", "transformFile", "file"]
 
@@ -36,23 +39,27 @@ def parse_manifests(docs: DataFrame, column: str = "xml") -> DataFrame:
         malformed.alias("malformed"),
     )
     found = computed_once(parsed, "_e", elements).select(*keep, "_e.*")
-    return found.select(
-        *keep,
-        "elements",
-        F.when(F.col("malformed"), F.lit("malformed"))
-        .otherwise(_fault(F.col("elements")))
-        .alias("manifest_error"),
+    error = F.when(F.col("malformed"), F.lit("malformed")).otherwise(
+        _fault(F.col("elements"))
+    )
+    return computed_once(found, "manifest_error", error).select(
+        *keep, "elements", "manifest_error"
     )
 
 
 def _elements(groups: Column) -> Column:
     def of_group(group: Column) -> Column:
+        is_image = F.coalesce(
+            group["_USE"].isin(IMAGE_GROUP_USES) & group["_ID"].isin(IMAGE_GROUP_IDS),
+            F.lit(False),
+        )
         return F.transform(
             F.coalesce(group["file"], F.array().cast(_file_array())),
             lambda f: F.struct(
                 group["_ID"].alias("group_id"),
                 group["_USE"].alias("group_use"),
-                F.coalesce(f["_SEQ"], f["_GROUPID"]).alias("page"),
+                is_image.alias("is_image"),
+                F.coalesce(f["_SEQ"], f["_GROUPID"]).try_cast("int").alias("page_number"),
                 _n_children(f).alias("n_children"),
                 F.try_element_at(f["FLocat"], F.lit(1))["_href"].alias("location"),
             ),
@@ -61,8 +68,8 @@ def _elements(groups: Column) -> Column:
     return F.coalesce(
         F.flatten(F.transform(groups, of_group)),
         F.array().cast(
-            "array<struct<group_id:string,group_use:string,page:string,"
-            "n_children:int,location:string>>"
+            "array<struct<group_id:string,group_use:string,is_image:boolean,"
+            "page_number:int,n_children:int,location:string>>"
         ),
     )
 
@@ -81,34 +88,17 @@ def _n_children(file: Column) -> Column:
     return total
 
 
-def is_access_image(element: Column) -> Column:
-    return F.coalesce(
-        element["group_use"].isin(IMAGE_GROUP_USES)
-        & element["group_id"].isin(IMAGE_GROUP_IDS),
-        F.lit(False),
-    )
-
-
-def _page_number(element: Column) -> Column:
-    return element["page"].try_cast("int")
-
-
 def _fault(elements: Column) -> Column:
-    def any_(predicate) -> Column:
-        return F.exists(elements, predicate)
-
-    return (
-        F.when(any_(lambda e: e["n_children"] != 1), F.lit("location_count"))
-        .when(any_(lambda e: e["location"].isNull()), F.lit("missing_location"))
-        .when(
-            any_(lambda e: e["group_id"].isNull() | e["group_use"].isNull()),
-            F.lit("group_attributes"),
-        )
-        .when(
-            any_(lambda e: is_access_image(e) & _page_number(e).isNull()),
-            F.lit("page_number"),
-        )
+    """Name of the most serious fault of any element, in one pass over them."""
+    ranks = F.transform(
+        elements,
+        lambda e: F.when(e["n_children"] != 1, 1)
+        .when(e["location"].isNull(), 2)
+        .when(e["group_id"].isNull() | e["group_use"].isNull(), 3)
+        .when(e["is_image"] & e["page_number"].isNull(), 4),
     )
+    names = F.array(*[F.lit(name) for name in FAULTS])
+    return F.try_element_at(names, F.array_min(ranks))
 
 
 def faulty_manifests(parsed: DataFrame) -> DataFrame:
@@ -144,10 +134,10 @@ def manifest_files(parsed: DataFrame, on_error: str = "raise") -> DataFrame:
             ),
         )
     images = F.transform(
-        F.filter("elements", is_access_image),
+        F.filter("elements", lambda e: e["is_image"]),
         lambda e: F.struct(
             F.lit(files.ACCESS_IMAGE).alias("kind"),
-            _page_number(e).alias("page_number"),
+            e["page_number"].alias("page_number"),
             e["location"].alias("location_xlink"),
         ),
     )
@@ -174,11 +164,14 @@ def with_names(page_files: DataFrame) -> DataFrame:
     named = page_files.withColumn(
         "filename", files.page_filename("page_number", extension)
     )
+    # From page 1 on, the first number in the file name is the page number.
+    page = F.col("page_number")
+    plain = F.concat("dc_identifier", F.lit("/image/"), page.cast("string"))
     return named.withColumn(
         "download_url",
-        F.when(is_alto, files.alto_url("dc_identifier", "page_number")).otherwise(
-            files.image_url("dc_identifier", "filename")
-        ),
+        F.when(is_alto, files.alto_url("dc_identifier", "page_number"))
+        .when(page >= 1, plain)
+        .otherwise(files.image_url("dc_identifier", "filename")),
     )
 
 

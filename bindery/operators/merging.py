@@ -79,24 +79,20 @@ def empty_directories(entries: DataFrame) -> DataFrame:
     Files are reduced to their distinct directories, these to their distinct
     ancestors, and the directories are matched by equality.
     """
+    path = F.col("path")
+    name = F.substring_index(path, "/", -1)
     parents = (
-        entries.where(~F.col("path").endswith("/") & F.contains(F.col("path"), F.lit("/")))
-        .select(F.regexp_extract("path", "^(.*/)[^/]*$", 1).alias("_parent"))
+        entries.where(~path.endswith("/") & F.contains(path, F.lit("/")))
+        .select(
+            path.substr(F.lit(1), F.length(path) - F.length(name)).alias("_parent")
+        )
         .distinct()
     )
-    parts = F.split("_parent", "/")
-    ancestors = parents.select(
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.size(parts) - 1),
-                lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")),
-            )
-        ).alias("path")
-    ).distinct()
+    above = parents.select(F.explode(ids.ancestors("_parent")).alias("path")).distinct()
     return (
         entries.where(F.col("path").endswith("/"))
         .select("path")
-        .join(ancestors, "path", "left_anti")
+        .join(above, "path", "left_anti")
     )
 
 

@@ -7,47 +7,50 @@ from pyspark.sql import functions as F
 
 from bindery.functions import files, names
 from bindery.operators import auditing
+from bindery.plans.stages import stored
 from bindery.sources import archives
 from bindery.sources.manifests import decoded
 
 
-def audit_zips(
-    paths: DataFrame, expected_ids: DataFrame, base_url: str, staging: str
+def audit(
+    entries: DataFrame,
+    docs: DataFrame,
+    expected_ids: DataFrame,
+    base_url: str,
+    staging: str,
+    archives: DataFrame | None = None,
 ) -> DataFrame:
-    """Integrity errors of the zip files named in ``paths.archive``.
+    """Integrity errors of archives given as entry rows and manifest documents.
 
-    The entry list is written to ``staging`` first, because it is read several
-    times and zip directories should be read once.
+    ``entries`` should be a stored table, as they are read several times. The
+    files that the manifests ask for are written to ``staging``, so that each
+    manifest is parsed once.
     """
-    spark = paths.sparkSession
-    found = archives.read_entries(paths)
-    found.write.mode("overwrite").parquet(staging)
-    entries = spark.read.schema(found.schema).parquet(staging)
-    of_mets = entries.where(F.col("path").endswith("_METS.xml") & _has_binding())
+    wanted = stored(auditing.expected_files(docs, base_url), f"{staging}/expected")
+    return auditing.integrity_errors(entries, wanted, expected_ids, archives)
+
+
+def audit_zips(
+    paths: DataFrame, expected_ids: DataFrame, base_url: str, staging: str
+) -> DataFrame:
+    """Integrity errors of the zip files named in ``paths.archive``."""
+    entries = stored(archives.read_entries(paths), f"{staging}/entries")
+    path = F.col("path")
+    of_mets = entries.where(path.endswith("_METS.xml") & path.like("%/%/%"))
     docs = archives.read_members(of_mets).select(
         "archive", "path", decoded("content", "utf-8").alias("xml")
     )
-    return auditing.integrity_errors(
-        entries,
-        auditing.expected_files(docs, base_url),
-        expected_ids,
-        archives=paths,
-    )
+    return audit(entries, docs, expected_ids, base_url, staging, paths)
 
 
-def audit_archive(archive: DataFrame, expected_ids: DataFrame, base_url: str) -> DataFrame:
+def audit_archive(
+    archive: DataFrame, expected_ids: DataFrame, base_url: str, staging: str
+) -> DataFrame:
     """Integrity errors of an archive table, each subset as one archive."""
     docs = archive.where(F.col("kind") == files.METS).select(
         names.target_name("set_id", "subset_id").alias("archive"),
         "path",
         decoded("content", "utf-8").alias("xml"),
     )
-    return auditing.integrity_errors(
-        archives.as_entries(archive),
-        auditing.expected_files(docs, base_url),
-        expected_ids,
-    )
-
-
-def _has_binding():
-    return F.size(F.split("path", "/")) >= 3
+    entries = archives.as_entries(archive)
+    return audit(entries, docs, expected_ids, base_url, staging)

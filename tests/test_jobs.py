@@ -214,7 +214,9 @@ def test_update_cycle(spark, tmp_path, mirror, set_id):
     )
     assert marker() == "bbbbbbbb"
     ids = spark.createDataFrame([("12",), ("31",), ("14",)], "binding_id string")
-    errors = auditing.audit_archive(publication.read_published(spark, root), ids, BASE)
+    errors = auditing.audit_archive(
+        publication.read_published(spark, root), ids, BASE, f"{root}/staging/audit"
+    )
     found = rows(errors.select("archive", "binding_id", "error_class"))
     # The target without a prefix expects every ID.
     assert found == [

@@ -106,15 +106,12 @@ def _(t: Tables):
 
 def directory_entries(t: Tables):
     """Entry list with all directories of all bindings; only F and O have files."""
-    parts = F.split(F.concat(ids.binding_dir("binding_id"), F.lit("/mets")), "/")
-    directories = t.bindings.select(
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.size(parts)),
-                lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")),
-            )
-        ).alias("path")
-    ).distinct()
+    directory = F.concat(ids.binding_dir("binding_id"), F.lit("/mets/"))
+    directories = (
+        t.bindings.select(directory.alias("directory"))
+        .select(F.explode(ids.ancestors("directory")).alias("path"))
+        .distinct()
+    )
     held = t.bindings.where("o_orderstatus <> 'P'").select(mets_path().alias("path"))
     return directories.unionByName(held)
 

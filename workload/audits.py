@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from bindery.functions import files, ids, names
 from bindery.operators import auditing, changes, fetching, routing
+from bindery.plans.auditing import audit
+from bindery.plans.stages import stored
 from workload.archives import mets_path
 from workload.fetches import page_plan
 from workload.manifests import manifest_docs
@@ -97,9 +99,10 @@ errors AS (
 
 
 def errors(t: Tables):
-    return auditing.integrity_errors(
-        held_entries(t), auditing.expected_files(held_docs(t), BASE), expected_ids(t)
-    )
+    """The audit as a job, on a stored entry list."""
+    staging = t.scratch("audit")
+    entries = stored(held_entries(t), f"{staging}/entries")
+    return audit(entries, held_docs(t), expected_ids(t), BASE, staging)
 
 
 def of_class(name: str, columns: str) -> str:

@@ -77,6 +77,7 @@ def write_listings(listings: DataFrame, run_date: str, root: str) -> None:
         listings.select(
             F.lit(run_date).alias("run_date"), "listing", F.col("binding_id").alias("value")
         )
+        .hint("rebalance", "listing")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_date", "listing")

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bindery.functions import files, ids
+from bindery.partitioning import spread
 
 Fetcher = Callable[[str], tuple[int, bytes]]
 
 MAX_BATCH_BYTES = 32 * 1024 * 1024
-MAX_BATCH_ROWS = 1_000
+MAX_BATCH_ROWS = 10_000
 
 _RESULT = [
     T.StructField("status", T.IntegerType()),
@@ -78,15 +79,13 @@ def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> D
     """Fetch ``download_url`` of every row; adds status, error, n_bytes, content.
 
     Rows are range-partitioned by path, so that a task covers neighbouring
-    bindings of one or few subsets and a huge binding spans several tasks.
-    Write the result before using it.
+    bindings of one or few subsets and a huge binding spans several tasks. The
+    number of tasks is fixed (by default that of shuffle partitions): plan rows
+    are small, and left to itself Spark would pack very many files into one
+    task. Write the result before using it.
     """
     keys = [c for c in ("subset_id", "path") if c in plan.columns]
-    plan = (
-        plan.repartitionByRange(partitions, *keys)
-        if partitions
-        else plan.repartitionByRange(*keys)
-    )
+    plan = spread(plan, partitions, *keys).sortWithinPartitions(*keys)
     schema = T.StructType(plan.schema.fields + _RESULT)
 
     def fetch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,14 +128,13 @@ def _with_results(batch: pd.DataFrame, start: int, results: list[tuple]) -> pd.D
 
 
 def write_fetched(fetched: DataFrame, path: str) -> DataFrame:
-    """Write fetch results by kind, and return them as read back.
+    """Write fetch results, and return them as read back.
 
-    ``subset_id`` stays in the files, which are sorted into subsets by the range
-    partitioning: the empty prefix cannot be a folder.
+    There are no partition folders: writing those would sort the content of each
+    task. Rows are in path order, which lets row groups be skipped instead.
     """
-    schema = fetched.schema
-    fetched.write.mode("errorifexists").partitionBy("kind").parquet(path)
-    return fetched.sparkSession.read.schema(schema).parquet(path)
+    fetched.write.mode("errorifexists").parquet(path)
+    return fetched.sparkSession.read.schema(fetched.schema).parquet(path)
 
 
 def folder_fetcher(root: str) -> Fetcher:

@@ -7,33 +7,20 @@ the join is an ordinary shuffle join, which AQE splits on skew.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions import ids
-
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def broadcast_if_small(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint for a key table whose measured size is below the limit.
-
-    Runs one aggregation over the keys, so give it stored ones.
-    """
-    row = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in keys.columns],
-    )
-    size = keys.agg(F.sum(row.cast("bigint"))).first()[0] or 0
-    return F.broadcast(keys) if size <= limit else keys
-
+from bindery.partitioning import broadcast_if_small
 
 def upsert(
     old: DataFrame, new: DataFrame, key: str = "path", measure: bool = False
 ) -> DataFrame:
-    """Old rows not named by the new ones, and all new ones."""
+    """Old rows not named by the new ones, and all new ones.
+
+    With ``measure`` the keys' size is measured for a broadcast, which is for old
+    rows with content.
+    """
     keys = new.select(key)
     if measure:
         keys = broadcast_if_small(keys)

@@ -24,10 +24,13 @@ def audit(
 
     ``entries`` should be a stored table, as they are read several times. The
     files that the manifests ask for are written to ``staging``, so that each
-    manifest is parsed once.
+    manifest is parsed once, and so are the names of the archives: stored, their
+    size is known, and the planner can broadcast them while they are few.
     """
+    named = (entries if archives is None else archives).select("archive").distinct()
+    named = stored(named.coalesce(1), f"{staging}/archives")
     wanted = stored(auditing.expected_files(docs, base_url), f"{staging}/expected")
-    return auditing.integrity_errors(entries, wanted, expected_ids, archives)
+    return auditing.integrity_errors(entries, wanted, expected_ids, named)
 
 
 def audit_zips(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from bindery import schemas
 from bindery.functions import names
 from bindery.operators import merging
+from bindery.partitioning import unsorted_partition_writes
 from bindery.sources import archives
 
 COLUMNS = ["binding_id", "kind", "page_number", "path", "size", "content"]
@@ -114,14 +115,14 @@ def apply_update(
     folder = f"run_id={set_id.replace(':', '_')}.{run_id}"
     target = names.folder_name(names.subset_name(F.lit(set_id), "subset_id"))
     path = f"{root}/data/{folder}"
-    (
-        new.withColumn("set_id", F.lit(set_id))
-        .withColumn("target", target)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("target", "kind")
-        .parquet(path)
-    )
+    new = new.withColumn("set_id", F.lit(set_id)).withColumn("target", target)
+    with unsorted_partition_writes(spark):
+        (
+            new.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("target", "kind")
+            .parquet(path)
+        )
     written = (
         spark.read.schema(schemas.ARCHIVE)
         .option("basePath", f"{root}/data")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from bindery import schemas
 from bindery.functions import files, ids, names
+from bindery.partitioning import spread
 
 ROWS_PER_BATCH = 10_000
 
@@ -28,11 +29,10 @@ def read_entries(archives: DataFrame, column: str = "archive") -> DataFrame:
 
     Only the directory at the end of each file is read, as a stream, so memory
     does not grow with the number of entries. Paths must be readable by all
-    executors.
+    executors; the files are spread over the tasks.
     """
-    return archives.select(F.col(column).alias("archive")).mapInPandas(
-        _entry_batches, schemas.ENTRIES
-    )
+    paths = archives.select(F.col(column).alias("archive")).distinct()
+    return spread(paths, None, "archive").mapInPandas(_entry_batches, schemas.ENTRIES)
 
 
 def _entry_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,13 +106,7 @@ def read_members(entries: DataFrame, partitions: int | None = None) -> DataFrame
     wanted = entries.where(~F.col("is_dir")).select(
         "archive", "path", "method", "packed_size", "header_offset"
     )
-    keys = ["archive", "header_offset"]
-    wanted = (
-        wanted.repartitionByRange(partitions, *keys)
-        if partitions
-        else wanted.repartitionByRange(*keys)
-    )
-    return wanted.mapInPandas(
+    return spread(wanted, partitions, "archive", "header_offset").mapInPandas(
         _member_batches, "archive STRING, path STRING, content BINARY"
     )
 

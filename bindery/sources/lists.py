@@ -55,8 +55,10 @@ def write_binding_lists(
 
 
 def _overwrite_partitions(rows: DataFrame, path: str) -> None:
+    # A few files per list, several for a large one.
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", "set_id", "kind")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("set_id", "kind", "list_date")
         .parquet(path)

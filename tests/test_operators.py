@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions import ids
 from bindery.operators import auditing, changes, fetching, merging, outcomes
+from bindery.partitioning import broadcast_if_small
 from bindery.plans import runs
 
 LOG = (
@@ -133,9 +134,9 @@ def test_adds_are_merged_before_deletions(spark):
 def test_broadcast_only_below_the_limit(spark):
     keys = spark.range(1000).select(F.col("id").cast("string").alias("path"))
     data = spark.range(10).select(F.col("id").cast("string").alias("path"))
-    small = data.join(merging.broadcast_if_small(keys), "path", "left_anti")
+    small = data.join(broadcast_if_small(keys), "path", "left_anti")
     assert "ResolvedHint (strategy=broadcast)" in _analyzed(small)
-    large = data.join(merging.broadcast_if_small(keys, limit=100), "path", "left_anti")
+    large = data.join(broadcast_if_small(keys, limit=100), "path", "left_anti")
     assert "ResolvedHint" not in _analyzed(large)
 
 

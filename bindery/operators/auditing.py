@@ -176,20 +176,30 @@ def binding_states(classified: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def binding_faults(
+    entries: DataFrame, expected_ids: DataFrame, archives: DataFrame | None = None
+) -> DataFrame:
+    """Bindings that are listed but not seen, or held but not listed.
+
+    ``archives`` names those to audit; without it, those that have entries.
+    """
+    pairs = expected_bindings(expected_ids, entries if archives is None else archives)
+    return binding_states(classified_entries(entries), pairs).where(
+        (F.col("listed") != F.col("seen")) | (F.col("other") & ~F.col("listed"))
+    )
+
+
 def integrity_errors(
-    entries: DataFrame,
-    expected_page_files: DataFrame,
-    expected_ids: DataFrame,
-    archives: DataFrame | None = None,
+    entries: DataFrame, expected_page_files: DataFrame, faults: DataFrame
 ) -> DataFrame:
     """All errors of all archives: archive, binding_id, error_class, detail.
 
-    ``archives`` names those to audit; without it, those that have entries.
+    ``faults`` are those of whole bindings; the few unlisted ones among them pick
+    their files from the entries.
     """
     classified = classified_entries(entries)
-    pairs = expected_bindings(expected_ids, entries if archives is None else archives)
-    states = binding_states(classified, pairs)
     none = F.lit(None).cast("string")
+    listed, seen = F.col("listed"), F.col("seen")
 
     def errors(rows: DataFrame, error_class, binding, detail) -> DataFrame:
         return rows.select(
@@ -199,21 +209,18 @@ def integrity_errors(
             detail.alias("detail"),
         )
 
-    binding, path = F.col("binding_id"), F.col("path")
-    listed, seen = F.col("listed"), F.col("seen")
-    of_mets = F.when(listed & ~seen, F.lit("missing_mets")).when(
-        seen & ~listed, F.lit("extra_mets")
-    )
-    # Files of unlisted bindings: the few such bindings pick their rows.
-    unlisted = states.where(~listed & F.col("other")).select("archive", "binding_id")
+    of_mets = F.when(listed, F.lit("missing_mets")).otherwise(F.lit("extra_mets"))
+    unlisted = faults.where(~listed & F.col("other")).select("archive", "binding_id")
     others = classified.where(~F.col("is_mets")).join(
         unlisted, ["archive", "binding_id"], "left_semi"
     )
     parts = [
-        errors(malformed_paths(classified), F.lit("malformed_path"), none, path),
+        errors(
+            malformed_paths(classified), F.lit("malformed_path"), none, F.col("path")
+        ),
         missing_files(expected_page_files, entries),
-        errors(others, F.lit("unlisted_file"), binding, path),
-        errors(states.where(of_mets.isNotNull()), of_mets, binding, none),
+        errors(others, F.lit("unlisted_file"), F.col("binding_id"), F.col("path")),
+        errors(faults.where(listed != seen), of_mets, F.col("binding_id"), none),
     ]
     return reduce(DataFrame.unionByName, parts)
 

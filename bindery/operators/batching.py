@@ -2,9 +2,10 @@
 
 A window over a whole subset would put it in one task, and one subset may hold
 most of a collection. Positions are therefore summed up over the digits of the
-ID: bindings are counted per ID without its last four and last eight digits, and
-each count is accumulated among its siblings. A window then sees at most 10,000
-distinct digit strings, whatever the size of the subset.
+ID, four at a time: lines are counted per ID without its last four digits, these
+counts per ID without its last eight, and so on, and each count is accumulated
+among its siblings. A window then sees at most 10,000 distinct digit strings,
+whatever the size of the subset.
 """
 
 from __future__ import annotations
@@ -18,46 +19,25 @@ DIGITS = 4
 COPIES_PER_ROW = 10_000
 
 
-def number_bindings(bindings: DataFrame, by: tuple[str, ...] = ("subset_id",)) -> DataFrame:
+def number_bindings(
+    bindings: DataFrame, by: tuple[str, ...] = ("subset_id",), longest: int = 12
+) -> DataFrame:
     """Position of each distinct binding in its subset, and the subset's batch size.
 
     Order: ID length, ID, DC identifier. Repeated list lines are counted in
     ``copies`` and take up ``copies`` consecutive positions from ``position``.
+    The levels are laid out for IDs of up to ``longest`` digits; longer ones are
+    numbered as well, in larger windows.
     """
-    by = list(by)
-    id_ = F.col("binding_id")
-    distinct = (
-        bindings.groupBy(*by, "binding_id", "dc_identifier")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("_length", F.length(id_))
-        .withColumn("_inner", _without_last(id_, DIGITS))
-        .withColumn("_outer", _without_last(id_, 2 * DIGITS))
-    )
-    inner = distinct.groupBy(*by, "_length", "_outer", "_inner").agg(
-        F.sum("copies").alias("_copies")
-    )
-    outer = inner.groupBy(*by, "_length", "_outer").agg(F.sum("_copies").alias("_copies"))
-    outer = outer.select(
-        *by,
-        "_length",
-        "_outer",
-        _before("_copies", by, ["_length", "_outer"]).alias("_outer_start"),
-        F.sum("_copies").over(Window.partitionBy(*by)).alias("subset_size"),
-    )
-    starts = (
-        inner.withColumn(
-            "_inner_start", _before("_copies", [*by, "_length", "_outer"], ["_inner"])
-        )
-        .join(outer, [*by, "_length", "_outer"])
-        .select(
-            *by,
-            "_length",
-            "_inner",
-            (F.col("_outer_start") + F.col("_inner_start")).alias("_start"),
-            "subset_size",
-        )
+    group = [*by, "_length"]
+    starts = _starts(bindings, list(by), range(DIGITS, max(longest, DIGITS + 1), DIGITS))
+    leaf = [*group, _head(DIGITS)]
+    distinct = _with_heads(
+        bindings.groupBy(*by, "binding_id", "dc_identifier").agg(
+            F.count("*").alias("copies")
+        ),
+        [DIGITS],
     )
-    leaf = [*by, "_length", "_inner"]
     within = _before("copies", leaf, ["binding_id", "dc_identifier"])
     return (
         distinct.withColumn("_within", within)
@@ -74,8 +54,52 @@ def number_bindings(bindings: DataFrame, by: tuple[str, ...] = ("subset_id",)) -
     )
 
 
-def _without_last(id_: Column, digits: int) -> Column:
-    return id_.substr(F.lit(1), F.greatest(F.length(id_) - digits, F.lit(0)))
+def _starts(bindings: DataFrame, by: list[str], cuts: range) -> DataFrame:
+    """First position of every ID head of the first cut, and the subset's size."""
+    group = [*by, "_length"]
+    heads = [_head(cut) for cut in cuts]
+    counts = [
+        _with_heads(bindings, cuts)
+        .groupBy(*group, *heads)
+        .agg(F.count("*").alias("_copies"))
+    ]
+    for i in range(1, len(heads)):
+        counts.append(
+            counts[-1].groupBy(*group, *heads[i:]).agg(F.sum("_copies").alias("_copies"))
+        )
+    top = heads[-1]
+    starts = counts[-1].select(
+        *group,
+        top,
+        _before("_copies", by, ["_length", top]).alias("_start"),
+        F.sum("_copies").over(Window.partitionBy(*by)).alias("subset_size"),
+    )
+    for i in range(len(heads) - 2, -1, -1):
+        head, parent = heads[i], heads[i + 1]
+        offset = _before("_copies", [*group, parent], [head])
+        starts = (
+            counts[i]
+            .withColumn("_offset", offset)
+            .join(starts, [*group, parent])
+            .select(
+                *group, head, (F.col("_start") + F.col("_offset")).alias("_start"), "subset_size"
+            )
+        )
+    return starts
+
+
+def _head(cut: int) -> str:
+    return f"_without_{cut}"
+
+
+def _with_heads(rows: DataFrame, cuts) -> DataFrame:
+    """Add the ID's length and the ID without its last digits, for each cut."""
+    length = F.length("binding_id")
+    rows = rows.withColumn("_length", length)
+    for cut in cuts:
+        kept = F.greatest(length - cut, F.lit(0))
+        rows = rows.withColumn(_head(cut), F.col("binding_id").substr(F.lit(1), kept))
+    return rows
 
 
 def _before(column: str, partition: list[str], order: list[str]) -> Column:

@@ -22,15 +22,18 @@ def audit(
 ) -> DataFrame:
     """Integrity errors of archives given as entry rows and manifest documents.
 
-    ``entries`` should be a stored table, as they are read several times. The
-    files that the manifests ask for are written to ``staging``, so that each
-    manifest is parsed once, and so are the names of the archives: stored, their
-    size is known, and the planner can broadcast them while they are few.
+    ``entries`` should be a stored table, as they are read several times. What
+    goes into several joins is written to ``staging``: the names of the archives
+    and the faulty bindings, so that the planner knows that they are few, and the
+    files that the manifests ask for, so that each manifest is parsed once.
     """
     named = (entries if archives is None else archives).select("archive").distinct()
     named = stored(named.coalesce(1), f"{staging}/archives")
+    faults = stored(
+        auditing.binding_faults(entries, expected_ids, named), f"{staging}/faults"
+    )
     wanted = stored(auditing.expected_files(docs, base_url), f"{staging}/expected")
-    return auditing.integrity_errors(entries, wanted, expected_ids, named)
+    return auditing.integrity_errors(entries, wanted, faults)
 
 
 def audit_zips(

@@ -201,7 +201,11 @@ def test_integrity_audit(spark):
         "archive string, path string, xml string",
     )
     expected = spark.createDataFrame([("12",), ("15",), ("25",), ("15",)], "binding_id string")
-    errors = auditing.integrity_errors(entries, auditing.expected_files(docs, BASE), expected)
+    errors = auditing.integrity_errors(
+        entries,
+        auditing.expected_files(docs, BASE),
+        auditing.binding_faults(entries, expected),
+    )
     assert sorted(errors.collect(), key=str) == sorted(
         [
             ("set_1.zip", None, "malformed_path", "alto/00001.xml"),

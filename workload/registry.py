@@ -52,7 +52,8 @@ class Tables:
             .otherwise(F.lit(".jp2"))
         )
         pages = self.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-            F.max("l_returnflag").alias("flag")
+            # As a number: hash aggregation cannot hold the maximum of a string.
+            F.chr(F.max(F.ascii("l_returnflag"))).alias("flag")
         )
         id_ = F.col("l_orderkey").cast("string")
         return pages.select(

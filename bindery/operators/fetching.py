@@ -161,6 +161,7 @@ def direct_downloads(page_files: DataFrame, base_path: str | None = None) -> Dat
         "output_path",
         files.file_download_location("dc_identifier", "kind", "filename", base_path),
     )
+    # Fixed value: the text of the report.
     message = F.concat(
         F.lit("No download URL available for file "), F.col("location_xlink")
     )

@@ -44,3 +44,6 @@ def test_query(spark, tables, name):
     actual = [tuple(row) for row in found.select(columns).collect()]
     assert sorted(actual, key=str) == sorted(expected, key=str)
     assert actual
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert "NestedLoopJoin" not in plan

@@ -1,13 +1,18 @@
 """Archive changes, publication and versions over whole tables."""
 
+import os
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from bindery.functions import files, ids
 from bindery.operators import changes, fetching, merging
-from bindery.plans import publication
+from bindery.plans import download, publication
+from bindery.plans.stages import stored
 from bindery.sources import archives
 from workload.fetches import PLAN_SQL, page_plan
-from workload.planning import routed
+from workload.planning import NUMBERED_SQL, routed
 from workload.registry import (
     BINDINGS_SQL,
     Tables,
@@ -219,6 +224,64 @@ def _(t: Tables):
     return found.select("path")
 
 
+def zipped_batches(t: Tables):
+    """A zip file per download batch with the manifests of its bindings.
+
+    Returns the paths of the files. A batch has at most 100 bindings.
+    """
+    folder = t.scratch("zips").removeprefix("file:")
+
+    def write_zip(key, batch):
+        os.makedirs(folder, exist_ok=True)
+        path = f"{folder}/set_{key[0]}.{key[1]}.zip"
+        with zipfile.ZipFile(f"{path}.{os.getpid()}", "w", zipfile.ZIP_DEFLATED) as z:
+            for row in batch.itertuples():
+                z.writestr(row.path.rsplit("/", 1)[0] + "/", "")
+                z.writestr(row.path, f"<mets>{row.path}</mets>")
+        # A repeated task puts the same file in its place.
+        os.replace(f"{path}.{os.getpid()}", path)
+        return pd.DataFrame({"archive": [path]})
+
+    batches = download.batched_bindings(routed(t)).withColumn("path", mets_path())
+    paths = batches.groupBy("subset_id", "batch_index").applyInPandas(
+        write_zip, "archive STRING"
+    )
+    return stored(paths, t.scratch("zip-paths"))
+
+
+ZIPPED_SQL = f"""{NUMBERED_SQL}, zipped AS (
+  SELECT 'set_' || subset_id || '.' || batch_index || '.zip' AS archive,
+         {METS_PATH_SQL} AS path, '<mets>' || {METS_PATH_SQL} || '</mets>' AS content
+  FROM batched)"""
+
+
+@query(
+    "zip_entries",
+    f"""WITH {ZIPPED_SQL}
+        SELECT archive, path, false AS is_dir, CAST(length(content) AS BIGINT) AS size
+        FROM zipped
+        UNION ALL
+        SELECT archive, regexp_replace(path, '[^/]*$', ''), true, 0::BIGINT FROM zipped""",
+)
+def _(t: Tables):
+    entries = archives.read_entries(zipped_batches(t))
+    name = F.substring_index("archive", "/", -1)
+    return entries.select(name.alias("archive"), "path", "is_dir", "size")
+
+
+@query(
+    "zip_members",
+    f"WITH {ZIPPED_SQL} SELECT archive, path, content FROM zipped",
+)
+def _(t: Tables):
+    entries = archives.read_entries(zipped_batches(t))
+    entries = stored(entries, t.scratch("zip-entries"))
+    name = F.substring_index("archive", "/", -1)
+    return archives.read_members(entries).select(
+        name.alias("archive"), "path", F.decode("content", "utf-8").alias("content")
+    )
+
+
 def published_store(t: Tables) -> str:
     """Store with two updates and a version after each.
 

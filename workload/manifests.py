@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions import files
 from bindery.operators import fetching, manifests
+from bindery.sources.manifests import manifests_of
 from workload.identifiers import DATED_SQL, dated_text
 from workload.registry import BASE, PAGE_IMAGES_SQL, Tables, query
 
@@ -163,6 +164,28 @@ def _(t: Tables):
     return found.select("binding_id", "kind", "filename")
 
 
+@query(
+    "archived_manifests",
+    f"""WITH {PAGE_IMAGES_SQL}
+        SELECT binding_id, count(*) AS n_pages, max(page_number) AS last_page
+        FROM page_images GROUP BY binding_id""",
+)
+def _(t: Tables):
+    """Pages by the manifests of an archive table, which holds them as bytes."""
+    held = manifest_docs(t).select(
+        "binding_id",
+        F.concat("binding_id", F.lit("_METS.xml")).alias("path"),
+        F.lit(files.METS).alias("kind"),
+        F.encode("xml", "utf-8").alias("content"),
+    )
+    docs = manifests_of(held).withColumn("dc_identifier", F.col("binding_id"))
+    found = manifests.manifest_files(manifests.parse_manifests(docs))
+    images = manifests.files_of_kind(found, files.ACCESS_IMAGE)
+    return images.groupBy("binding_id").agg(
+        F.count("*").alias("n_pages"), F.max("page_number").alias("last_page")
+    )
+
+
 @query(
     "text_files",
     f"""WITH {FILES_SQL} SELECT binding_id, page_number, filename

@@ -30,6 +30,7 @@ _RESULT = [
     T.StructField("error", T.StringType()),
     T.StructField("n_bytes", T.LongType()),
     T.StructField("content", T.BinaryType()),
+    T.StructField("skipped", T.BooleanType()),
 ]
 
 
@@ -76,7 +77,7 @@ def with_manifest(page_files: DataFrame, fetched_manifests: DataFrame) -> DataFr
 
 
 def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> DataFrame:
-    """Fetch ``download_url`` of every row; adds status, error, n_bytes, content.
+    """Fetch ``download_url`` of every row; adds the columns of ``_RESULT``.
 
     Rows are range-partitioned by path, so that a task covers neighbouring
     bindings of one or few subsets and a huge binding spans several tasks. The
@@ -89,10 +90,15 @@ def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> D
     schema = T.StructType(plan.schema.fields + _RESULT)
 
     def fetch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        present = None
         for batch in batches:
             start, held, results = 0, 0, []
-            for url in batch["download_url"]:
-                result = _fetch_one(fetcher, url)
+            for path, url in zip(batch["path"], batch["download_url"]):
+                if path == present:
+                    result = _SKIPPED
+                else:
+                    result = _fetch_one(fetcher, url)
+                    present = path if result[2] else None
                 results.append(result)
                 held += result[2] or 0
                 if held >= MAX_BATCH_BYTES or len(results) >= MAX_BATCH_ROWS:
@@ -104,26 +110,30 @@ def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> D
     return plan.mapInPandas(fetch_rows, schema)
 
 
+_SKIPPED = (None, None, None, None, True)
+
+
 def _fetch_one(fetcher: Fetcher, url: str | None) -> tuple:
     if url is None:
-        return None, "no download URL", None, None
+        return None, "no download URL", None, None, False
     try:
         status, content = fetcher(url)
     except Exception as e:  # any failure of one file is an outcome of that file
-        return None, f"{type(e).__name__}: {e}", None, None
+        return None, f"{type(e).__name__}: {e}", None, None, False
     if status >= 400:
-        return status, None, None, None
-    return status, None, len(content), content
+        return status, None, None, None, False
+    return status, None, len(content), content, False
 
 
 def _with_results(batch: pd.DataFrame, start: int, results: list[tuple]) -> pd.DataFrame:
     part = batch.iloc[start : start + len(results)].reset_index(drop=True)
-    status, error, n_bytes, content = zip(*results)
+    status, error, n_bytes, content, skipped = zip(*results)
     return part.assign(
         status=pd.array(status, dtype="Int32"),
         error=pd.Series(error, dtype="object"),
         n_bytes=pd.array(n_bytes, dtype="Int64"),
         content=pd.Series(content, dtype="object"),
+        skipped=skipped,
     )
 
 

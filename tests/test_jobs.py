@@ -120,6 +120,51 @@ def test_retries_fetch_only_what_is_missing(spark, tmp_path, mirror):
     ]
 
 
+def test_pages_listed_twice_and_empty_pages(spark, tmp_path, mirror):
+    """A page listed twice is fetched once; an empty one again in every attempt."""
+    twice = [(f'ID="{n}" SEQ="1"', [f"{n}.jp2"]) for n in ("a", "b")]
+    third = [('ID="c" SEQ="3"', ["c.jp2"])]
+    text = manifest([("IMGGRP", "Images", twice + third)])
+    mirror.put(f"{BASE}11/mets.xml?full=true", text.encode())
+    mirror.put(f"{BASE}11/image/1", b"x")
+    mirror.put(f"{BASE}11/page-1.xml", b"")
+    mirror.put(f"{BASE}11/page-3.xml", CONTENT)
+    staged = download.stow_with_retries(batched(spark, ["11"]), mirror.fetcher(), str(tmp_path / "s"))
+    found = staged.log.where("kind <> 'mets'").groupBy("attempt", "kind", "page_number", "outcome").count()
+    again = [
+        (n, kind, page, outcome, count)
+        for n in (2, 3)
+        for kind, page, outcome, count in [("access_img", 3, "not_found", 1), ("alto", 1, "ok", 2)]
+    ]
+    assert rows(found) == [
+        (1, "access_img", 1, "ok", 1), (1, "access_img", 1, "skipped", 1),
+        (1, "access_img", 3, "not_found", 1), (1, "alto", 1, "ok", 2), (1, "alto", 3, "ok", 1),
+        *again,
+    ]
+    sizes = rows(staged.content.where("kind <> 'mets'").select("path", "size"))
+    assert sizes == [
+        ("1/11/11/access_img/00001.jp2", 1),
+        ("1/11/11/alto/00001.xml", 0),
+        ("1/11/11/alto/00003.xml", len(CONTENT)),
+    ]
+
+
+def test_a_stop_keeps_what_came_before(spark, tmp_path, mirror):
+    """A page that is listed again after the stop keeps its first content."""
+    members = [(f'SEQ="{n}"', [f"{n}.jp2"]) for n in (1, 2, 1, 3)]
+    mirror.put(f"{BASE}11/mets.xml?full=true", manifest([("IMGGRP", "Images", members)]).encode())
+    for i in (1, 2, 3):
+        mirror.put(f"{BASE}11/image/{i}", b"x")
+        mirror.put(f"{BASE}11/page-{i}.xml", CONTENT)
+    fetcher = mirror.fetcher({f"{BASE}11/image/2": 503})
+    staged = download.stow(batched(spark, ["11"]), fetcher, str(tmp_path / "s"))
+    images = staged.log.where("kind = 'access_img'").select("position", "outcome")
+    assert rows(images) == [
+        (0, "ok"), (1, "error"), (2, "not_attempted"), (3, "not_attempted"),
+    ]
+    assert rows(staged.content.where("kind = 'access_img'").select("page_number")) == [(1,)]
+
+
 def test_large_content_is_handed_on_in_pieces(spark, monkeypatch):
     import pandas as pd
 
@@ -129,7 +174,8 @@ def test_large_content_is_handed_on_in_pieces(spark, monkeypatch):
     )
     found = fetching.fetch(plan, lambda url: (200, url.encode()), partitions=1)
     assert rows(found.select("path", F.decode("content", "utf-8"))) == [(str(i),) * 2 for i in range(5)]
-    part = fetching._with_results(pd.DataFrame({"a": [1, 2, 3]}), 1, [(200, None, 0, b"")])
+    result = (200, None, 0, b"", False)
+    part = fetching._with_results(pd.DataFrame({"a": [1, 2, 3]}), 1, [result])
     assert part.to_dict("records")[0]["a"] == 2
 
 

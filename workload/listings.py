@@ -33,7 +33,7 @@ def page(verb, body):
 
 def identifier_pages(t: Tables):
     """Response pages of the orders, requested by priority."""
-    return t.orders.select(
+    return t.spread(t.orders, "o_orderkey").select(
         F.col("o_orderpriority").alias("set_id"),
         page("ListIdentifiers", header([F.col("o_orderpriority"), F.col("o_orderstatus")])).alias("xml"),
     )
@@ -44,7 +44,9 @@ def deleted_pages(t: Tables):
     subset = F.concat_ws(":", "o_orderpriority", "o_orderstatus")
     body = header([F.col("o_orderpriority"), subset], "' status=\"deleted\"'")
     record = F.concat(F.lit("<record>"), body, F.lit("</record>"))
-    return t.orders.select(page("ListRecords", record).alias("xml"))
+    return t.spread(t.orders, "o_orderkey").select(
+        page("ListRecords", record).alias("xml")
+    )
 
 
 @query(
@@ -151,7 +153,8 @@ def _(t: Tables):
         F.lit('">t</resumptionToken>'),
     )
     tokens = announced.select("o_custkey", page("ListIdentifiers", token).alias("xml"))
-    listed = t.orders.where("o_orderstatus <> 'P'").select(
+    orders = t.spread(t.orders.where("o_orderstatus <> 'P'"), "o_orderkey")
+    listed = orders.select(
         "o_custkey", page("ListIdentifiers", header([F.col("o_orderstatus")])).alias("xml")
     )
     return listings.incomplete_listings(
@@ -299,7 +302,7 @@ def _(t: Tables):
     )
 
     def headers(where):
-        pages = t.orders.where(where).select(
+        pages = t.spread(t.orders.where(where), "o_orderkey").select(
             set_id.alias("set_id"),
             page("ListIdentifiers", header([set_id])).alias("xml"),
         )

@@ -245,7 +245,7 @@ def dated_docs(t: Tables):
         dated_text(),
         F.lit("\n</d:dateIssued><d:dateIssued>1.1.2020</d:dateIssued></m:dmdSec></m:mets>"),
     )
-    return t.orders.select(
+    return t.spread(t.orders, "o_orderkey").select(
         F.col("o_orderkey").cast("string").alias("binding_id"), xml.alias("xml")
     )
 

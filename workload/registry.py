@@ -67,6 +67,17 @@ class Tables:
             "flag",
         )
 
+    def spread(self, rows: DataFrame, key: str) -> DataFrame:
+        """Rows over all cores, where a scan has fewer parts than there are cores.
+
+        For rows that are turned into documents: parsing them costs far more than
+        moving a few columns. A large table has enough parts and is left alone.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        if rows.rdd.getNumPartitions() >= cores:
+            return rows
+        return rows.repartition(cores, key)
+
     def scratch(self, name: str) -> str:
         """New folder in the shared scratch space that the cluster names."""
         root = self.spark.conf.get("spark.checkpoint.dir", None)

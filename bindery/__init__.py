@@ -6,3 +6,11 @@
 ``plans``      whole jobs: listing run, download, update, publication, versions
 ``streaming``  the listing run as an incremental stream
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python workers get the functions themselves, so the package need not be
+# installed or on the path of the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

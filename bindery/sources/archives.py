@@ -19,7 +19,7 @@ ROWS_PER_BATCH = 10_000
 # Record signatures and field layouts of the public zip format.
 _END = b"PK\x05\x06"
 _END64_LOCATOR = b"PK\x06\x07"
-_DIRECTORY_RECORD = struct.Struct("<4s6H3I5H2I")
+_DIRECTORY_RECORD = "<4s6H3I5H2I"
 _ZIP64_ID = 1
 _TOO_BIG = 0xFFFFFFFF
 
@@ -67,12 +67,13 @@ def _directory_bounds(f) -> tuple[int, int]:
 
 
 def _directory(f) -> Iterator[tuple]:
+    record_size = struct.calcsize(_DIRECTORY_RECORD)
     start, length = _directory_bounds(f)
     f.seek(start)
     end = start + length
     at = start
     while at < end:
-        fixed = _DIRECTORY_RECORD.unpack(f.read(_DIRECTORY_RECORD.size))
+        fixed = struct.unpack(_DIRECTORY_RECORD, f.read(record_size))
         flags, method = fixed[3], fixed[4]
         packed, size = fixed[8], fixed[9]
         n_name, n_extra, n_comment = fixed[10:13]
@@ -80,7 +81,7 @@ def _directory(f) -> Iterator[tuple]:
         name = f.read(n_name).decode("utf-8" if flags & 0x800 else "cp437")
         extra = f.read(n_extra)
         f.read(n_comment)
-        at += _DIRECTORY_RECORD.size + n_name + n_extra + n_comment
+        at += record_size + n_name + n_extra + n_comment
         size, packed, offset = _wide(extra, size, packed, offset)
         yield name, name.endswith("/"), size, method, packed, offset
 

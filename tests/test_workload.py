@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = os.environ.get("WORKLOAD_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.QUERIES, entry.SQL
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test tables")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +32,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op2_quality_rules", quality_rules.SQL)
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(
+        table(spark, folder, "documents"),
+        quality_rules.trusted_ids(table(spark, folder, "labels")),
+    )
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )

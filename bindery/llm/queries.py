@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules
+from . import mixing, quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,8 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, secrets
+from . import bpe, mixing, quality_rules, secrets
 
+#: Rank file of the tokenizer.
+RANKS = "byte_bpe_multi_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -55,3 +58,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.tokenize(
+        table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    )
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules, secrets
+from . import bpe, html, mixing, quality_rules, secrets
 
 #: Rank file of the tokenizer.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -66,3 +66,8 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     )
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))

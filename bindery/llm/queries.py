@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, mixing, quality_rules, secrets
+from . import bpe, html, mixing, quality_rules, secrets, substrings
 
 #: Rank file of the tokenizer.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -71,3 +71,9 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_html_extraction")
 def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages"))
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")

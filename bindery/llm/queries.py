@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, html, mixing, quality_rules, secrets, substrings
+from . import bpe, classifier, html, mixing, quality_rules, secrets, substrings, topk
 
 #: Rank file of the tokenizer.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -77,3 +78,18 @@ def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = (table(spark, folder, t) for t in ("documents", "labels"))
+    model = classifier.train(documents, labels.where(~classifier.held_out(F.col("doc_id"))))
+    scored = classifier.classify(documents, model)
+    return scored.select(
+        "doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+@query("op7_top_k", topk.SQL)
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, html, mixing, quality_rules, secrets, substrings, topk
+from . import bpe, classifier, html, mixing, neardup, quality_rules, secrets, substrings, topk
 
 #: Rank file of the tokenizer.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -93,3 +93,8 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_top_k", topk.SQL)
 def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.link(table(spark, folder, "documents"))

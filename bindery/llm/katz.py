@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
-from .texts import remainder_of
 
 HISTORY_SHARE = 1e-3
 RELIABLE = 5
@@ -244,10 +243,6 @@ def learn(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     return model, words, pairs
 
 
-def pack(arrays: list[np.ndarray]) -> bytes:
-    return pa.compress(pickle.dumps(arrays, protocol=5), "zstd", asbytes=True)
-
-
 def unpack(payload: bytes, size: int) -> list[np.ndarray]:
     return pickle.loads(pa.decompress(payload, size, "zstd", asbytes=True))
 
@@ -393,9 +388,7 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
     keyed = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     if model.table is None:
         model.table = np.zeros((1, 2))
-    bucket = F.udf(lambda: 0) if False else None
-    del bucket
-    # The same as bucket_of: an unsigned number below 2**56, so the sign is gone.
+    # The same as bucket_of: the shift makes the number positive.
     number = F.expr(f"cast(shiftrightunsigned(w, 8) % {buckets} as int)").alias("bucket")
     frequent = F.broadcast(
         words.where(
@@ -430,8 +423,3 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
         (F.col("base_score") / F.col("copies")).alias("base_score"),
         (F.col("score") / F.col("copies")).alias("score"),
     )
-
-
-def held_out_id(id_) -> bool:
-    """Whether a document is kept out of training."""
-    return remainder_of(id_, 5) == 1

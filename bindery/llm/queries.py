@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, html, mixing, neardup, quality_rules, secrets, substrings, topk
+from . import (
+    bpe,
+    classifier,
+    html,
+    katz,
+    mixing,
+    neardup,
+    quality_rules,
+    secrets,
+    substrings,
+    topk,
+)
+from .texts import remainder
 
 #: Rank file of the tokenizer.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -98,3 +110,19 @@ def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_near_duplicates")
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.link(table(spark, folder, "documents"))
+
+
+@query("op9_katz_scores")
+def op9_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    scored = katz.score(documents, documents.where(~held_out))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )

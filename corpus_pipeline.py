@@ -9,34 +9,77 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bindery.llm import mixing
+from bindery.llm import bpe, mixing, neardup, quality_rules, secrets
+from bindery.llm.queries import RANKS
+from bindery.llm.texts import words
 from bindery.scratch import stored
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = quality_rules.judge(docs, quality_rules.trusted_ids(labels))
+    return judged.where("kept").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, and one row of repeated rows of an ID.
+
+    Rows without an ID are linked with nothing and stay.
+    """
+    kept = neardup.link(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    rest = docs.where("doc_id IS NULL")
+    return docs.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(rest)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without secrets: each is replaced by a mark."""
+    return secrets.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it whole."""
-    copies = mixing.mix(docs).where("copies > 0").select(
-        F.col("doc_id").alias("mixed_id"), "copies"
-    )
-    return (
-        docs.join(copies, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-        .select(docs.columns)
+    """Each document as often as the mix takes it whole.
+
+    Rows of one ID are told apart by their number in order of source and size.
+    """
+    mixed = mixing.mix(docs)
+    number = F.row_number().over(Window.partitionBy("id").orderBy("mixed_source", "size", "copies"))
+    copies = mixed.select(
+        F.col("doc_id").alias("id"), F.col("source").alias("mixed_source"), "size", "copies"
+    ).withColumn("number", number)
+    size = F.size(words(F.col("text"))).cast("long")
+    own = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", size))
+    joined = docs.withColumn("own", own).join(
+        copies.where("copies > 0"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("number"))
     )
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token IDs of the documents, with their digests."""
+    path = public_tokenizers.path(RANKS)
+    coded = bpe.tokenize(docs, path, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "source", "token_ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("secret scan", secret_scan),
     ("mixing", mix_sources),
+    ("byte BPE", tokenize),
 ]
 
-#: Hashing of n-grams, signatures and tokenizer merges are not SQL.
+#: Signatures, guess costs and tokenizer merges are not SQL; tests compare with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each one's rows written for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))

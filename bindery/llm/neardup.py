@@ -9,10 +9,12 @@ the distance share a key. With 32 lanes, a pair of similarity 0.85 exceeds a dis
 of 15 about once in 200,000 times. Candidates are confirmed on their full sets.
 
 Documents of one word sequence are one class first, with the smallest ID for all. The
-pairs of a group are not listed: each member is compared with the group's smallest
-member, links join into components, and only what is still in another component than
-its group's smallest member is compared further. So no link between components is
-lost, and a large group of copies costs one comparison for each key of a member.
+pairs of a group are not listed: each member is compared with the group's pivot, the
+member whose keys are the most common, and links join into components. Only pairs
+across components are left. Those take part whose finer signatures of ``FINE`` single
+bits are near, each at the smallest key that its two documents share, and are confirmed
+in turn. So no link between components is lost, and a large group of copies costs one
+comparison for each member.
 """
 
 from __future__ import annotations
@@ -34,10 +36,12 @@ PERCENT = 85
 LANES, BITS = 32, 16
 DISTANCE, CHUNKS = 15, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Lanes of the finer signature, and its greatest distance: five standard deviations
-#: beyond the one expected at a similarity of 0.85.
-FINE = 512
-FINE_DISTANCE = 68
+#: Lanes of the finer signature, and its greatest distance: 4.5 standard deviations
+#: beyond the one expected at a similarity of 0.85, exceeded once in 300,000 times.
+FINE = 1024
+FINE_DISTANCE = 115
+#: Hashes of sets that a task remembers.
+REMEMBERED = 4_000_000
 SEEDS = np.random.default_rng(5).integers(1, 2**63, (2, LANES + FINE, 1), dtype=np.uint64)
 #: Shingles that are hashed by all lanes at a time.
 AT_ONCE = 4096
@@ -173,25 +177,29 @@ def fine_signatures(texts: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those pairs ``a, b`` that are similar on their full sets.
 
-    The pairs of one ``b`` come in a row, so its set is made once for them.
+    A task remembers the sets of documents that it meets again.
     """
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        last, last_set = None, None
+        sets: dict = {}
+        size = 0
         for batch in batches:
             good = []
-            b_column = batch.column("b").to_pylist()
+            ids = [batch.column(c).to_pylist() for c in ("a", "b")]
             text_a, text_b = batch.column("text_a"), batch.column("text_b")
-            for i, b in enumerate(b_column):
-                if b != last or last_set is None:
-                    last, last_set = b, shingles(words_of(text_b[i].as_py()), known)
-                mine = shingles(words_of(text_a[i].as_py()), known)
-                good.append(similar(mine, last_set, percent))
-            kept = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-            yield kept
+            for i, (a, b) in enumerate(zip(*ids, strict=True)):
+                if size > REMEMBERED:
+                    sets.clear()
+                    size = 0
+                for one_id, text in ((a, text_a), (b, text_b)):
+                    if one_id not in sets:
+                        sets[one_id] = shingles(words_of(text[i].as_py()), known)
+                        size += len(sets[one_id])
+                good.append(similar(sets[a], sets[b], percent))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
     return pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(

@@ -54,23 +54,29 @@ def repeat_words(n: str, hashes: str, w: str) -> Column:
     return F.expr(f"sort_array(transform({repeated}, x -> x & ({place})))")
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """The rows with a column that is computed once a row.
+
+    Filters are pushed below projections, with a copy of an array's expression for
+    each of its uses, also inside lambdas. They stop at a generator's output.
+    """
+    return rows.drop(name).select("*", F.explode(F.array(value)).alias(name))
+
+
 def base_metrics(documents: DataFrame) -> DataFrame:
     """The documents with their words as ``w`` and the base metrics."""
     text = whole(F.col("text"))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"\S"))
+    rows = once(documents, "w", words(F.col("text"))).withColumn("n", F.size("w"))
+    hashes = F.expr(
+        "sort_array(transform(sequence(1, greatest(n - 2, 1)), i -> shiftleft("
+        "xxhash64(get(w, i - 1), get(w, i), get(w, i + 1)), length(bin(n))) "
+        "| cast(i - 1 AS BIGINT)))"
+    )
+    rows = once(rows, "hashes", hashes)
+    rows = once(rows, "places", F.when(F.col("n") >= 3, repeat_words("n", "hashes", "w")))
     return (
-        documents.withColumn("w", words(F.col("text")))
-        .withColumn("n", F.size("w"))
-        .withColumn("lines", lines)
-        .withColumn(
-            "hashes",
-            F.expr(
-                "sort_array(transform(sequence(1, greatest(n - 2, 1)), i -> shiftleft("
-                "xxhash64(get(w, i - 1), get(w, i), get(w, i + 1)), length(bin(n))) "
-                "| cast(i - 1 AS BIGINT)))"
-            ),
-        )
-        .withColumn("places", F.when(F.col("n") >= 3, repeat_words("n", "hashes", "w")))
+        rows.withColumn("lines", lines)
         .withColumn("n_words", F.col("n").cast("long"))
         .withColumn(
             "word_chars", F.length(F.translate(text, SPACES, "")).cast("long")
@@ -172,17 +178,14 @@ def judge(
         return measured.withColumn("score", F.lit(None).cast("double")).drop("w").withColumn(
             "kept", ~F.col("base_failed")
         )
+    total = F.expr(
+        "aggregate(sequence(1, greatest(size(w), 1)), 0L, (a, i) -> a "
+        f"+ coalesce(get(ratios, cast({bucket('get(w, i - 1)', buckets)} AS INT)), 0L) "
+        "+ coalesce(get(ratios, cast("
+        f"{bucket("concat(get(w, i - 1), ' ', get(w, i))", buckets)} AS INT)), 0L))"
+    )
     return (
-        measured.withColumn("ratios", table)
-        .withColumn(
-            "total",
-            F.expr(
-                "aggregate(sequence(1, greatest(size(w), 1)), 0L, (a, i) -> a "
-                f"+ coalesce(get(ratios, cast({bucket('get(w, i - 1)', buckets)} AS INT)), 0L) "
-                "+ coalesce(get(ratios, cast("
-                f"{bucket("concat(get(w, i - 1), ' ', get(w, i))", buckets)} AS INT)), 0L))"
-            ),
-        )
+        once(measured.withColumn("ratios", table), "total", total)
         .withColumn("grams", F.greatest(2 * F.col("n_words") - 1, F.lit(1)))
         .withColumn(
             "score", F.when(F.col("n_words") > 0, F.col("total") / F.col("grams") / 1e6)

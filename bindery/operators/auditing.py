@@ -30,23 +30,28 @@ def classified_entries(entries: DataFrame) -> DataFrame:
     )
 
 
-def expected_bindings(expected: DataFrame, archives: DataFrame) -> DataFrame:
+def expected_bindings(
+    expected: DataFrame, archives: DataFrame, guess_prefix: bool = True
+) -> DataFrame:
     """Expected (archive, binding) pairs: each archive expects its prefix's IDs.
 
-    The prefix comes from the archive's name and may be empty. IDs are matched
-    by equality with their own heads, not by comparing all pairs.
+    The prefix comes from the archive's name and may be empty; without
+    ``guess_prefix`` no archive has one. If both tables have a ``set_id``, an archive
+    expects IDs of its own set only. IDs are matched by equality with their own heads,
+    not by comparing all pairs.
     """
-    prefixes = archives.select("archive").distinct().select(
-        "archive", names.archive_prefix("archive").alias("_prefix")
-    )
-    lengths = F.sequence(F.lit(0), F.length("binding_id"))
-    heads = expected.select("binding_id").distinct().select(
-        "binding_id",
+    both = "set_id" in expected.columns and "set_id" in archives.columns
+    of_set = ["set_id"] if both else []
+    prefix = names.archive_prefix("archive") if guess_prefix else F.lit("")
+    prefixes = archives.select("archive", *of_set).distinct().withColumn("_prefix", prefix)
+    lengths = F.sequence(F.lit(0), F.length("binding_id")) if guess_prefix else F.array(F.lit(0))
+    heads = expected.select("binding_id", *of_set).distinct().withColumn(
+        "_prefix",
         F.explode(
             F.transform(lengths, lambda n: F.col("binding_id").substr(F.lit(1), n))
-        ).alias("_prefix"),
+        ),
     )
-    return heads.join(prefixes, "_prefix").select("archive", "binding_id")
+    return heads.join(prefixes, [*of_set, "_prefix"]).select("archive", "binding_id")
 
 
 def expected_counts(pairs: DataFrame) -> DataFrame:
@@ -177,13 +182,17 @@ def binding_states(classified: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def binding_faults(
-    entries: DataFrame, expected_ids: DataFrame, archives: DataFrame | None = None
+    entries: DataFrame,
+    expected_ids: DataFrame,
+    archives: DataFrame | None = None,
+    guess_prefix: bool = True,
 ) -> DataFrame:
     """Bindings that are listed but not seen, or held but not listed.
 
     ``archives`` names those to audit; without it, those that have entries.
     """
-    pairs = expected_bindings(expected_ids, entries if archives is None else archives)
+    named = entries if archives is None else archives
+    pairs = expected_bindings(expected_ids, named, guess_prefix)
     return binding_states(classified_entries(entries), pairs).where(
         (F.col("listed") != F.col("seen")) | (F.col("other") & ~F.col("listed"))
     )

@@ -72,14 +72,15 @@ def listing_counts(listings: DataFrame) -> DataFrame:
 
 
 def write_listings(listings: DataFrame, run_date: str, root: str) -> None:
-    """Write the listings of a day as text, one folder each; empty ones get none."""
+    """Write the listings of a day as text, one folder each; empty ones get none.
+
+    A repeated run replaces the day as a whole.
+    """
     (
-        listings.select(
-            F.lit(run_date).alias("run_date"), "listing", F.col("binding_id").alias("value")
-        )
+        listings.select("listing", F.col("binding_id").alias("value"))
         .hint("rebalance", "listing")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date", "listing")
-        .text(root)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("listing")
+        .text(f"{root}/run_date={run_date}")
     )

@@ -16,8 +16,17 @@ IMAGE_GROUP_IDS = ["IMGGRP", "ACIMGGRP"]
 # Faults of a file element, the most serious first.
 FAULTS = ["location_count", "missing_location", "group_attributes", "page_number"]
 
-_XML = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
-_CHILDREN = ["FLocat", "FContent", "stream", "transformFile", "file"]
+_XML = {
+    "ignoreNamespace": "true",
+    "columnNameOfCorruptRecord": "_corrupt_record",
+    "wildcardColName": "xs_any",
+}
+_CHILDREN = ["FLocat", "xs_any"]
+# The first href of each child of a file element, whatever the child's name.
+_HREFS = (
+    "/*/*[local-name()='fileSec']/*[local-name()='fileGrp']/*[local-name()='file']"
+    "/*/@*[local-name()='href'][1]"
+)
 
 
 def parse_manifests(docs: DataFrame, column: str = "xml") -> DataFrame:
@@ -27,7 +36,8 @@ def parse_manifests(docs: DataFrame, column: str = "xml") -> DataFrame:
     group. One faulty element makes the whole document fail; ``manifest_error``
     names the fault: ``malformed``, ``location_count``, ``missing_location``,
     ``group_attributes`` or ``page_number``. Everything happens inside the row,
-    so reading a manifest does not shuffle.
+    so reading a manifest does not shuffle. A document is read a second time only if
+    a file element's single child is no ``FLocat`` with an href.
     """
     keep = [c for c in docs.columns if c != column]
     parsed = computed_once(
@@ -38,7 +48,9 @@ def parse_manifests(docs: DataFrame, column: str = "xml") -> DataFrame:
         _elements(F.col("_m.fileSec.fileGrp")).alias("elements"),
         malformed.alias("malformed"),
     )
-    found = computed_once(parsed, "_e", elements).select(*keep, "_e.*")
+    found = computed_once(parsed, "_e", elements).select(*keep, column, "_e.*")
+    located = computed_once(found, "_located", _located(F.col(column)))
+    found = located.select(*keep, F.col("_located").alias("elements"), "malformed")
     error = F.when(F.col("malformed"), F.lit("malformed")).otherwise(
         _fault(F.col("elements"))
     )
@@ -74,6 +86,20 @@ def _elements(groups: Column) -> Column:
     )
 
 
+def _located(xml: Column) -> Column:
+    """Elements with the href of a single child of another name as their location."""
+    elements = F.col("elements")
+    open_ = F.exists(elements, lambda e: (e["n_children"] == 1) & e["location"].isNull())
+    # Where an href is missing or too many, places do not match, and the document fails.
+    hrefs = F.when(open_, F.xpath(xml, F.lit(_HREFS)))
+    filled = F.zip_with(
+        elements, hrefs, lambda e, h: e.withField("location", F.coalesce(e["location"], h))
+    )
+    return F.when(open_ & (F.array_size(hrefs) == F.array_size(elements)), filled).otherwise(
+        elements
+    )
+
+
 def _file_array() -> str:
     start = schemas.MANIFEST.index("file: ARRAY<") + len("file: ")
     end = schemas.MANIFEST.index(">>>, _corrupt_record")

@@ -19,18 +19,23 @@ def audit(
     base_url: str,
     staging: str,
     archives: DataFrame | None = None,
+    guess_prefix: bool = True,
 ) -> DataFrame:
     """Integrity errors of archives given as entry rows and manifest documents.
 
+    With a ``set_id`` in ``archives`` and ``expected_ids``, sets are told apart.
+
     ``entries`` should be a stored table, as they are read several times. What
     goes into several joins is written to ``staging``: the names of the archives
     and the faulty bindings, so that the planner knows that they are few, and the
     files that the manifests ask for, so that each manifest is parsed once.
     """
-    named = (entries if archives is None else archives).select("archive").distinct()
-    named = stored(named.coalesce(1), f"{staging}/archives")
+    named = entries if archives is None else archives
+    named = named.select([c for c in ("archive", "set_id") if c in named.columns]).distinct()
+    named = stored(named, f"{staging}/archives")
     faults = stored(
-        auditing.binding_faults(entries, expected_ids, named), f"{staging}/faults"
+        auditing.binding_faults(entries, expected_ids, named, guess_prefix),
+        f"{staging}/faults",
     )
     wanted = stored(auditing.expected_files(docs, base_url), f"{staging}/expected")
     return auditing.integrity_errors(entries, wanted, faults)
@@ -52,11 +57,16 @@ def audit_zips(
 def audit_archive(
     archive: DataFrame, expected_ids: DataFrame, base_url: str, staging: str
 ) -> DataFrame:
-    """Integrity errors of an archive table, each subset as one archive."""
+    """Integrity errors of an archive table, each subset as one archive.
+
+    ``expected_ids`` may have a ``set_id``, as an archive of several sets needs it.
+    """
+    name = names.target_name("set_id", "subset_id").alias("archive")
     docs = archive.where(F.col("kind") == files.METS).select(
-        names.target_name("set_id", "subset_id").alias("archive"),
+        name,
         "path",
         decoded("content", "utf-8").alias("xml"),
     )
     entries = archives.as_entries(archive)
-    return audit(entries, docs, expected_ids, base_url, staging)
+    named = archive.select(name, "set_id")
+    return audit(entries, docs, expected_ids, base_url, staging, named)

@@ -1,27 +1,35 @@
 """The published archive and its versions.
 
-Content is written once, below ``data/run_id=.../target=.../kind=...``, and never
-changed. What is published is the newest row per subset of an append-only
-pointer table, so readers see an update as a whole, and old versions stay
-readable. A version is a copy of the pointers at one time.
+The store only grows. An update writes its new content once, below
+``data/run_id=<attempt>/target=.../kind=...``, and the keys of the rows that it
+replaces or deletes below ``removed/<attempt>``; content that stays is neither read
+nor written. One append to the log ``published`` then makes both count. What is
+published are the rows of all attempts in the log without the removed ones. A version
+is the number of the last log entry of each set, so old versions stay readable.
+
+A log has one writer at a time, as the update gate of ``plans.runs`` has it.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery import schemas
 from bindery.functions import names
-from bindery.operators import merging
 from bindery.partitioning import unsorted_partition_writes
 from bindery.sources import archives
 
 COLUMNS = ["binding_id", "kind", "page_number", "path", "size", "content"]
+#: What names a row of the store.
+KEY = ["run_id", "target", "path"]
 
 
 def create_store(spark: SparkSession, root: str) -> None:
-    """Create the empty pointer and version tables of a new store."""
+    """Create the empty log and version tables of a new store."""
     for name, schema in (
         ("published", schemas.PUBLISHED),
         ("versions", schemas.VERSIONS),
@@ -38,24 +46,46 @@ def read_versions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_locations(pointers: DataFrame) -> DataFrame:
-    """Newest location of each subset; null for a subset without files."""
-    newest = F.max_by(F.struct("location"), "published_at")
+    """Location of each subset's newest entry; null if that one added no files."""
+    newest = F.max_by(F.struct("location"), "seq")
     return pointers.groupBy("set_id", "subset_id").agg(
         newest["location"].alias("location"),
         F.max("published_at").alias("published_at"),
     )
 
 
-def read_locations(spark: SparkSession, root: str, locations: DataFrame) -> DataFrame:
-    """Archive rows at the given locations, one per subset, so a short list."""
-    rows = locations.where(F.col("location").isNotNull()).select("location").collect()
-    if not rows:
-        return spark.createDataFrame([], schemas.ARCHIVE)
+def counting_entries(log: DataFrame) -> DataFrame:
+    """Log entries from the last one on that holds its whole subset."""
+    key = ["set_id", "subset_id"]
+    whole = log.where("whole").groupBy(*key).agg(F.max("seq").alias("_first"))
     return (
+        log.join(whole, key, "left")
+        .where(F.col("_first").isNull() | (F.col("seq") >= F.col("_first")))
+        .drop("_first")
+    )
+
+
+def read_entries(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
+    """Archive rows that the log entries publish.
+
+    The entries are collected: one per subset and update since the last ``compact``.
+    """
+    entries = counting_entries(log).select("location", "attempt", "whole").collect()
+    locations = sorted({e["location"] for e in entries} - {None})
+    if not locations:
+        return spark.createDataFrame([], schemas.ARCHIVE)
+    found = (
         spark.read.schema(schemas.ARCHIVE)
         .option("basePath", f"{root}/data")
-        .parquet(*[f"{root}/data/{r['location']}" for r in rows])
+        .parquet(*[f"{root}/data/{location}" for location in locations])
     )
+    attempts = sorted({e["attempt"] for e in entries if not e["whole"]})
+    if not attempts:
+        return found
+    removed = spark.read.schema(schemas.REMOVED).parquet(
+        *[f"{root}/removed/{attempt}" for attempt in attempts]
+    )
+    return found.join(removed, KEY, "left_anti").select(found.columns)
 
 
 def read_published(
@@ -65,24 +95,105 @@ def read_published(
     subset_ids: list[str] | None = None,
 ) -> DataFrame:
     """Published archive, read from the wanted subsets' folders only."""
-    locations = current_locations(read_pointers(spark, root))
+    log = read_pointers(spark, root)
     if set_id is not None:
-        locations = locations.where(F.col("set_id") == set_id)
+        log = log.where(F.col("set_id") == set_id)
     if subset_ids is not None:
-        locations = locations.where(F.col("subset_id").isin(subset_ids))
-    return read_locations(spark, root, locations)
+        log = log.where(F.col("subset_id").isin(subset_ids))
+    return read_entries(spark, root, log)
 
 
 def select_binding(
     spark: SparkSession, root: str, set_id: str, binding_id: str
 ) -> DataFrame:
     """One binding's files, read from the folders of the subsets it may be in."""
-    locations = current_locations(read_pointers(spark, root)).where(
+    log = read_pointers(spark, root).where(
         (F.col("set_id") == set_id)
         & F.lit(binding_id).startswith(F.col("subset_id"))
     )
-    found = read_locations(spark, root, locations)
-    return archives.select_files(found, binding_id=binding_id)
+    return archives.select_files(read_entries(spark, root, log), binding_id=binding_id)
+
+
+def removed_keys(held: DataFrame, new: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Keys of the rows that an update takes away.
+
+    Held rows go if a new one has their path, and all rows of a deleted binding go,
+    the new ones too: additions come first. Reads no content.
+    """
+    columns = [*KEY, "binding_id"]
+    both = held.select(*columns, F.lit(True).alias("_held")).unionByName(
+        new.select(*columns, F.lit(False).alias("_held"))
+    )
+    yes = F.lit(True)
+    again = new.select("path").distinct().withColumn("_again", yes)
+    gone = deleted.select("binding_id").distinct().withColumn("_gone", yes)
+    return (
+        both.join(again, "path", "left")
+        .join(gone, "binding_id", "left")
+        .where(F.col("_gone") | (F.col("_held") & F.col("_again")))
+        .select(KEY)
+        .distinct()
+    )
+
+
+def new_attempt(set_id: str, run_id: str) -> str:
+    """Folder name that nothing has used, whatever characters the names have."""
+    return re.sub(r"[^A-Za-z0-9._-]", "_", f"{set_id}.{run_id}") + f".{uuid.uuid4().hex}"
+
+
+def write_rows(root: str, attempt: str, set_id: str, rows: DataFrame) -> DataFrame:
+    """Write archive rows to an attempt's folder; returns them as they are there."""
+    spark = rows.sparkSession
+    path = f"{root}/data/run_id={attempt}"
+    target = names.folder_name(names.subset_name(F.lit(set_id), "subset_id"))
+    placed = (
+        rows.select("subset_id", *COLUMNS)
+        .withColumn("set_id", F.lit(set_id))
+        .withColumn("target", target)
+    )
+    with unsorted_partition_writes(spark):
+        placed.write.partitionBy("target", "kind").parquet(path)
+    return (
+        spark.read.schema(schemas.ARCHIVE).option("basePath", f"{root}/data").parquet(path)
+    )
+
+
+def append_entries(
+    root: str,
+    set_id: str,
+    run_id: str,
+    attempt: str,
+    subset_ids: list[str],
+    written: DataFrame,
+    whole: bool,
+    published_at: str | None,
+) -> None:
+    """Add an entry per subset to the log, under the next number."""
+    spark = written.sparkSession
+    log = read_pointers(spark, root)
+    number = (log.agg(F.max("seq")).first()[0] or 0) + 1
+    targets = dict(written.select("subset_id", "target").distinct().collect())
+    entries = [
+        (
+            s,
+            f"run_id={attempt}/target={targets[s]}" if s in targets else None,
+        )
+        for s in subset_ids
+    ]
+    rows = spark.createDataFrame(entries, "subset_id string, location string").select(
+        F.lit(set_id).alias("set_id"),
+        "subset_id",
+        F.lit(run_id).alias("run_id"),
+        F.lit(attempt).alias("attempt"),
+        F.lit(number).cast("bigint").alias("seq"),
+        "location",
+        F.lit(whole).alias("whole"),
+        F.lit(published_at).cast("timestamp").alias("published_at"),
+    )
+    rows.coalesce(1).write.mode("append").parquet(f"{root}/published")
+    same = read_pointers(spark, root).where(F.col("seq") == number)
+    if same.select("attempt").distinct().count() > 1:
+        raise RuntimeError(f"two updates were published at once, as number {number}")
 
 
 def apply_update(
@@ -94,68 +205,60 @@ def apply_update(
     added: DataFrame,
     deleted: DataFrame,
 ) -> None:
-    """Write and publish the new state of the subsets an update touches.
+    """Write and publish what an update adds to and takes from a set.
 
-    ``added`` are stored archive rows with ``subset_id``, ``deleted`` has
-    ``subset_id, binding_id``. Untouched subsets are neither read nor written. A
-    run that was broken off can be repeated: its folder is overwritten, and
-    nothing was published before it was complete.
+    ``added`` are archive rows with ``subset_id``, ``deleted`` has ``subset_id,
+    binding_id``. Only subsets named by either are touched. A run that was broken off
+    can be repeated: it writes to a new folder, and nothing was published. A run
+    that is in the log is refused.
     """
-    touched = added.select("subset_id").union(deleted.select("subset_id")).distinct()
+    log = read_pointers(spark, root).where(F.col("set_id") == set_id)
+    if not log.where(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run {run_id} of {set_id} is already published")
+    attempt = new_attempt(set_id, run_id)
+    new = write_rows(root, attempt, set_id, added)
+    touched = new.select("subset_id").union(deleted.select("subset_id")).distinct()
+    # One row per subset of the set's split.
     subset_ids = [r["subset_id"] for r in touched.collect()]
     if not subset_ids:
         return
-    columns = ["subset_id", *COLUMNS]
-    new = merging.apply_changes(
-        read_published(spark, root, set_id, subset_ids).select(columns),
-        added.select(columns),
-        deleted.select("binding_id"),
-        measure=True,
-    )
-    folder = f"run_id={set_id.replace(':', '_')}.{run_id}"
-    target = names.folder_name(names.subset_name(F.lit(set_id), "subset_id"))
-    path = f"{root}/data/{folder}"
-    new = new.withColumn("set_id", F.lit(set_id)).withColumn("target", target)
-    with unsorted_partition_writes(spark):
-        (
-            new.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("target", "kind")
-            .parquet(path)
-        )
-    written = (
-        spark.read.schema(schemas.ARCHIVE)
-        .option("basePath", f"{root}/data")
-        .parquet(path)
-        .select("target")
-        .distinct()
-    )
-    pointers = (
-        touched.withColumn("target", target)
-        .join(written.withColumn("_written", F.lit(True)), "target", "left")
-        .select(
-            F.lit(set_id).alias("set_id"),
-            "subset_id",
-            # A subset without any file left has no folder.
-            F.when(
-                F.col("_written"), F.concat(F.lit(f"{folder}/target="), "target")
-            ).alias("location"),
-            F.lit(published_at).cast("timestamp").alias("published_at"),
-        )
-    )
-    pointers.coalesce(1).write.mode("append").parquet(f"{root}/published")
+    held = read_entries(spark, root, log.where(F.col("subset_id").isin(subset_ids)))
+    removed_keys(held, new, deleted).write.parquet(f"{root}/removed/{attempt}")
+    append_entries(root, set_id, run_id, attempt, subset_ids, new, False, published_at)
+
+
+def compact(spark: SparkSession, root: str, set_id: str) -> None:
+    """Write what is published of a set anew, without removed rows, as one attempt.
+
+    For a set with many updates. Published rows stay the same, and so do versions:
+    no older folder is deleted.
+    """
+    log = read_pointers(spark, root).where(F.col("set_id") == set_id)
+    subset_ids = [r["subset_id"] for r in log.select("subset_id").distinct().collect()]
+    if not subset_ids:
+        return
+    attempt = new_attempt(set_id, "whole")
+    rows = write_rows(root, attempt, set_id, read_entries(spark, root, log))
+    append_entries(root, set_id, attempt, attempt, subset_ids, rows, True, None)
 
 
 def create_version(
     spark: SparkSession, root: str, version_id: str, created_at: str
 ) -> None:
-    """Record the published state as a version."""
-    rows = current_locations(read_pointers(spark, root)).select(
-        F.lit(version_id).alias("version_id"),
-        F.lit(created_at).cast("timestamp").alias("created_at"),
-        "set_id",
-        "subset_id",
-        "location",
+    """Record the published state as a version; a known version is refused."""
+    known = read_versions(spark, root).where(F.col("version_id") == version_id)
+    if not known.isEmpty():
+        raise ValueError(f"version {version_id} is already there")
+    rows = (
+        read_pointers(spark, root)
+        .groupBy("set_id")
+        .agg(F.max("seq").alias("seq"))
+        .select(
+            F.lit(version_id).alias("version_id"),
+            F.lit(created_at).cast("timestamp").alias("created_at"),
+            "set_id",
+            "seq",
+        )
     )
     rows.coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
@@ -205,7 +308,9 @@ def read_version(
     wanted = versions.where(F.col("version_id") == version_id)
     if wanted.isEmpty():
         raise LookupError(f"no version {version_id}")
-    return archives.matching(read_locations(spark, root, wanted), include, exclude)
+    last = wanted.select("set_id", F.col("seq").alias("_last"))
+    log = read_pointers(spark, root).join(last, "set_id").where("seq <= _last").drop("_last")
+    return archives.matching(read_entries(spark, root, log), include, exclude)
 
 
 def version_ids(log: DataFrame, column: str = "line") -> DataFrame:

@@ -25,15 +25,14 @@ LISTING_PAGE = (
     "ListSets STRUCT<set: ARRAY<STRUCT<setSpec: STRING, setName: STRING>>>"
 )
 
-# Every element the manifest format allows below <file> is listed, so that the
+# ``xs_any`` takes every other child of <file>, whatever its name, so that the
 # exactly-one-child rule can count them all. The corrupt-record field is last:
 # a leading one shifts the parsed fields.
 MANIFEST = (
     "fileSec STRUCT<fileGrp: ARRAY<STRUCT<_ID: STRING, _USE: STRING, "
     "file: ARRAY<STRUCT<_SEQ: STRING, _GROUPID: STRING, "
     "FLocat: ARRAY<STRUCT<_LOCTYPE: STRING, _href: STRING>>, "
-    "FContent: ARRAY<STRING>, stream: ARRAY<STRING>, "
-    "transformFile: ARRAY<STRING>, file: ARRAY<STRING>>>>>>, "
+    "xs_any: ARRAY<STRING>>>>>>, "
     "_corrupt_record STRING"
 )
 
@@ -50,12 +49,11 @@ ENTRIES = (
     "method INT, packed_size BIGINT, header_offset BIGINT"
 )
 PUBLISHED = (
-    "set_id STRING, subset_id STRING, location STRING, published_at TIMESTAMP"
-)
-VERSIONS = (
-    "version_id STRING, created_at TIMESTAMP, set_id STRING, subset_id STRING, "
-    "location STRING"
+    "set_id STRING, subset_id STRING, run_id STRING, attempt STRING, seq BIGINT, "
+    "location STRING, whole BOOLEAN, published_at TIMESTAMP"
 )
+REMOVED = "run_id STRING, target STRING, path STRING"
+VERSIONS = "version_id STRING, created_at TIMESTAMP, set_id STRING, seq BIGINT"
 # ``run_id``, ``target`` and ``kind`` are folders; the others are in the files.
 ARCHIVE = (
     "set_id STRING, subset_id STRING, binding_id STRING, page_number INT, "

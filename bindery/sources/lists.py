@@ -7,6 +7,7 @@ the latest list, so the table form keeps one marker row per written list.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -160,14 +161,18 @@ def split_table(spark: SparkSession, set_id: str, prefixes: list[str]) -> DataFr
     return spark.createDataFrame(rows, schemas.SUBSET_SPLIT)
 
 
+def split_folder(root: str, set_id: str) -> str:
+    """Folder of a set's split; other set IDs have other folders."""
+    name = re.sub(r"[^A-Za-z0-9.-]", lambda found: f"_{ord(found[0]):x}_", set_id)
+    return f"{root}/{name}_subsets"
+
+
 def save_subset_split(split: DataFrame, root: str, set_id: str) -> None:
     """Write a set's split once; an existing one is left as it is."""
     split.select("set_id", "priority", "prefix").write.mode("ignore").parquet(
-        f"{root}/{set_id.replace(':', '_')}_subsets"
+        split_folder(root, set_id)
     )
 
 
 def read_subset_split(spark: SparkSession, root: str, set_id: str) -> DataFrame:
-    return spark.read.schema(schemas.SUBSET_SPLIT).parquet(
-        f"{root}/{set_id.replace(':', '_')}_subsets"
-    )
+    return spark.read.schema(schemas.SUBSET_SPLIT).parquet(split_folder(root, set_id))

@@ -229,14 +229,20 @@ def test_update_cycle(spark, tmp_path, mirror, set_id):
     publication.create_version(spark, root, "bbbbbbbb", "2024-03-01 12:00:00")
     assert marker() == "bbbbbbbb"
 
-    # The untouched subset still points to the first run.
-    where = rows(publication.current_locations(publication.read_pointers(spark, root)).select("subset_id", "location"))
+    # The untouched subset still points to the first run; the last one got no files.
+    newest = publication.current_locations(publication.read_pointers(spark, root))
+    attempt = F.regexp_replace("location", r"\.[0-9a-f]{32}/", "/")
+    where = rows(newest.select("subset_id", attempt))
     folder = set_id.replace(":", "_")
     assert where == [
         ("", f"run_id={folder}.r1/target={folder}"),
         ("1", f"run_id={folder}.r2/target={folder}_1"),
         ("2", None),
     ]
+    # Compaction changes nothing that is published.
+    publication.compact(spark, root, set_id)
+    assert held() == [("12",), ("31",)]
+    assert marker() == "bbbbbbbb"
     versions = publication.read_versions(spark, root)
     assert [r[0] for r in rows(publication.list_versions(versions))] == ["aaaaaaaa", "bbbbbbbb"]
 
@@ -272,6 +278,70 @@ def test_update_cycle(spark, tmp_path, mirror, set_id):
     ]
 
 
+def archive_rows(spark, *paths):
+    """Manifests of bindings of subset 1, with their path as content."""
+    found = [("1", p.split("/")[0], "mets", None, p, 1, p.encode()) for p in paths]
+    return spark.createDataFrame(
+        found,
+        "subset_id string, binding_id string, kind string, page_number int, path string, "
+        "size bigint, content binary",
+    )
+
+
+def store_of(spark, tmp_path):
+    """Empty store, a function that publishes paths, and one that reads them."""
+    root = str(tmp_path / "store")
+    publication.create_store(spark, root)
+
+    def add(set_id, run, *paths, gone=()):
+        deleted = spark.createDataFrame([("1", g) for g in gone], "subset_id string, binding_id string")
+        publication.apply_update(spark, root, set_id, run, "2024-01-31", archive_rows(spark, *paths), deleted)
+
+    def held(**kwargs):
+        return rows(publication.read_published(spark, root, **kwargs).select("set_id", "path"))
+
+    return root, add, held
+
+
+def test_a_published_run_is_refused(spark, tmp_path):
+    root, add, held = store_of(spark, tmp_path)
+    add("s", "r1", "11/a", "12/a")
+    publication.create_version(spark, root, "v1", "2024-01-31")
+    for _ in range(2):
+        with pytest.raises(ValueError, match="already published"):
+            add("s", "r1", "13/a")
+    with pytest.raises(ValueError, match="already there"):
+        publication.create_version(spark, root, "v1", "2024-02-01")
+    assert held() == [("s", "11/a"), ("s", "12/a")]
+    assert publication.read_version(spark, root, "v1").count() == 2
+    # Another set may have a run of that name.
+    add("t", "r1", "11/a")
+    assert held(set_id="t") == [("t", "11/a")]
+
+
+def test_updates_of_one_day(spark, tmp_path):
+    root, add, held = store_of(spark, tmp_path)
+    for run, path in (("r1", "11/a"), ("r2", "12/a"), ("r3", "13/a")):
+        add("s", run, path)
+        publication.create_version(spark, root, run, "2024-01-31")
+    assert held() == [("s", "11/a"), ("s", "12/a"), ("s", "13/a")]
+    # A replaced row, a deleted binding, and one that comes back after it was deleted.
+    add("s", "r4", "11/a", "11/b", gone=["12"])
+    add("s", "r5", "12/a")
+    publication.compact(spark, root, "s")
+    add("s", "r6", gone=["13"])
+    assert held() == [("s", "11/a"), ("s", "11/b"), ("s", "12/a")]
+    assert publication.read_version(spark, root, "r2").count() == 2
+    assert publication.read_version(spark, root, "r3").count() == 3
+
+
+def test_sets_of_alike_names(spark, tmp_path):
+    _, add, held = store_of(spark, tmp_path)
+    add("a:b", "r1", "11/a")
+    add("a_b", "r1", "12/a")
+    assert held() == [("a:b", "11/a"), ("a_b", "12/a")]
+
+
 def test_version_ids_of_a_log(spark):
     log = spark.createDataFrame([("start",), ("snapshot 2f8df9e7 saved",)], "line string")
     assert rows(publication.version_ids(log)) == [("2f8df9e7",)]

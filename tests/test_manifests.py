@@ -98,6 +98,34 @@ def test_faults(spark):
         page_files(spark, made[0]).collect()
 
 
+def test_children_of_any_name_count(spark):
+    def one(*children):
+        inner = "".join(f"<file SEQ='1'>{c}</file>" for c in children)
+        return (
+            '<mets xmlns:x="urn:x"><fileSec><fileGrp ID="IMGGRP" USE="Images">'
+            f"{inner}</fileGrp></fileSec></mets>"
+        )
+
+    where = '<FLocat x:href="a.jp2"/>'
+    texts = [
+        one(where + "<x:other/>"),
+        one(where + "<note>n</note>"),
+        one('<x:place x:href="b.tif"/>'),
+        one('<place href="b.tif"><deep href="c.tif"/></place>', where),
+        one('<place href="b.tif"/>', "<place/>"),
+        one("<!-- none -->" + where),
+    ]
+    parsed = manifests.parse_manifests(docs(spark, *texts))
+    found = {int(r["binding_id"]): r["manifest_error"] for r in parsed.collect()}
+    assert [found[i] for i in range(6)] == [
+        "location_count", "location_count", None, None, "missing_location", None,
+    ]
+    kept = manifests.manifest_elements(parsed.where("manifest_error IS NULL"))
+    assert rows(kept.select("binding_id", "position", "location")) == [
+        ("2", 0, "b.tif"), ("3", 0, "b.tif"), ("3", 1, "a.jp2"), ("5", 0, "a.jp2"),
+    ]
+
+
 def test_nested_groups_are_not_read(spark):
     inner = '<fileGrp ID="IMGGRP" USE="Images"><file SEQ="1"><FLocat href="a.jp2"/></file></fileGrp>'
     nested = f'<mets><fileSec><fileGrp ID="O" USE="P">{inner}</fileGrp></fileSec></mets>'

@@ -232,6 +232,23 @@ def test_archives_without_prefix_expect_everything(spark):
     ]
 
 
+def test_audit_of_several_sets(spark):
+    archives = spark.createDataFrame(
+        [("a_13.zip", "a"), ("b_13.zip", "b"), ("b.zip", "b")], "archive string, set_id string"
+    )
+    expected = spark.createDataFrame(
+        [("131", "a"), ("132", "b"), ("21", "b")], "binding_id string, set_id string"
+    )
+    assert rows(auditing.expected_bindings(expected, archives)) == [
+        ("a_13.zip", "131"), ("b.zip", "132"), ("b.zip", "21"), ("b_13.zip", "132"),
+    ]
+    whole = auditing.expected_bindings(expected, archives, guess_prefix=False)
+    assert ("b_13.zip", "21") in rows(whole) and whole.count() == 5
+    held = [("a_13.zip", "1/131/131/mets/131_METS.xml"), ("b_13.zip", "1/132/132/mets/132_METS.xml")]
+    entries = spark.createDataFrame([(*e, False) for e in held], "archive string, path string, is_dir boolean")
+    assert auditing.binding_faults(entries, expected, archives.where("archive <> 'b.zip'")).count() == 0
+
+
 def test_change_listings(spark):
     wanted = spark.createDataFrame(
         [("added", "1"), ("added", "1"), ("added", "2"), ("deleted", "3"), ("deleted", "4"),

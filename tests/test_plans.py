@@ -14,6 +14,7 @@ from bindery.operators import (
     outcomes,
     routing,
 )
+from bindery.plans import publication
 from bindery.sources import archives, lists
 
 
@@ -75,6 +76,14 @@ def test_small_updates_do_not_shuffle_content(spark, tmp_path):
     assert all("content" not in line for line in plan.splitlines() if "Exchange hash" in line)
 
 
+def test_updates_do_not_read_held_content(spark, tmp_path):
+    held = archive(spark, tmp_path)
+    deleted = spark.createDataFrame([("1", "9")], "subset_id string, binding_id string")
+    found = physical(publication.removed_keys(held, held, deleted))
+    schemas_read = re.findall(r"ReadSchema: struct<([^>]*)", found)
+    assert schemas_read and not any("content" in s for s in schemas_read)
+
+
 def test_queries_on_names_do_not_read_content(spark, tmp_path):
     held = archive(spark, tmp_path)
     for found in (

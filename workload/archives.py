@@ -354,12 +354,67 @@ def _(t: Tables):
     return changes.listing_counts(changes.change_listings(wanted, present))
 
 
+@query(
+    "published_at_one_time",
+    f"""WITH {STORED_SQL} SELECT subset_id, binding_id, path FROM stored""",
+)
+def _(t: Tables):
+    """Three updates of one day, the last one sent twice, and a compaction."""
+    root = t.scratch("store")
+    rows = archive_of_manifests(t)
+    none = routed(t).select("subset_id", "binding_id").limit(0)
+    publication.create_store(t.spark, root)
+    for status in ("F", "O", "P", "P"):
+        try:
+            publication.apply_update(
+                t.spark, root, "all", status, "2024-01-31",
+                rows.where(F.col("o_orderstatus") == status), none,
+            )
+        except ValueError:
+            publication.compact(t.spark, root, "all")
+    found = publication.read_published(t.spark, root)
+    return found.select("subset_id", "binding_id", "path")
+
+
+@query(
+    "sets_of_alike_names",
+    f"""WITH {STORED_SQL}
+        SELECT CASE o_orderstatus WHEN 'O' THEN 'a:b' ELSE 'a_b' END AS set_id,
+               subset_id, binding_id
+        FROM stored WHERE o_orderstatus <> 'P'""",
+)
+def _(t: Tables):
+    root = t.scratch("store")
+    rows = archive_of_manifests(t)
+    none = routed(t).select("subset_id", "binding_id").limit(0)
+    publication.create_store(t.spark, root)
+    for set_id, status in (("a:b", "O"), ("a_b", "F")):
+        publication.apply_update(
+            t.spark, root, set_id, "first", "2024-01-31",
+            rows.where(F.col("o_orderstatus") == status), none,
+        )
+    found = publication.read_published(t.spark, root)
+    return found.select("set_id", "subset_id", "binding_id")
+
+
+@query(
+    "published_subset",
+    f"""WITH {STORED_SQL} SELECT binding_id, path
+        FROM stored WHERE o_orderstatus <> 'F' AND subset_id = '12'""",
+)
+def _(t: Tables):
+    """One subset of the published archive, whatever it holds."""
+    found = publication.read_published(t.spark, published_store(t), "all", ["12"])
+    return found.select("binding_id", "path")
+
+
 def pointer_history(t: Tables):
     """Purchases as publications of a user's subset, sign-ups as versions."""
     pointers = t.events.where("event_type = 'purchase'").select(
         F.lit("all").alias("set_id"),
         F.col("user_id").cast("string").alias("subset_id"),
         F.format_string("run_id=%d", "event_id").alias("location"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("seq"),
         F.col("ts").alias("published_at"),
     )
     versions = t.events.where("event_type = 'signup'").select(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindery.scratch import new_folder
+
 BASE = "https://library.example/item/"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,24 +68,16 @@ class Tables:
         )
 
     def spread(self, rows: DataFrame, key: str) -> DataFrame:
-        """Rows over all cores, where a scan has fewer parts than there are cores.
+        """Rows over all cores.
 
         For rows that are turned into documents: parsing them costs far more than
-        moving a few columns. A large table has enough parts and is left alone.
+        moving a few columns.
         """
-        cores = self.spark.sparkContext.defaultParallelism
-        if rows.rdd.getNumPartitions() >= cores:
-            return rows
-        return rows.repartition(cores, key)
+        return rows.repartition(self.spark.sparkContext.defaultParallelism, key)
 
     def scratch(self, name: str) -> str:
         """New folder in the shared scratch space that the cluster names."""
-        root = self.spark.conf.get("spark.checkpoint.dir", None)
-        if root is None:
-            if not self.spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-            root = tempfile.mkdtemp()
-        return f"{root}/{name}-{uuid.uuid4().hex}"
+        return new_folder(self.spark, name)
 
 
 def query(name: str, sql: str | None = None):

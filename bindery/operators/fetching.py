@@ -13,7 +13,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,13 +137,49 @@ def _with_results(batch: pd.DataFrame, start: int, results: list[tuple]) -> pd.D
     )
 
 
-def write_fetched(fetched: DataFrame, path: str) -> DataFrame:
+def from_responses(plan: DataFrame, responses: DataFrame) -> DataFrame:
+    """Results as those of ``fetch``, from landed responses.
+
+    ``responses`` has ``url, status, content``, one row per URL, and is matched by
+    equality. A URL without a row had no response. A path that is planned again
+    counts as skipped when it did arrive.
+    """
+    keys = [c for c in ("subset_id", "path") if c in plan.columns]
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("position"))
+    landed = responses.select(
+        F.col("url").alias("_url"),
+        F.col("status").cast("int").alias("_status"),
+        F.col("content").alias("_content"),
+    )
+    got = plan.withColumn("_number", number).join(
+        landed, F.col("download_url") == F.col("_url"), "left"
+    )
+    arrived = F.coalesce(F.col("_status") < 400, F.lit(False))
+    skipped = arrived & (F.col("_number") > 1)
+    new = arrived & ~skipped
+    return got.select(
+        *plan.columns,
+        F.when(~skipped, F.col("_status")).alias("status"),
+        F.when(F.col("_url").isNull(), F.lit("no response")).alias("error"),
+        F.when(new, F.octet_length("_content").cast("bigint")).alias("n_bytes"),
+        F.when(new, F.col("_content")).alias("content"),
+        skipped.alias("skipped"),
+    )
+
+
+# Images are compressed already.
+CODECS = {files.ACCESS_IMAGE: "uncompressed"}
+
+
+def write_fetched(fetched: DataFrame, path: str, kind: str | None = None) -> DataFrame:
     """Write fetch results, and return them as read back.
 
-    There are no partition folders: writing those would sort the content of each
-    task. Rows are in path order, which lets row groups be skipped instead.
+    Files of one ``kind`` get the compression that suits it. There are no partition
+    folders: writing those would sort the content of each task. Rows are in path
+    order, which lets row groups be skipped instead.
     """
-    fetched.write.mode("errorifexists").parquet(path)
+    codec = CODECS.get(kind, "zstd")
+    fetched.write.mode("errorifexists").option("compression", codec).parquet(path)
     return fetched.sparkSession.read.schema(fetched.schema).parquet(path)
 
 
@@ -178,3 +214,14 @@ def direct_downloads(page_files: DataFrame, base_path: str | None = None) -> Dat
     return located.withColumn(
         "message", F.when(F.col("output_path").isNull(), message)
     )
+
+
+def direct_contents(located: DataFrame, responses: DataFrame) -> DataFrame:
+    """Direct downloads with the ``status`` and ``content`` of their landed response.
+
+    ``responses`` are those of ``from_responses``. Files without an output path are
+    not downloaded.
+    """
+    landed = responses.select(F.col("url").alias("_url"), "status", "content")
+    wanted = F.col("output_path").isNotNull() & (F.col("download_url") == F.col("_url"))
+    return located.join(landed, wanted, "left").drop("_url")

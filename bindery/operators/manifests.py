@@ -214,8 +214,12 @@ def files_of_kind(page_files: DataFrame, kind: str) -> DataFrame:
 
 
 def in_manifest_order(page_files: DataFrame) -> DataFrame:
-    """Sorted by binding, images before ALTO files, in document order."""
-    return page_files.orderBy("binding_id", "position")
+    """Images before ALTO files, in document order.
+
+    A document's files come from one row, so they are sorted where they are;
+    there is no order between documents.
+    """
+    return page_files.sortWithinPartitions("binding_id", "position")
 
 
 def download_urls(page_files: DataFrame) -> DataFrame:

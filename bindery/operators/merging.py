@@ -7,12 +7,13 @@ the join is an ordinary shuffle join, which AQE splits on skew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions import ids
 from bindery.partitioning import broadcast_if_small
 
+
 def upsert(
     old: DataFrame, new: DataFrame, key: str = "path", measure: bool = False
 ) -> DataFrame:
@@ -61,32 +62,59 @@ def delete_entries(entries: DataFrame, deleted: DataFrame) -> DataFrame:
 
 
 def empty_directories(entries: DataFrame) -> DataFrame:
-    """Directory entries without any file below them.
+    """Directory entries without any file below them, each once.
 
-    Files are reduced to their distinct directories, these to their distinct
-    ancestors, and the directories are matched by equality.
+    One pass: listed directories and the directories above files are marks of
+    their paths, which are combined before the only shuffle.
     """
     path = F.col("path")
-    name = F.substring_index(path, "/", -1)
-    parents = (
-        entries.where(~path.endswith("/") & F.contains(path, F.lit("/")))
-        .select(
-            path.substr(F.lit(1), F.length(path) - F.length(name)).alias("_parent")
-        )
-        .distinct()
+    listed = F.array(
+        F.struct(path.alias("path"), F.lit(True).alias("listed"), F.lit(False).alias("above"))
+    )
+    above = F.transform(
+        ids.ancestors(_parent(path)),
+        lambda p: F.struct(p.alias("path"), F.lit(False).alias("listed"), F.lit(True).alias("above")),
     )
-    above = parents.select(F.explode(ids.ancestors("_parent")).alias("path")).distinct()
+    marks = F.when(path.endswith("/"), listed).when(F.contains(path, F.lit("/")), above)
     return (
-        entries.where(F.col("path").endswith("/"))
+        entries.select(F.inline(marks))
+        .groupBy("path")
+        .agg(F.bool_or("listed").alias("listed"), F.bool_or("above").alias("above"))
+        .where("listed AND NOT above")
         .select("path")
-        .join(above, "path", "left_anti")
     )
 
 
+def _parent(path: Column) -> Column:
+    """Directory of a file, with its slash."""
+    name = F.substring_index(path, "/", -1)
+    return path.substr(F.lit(1), F.length(path) - F.length(name))
+
+
 def deepest_first(directories: DataFrame) -> DataFrame:
     """Reverse lexical order: a directory comes after those below it."""
     return directories.orderBy(F.desc("path"))
 
 
 def prune_empty_directories(entries: DataFrame) -> DataFrame:
-    return entries.join(empty_directories(entries), "path", "left_anti")
+    """Entries without the empty directories, in one pass and one shuffle.
+
+    Entries are grouped by path together with marks of the directories above files.
+    A group holds the entries of one path, which are as many as its repetitions.
+    """
+    path = F.col("path")
+    row = F.struct(*entries.columns)
+    none = F.lit(None).cast(entries.schema)
+    own = F.array(F.struct(path.alias("_path"), row.alias("_row"), F.lit(False).alias("_above")))
+    above = F.transform(
+        ids.ancestors(_parent(path)),
+        lambda p: F.struct(p.alias("_path"), none.alias("_row"), F.lit(True).alias("_above")),
+    )
+    is_file = ~path.endswith("/") & F.contains(path, F.lit("/"))
+    grouped = (
+        entries.select(F.inline(F.when(is_file, F.concat(own, above)).otherwise(own)))
+        .groupBy("_path")
+        .agg(F.collect_list("_row").alias("_rows"), F.bool_or("_above").alias("_above"))
+    )
+    kept = grouped.where(~F.col("_path").endswith("/") | F.col("_above"))
+    return kept.select(F.inline("_rows"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 FILES_PER_TASK = 2_000
+#: Partitions of one shuffle that a driver can still track.
+MAX_FETCH_TASKS = 20_000
 OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
@@ -20,8 +22,11 @@ def spread(rows: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
 
 
 def fetch_tasks(plan: DataFrame) -> int:
-    """Number of tasks for a fetch, from the number of planned files."""
-    return max(1, -(-plan.count() // FILES_PER_TASK))
+    """Number of tasks for a fetch, from the number of planned files.
+
+    Beyond ``MAX_FETCH_TASKS`` a task fetches more files; it holds one batch at a time.
+    """
+    return max(1, min(MAX_FETCH_TASKS, -(-plan.count() // FILES_PER_TASK)))
 
 
 def broadcast_if_small(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The integrity audit as a job, on zip archives or on the published table."""
+"""The integrity audit as a job, on entry rows or on the published table."""
 
 from __future__ import annotations
 
@@ -41,19 +41,6 @@ def audit(
     return auditing.integrity_errors(entries, wanted, faults)
 
 
-def audit_zips(
-    paths: DataFrame, expected_ids: DataFrame, base_url: str, staging: str
-) -> DataFrame:
-    """Integrity errors of the zip files named in ``paths.archive``."""
-    entries = stored(archives.read_entries(paths), f"{staging}/entries")
-    path = F.col("path")
-    of_mets = entries.where(path.endswith("_METS.xml") & path.like("%/%/%"))
-    docs = archives.read_members(of_mets).select(
-        "archive", "path", decoded("content", "utf-8").alias("xml")
-    )
-    return audit(entries, docs, expected_ids, base_url, staging, paths)
-
-
 def audit_archive(
     archive: DataFrame, expected_ids: DataFrame, base_url: str, staging: str
 ) -> DataFrame:

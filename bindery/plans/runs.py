@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.ids import col
+from bindery.partitioning import broadcast_if_small
 
 
 def last_successful_runs(runs: DataFrame) -> DataFrame:
@@ -40,8 +41,10 @@ def since_last_run(
 ) -> DataFrame:
     """Rows at or after the day of their set's last run; all rows of new sets."""
     start = F.col("last_run").cast("timestamp")
+    # One row per set, while one set may hold nearly all rows.
+    days = broadcast_if_small(last_runs.select("set_id", "last_run"))
     return (
-        rows.join(last_runs.select("set_id", "last_run"), "set_id", "left")
+        rows.join(days, "set_id", "left")
         .where(F.col("last_run").isNull() | (F.col(datestamp) >= start))
         .drop("last_run")
     )

@@ -1,139 +1,24 @@
-"""Archives: zip files as entry rows, and selections from the archive table."""
+"""Entry rows of archives, and selections from the archive table."""
 
 from __future__ import annotations
 
-import struct
-import zlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery import schemas
 from bindery.functions import files, ids, names
-from bindery.partitioning import spread
-
-ROWS_PER_BATCH = 10_000
-
-# Record signatures and field layouts of the public zip format.
-_END = b"PK\x05\x06"
-_END64_LOCATOR = b"PK\x06\x07"
-_DIRECTORY_RECORD = "<4s6H3I5H2I"
-_ZIP64_ID = 1
-_TOO_BIG = 0xFFFFFFFF
 
 
-def read_entries(archives: DataFrame, column: str = "archive") -> DataFrame:
-    """Entry rows of the zip files named in a column.
-
-    Only the directory at the end of each file is read, as a stream, so memory
-    does not grow with the number of entries. Paths must be readable by all
-    executors; the files are spread over the tasks.
-    """
-    paths = archives.select(F.col(column).alias("archive")).distinct()
-    return spread(paths, None, "archive").mapInPandas(_entry_batches, schemas.ENTRIES)
-
-
-def _entry_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [c.split()[0] for c in schemas.ENTRIES.split(", ")]
-    rows = []
-    for batch in batches:
-        for archive in batch["archive"]:
-            with open(archive, "rb") as f:
-                for entry in _directory(f):
-                    rows.append((archive, *entry))
-                    if len(rows) >= ROWS_PER_BATCH:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=columns)
-
-
-def _directory_bounds(f) -> tuple[int, int]:
-    """Position and length of the directory."""
-    size = f.seek(0, 2)
-    tail_start = max(0, size - 65557)
-    f.seek(tail_start)
-    tail = f.read()
-    at = tail.rfind(_END)
-    if at < 0:
-        raise ValueError(f"{f.name} is not a zip file")
-    length, start = struct.unpack_from("<2I", tail, at + 12)
-    if at >= 20 and tail[at - 20 : at - 16] == _END64_LOCATOR:
-        f.seek(struct.unpack_from("<Q", tail, at - 12)[0])
-        length, start = struct.unpack_from("<2Q", f.read(56), 40)
-    return start, length
-
-
-def _directory(f) -> Iterator[tuple]:
-    record_size = struct.calcsize(_DIRECTORY_RECORD)
-    start, length = _directory_bounds(f)
-    f.seek(start)
-    end = start + length
-    at = start
-    while at < end:
-        fixed = struct.unpack(_DIRECTORY_RECORD, f.read(record_size))
-        flags, method = fixed[3], fixed[4]
-        packed, size = fixed[8], fixed[9]
-        n_name, n_extra, n_comment = fixed[10:13]
-        offset = fixed[16]
-        name = f.read(n_name).decode("utf-8" if flags & 0x800 else "cp437")
-        extra = f.read(n_extra)
-        f.read(n_comment)
-        at += record_size + n_name + n_extra + n_comment
-        size, packed, offset = _wide(extra, size, packed, offset)
-        yield name, name.endswith("/"), size, method, packed, offset
-
-
-def _wide(extra: bytes, *values: int) -> list[int]:
-    """Replace values too big for their field by those of the 64-bit extra field."""
-    at = 0
-    while at + 4 <= len(extra):
-        kind, length = struct.unpack_from("<2H", extra, at)
-        if kind == _ZIP64_ID:
-            wide = iter(struct.unpack_from(f"<{length // 8}Q", extra, at + 4))
-            return [next(wide) if v == _TOO_BIG else v for v in values]
-        at += 4 + length
-    return list(values)
-
-
-def read_members(entries: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Content of the given entries.
-
-    Each row carries its offset, so the entries of one archive are spread over
-    many tasks instead of being read by one.
-    """
-    wanted = entries.where(~F.col("is_dir")).select(
-        "archive", "path", "method", "packed_size", "header_offset"
-    )
-    return spread(wanted, partitions, "archive", "header_offset").mapInPandas(
-        _member_batches, "archive STRING, path STRING, content BINARY"
+def with_directories(entries: DataFrame) -> DataFrame:
+    """Entry rows of files, and a row for each directory that holds one of them."""
+    path = F.col("path")
+    name = F.substring_index(path, "/", -1)
+    directories = (
+        entries.where(F.contains(path, F.lit("/")))
+        .select("archive", path.substr(F.lit(1), F.length(path) - F.length(name)).alias("path"))
+        .distinct()
+        .select("archive", "path", F.lit(True).alias("is_dir"), F.lit(0).cast("bigint").alias("size"))
     )
-
-
-def _member_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for archive, part in batch.groupby("archive", sort=False):
-            with open(archive, "rb") as f:
-                for row in part.itertuples():
-                    content = _member(f, row.header_offset, row.packed_size, row.method)
-                    yield pd.DataFrame(
-                        {"archive": [archive], "path": [row.path], "content": [content]}
-                    )
-
-
-def _member(f, offset: int, packed_size: int, method: int) -> bytes:
-    f.seek(offset)
-    header = f.read(30)
-    n_name, n_extra = struct.unpack_from("<2H", header, 26)
-    f.seek(n_name + n_extra, 1)
-    packed = f.read(packed_size)
-    if method == 0:
-        return packed
-    if method == 8:
-        return zlib.decompress(packed, -15)
-    raise ValueError(f"compression method {method} in {f.name}")
+    return entries.select("archive", "path", "is_dir", "size").unionByName(directories)
 
 
 def mets_ids(entries: DataFrame) -> DataFrame:

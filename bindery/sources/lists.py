@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import re
 import uuid
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery import schemas
 from bindery.functions import ids, names
+from bindery.partitioning import broadcast_if_small
 
 
 def write_binding_lists(
@@ -91,27 +94,33 @@ def latest_lists(lists: DataFrame, markers: DataFrame) -> DataFrame:
     keys = ["set_id", "kind", "list_date"]
     if "run_id" in markers.columns and "run_id" in lists.columns:
         keys.append("run_id")
-    return lists.join(newest, keys, "left_semi")
+    # One row per set and kind.
+    return lists.join(broadcast_if_small(newest.select(keys)), keys, "left_semi")
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Names, prefixes and days of the text list files of one set's folder.
+    """Names, prefixes and days of the text lists of one set's folder.
 
-    Spark's file sources pass over empty files, and an empty list does count, so
-    the folder is listed through the Hadoop file system. It has two files a month.
+    A list is a file or a folder of part files. Reading passes over empty files, and
+    an empty list does count, so the names are those of the input files. There are
+    two lists a month. A name that does not end in a date is an error.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        raise FileNotFoundError(f"no binding list in {folder}")
-    rows = [(s.getPath().getName(),) for s in fs.listStatus(path)]
+    try:
+        text = spark.read.option("recursiveFileLookup", "true").text(folder)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no binding list in {folder}") from missing
+    inside = f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/"
+    found = {unquote(f).rpartition(inside)[2].split("/")[0] for f in text.inputFiles()}
+    undated = F.raise_error(F.concat(F.lit("no date in the name of the list "), "name"))
     return (
-        spark.createDataFrame(rows, "name STRING")
+        spark.createDataFrame([(name,) for name in sorted(found)], "name STRING")
         .where(~F.col("name").endswith(".swp"))
         .select(
             "name",
             F.regexp_extract("name", r"^(.*)_[^_]*$", 1).alias("file_prefix"),
-            names.list_date("name").alias("list_date"),
+            F.coalesce(names.list_date("name"), undated).alias("list_date"),
         )
     )
 

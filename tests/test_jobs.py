@@ -1,5 +1,4 @@
-import zipfile
-
+import pyarrow.parquet as pq
 import pytest
 from conftest import BASE, image_group, manifest, rows
 from pyspark.sql import functions as F
@@ -347,17 +346,27 @@ def test_version_ids_of_a_log(spark):
     assert rows(publication.version_ids(log)) == [("2f8df9e7",)]
 
 
-def test_zip_audit(spark, tmp_path):
-    path = str(tmp_path / "set_1.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("./1/12/12/mets/12_METS.xml", manifest([image_group(2)]))
-        for i in (1, 2):
-            z.writestr(f"./1/12/12/alto/0000{i}.xml", CONTENT)
-        z.writestr("./1/12/12/access_img/pr-00001.jp2", b"x")
-    ids = spark.createDataFrame([("12",), ("21",)], "binding_id string")
-    paths = spark.createDataFrame([(path,)], "archive string")
-    errors = auditing.audit_zips(paths, ids, BASE, str(tmp_path / "staging"))
-    assert rows(errors) == [(path, "12", "missing_image", "00002.jp2")]
+def test_landed_responses_are_those_of_a_fetch(spark, tmp_path):
+    plan = spark.createDataFrame(
+        [("p1", "u1", 0), ("p1", "u1", 1), ("p2", "u2", 0), ("p2", "u2", 1), ("p3", "u3", 0), ("p4", None, 0)],
+        "path string, download_url string, position int",
+    )
+    answers = {"u1": (200, b"x"), "u2": (404, b""), "u9": (200, b"y")}
+    responses = spark.createDataFrame(
+        [(u, *a) for u, a in answers.items()], "url string, status int, content binary"
+    )
+    columns = ["path", "position", "status", "n_bytes", "content", "skipped"]
+    found = rows(fetching.from_responses(plan, responses).select(columns))
+    assert found == rows(fetching.fetch(plan, answers.__getitem__, 1).select(columns))
+
+
+@pytest.mark.parametrize(("kind", "codec"), [("access_img", "UNCOMPRESSED"), ("alto", "ZSTD")])
+def test_each_kind_has_its_compression(spark, tmp_path, kind, codec):
+    path = str(tmp_path / kind)
+    fetching.write_fetched(spark.range(9).withColumn("content", F.lit(b"abc")), path, kind)
+    for file in (tmp_path / kind).glob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        assert {group.column(i).compression for i in range(2)} == {codec}
 
 
 def landed(folder, name, *headers):

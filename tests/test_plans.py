@@ -14,7 +14,7 @@ from bindery.operators import (
     outcomes,
     routing,
 )
-from bindery.plans import publication
+from bindery.plans import publication, runs
 from bindery.sources import archives, lists
 
 
@@ -109,6 +109,24 @@ def test_partition_filters_prune_lists(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^]]*set_id[^]]*kind", physical(one))
 
 
+def test_directories_are_pruned_in_one_pass(spark):
+    entries = spark.createDataFrame([("1/", "a")], "path string, note string")
+    for found in (merging.empty_directories(entries), merging.prune_empty_directories(entries)):
+        assert len(exchanges(found)) == 1 and physical(found).count("Scan ExistingRDD") <= 2
+        assert "Join" not in physical(found)
+
+
+def test_manifest_order_does_not_shuffle(spark):
+    parsed = manifests.parse_manifests(docs(spark))
+    assert exchanges(manifests.in_manifest_order(manifests.manifest_files(parsed))) == []
+
+
+def test_rows_of_one_set_are_not_shuffled_for_its_last_run(spark):
+    held = spark.createDataFrame([("a", "2024-01-01")], "set_id string, datestamp string")
+    last = spark.createDataFrame([("a", "2024-01-01")], "set_id string, last_run string")
+    assert exchanges(runs.since_last_run(held, last)) == []
+
+
 def test_number_of_fetch_tasks_is_fixed(spark):
     plan = spark.range(10).select(
         F.col("id").cast("string").alias("path"), F.col("id").cast("string").alias("download_url")

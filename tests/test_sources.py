@@ -1,5 +1,4 @@
 import datetime
-import zipfile
 
 import pytest
 from conftest import BASE, image_group, manifest, rows
@@ -112,6 +111,12 @@ def test_latest_text_list(spark, tmp_path):
     (folder / "deleted_2024-03-31").write_text(BASE + "9\n")
     with pytest.raises(FileNotFoundError):
         lists.read_latest_list(spark, root, "col:0", "added")
+    # A list may be a folder that Spark wrote, an empty one too.
+    spark.range(0).selectExpr("string(id)").write.text(str(folder / "added_2024-04-30"))
+    assert rows(lists.read_latest_list(spark, root, "col:0", "added")) == []
+    (folder / "added_lately").write_text(BASE + "9\n")
+    with pytest.raises(Exception, match="no date in the name of the list added_lately"):
+        lists.read_latest_list(spark, root, "col:0", "added")
 
 
 def test_list_table(spark, tmp_path):
@@ -173,30 +178,18 @@ def test_manifest_files_are_decoded(spark, tmp_path):
     assert rows(archives.local_issues(spark, str(tmp_path)))[0][0].endswith(tmp_path.parent.name)
 
 
-@pytest.fixture
-def zip_path(tmp_path):
-    path = tmp_path / "set_1.zip"
-    with zipfile.ZipFile(path, "w") as z:
-        z.writestr("1/", "")
-        z.writestr("1/12/12/mets/12_METS.xml", "<xml>test cöntent</xml>", zipfile.ZIP_DEFLATED)
-        z.writestr("1/12/12/access_img/00001.jp2", bytes(range(256)) * 50, zipfile.ZIP_STORED)
-        z.writestr("ä/empty.txt", "")
-    return str(path)
-
-
-def test_zip_entries_and_members(spark, zip_path):
-    entries = archives.read_entries(spark.createDataFrame([(zip_path,)], "archive string"))
-    assert rows(entries.select("path", "is_dir", "size")) == [
-        ("1/", True, 0),
-        ("1/12/12/access_img/00001.jp2", False, 12800),
-        ("1/12/12/mets/12_METS.xml", False, 24),
-        ("ä/empty.txt", False, 0),
-    ]
-    members = {r["path"]: bytes(r["content"]) for r in archives.read_members(entries).collect()}
-    assert members["1/12/12/mets/12_METS.xml"].decode() == "<xml>test cöntent</xml>"
-    assert members["1/12/12/access_img/00001.jp2"] == bytes(range(256)) * 50
-    assert members["ä/empty.txt"] == b""
-    assert rows(archives.mets_ids(entries)) == [("12",)]
+def test_entries_with_directories(spark):
+    held = [("1/12/12/mets/12_METS.xml", 24), ("1/12/12/mets/x.txt", 3), ("ä/empty.txt", 0), ("n.txt", 1)]
+    entries = spark.createDataFrame(
+        [("set_1.zip", p, False, n) for p, n in held],
+        "archive string, path string, is_dir boolean, size long",
+    )
+    found = archives.with_directories(entries)
+    directories = [("1/12/12/mets/", True, 0), ("ä/", True, 0)]
+    assert rows(found.select("path", "is_dir", "size")) == sorted(
+        [(p, False, n) for p, n in held] + directories
+    )
+    assert rows(archives.mets_ids(found)) == [("12",)]
 
 
 def test_archive_selections(spark):

@@ -1,9 +1,5 @@
 """Archive changes, publication and versions over whole tables."""
 
-import os
-import zipfile
-
-import pandas as pd
 from pyspark.sql import functions as F
 
 from bindery.functions import files, ids
@@ -224,29 +220,19 @@ def _(t: Tables):
     return found.select("path")
 
 
-def zipped_batches(t: Tables):
-    """A zip file per download batch with the manifests of its bindings.
-
-    Returns the paths of the files. A batch has at most 100 bindings.
-    """
-    folder = t.scratch("zips").removeprefix("file:")
-
-    def write_zip(key, batch):
-        os.makedirs(folder, exist_ok=True)
-        path = f"{folder}/set_{key[0]}.{key[1]}.zip"
-        with zipfile.ZipFile(f"{path}.{os.getpid()}", "w", zipfile.ZIP_DEFLATED) as z:
-            for row in batch.itertuples():
-                z.writestr(row.path.rsplit("/", 1)[0] + "/", "")
-                z.writestr(row.path, f"<mets>{row.path}</mets>")
-        # A repeated task puts the same file in its place.
-        os.replace(f"{path}.{os.getpid()}", path)
-        return pd.DataFrame({"archive": [path]})
-
+def archived_batches(t: Tables):
+    """An archive per download batch with the manifests of its bindings, as a table."""
     batches = download.batched_bindings(routed(t)).withColumn("path", mets_path())
-    paths = batches.groupBy("subset_id", "batch_index").applyInPandas(
-        write_zip, "archive STRING"
+    batch = F.concat_ws(".", "subset_id", F.col("batch_index").cast("string"), F.lit("zip"))
+    content = F.concat(F.lit("<mets>"), "path", F.lit("</mets>"))
+    rows = batches.select(
+        F.concat(F.lit("set_"), batch).alias("archive"),
+        "path",
+        F.lit(False).alias("is_dir"),
+        F.length(content).cast("bigint").alias("size"),
+        F.encode(content, "utf-8").alias("content"),
     )
-    return stored(paths, t.scratch("zip-paths"))
+    return stored(rows, t.scratch("batches"))
 
 
 ZIPPED_SQL = f"""{NUMBERED_SQL}, zipped AS (
@@ -264,9 +250,8 @@ ZIPPED_SQL = f"""{NUMBERED_SQL}, zipped AS (
         SELECT archive, regexp_replace(path, '[^/]*$', ''), true, 0::BIGINT FROM zipped""",
 )
 def _(t: Tables):
-    entries = archives.read_entries(zipped_batches(t))
-    name = F.substring_index("archive", "/", -1)
-    return entries.select(name.alias("archive"), "path", "is_dir", "size")
+    """Entries of the batches' archives, with the directories of their files."""
+    return archives.with_directories(archived_batches(t))
 
 
 @query(
@@ -274,11 +259,8 @@ def _(t: Tables):
     f"WITH {ZIPPED_SQL} SELECT archive, path, content FROM zipped",
 )
 def _(t: Tables):
-    entries = archives.read_entries(zipped_batches(t))
-    entries = stored(entries, t.scratch("zip-entries"))
-    name = F.substring_index("archive", "/", -1)
-    return archives.read_members(entries).select(
-        name.alias("archive"), "path", F.decode("content", "utf-8").alias("content")
+    return archived_batches(t).select(
+        "archive", "path", F.decode("content", "utf-8").alias("content")
     )
 
 
@@ -408,6 +390,19 @@ def _(t: Tables):
     return found.select("binding_id", "path")
 
 
+@query(
+    "published_binding",
+    f"""WITH {STORED_SQL} SELECT binding_id, path FROM stored
+        WHERE binding_id = (SELECT max(binding_id) FROM stored WHERE o_orderstatus <> 'F')""",
+)
+def _(t: Tables):
+    """The last of the published bindings, from the folders it may be in."""
+    root = published_store(t)
+    last = publication.read_published(t.spark, root).agg(F.max("binding_id")).first()[0]
+    found = publication.select_binding(t.spark, root, "all", last)
+    return found.select("binding_id", "path")
+
+
 def pointer_history(t: Tables):
     """Purchases as publications of a user's subset, sign-ups as versions."""
     pointers = t.events.where("event_type = 'purchase'").select(

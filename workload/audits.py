@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from bindery.functions import files, ids, names
 from bindery.operators import auditing, changes, fetching, routing
-from bindery.plans.auditing import audit
+from bindery.plans.auditing import audit, audit_archive
 from bindery.plans.stages import stored
 from workload.archives import mets_path
 from workload.fetches import page_plan
-from workload.manifests import manifest_docs
+from workload.manifests import HEAD, manifest_docs
 from workload.planning import PREFIXES
 from workload.registry import (
     BASE,
@@ -118,6 +118,32 @@ def _(t: Tables):
     return errors(t)
 
 
+def held_archive(t: Tables):
+    """The held files as an archive table; bindings without pages have a bare manifest."""
+    rows = held_entries(t).where("NOT is_dir").join(held_docs(t), ["archive", "path"], "left")
+    of_mets = F.col("path").endswith("_METS.xml")
+    xml = F.coalesce("xml", F.lit(f"{HEAD}</fileSec></mets>"))
+    return rows.select(
+        F.lit("/data/all").alias("set_id"),
+        names.archive_prefix("archive").alias("subset_id"),
+        F.when(of_mets, F.lit(files.METS)).otherwise(F.lit(files.ALTO)).alias("kind"),
+        "path",
+        F.lit(1).cast("bigint").alias("size"),
+        F.when(of_mets, F.encode(xml, "utf-8")).alias("content"),
+    )
+
+
+@query(
+    "audited_archive",
+    f"WITH {AUDIT_SQL} SELECT archive, binding_id, error_class, detail FROM errors",
+)
+def _(t: Tables):
+    """The audit of an archive table, whose manifests are read from its content."""
+    staging = t.scratch("audit")
+    held = stored(held_archive(t), f"{staging}/archive")
+    return audit_archive(held, expected_ids(t), BASE, staging)
+
+
 @query(
     "integrity_error_counts",
     f"""WITH {AUDIT_SQL} SELECT archive, error_class, count(*) AS n_errors

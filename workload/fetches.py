@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 from bindery.functions import files
 from bindery.operators import fetching, manifests, outcomes
 from bindery.plans import download
+from bindery.plans.stages import stored
+from workload.manifests import landed_responses
 from workload.planning import NUMBERED_SQL, routed
 from workload.registry import (
     BASE,
     PAGE_FILES_SQL,
+    PAGE_IMAGES_SQL,
     Tables,
     binding_dir_sql,
     query,
@@ -115,43 +118,21 @@ def _(t: Tables):
     )
 
 
-MANIFEST = (
-    '<mets xmlns="http://www.loc.gov/METS/" xmlns:xlink="http://www.w3.org/1999/xlink">'
-    '<fileSec><fileGrp ID="IMGGRP" USE="Images">{}</fileGrp></fileSec></mets>'
-)
-IMAGE = '<file SEQ="{0}"><FLocat xlink:href="{0}.jp2"/></file>'
-
-
-def collection_response(url: str):
-    """A collection whose bindings have as many pages as their ID has digits.
-
-    The last image of bindings 3... is not found, and those of 4... have an
-    empty manifest.
-    """
-    id_, _, rest = url[len(BASE) :].partition("/")
-    if rest.startswith("mets.xml"):
-        pages = "".join(IMAGE.format(i) for i in range(1, len(id_) + 1))
-        return 200, b"" if id_[0] == "4" else MANIFEST.format(pages).encode()
-    if rest == f"image/{len(id_)}" and id_[0] == "3":
-        return 404, b""
-    return 200, rest.encode()
-
-
 @query(
     "stowed_batches",
-    f"""WITH {NUMBERED_SQL}, files AS (
-          SELECT subset_id, binding_id, 'mets' AS kind, 0 AS page FROM batched
+    f"""WITH {NUMBERED_SQL}, {PAGE_IMAGES_SQL}, logged AS (
+          SELECT subset_id, 'mets' AS kind,
+                 CASE WHEN p.binding_id IS NULL THEN 'no_response'
+                      WHEN left(b.binding_id, 1) = '4' THEN 'empty' ELSE 'ok' END AS outcome
+          FROM batched b LEFT JOIN (SELECT DISTINCT binding_id FROM page_images) p
+            ON b.binding_id = p.binding_id
           UNION ALL
-          SELECT subset_id, binding_id, k.kind, page
-          FROM (SELECT subset_id, binding_id,
-                       unnest(range(1, length(binding_id) + 1)) AS page FROM batched) b,
+          SELECT subset_id, k.kind,
+                 CASE WHEN k.kind = 'alto' OR flag = 'N' THEN 'ok'
+                      WHEN flag = 'R' THEN 'not_found' ELSE 'unauthorized' END
+          FROM batched b JOIN page_images p ON b.binding_id = p.binding_id,
                (VALUES ('alto'), ('access_img')) k(kind)
-          WHERE left(binding_id, 1) <> '4'),
-        logged AS (
-          SELECT *, CASE WHEN kind = 'mets' AND left(binding_id, 1) = '4' THEN 'empty'
-                         WHEN kind = 'access_img' AND left(binding_id, 1) = '3'
-                              AND page = length(binding_id) THEN 'not_found'
-                         ELSE 'ok' END AS outcome FROM files)
+          WHERE left(b.binding_id, 1) <> '4')
         SELECT subset_id, kind, outcome, count(*) AS n_files,
                CAST(sum(CASE outcome WHEN 'ok' THEN 1 ELSE 3 END) AS BIGINT) AS n_requests
         FROM logged GROUP BY subset_id, kind, outcome""",
@@ -159,13 +140,32 @@ def collection_response(url: str):
 def _(t: Tables):
     """Whole download with retries: files and requests by final outcome."""
     bindings = download.batched_bindings(routed(t))
-    staged = download.stow_with_retries(bindings, collection_response, t.scratch("staging"))
+    responses = stored(landed_responses(t), t.scratch("responses"))
+    staged = download.stow_with_retries(bindings, responses, t.scratch("staging"))
     last = outcomes.latest_attempts(staged.log, ["subset_id", "kind", "path"])
     return last.groupBy("subset_id", "kind", F.col("last_outcome").alias("outcome")).agg(
         F.count("*").alias("n_files"), F.sum("n_attempts").alias("n_requests")
     )
 
 
+@query(
+    "stowed_texts",
+    f"""WITH {NUMBERED_SQL}, {PAGE_IMAGES_SQL}
+        SELECT subset_id, b.binding_id, page_number,
+               p.dc_identifier || '/page-' || page_number || '.xml' AS content
+        FROM batched b JOIN page_images p ON b.binding_id = p.binding_id
+        WHERE left(b.binding_id, 1) <> '4'""",
+)
+def _(t: Tables):
+    """One attempt at the text files alone."""
+    bindings = stored(download.batched_bindings(routed(t)), t.scratch("bindings"))
+    responses = stored(landed_responses(t), t.scratch("responses"))
+    staged = download.stow(bindings, responses, t.scratch("staging"), kinds=[files.ALTO])
+    return staged.content.where(F.col("kind") == files.ALTO).select(
+        "subset_id", "binding_id", "page_number", F.decode("content", "utf-8").alias("content")
+    )
+
+
 def request_log(t: Tables):
     """Line items as requests: R not found, A unauthorised; odd ones as marked."""
     flag, kind = F.col("l_returnflag"), F.col("l_linestatus")

@@ -352,3 +352,27 @@ def _(t: Tables):
     return runs.update_gates(sets, lists.latest_lists(found, markers)).select(
         "set_id", "n_added", "n_deleted", "decision"
     )
+
+
+@query(
+    "text_lists",
+    f"""SELECT CASE o_orderstatus WHEN 'F' THEN 'deleted' ELSE 'added' END AS kind,
+               '{BASE}' || o_orderkey AS dc_identifier,
+               CAST(o_orderkey AS VARCHAR) AS binding_id
+        FROM orders WHERE o_orderstatus <> 'P'""",
+)
+def _(t: Tables):
+    """Text lists of two days; the newest of each kind is read."""
+    root = t.scratch("text-lists")
+
+    def write(name, condition):
+        t.bindings.where(condition).select("dc_identifier").write.text(f"{root}/col_7/{name}")
+
+    write("added_2024-01-31", "o_orderstatus = 'P'")
+    write("added_2024-02-29", "o_orderstatus = 'O'")
+    write("deleted_2024-02-29", "o_orderstatus = 'F'")
+    found = [
+        lists.read_latest_list(t.spark, root, "col:7", kind).withColumn("kind", F.lit(kind))
+        for kind in ("added", "deleted")
+    ]
+    return found[0].unionByName(found[1])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from bindery.functions import files
+from bindery.functions import files, ids
 from bindery.operators import fetching, manifests
 from bindery.sources.manifests import manifests_of
 from workload.identifiers import DATED_SQL, dated_text
@@ -220,10 +220,37 @@ def _(t: Tables):
     return manifests.download_urls(manifests.in_manifest_order(found))
 
 
+def landed_responses(t: Tables):
+    """Responses to the requests for all manifests and page files, by URL.
+
+    Manifests of bindings 4... are empty. Images flagged R are not found, and those
+    flagged A may not be read. The content of a page file is its URL.
+    """
+    empty = F.col("binding_id").startswith("4")
+    of_manifests = manifest_docs(t).select(
+        ids.mets_url("dc_identifier").alias("url"),
+        F.lit(200).alias("status"),
+        F.encode(F.when(empty, F.lit("")).otherwise(F.col("xml")), "utf-8").alias("content"),
+    )
+    pages = manifests.with_names(manifests.altos_for_images(t.page_images))
+    image, flag = F.col("kind") == files.ACCESS_IMAGE, F.col("flag")
+    status = (
+        F.when(image & (flag == "R"), F.lit(404))
+        .when(image & (flag == "A"), F.lit(401))
+        .otherwise(F.lit(200))
+    )
+    of_pages = pages.select(
+        F.col("download_url").alias("url"),
+        status.alias("status"),
+        F.when(status == 200, F.encode("download_url", "utf-8")).alias("content"),
+    )
+    return of_manifests.unionByName(of_pages)
+
+
 @query(
     "direct_downloads",
     f"""WITH {FILES_SQL}
-        SELECT binding_id, position,
+        SELECT binding_id, position, CASE kind WHEN 'alto' THEN download_url END AS content,
                CASE kind WHEN 'alto' THEN 'downloads/' || binding_id || '/alto/' || filename
                     END AS output_path,
                CASE kind WHEN 'access_img' THEN 'No download URL available for file '
@@ -232,8 +259,13 @@ def _(t: Tables):
 )
 def _(t: Tables):
     found = manifests.manifest_files(manifests.parse_manifests(manifest_docs(t)))
-    return fetching.direct_downloads(found).select(
-        "binding_id", "position", "output_path", "message"
+    got = fetching.direct_contents(fetching.direct_downloads(found), landed_responses(t))
+    return got.select(
+        "binding_id",
+        "position",
+        "output_path",
+        "message",
+        F.decode("content", "utf-8").alias("content"),
     )
 
 

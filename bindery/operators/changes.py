@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,11 +77,22 @@ def write_listings(listings: DataFrame, run_date: str, root: str) -> None:
 
     A repeated run replaces the day as a whole.
     """
-    (
-        listings.select("listing", F.col("binding_id").alias("value"))
-        .hint("rebalance", "listing")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("listing")
-        .text(f"{root}/run_date={run_date}")
+    spark = listings.sparkSession
+    rows = listings.select("listing", F.col("binding_id").alias("value")).hint(
+        "rebalance", "listing"
     )
+    day = f"{root}/run_date={run_date}"
+    try:
+        spark.read.text(day)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        dated = rows.withColumn("run_date", F.lit(run_date))
+        dated.write.mode("append").partitionBy("run_date", "listing").text(root)
+    else:
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("listing")
+            .text(day)
+        )

@@ -44,10 +44,6 @@ LIST_MARKERS = (
 )
 SUBSET_SPLIT = "set_id STRING, priority INT, prefix STRING"
 RUNS = "set_id STRING, run_id STRING, state STRING, execution_date TIMESTAMP"
-ENTRIES = (
-    "archive STRING, path STRING, is_dir BOOLEAN, size BIGINT, "
-    "method INT, packed_size BIGINT, header_offset BIGINT"
-)
 PUBLISHED = (
     "set_id STRING, subset_id STRING, run_id STRING, attempt STRING, seq BIGINT, "
     "location STRING, whole BOOLEAN, published_at TIMESTAMP"

@@ -282,6 +282,10 @@ def test_listing_files(spark, tmp_path):
     assert [p.name for p in folder.iterdir()] == ["listing=added_bindings"]
     lines = spark.read.text(str(folder / "listing=added_bindings"))
     assert rows(lines) == [("1",), ("2",)]
+    # A repeated run leaves nothing of the first one.
+    again = found.limit(1).withColumn("listing", F.lit("deleted_bindings"))
+    changes.write_listings(again, "2024-05-01", str(tmp_path / "l"))
+    assert [p.name for p in folder.iterdir() if p.is_dir()] == ["listing=deleted_bindings"]
 
 
 def test_runs_and_gate(spark):

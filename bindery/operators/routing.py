@@ -41,7 +41,7 @@ def route(
     routed = _with_prefix(bindings, prefixes)
     if on_error == "reject":
         return routed.where(F.col("subset_id").isNotNull())
-    message = F.concat(F.lit("No prefix found for binding "), F.col("binding_id"))
+    message = F.concat_ws(" ", F.lit("binding"), "binding_id", F.lit("matches no prefix"))
     return routed.withColumn(
         "subset_id", F.coalesce("subset_id", F.raise_error(message).cast("string"))
     )

@@ -1,10 +1,6 @@
 """Language-model scores: Katz backoff with Good-Turing discounts.
 
-The model has unigrams, and bigrams after frequent histories: words that make up at
-least ``HISTORY_SHARE`` of all tokens, at most 1 / ``HISTORY_SHARE`` of them, and the
-start of a text. After any other history the model is the unigram one. This share
-bounds the tables that are indexed by history; the tables of words and bigrams grow
-with the corpus.
+The model has unigrams, and bigrams after every word and after the start of a text.
 
 Counts up to ``RELIABLE`` are discounted by Good-Turing, larger ones give up a share
 of ``LEAST_MASS``, so that every history leaves mass for words not seen after it. A
@@ -13,10 +9,15 @@ after it, so its probabilities add up to exactly 1. Unigram mass that the discou
 leave belongs to one unknown word.
 
 Evaluation is recursive: the bigram if it was seen, else the weight of the history
-times the unigram, else the unknown word. Pairs of two frequent words fit into a
-table of bounded size, and are looked up where the text is read. All other tokens go
-to their word's bucket, packed by task and bucket, and meet the counts there. No
-bucket is hot, since frequent words never travel.
+times the unigram, else the unknown word. Words, bigrams and weights are tables; all
+of them grow with the corpus.
+
+``FREQUENT_SHARE`` says only how rows are dealt, not what is counted. Pairs of two
+frequent words (or the start and one) fit into a table of bounded size, and are looked
+up where the text is read. Another token goes to its word's bucket, or, if that is a
+frequent word, to the bucket of the word before it, packed by task and bucket, and
+meets the counts there; so no bucket is hot. Joins on a word or history take frequent
+ones from a broadcast. Weights of other histories are joined to what was not seen.
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
 
-HISTORY_SHARE = 1e-3
+#: Words with this share of the tokens, and the end, are dealt as frequent ones.
+FREQUENT_SHARE = 1e-3
 RELIABLE = 5
 LEAST_MASS = 1e-6
 #: Training tokens for which there is one bucket, and the fewest buckets.
@@ -42,6 +44,7 @@ TOKENS_PER_BUCKET = 2_000_000
 FEWEST_BUCKETS = 64
 #: No word holds a space, so this is the hash of none.
 END = np.int64(np.uint64(xxhash.xxh64_intdigest(b" end")).astype(np.int64))
+START = np.int64(np.uint64(xxhash.xxh64_intdigest(b" start")).astype(np.int64))
 
 
 def tokens_of(text: str | None, known: dict[bytes, int]) -> np.ndarray:
@@ -60,6 +63,20 @@ def tokens_of(text: str | None, known: dict[bytes, int]) -> np.ndarray:
     return signed
 
 
+def place_in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Places of values in an array without repeats, -1 where they are not in it."""
+    if not len(ordered):
+        return np.full(len(values), -1)
+    at = np.searchsorted(ordered, values)
+    at[at == len(ordered)] = 0
+    return np.where(ordered[at] == values, at, -1)
+
+
+def before_each(tokens: np.ndarray) -> np.ndarray:
+    """The histories of a text's tokens."""
+    return np.concatenate([[START], tokens[:-1]])
+
+
 def discounts(of: list[int]) -> np.ndarray:
     """Good-Turing factors of the counts 1 to ``RELIABLE``, from the counts of counts 1 to one more.
 
@@ -81,13 +98,21 @@ def discounted(counts: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return counts * all_factors[np.clip(counts, 1, RELIABLE + 1) - 1]
 
 
+def kept(count: str, factors: np.ndarray) -> Column:
+    """Discounted count of a column."""
+    share = F.lit(1 - LEAST_MASS)
+    for r in range(RELIABLE, 0, -1):
+        share = F.when(F.col(count) == r, float(factors[r - 1])).otherwise(share)
+    return F.col(count) * share
+
+
 def count_of_counts() -> list:
     return [F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, RELIABLE + 2)]
 
 
 @dataclass
 class Model:
-    """What every task needs to know; bounded by the number of histories."""
+    """What every task needs to know; bounded by the number of frequent words."""
 
     tokens: int
     words: int
@@ -97,7 +122,7 @@ class Model:
     hot: np.ndarray  # sorted hashes of frequent words
     hot_counts: np.ndarray
     starts: int  # training texts
-    log_weights: np.ndarray  # of histories: none, the frequent words, the start
+    log_weights: np.ndarray  # of histories: others (0), the frequent words, the start
     table: np.ndarray | None = None  # log10 probabilities of frequent words by history
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
@@ -121,12 +146,14 @@ class Model:
     def log_base(self, word_counts) -> np.ndarray:
         return np.log10((word_counts + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
 
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of words or the start, 0 for those that are not frequent."""
+        return np.where(words == START, len(self.hot) + 1, place_in(self.hot, words) + 1)
+
     def histories(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of a text's tokens among the frequent words, 0 for others, and of
         the tokens before them: of histories, the start is the last one."""
-        at = np.searchsorted(self.hot, tokens)
-        at[at == len(self.hot)] = 0
-        mine = np.where(self.hot[at] == tokens, at + 1, 0) if len(self.hot) else at * 0
+        mine = place_in(self.hot, tokens) + 1
         before = np.concatenate([[len(self.hot) + 1], mine[:-1]])
         return mine, before
 
@@ -148,49 +175,55 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return rows.groupBy("w").agg(F.sum("n").alias("c"))
 
 
-def pair_counts(texts: DataFrame, model: Model) -> DataFrame:
-    """``w, h, c``: counts of words after the numbered histories."""
-    width = np.int64(len(model.hot) + 2)
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """``w, h, c``: counts of words after the words before them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
-            some, before = [], []
-            for text in batch.column("text").to_pylist():
-                tokens = tokens_of(text, known)
-                _, h = model.histories(tokens)
-                some.append(tokens[h > 0])
-                before.append(h[h > 0])
+            some = [tokens_of(t, known) for t in batch.column("text").to_pylist()]
             if not some:
                 continue
             words, place = np.unique(np.concatenate(some), return_inverse=True)
-            pairs, n = np.unique(place * width + np.concatenate(before), return_counts=True)
+            histories, before = np.unique(
+                np.concatenate([before_each(t) for t in some]), return_inverse=True
+            )
+            width = len(histories)
+            pairs, n = np.unique(place * width + before, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(words[pairs // width]),
-                    pa.array((pairs % width).astype(np.int32)),
-                    pa.array(n),
-                ],
+                [pa.array(words[pairs // width]), pa.array(histories[pairs % width]), pa.array(n)],
                 ["w", "h", "n"],
             )
 
-    rows = texts.select("text").mapInArrow(count, "w long, h int, n long")
+    rows = texts.select("text").mapInArrow(count, "w long, h long, n long")
     return rows.groupBy("w", "h").agg(F.sum("n").alias("c"))
 
 
-def learn(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
-    """The model, its words ``w, c`` and its bigrams ``w, h, c``, as stored tables."""
+def joined_by(rows: DataFrame, table: DataFrame, key: str, frequent: DataFrame) -> DataFrame:
+    """Inner join whose frequent keys meet a broadcast, so that no task gets one whole."""
+    near = F.broadcast(frequent.select(F.col("w").alias(key)))
+    hot = rows.join(F.broadcast(table.join(near, key)), key)
+    others = rows.join(near, key, "left_anti").join(table.join(near, key, "left_anti"), key)
+    return hot.unionByName(others)
+
+
+def learn(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The model; its words ``w, c``, bigrams ``w, h, c`` and histories ``h, all, weight``
+    (log10) as stored tables; and what is dealt as frequent, ``w``."""
     words = stored(word_counts(texts), "words")
     row = words.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("words"), *count_of_counts()
     ).first()
     factors = discounts(list(row[2:]))
-    # At most 1 / HISTORY_SHARE rows by definition.
-    frequent = words.where(
-        (F.col("c") >= max(1.0, HISTORY_SHARE * row["tokens"])) & (F.col("w") != int(END))
+    # At most 1 / FREQUENT_SHARE rows by definition, and the end.
+    found = words.where(
+        (F.col("c") >= max(1.0, FREQUENT_SHARE * row["tokens"])) | (F.col("w") == int(END))
     )
-    hot = sorted((r["w"], r["c"]) for r in frequent.collect())
+    hot = sorted((r["w"], r["c"]) for r in found.collect())
     ends = words.where(F.col("w") == int(END)).first()
+    frequent = texts.sparkSession.createDataFrame(
+        [(int(w),) for w, _ in hot] + [(int(START),)], "w long"
+    )
     model = Model(
         tokens=row["tokens"],
         words=row["words"],
@@ -202,45 +235,37 @@ def learn(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
         starts=ends["c"] if ends else 0,
         log_weights=np.zeros(len(hot) + 2),
     )
-    pairs = stored(pair_counts(texts, model), "bigrams")
-    if not model.tokens:
-        return model, words, pairs
-    kept = F.lit(1 - LEAST_MASS)
-    for r in range(RELIABLE, 0, -1):
-        kept = F.when(F.col("c") == r, float(factors[r - 1])).otherwise(kept)
-    left = words.agg(F.sum(F.col("c") * (1 - kept))).first()[0]
-    model.unknown = left / model.tokens
-    model.pair_factors = discounts(list(pairs.agg(*count_of_counts()).first()))
+    pairs = stored(pair_counts(texts), "bigrams")
+    if model.tokens:
+        left = words.agg(F.sum(F.col("c") - kept("c", factors))).first()[0]
+        model.unknown = left / model.tokens
+        model.pair_factors = discounts(list(pairs.agg(*count_of_counts()).first()))
     # By history: mass of the pairs seen, and unigram mass of their words.
-    kept_pair, kept_word = (F.lit(1 - LEAST_MASS) for _ in range(2))
-    for r in range(RELIABLE, 0, -1):
-        kept_pair = F.when(F.col("c") == r, float(model.pair_factors[r - 1])).otherwise(kept_pair)
-        kept_word = F.when(F.col("c_w") == r, float(factors[r - 1])).otherwise(kept_word)
-    sums = (
-        pairs.join(words.select("w", F.col("c").alias("c_w")), "w")
+    open_ = 1 - F.sum(kept("c_w", factors)) / max(1, model.tokens)
+    left = F.sum(F.col("c") - kept("c", model.pair_factors))
+    histories = stored(
+        joined_by(pairs, words.select("w", F.col("c").alias("c_w")), "w", frequent)
         .groupBy("h")
-        .agg(
-            F.sum(F.col("c") * (1 - kept_pair)).alias("left"),
-            F.sum(F.col("c_w") * kept_word).alias("covered"),
-            F.sum("c").alias("all"),
-        )
-        .collect()
+        .agg(F.sum("c").alias("all"), F.log10(left / F.sum("c") / open_).alias("weight")),
+        "histories",
     )
-    for r in sums:
-        open_ = 1 - r["covered"] / model.tokens
-        model.log_weights[r["h"]] = np.log10(r["left"] / r["all"] / open_)
-    # Frequent words after frequent histories: at most 1 / HISTORY_SHARE squared.
-    among = pairs.join(F.broadcast(frequent.select("w")), "w").collect()
+    for r in histories.join(F.broadcast(frequent), F.col("h") == F.col("w")).collect():
+        model.log_weights[model.numbers(np.array([r["h"]]))] = r["weight"]
+    # Frequent words after frequent histories: at most 1 / FREQUENT_SHARE squared.
+    among = pairs.join(F.broadcast(frequent), "w").join(
+        F.broadcast(frequent.withColumnRenamed("w", "h")), "h"
+    )
+    among = among.select("w", "h", "c").toArrow() if model.tokens else None
     counts = np.zeros((len(hot) + 1, len(hot) + 2), dtype=np.int64)
-    if among:
-        place = np.searchsorted(model.hot, [r["w"] for r in among]) + 1
-        counts[place, [r["h"] for r in among]] = [r["c"] for r in among]
+    if among is not None:
+        w, h, c = (among.column(i).to_numpy() for i in range(3))
+        counts[model.numbers(w), model.numbers(h)] = c
     own = np.concatenate([[0], model.hot_counts])
     model.table = np.stack(
         [model.log_score(own, counts[:, h], np.full(len(own), h)) for h in range(counts.shape[1])],
         axis=1,
     )
-    return model, words, pairs
+    return model, words, pairs, histories, frequent
 
 
 def unpack(payload: bytes, size: int) -> list[np.ndarray]:
@@ -252,7 +277,8 @@ def bucket_of(w: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def sent(documents: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """``bucket, size, payload``: tokens of the documents' other words by bucket.
+    """``bucket, size, payload``: tokens of the documents by bucket, but for those where
+    both the word and its history are frequent.
 
     A payload has documents' keys, their sums over frequent words (in one bucket of a
     task), and of the other tokens the words, how often each stands there, histories
@@ -263,7 +289,7 @@ def sent(documents: DataFrame, model: Model, buckets: int) -> DataFrame:
         known: dict[bytes, int] = {}
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            tokens, before, docs = [], [], []
+            tokens, before, dealt, docs = [], [], [], []
             sums = np.zeros((len(keys), 4))  # tokens, known ones, base, score
             for i, text in enumerate(batch.column("text").to_pylist()):
                 t = tokens_of(text, known)
@@ -274,14 +300,17 @@ def sent(documents: DataFrame, model: Model, buckets: int) -> DataFrame:
                     counts = model.hot_counts[mine[near] - 1]
                     sums[i, 1] = near.sum()
                     sums[i, 2] = model.log_base(counts).sum()
-                    sums[i, 3] = model.table[mine[near], h[near]].sum()
-                tokens.append(t[~near])
-                before.append(h[~near].astype(np.int16))
-                docs.append(np.full(len(t) - near.sum(), i, dtype=np.int32))
+                held = near & (h > 0)
+                sums[i, 3] = model.table[mine[held], h[held]].sum()
+                previous = before_each(t)
+                tokens.append(t[~held])
+                before.append(previous[~held])
+                dealt.append(np.where(near, previous, t)[~held])
+                docs.append(np.full(len(t) - held.sum(), i, dtype=np.int32))
             if not tokens:
                 continue
             t, h, d = map(np.concatenate, (tokens, before, docs))
-            b = bucket_of(t, buckets)
+            b = bucket_of(np.concatenate(dealt), buckets)
             order = np.lexsort([d, t, b])
             t, h, d, b = t[order], h[order], d[order], b[order]
             edges = np.searchsorted(b, np.arange(buckets + 1))
@@ -291,10 +320,12 @@ def sent(documents: DataFrame, model: Model, buckets: int) -> DataFrame:
                 part = slice(edges[i], edges[i + 1])
                 words, times = np.unique(t[part], return_counts=True)
                 used, local = np.unique(d[part], return_inverse=True)
+                histories, after = np.unique(h[part], return_inverse=True)
                 arrays = [
                     words,
                     times.astype(np.int32),
-                    h[part],
+                    histories,
+                    after.astype(np.int32),
                     local.astype(np.int32),
                     keys[used],
                     keys if i == own else keys[:0],
@@ -319,54 +350,68 @@ def sent(documents: DataFrame, model: Model, buckets: int) -> DataFrame:
 
 
 def evaluate(model: Model):
-    """Function of a bucket's tokens and of its rows of the tables: sums by document."""
+    """Function of a bucket's tokens and of its rows of the tables: sums by document,
+    and how often a document needs the weight of a history that is not frequent."""
 
     def sums(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         out_keys, out = [], []
-        h_all, c_all = table["h"].to_numpy(np.int64), table["c"].to_numpy(np.int64)
-        w_all = table["w"].to_numpy(np.int64)
-        single = h_all == 0
-        order = np.argsort(w_all[single])
-        words, counts = w_all[single][order], c_all[single][order]
-        width = len(model.hot) + 2
-        pair = np.searchsorted(words, w_all[~single]) * width + h_all[~single]
+        late: list[tuple] = []
+        seen_pair = table["pair"].to_numpy(bool)
+        w_all, value = table["w"].to_numpy(np.int64), table["value"].to_numpy(np.float64)
+        order = np.argsort(w_all[~seen_pair])
+        words = w_all[~seen_pair][order]
+        counts = value[~seen_pair][order].astype(np.int64)
+        h_pair = table["h"].to_numpy(np.int64)[seen_pair]
+        pair_words, pair_histories = np.unique(w_all[seen_pair]), np.unique(h_pair)
+        width = len(pair_histories)
+        pair = place_in(pair_words, w_all[seen_pair]) * width + place_in(pair_histories, h_pair)
         order = np.argsort(pair)
-        pair, pair_counts_ = pair[order], c_all[~single][order]
+        pair, log_pair = pair[order], value[seen_pair][order]
         for size, payload in zip(asked["size"], asked["payload"], strict=True):
-            w, times, h, local, keys, all_keys, hot_sums = unpack(payload, size)
+            w, times, histories, after, local, keys, all_keys, hot_sums = unpack(payload, size)
             if len(all_keys):
                 out_keys.append(all_keys)
                 out.append(hot_sums)
             if not len(w):
                 continue
-            at = np.searchsorted(words, w)
-            at[at == len(words)] = 0
-            known = (words[at] == w) if len(words) else np.zeros(len(w), bool)
-            c = np.repeat(np.where(known, counts[at] if len(words) else 0, 0), times)
-            h = h.astype(np.int64)
-            wanted = np.repeat(np.where(known, at, -1), times) * width + h
-            place = np.searchsorted(pair, wanted)
-            place[place == len(pair)] = 0
-            hit = (pair[place] == wanted) & (h > 0) & (c > 0) if len(pair) else h < 0
-            r = np.where(hit, pair_counts_[place] if len(pair) else 0, 0)
+            number = model.numbers(w)
+            count = np.append(counts, 0)[place_in(words, w)]  # the last one where not found
+            count = np.where(number > 0, np.append(model.hot_counts, 0)[number - 1], count)
+            c, other = np.repeat(count, times), np.repeat(number == 0, times)
+            in_w = np.repeat(place_in(pair_words, w), times)
+            in_h = place_in(pair_histories, histories)[after]
+            place = place_in(pair, np.where((in_w < 0) | (in_h < 0), -1, in_w * width + in_h))
+            numbers = model.numbers(histories)[after]
+            backed = np.log10(model.unigram(c)) + model.log_weights[numbers]
+            found = np.zeros((len(keys), 4))
             n = len(keys)
-            found = np.zeros((n, 4))
-            found[:, 1] = np.bincount(local, c > 0, n)
-            found[:, 2] = np.bincount(local, model.log_base(c), n)
-            found[:, 3] = np.bincount(local, model.log_score(c, r, h), n)
+            found[:, 1] = np.bincount(local, other & (c > 0), n)
+            found[:, 2] = np.bincount(local, np.where(other, model.log_base(c), 0.0), n)
+            logs = np.where(place < 0, backed, np.append(log_pair, 0.0)[place])
+            found[:, 3] = np.bincount(local, logs, n)
             out_keys.append(keys)
             out.append(found)
+            open_ = (place < 0) & (numbers == 0)
+            code, often = np.unique(after[open_].astype(np.int64) * n + local[open_], return_counts=True)
+            late.append((keys[code % n], histories[code // n], often))
         keys = np.concatenate(out_keys) if out_keys else np.empty(0, np.int64)
         values = np.concatenate(out) if out else np.empty((0, 4))
         unique, place = np.unique(keys, return_inverse=True)
         columns = [np.bincount(place, values[:, i], len(unique)) for i in range(4)]
+        late_keys, late_h, late_n = (
+            np.concatenate([x[i] for x in late]) if late else np.empty(0, np.int64) for i in range(3)
+        )
+        none = np.zeros(len(late_keys))
+        own = np.zeros(len(unique), np.int64)
         return pd.DataFrame(
             {
-                "key": unique,
-                "n_tokens": columns[0].astype(np.int64),
-                "n_known": columns[1].astype(np.int64),
-                "base_score": columns[2],
-                "score": columns[3],
+                "key": np.concatenate([unique, late_keys]),
+                "h": np.concatenate([own, late_h]),
+                "times": np.concatenate([own, late_n]),
+                "n_tokens": np.concatenate([columns[0], none]).astype(np.int64),
+                "n_known": np.concatenate([columns[1], none]).astype(np.int64),
+                "base_score": np.concatenate([columns[2], none]),
+                "score": np.concatenate([columns[3], none]),
             }
         )
 
@@ -383,35 +428,62 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
     columns are ignored; an empty table gives an empty result. Words are compared by
     64-bit hashes.
     """
-    model, words, pairs = learn(training)
+    model, words, pairs, histories, frequent = learn(training)
     buckets = max(FEWEST_BUCKETS, -(-model.tokens // TOKENS_PER_BUCKET))
     keyed = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    if model.table is None:
-        model.table = np.zeros((1, 2))
-    # The same as bucket_of: the shift makes the number positive.
-    number = F.expr(f"cast(shiftrightunsigned(w, 8) % {buckets} as int)").alias("bucket")
-    frequent = F.broadcast(
-        words.where(
-            (F.col("c") >= max(1.0, HISTORY_SHARE * model.tokens)) & (F.col("w") != int(END))
-        ).select("w")
+
+    def number(word):  # The same as bucket_of: the shift makes the number positive.
+        return F.expr(f"cast(shiftrightunsigned({word}, 8) % {buckets} as int)").alias("bucket")
+
+    near = F.broadcast(frequent)
+    hot = F.broadcast(frequent.withColumn("hot", F.lit(True)))
+    logs = (
+        joined_by(pairs, histories.select("h", "all"), "h", frequent)
+        .join(hot, "w", "left")
+        .join(hot.toDF("h", "hot_h"), "h", "left")
+        .where("hot IS NULL OR hot_h IS NULL")
     )
     table = (
-        words.select("w", F.lit(0).alias("h"), "c")
-        .unionByName(pairs)
-        .join(frequent, "w", "left_anti")
-        .select(number, "w", "h", "c")
+        words.join(near, "w", "left_anti")
+        .select(
+            number("w"),
+            "w",
+            F.lit(0).cast("long").alias("h"),
+            F.lit(False).alias("pair"),
+            F.col("c").cast("double").alias("value"),
+        )
+        .unionByName(
+            logs.select(
+                number("if(hot, h, w)"),
+                "w",
+                "h",
+                F.lit(True).alias("pair"),
+                F.log10(kept("c", model.pair_factors) / F.col("all")).alias("value"),
+            )
+        )
     )
-    partial = (
+    partial = stored(
         sent(keyed, model, buckets)
         .groupBy("bucket")
         .cogroup(table.groupBy("bucket"))
         .applyInPandas(
             evaluate(model),
-            "key long, n_tokens long, n_known long, base_score double, score double",
-        )
+            "key long, h long, times long, n_tokens long, n_known long, base_score double, score double",
+        ),
+        "sums",
+    )
+    names = ("n_tokens", "n_known", "base_score", "score")
+    weighed = (
+        partial.where("times > 0")
+        .join(histories, "h")  # one that training does not have has the weight 1
+        .select("key", "n_tokens", "n_known", "base_score", (F.col("times") * F.col("weight")).alias("score"))
     )
-    sums = partial.groupBy("key").agg(
-        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
+    sums = (
+        partial.where("times = 0")
+        .select("key", *names)
+        .unionByName(weighed)
+        .groupBy("key")
+        .agg(*[F.sum(c).alias(c) for c in names])
     )
     copies = keyed.groupBy("key").agg(F.count("*").alias("copies"))
     result = keyed.select("doc_id", "key").join(sums.join(copies, "key"), "key")

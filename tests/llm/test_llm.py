@@ -391,6 +391,60 @@ def test_katz_scores(documents, empty):
     assert katz.score(documents, empty).count() == len(EDGES)
 
 
+def plain_katz_of_all_histories(rows):
+    docs = [(i, lower(t).encode().split() + [None]) for i, t, *_ in rows]
+    train = [w for i, w in docs if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1]
+    c = collections.Counter(x for w in train for x in w)
+    pairs = collections.Counter(p for w in train for p in zip(["<s>", *w], w, strict=False))
+    n = sum(c.values())
+    history = collections.Counter()
+    for (h, _), k in pairs.items():
+        history[h] += k
+    fu, fb = (
+        katz.discounts([sum(v == r for v in counter.values()) for r in range(1, 7)])
+        for counter in (c, pairs)
+    )
+
+    def kept(k, f):
+        return k * (f[k - 1] if k <= 5 else 1 - katz.LEAST_MASS)
+
+    unknown = 1 - sum(kept(k, fu) for k in c.values()) / n
+    used, seen = collections.Counter(), collections.Counter()
+    for (h, x), k in pairs.items():
+        used[h] += kept(k, fb) / history[h]
+        seen[h] += kept(c[x], fu) / n
+    out = []
+    for i, w in docs:
+        score = 0.0
+        for h, x in zip(["<s>", *w], w, strict=False):
+            k = pairs[h, x]
+            weight = (1 - used[h]) / (1 - seen[h]) if h in history else 1.0
+            unigram = kept(c[x], fu) / n if c[x] else unknown
+            score += math.log10(kept(k, fb) / history[h] if k else weight * unigram)
+        out.append((i, score))
+    return out
+
+
+@pytest.mark.parametrize("share", [katz.FREQUENT_SHARE, 0.02])
+def test_katz_has_bigrams_after_every_word(spark, empty, monkeypatch, share):
+    monkeypatch.setattr(katz, "FREQUENT_SHARE", share)  # deals rows, changes no score
+    rows = [*EDGES, *((100 + i, prose(300, 100 + i % 3) + " rare one", "en", "a", 9) for i in range(8))]
+    rows += [(200 + i, "one unheard" + prose(50, 1)[: 100 + i], "en", "a", 9) for i in range(8)]
+    documents = spark.createDataFrame(rows, SCHEMA)
+    training = documents.where(
+        F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 != 1
+    )
+    found = sorted_rows(katz.score(documents, training).select("doc_id", "score"))
+    expected = sorted(plain_katz_of_all_histories(rows), key=str)
+    for got, want in zip(sorted(found, key=str), expected, strict=True):
+        assert got[0] == want[0]
+        assert got[1] == pytest.approx(want[1])
+    assert katz.score(empty, empty).count() == 0
+    untrained = katz.score(documents, empty).select("doc_id", "score", "n_tokens", "n_known")
+    assert {(r.score, r.n_known) for r in untrained.collect()} == {(0.0, 0)}
+    assert untrained.count() == len(rows)
+
+
 def test_substrings(documents, empty):
     counts = collections.Counter()
     for _, text, *_ in EDGES:

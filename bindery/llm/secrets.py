@@ -2,10 +2,11 @@
 
 The patterns give the base spans. The method looks at values in a credential context
 that the patterns do not cover (``pwd: ...``, ``Bearer ...``, ``user:...@host``), and at
-those that they do. A dynamic programme finds the cheapest way to guess a value: it
-is cut into known words, dates, repeats, keyboard walks and brute-force spans, each
-with the logarithm of its number of guesses. A value whose cheapest cut still takes
-``MIN_GUESSES`` (log10) is a secret and adds a span; ``password = changeme`` does not.
+those that they do, there with the symbols that end the patterns' values. A dynamic
+programme finds the cheapest way to guess a value: it is cut into known words, dates,
+repeats, keyboard walks and brute-force spans, each with the logarithm of its number of
+guesses. A value whose cheapest cut still takes ``MIN_GUESSES`` (log10) is a secret and
+adds a span; ``password = changeme`` does not.
 
 All work is inside one row: no shuffle, and an executor's loss costs its tasks only.
 """
@@ -31,8 +32,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 
-#: Further credential contexts; the last group is the value.
+#: Credential contexts with values of any characters; the last group is the value. The
+#: first has the names of ``ASSIGN``: a quoted value ends at its quote.
 CONTEXTS = (
+    re.compile(
+        r"(password|passwd|secret|token|api[_-]?key)[\"']?\x20*[:=]\x20*"
+        r"(?:\"((?:[^\s\"\\]|\\\S)+)|'((?:[^\s'\\]|\\\S)+)|(\S+))",
+        re.IGNORECASE | re.ASCII,
+    ),
     re.compile(
         r"(?<![a-z0-9])(pwd|passphrase|passcode|pass|private_?key|access_?key|client_?key|"
         r"signing_?key|credentials?|auth)[\"']?\x20*[:=]\x20*[\"']?([!-~]+)",
@@ -42,7 +49,7 @@ CONTEXTS = (
     re.compile(r"://([A-Za-z0-9._%+-]+):([!-.0-?A-~]+)(?=@)"),
 )
 #: What a context contains, lower-case: texts without it are not searched.
-HINTS = re.compile(r"pwd|pass|key|cred|auth|bearer|basic|://", re.IGNORECASE)
+HINTS = re.compile(r"pwd|pass|secret|token|key|cred|auth|bearer|basic|://", re.IGNORECASE)
 ASSIGN_HINTS = re.compile(r"passw|secret|token|api", re.IGNORECASE)
 
 #: Smallest number of guesses (log10) of a secret, that of eight unrelated digits.
@@ -157,7 +164,8 @@ def hard_values(text: str, least: float) -> list[tuple[int, int]]:
         for pattern in CONTEXTS:
             for m in pattern.finditer(text):
                 start, end = m.span(m.lastindex)
-                while end > start and text[end - 1] in "\"',;.)]}>":
+                quoted = text[start - 1] in "\"'" and text[end : end + 1] == text[start - 1]
+                while not quoted and end > start and text[end - 1] in "\"',;.)]}>":
                     end -= 1
                 found.add((start, end))
     # A value without a digit is taken for a word of prose.

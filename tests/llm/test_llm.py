@@ -310,6 +310,25 @@ def test_secrets(documents, empty):
     assert secrets.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ('password = "T7#kq!9ZwP$x" then', "T7#kq!9ZwP$x"),
+        ('{"secret":"q7Z!r3kPw99xK","user":"me"}', "q7Z!r3kPw99xK"),
+        ("token: !x9Kd82Lq#z, and", "!x9Kd82Lq#z"),
+        ("DB_PASSWORD=$9xK!2pQ7zR", "$9xK!2pQ7zR"),
+        ("api-key='aB3cD4eF)' end", "aB3cD4eF)"),
+        ("passwd: abc123xyz#k9!Lw\u00e97 end", "abc123xyz#k9!Lw\u00e97"),
+        ('api_key="w9\\"Kx!72Qz" end', 'w9\\"Kx!72Qz'),
+    ],
+)
+def test_secrets_with_symbols(text, value):
+    base, added = secrets.scan_text(text)
+    assert value in [text[s:e] for s, _, e in added]
+    left = secrets.redacted(text, base + added, "")
+    assert not any(value[i : i + 3] in left for i in range(len(value) - 2))
+
+
 @pytest.mark.parametrize(
     ("easy", "hard"),
     [

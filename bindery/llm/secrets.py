@@ -6,7 +6,8 @@ those that they do, there with the symbols that end the patterns' values. A dyna
 programme finds the cheapest way to guess a value: it is cut into known words, dates,
 repeats, keyboard walks and brute-force spans, each with the logarithm of its number of
 guesses. A value whose cheapest cut still takes ``MIN_GUESSES`` (log10) is a secret and
-adds a span; ``password = changeme`` does not.
+adds a span; ``password = changeme`` does not. In a value without a digit, letters whose
+pairs are those of words cost a word of a dictionary, which keeps out prose.
 
 All work is inside one row: no shuffle, and an executor's loss costs its tasks only.
 """
@@ -86,6 +87,21 @@ DATE = re.compile(
     r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d"
 )
 
+#: Letter pairs in five or more of 4,269 words of English documentation, by
+#: first letter. Log10 of the words of a dictionary, letters of a long one, and what each
+#: further letter costs.
+FOLLOWERS = (
+    "abcdefghiklmnprstuvwxyz babcdegijlmoprstuy cacehiklmoprstuy dabcdegilmnorsuvy "
+    "eabcdefghiklmnopqrstuvwxyz fadefilorstuy gaceghilmnorstu haeilnortuy "
+    "iabcdefgklmnoprstuvxz jacdeiopu kaeilnosuw lacdefgiklmoprstuvy mabdeimnopsu "
+    "nabcdefghijklmnoprstuvyz oabcdefghijklmnoprstuvwxyz pacdehiloprstuy qu "
+    "rabcdefghiklmnoprstuvy sacdefhiklmnoprstuy tabcdefhilmnoprstuwyz "
+    "uabcdefgilmnoprstuxz vaeio waehilnors xaceipt yaceimnoprstw zaei"
+).split()
+PAIRS = {line[0] + c for line in FOLLOWERS for c in line[1:]}
+DICTIONARY, LONG_WORD, FURTHER_LETTER = 5.0, 12, 0.5
+WORD = re.compile(r"(?<![^\W\d_])(?:[A-Za-z][a-z]{3,}|[A-Z]{4,})(?![^\W\d_])")
+
 
 def runs(value: str) -> Iterator[tuple[int, int, float]]:
     """Spans that are easier than brute force, with the log10 of their guesses."""
@@ -100,6 +116,12 @@ def runs(value: str) -> Iterator[tuple[int, int, float]]:
                     if case and part not in (part.upper(), part.capitalize()):
                         case = math.log10(2) * sum(c.isupper() for c in part)
                     yield i, j, math.log10(rank + 1) + case + swapped
+    if not any(c.isdigit() for c in value):  # words of prose, by their letter pairs
+        for m in WORD.finditer(value):
+            word = m.group().lower()
+            if all(a + b in PAIRS for a, b in zip(word, word[1:], strict=False)):
+                case = 0.0 if m.group() == word else math.log10(2)
+                yield *m.span(), DICTIONARY + FURTHER_LETTER * max(0, len(word) - LONG_WORD) + case
     for i in range(len(value)):
         found = DATE.match(value, i)
         if found:
@@ -168,13 +190,8 @@ def hard_values(text: str, least: float) -> list[tuple[int, int]]:
                 while not quoted and end > start and text[end - 1] in "\"',;.)]}>":
                     end -= 1
                 found.add((start, end))
-    # A value without a digit is taken for a word of prose.
     return sorted(
-        (s, e)
-        for s, e in found
-        if e - s >= LEAST_VALUE
-        and any(c.isdigit() for c in text[s:e])
-        and guesses(text[s:e]) >= least
+        (s, e) for s, e in found if e - s >= LEAST_VALUE and guesses(text[s:e]) >= least
     )
 
 

@@ -329,6 +329,25 @@ def test_secrets_with_symbols(text, value):
     assert not any(value[i : i + 3] in left for i in range(len(value) - 2))
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("pwd=qzXvKplWmTrBhGf", "qzXvKplWmTrBhGf"),
+        ("pwd=qzxvkplwmtrbhgf", "qzxvkplwmtrbhgf"),
+        ("Authorization: Bearer kQzWvXnbTrPlMjhG", "kQzWvXnbTrPlMjhG"),
+        ("https://me:xk!vQz#rWpLt@host", "xk!vQz#rWpLt"),
+        ("password = 'xk!vQz#rWpLt'", "xk!vQz#rWpLt"),
+        ("password is Secret: Authentication", None),
+        ("the token: identifiers of a basic understanding, pass: REQUIRED", None),
+        ("Basic authentication, bearer instruments; auth: permission.", None),
+        ("password = changeme, secret: ********, pwd=${PASSWORD}", None),
+    ],
+)
+def test_secrets_without_digits(text, value):
+    _, added = secrets.scan_text(text)
+    assert [text[s:e] for s, _, e in added] == ([value] if value else [])
+
+
 @pytest.mark.parametrize(
     ("easy", "hard"),
     [

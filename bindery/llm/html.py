@@ -7,7 +7,8 @@ of linked text. The ratios are smoothed over the places of the page by a Gaussia
 window, fused as a geometric mean, and a threshold on the fused ratio, relative to
 the page's deviation, marks content paths. The subtree around which content gathers
 is the article: all its blocks are taken, in page order, except what its tags or
-names mark as something else (menus, notices, adverts, comments and the like).
+names mark as something else (menus, notices, adverts, comments and the like). Unmarked
+headings and blocks on content paths beside it are taken, too.
 
 A page is worked on alone: no shuffle, and memory in proportion to the page.
 """
@@ -29,6 +30,12 @@ SKIPPED = frozenset(
     "script style noscript template head title iframe object svg canvas audio video select "
     "option textarea button form fieldset label input nav footer aside dialog menu".split()
 )
+#: Elements that may stand in a head; any other one, or text, ends it. Those of them whose
+#: content may be any element.
+IN_HEAD = frozenset(
+    "html head title base link meta style script noscript template bgsound basefont".split()
+)
+HOLDS_ANY = frozenset("noscript template".split())
 #: Elements without an end tag.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -54,6 +61,7 @@ ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
     "form toolbar".split()
 )
+HEADING = re.compile(r"/h[1-6](/|$)")
 PUNCTUATION = re.compile(r"[^\w\s]")
 SPACE = re.compile(r"\s+")
 #: Standard deviation of the smoothing window, in nodes.
@@ -88,6 +96,8 @@ class PageReader(HTMLParser):
         self.block = 0
 
     def handle_starttag(self, tag, attributes):
+        if tag not in IN_HEAD and not any(o[0] in HOLDS_ANY for o in self.open):
+            self.close("head")
         if tag in BLOCKS:
             self.block += 1
         if tag in ENDS_P:
@@ -144,6 +154,8 @@ class PageReader(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.open[-1][0] == "head" and data.strip():
+            self.close("head")
         if data:
             _, number, path, linked, skipped = self.open[-1]
             self.nodes.append(Node(self.block, path, number, linked, skipped, data))
@@ -175,11 +187,17 @@ def fused_ratios(nodes: list[Node]) -> np.ndarray:
     return np.sqrt(smooth(text) * smooth(1 + punctuation))
 
 
-def article_of(nodes: list[Node], ratios: np.ndarray, tags: dict[int, tuple[str, int]]) -> int:
-    """Number of the element around which content paths gather.
+def article_of(
+    nodes: list[Node], ratios: np.ndarray, tags: dict[int, tuple[str, int]]
+) -> tuple[int, set[int]]:
+    """Number of the element around which content paths gather, and blocks beside it.
 
     Scores of content nodes are their text. From the root, the search goes down to a
-    child as long as it holds nearly all of its parent's score.
+    child as long as it holds nearly all of its parent's score. What it left out on the
+    way belongs to the page, too: the element is the outermost article that it passed, or
+    else the outermost main, or else the last. Blocks beside it with unlinked text on
+    content paths or in headings are taken within that main, or, where it passed neither,
+    within the page.
     """
     content = ratios >= THRESHOLD * ratios.std()
     score: dict[int, float] = {}
@@ -193,14 +211,30 @@ def article_of(nodes: list[Node], ratios: np.ndarray, tags: dict[int, tuple[str,
     children: dict[int, list[int]] = {}
     for number, (_, parent) in tags.items():
         children.setdefault(parent, []).append(number)
-    at = 0
+    at, passed = 0, [0]
     while True:
         best = max(children.get(at, ()), key=lambda c: score.get(c, 0.0), default=None)
         if best is None or tags[best][0] not in BLOCKS or tags[best][0] == "p":
-            return at
+            break
         if score.get(best, 0.0) < 0.8 * score.get(at, 0.0) or not score.get(best):
-            return at
+            break
         at = best
+        passed.append(at)
+    article, main = (
+        next((n for n in passed if tags[n][0] == name), None) for name in ("article", "main")
+    )
+    root = next((n for n in (article, main) if n is not None), at)
+    bound = main if article is not None or main is not None else 0
+    beside: set[int] = set()
+    if bound is not None and bound < root:
+        beside = {
+            n.block
+            for n, good in zip(nodes, content, strict=True)
+            if not n.linked
+            and (good or HEADING.search(n.path))
+            and inside(n.ancestors, bound, tags)
+        }
+    return root, beside
 
 
 def inside(number: int, root: int, tags: dict[int, tuple[str, int]]) -> bool:
@@ -223,10 +257,10 @@ def main_text(html: str) -> str:
     seen = [n for n in nodes if n.text.strip()]
     if not seen:
         return ""
-    root = article_of(seen, fused_ratios(seen), reader.tags)
+    root, beside = article_of(seen, fused_ratios(seen), reader.tags)
     blocks: dict[int, list[str]] = {}
     for node in nodes:
-        if inside(node.ancestors, root, reader.tags):
+        if node.block in beside or inside(node.ancestors, root, reader.tags):
             blocks.setdefault(node.block, []).append(node.text)
     texts = (SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n\n".join(t for t in texts if t)

@@ -186,6 +186,37 @@ def test_main_text(page, text):
     assert html.main_text(page or "") == text
 
 
+BODY = "<p>A first long sentence, of many words, is here.</p>" * 12
+
+
+@pytest.mark.parametrize(
+    ("page", "parts"),
+    [
+        (f"<article><h1>Title</h1><div class=body>{BODY}</div></article>", ["Title"]),
+        (f"<article><p>Intro</p><ul><li>{BODY}</ul><p>End.</article>", ["Intro", "End."]),
+        (f"<article><p>Intro, here.</p><section>{BODY}</section></article>", ["Intro, here."]),
+        (f"<main><h2>Title</h2><table><tr><td>{BODY}</table></main>", ["Title"]),
+        (f"<div><h1>Title</h1><div>{BODY}</div></div>", ["Title"]),
+        (f"<div><p>An intro, of some words.</p><div>{BODY}</div></div>", ["An intro, of some words."]),
+        (f"<main><h1>Title</h1><article>{BODY}</article></main>", ["Title"]),
+        (f"<div><div><a>One</a> <a>Two</a></div><h1>Title</h1><div>{BODY}</div></div>", ["Title"]),
+        (f"<html><head><title>No</title><meta charset=x><body><h1>Title</h1>{BODY}", ["Title"]),
+        (f"<head><title>No</title><p>Start, here.</p>{BODY}", ["Start, here."]),
+        ("<head><title>No</title>Plain text.", ["Plain text."]),
+        (f"<head><noscript><div>No</div></noscript><title>No</title></head>{BODY}", []),
+    ],
+)
+def test_main_text_is_the_whole_article(page, parts):
+    found = html.main_text(page).split("\n\n")
+    assert [x for x in found if not x.startswith("A first")] == parts
+    assert found.count("A first long sentence, of many words, is here.") == page.count("A first")
+
+
+def test_main_text_keeps_no_menu_beside_the_article():
+    page = f"<body><div><a>One</a> <a>Two</a></div><article><h1>Title</h1><div>{BODY}</div></article>"
+    assert "One" not in html.main_text(page) and html.main_text(page).startswith("Title")
+
+
 def test_extraction_keeps_pages(spark):
     rows = [(1, "u", None, "x"), (2, None, "<p>Hi, there.", "x"), (2, None, "<p>Hi, there.", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -13,6 +13,7 @@ from . import (
     classifier,
     html,
     katz,
+    lexical,
     mixing,
     neardup,
     quality_rules,
@@ -126,3 +127,8 @@ def op9_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query("op13_lexical_search", lexical.SQL)
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -20,7 +20,9 @@ from . import (
     secrets,
     substrings,
     topk,
+    warc,
 )
+from ..scratch import new_folder, stored
 from .texts import remainder
 
 #: Rank file of the tokenizer.
@@ -132,3 +134,16 @@ def op9_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_lexical_search", lexical.SQL)
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_warc", warc.SQL)
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = new_folder(spark, "archives")
+    stored(warc.write(table(spark, folder, "pages"), archives), "places")
+    return warc.read(spark, archives).select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import (
     bpe,
     classifier,
+    collocations,
     html,
     katz,
     lexical,
@@ -147,3 +148,8 @@ def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
         "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query("op11_phrase_collocations", collocations.SQL)
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))

@@ -194,7 +194,8 @@ def build_index(counts: DataFrame, shard_docs: int = SHARD_DOCS) -> tuple[DataFr
     # n * N stays within 64 bits for 3 billion documents of 60 million terms.
     m = F.expr(f"{100 - LENGTH_PERCENT}L + ({LENGTH_PERCENT}L * n * {n_docs}L) div {max(1, n_terms)}L")
     dealt = counts.where("n > 0").select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
+        # By row, not by ID: no ID or text, however often it is there, fills a shard.
+        F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"),
         m.alias("m"),
         "doc_id",
         "terms",

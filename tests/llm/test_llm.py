@@ -404,13 +404,11 @@ def plain_katz(rows):
     train = [w for i, w in docs if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1]
     c = collections.Counter(x for w in train for x in w)
     n = sum(c.values())
-    hot = {x for x, k in c.items() if k >= max(1, 1e-3 * n) and x is not None}
     pairs, history = collections.Counter(), collections.Counter()
     for w in train:
         for h, x in zip(["<s>", *w], w, strict=False):
-            if h == "<s>" or h in hot:
-                pairs[h, x] += 1
-                history[h] += 1
+            pairs[h, x] += 1
+            history[h] += 1
 
     def factors(counter):
         of = [sum(v == r for v in counter.values()) for r in range(1, 7)]

@@ -1,48 +1,60 @@
 """The published archive and its versions.
 
 The store only grows. An update writes its new content once, below
-``data/run_id=<attempt>/target=.../kind=...``, and the keys of the rows that it
-replaces or deletes below ``removed/<attempt>``; content that stays is neither read
-nor written. One append to the log ``published`` then makes both count. What is
-published are the rows of all attempts in the log without the removed ones. A version
-is the number of the last log entry of each set, so old versions stay readable.
-
-A log has one writer at a time, as the update gate of ``plans.runs`` has it.
+``data/run_id=<attempt>/target=.../kind=...``, and below ``removed/`` the places of the
+rows that it replaces or deletes: a bit for each row of a data file. Content that stays
+is neither read nor written. One entry in the log ``published`` then makes both count.
+What is published are the rows of all attempts in the log without the removed ones. A
+version is the number of the last log entry of each set, so old versions stay readable.
+
+Readers look up the bits of a file where they read it. They come by broadcasts of bounded
+size, each with the files that it is about, so content moves for no reader either.
+
+A number of the log belongs to one writer. An update is prepared against the entries that
+it has seen; if another one was published since, what it takes away is found anew before
+it tries the next number. Nothing of it counts before that.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery import schemas
+from bindery import commits, schemas
 from bindery.functions import names
 from bindery.partitioning import unsorted_partition_writes
 from bindery.sources import archives
 
 COLUMNS = ["binding_id", "kind", "page_number", "path", "size", "content"]
-#: What names a row of the store.
-KEY = ["run_id", "target", "path"]
+#: What names a data file of the store, and a row in it.
+FILE = ["run_id", "target", "kind", "file"]
+PLACE = [*FILE, "row"]
+#: Rows that one bitmap of Spark is about, and its bytes.
+BITMAP_ROWS = 32_768
+BITMAP_BYTES = 4_096
+#: Bytes of bitmaps that one broadcast holds, with some for the names of their files.
+BROADCAST_BYTES = 64 * 1024 * 1024
+#: Times that a writer tries again after others were faster.
+TRIES = 100
 
 
 def create_store(spark: SparkSession, root: str) -> None:
-    """Create the empty log and version tables of a new store."""
-    for name, schema in (
-        ("published", schemas.PUBLISHED),
-        ("versions", schemas.VERSIONS),
-    ):
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}")
+    """Create the empty logs of a new store; one that is there stays as it is."""
+    for name in ("published", "versions"):
+        commits.commit(spark, f"{root}/{name}", 0, [])
 
 
 def read_pointers(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.PUBLISHED).parquet(f"{root}/published")
+    return commits.read(spark, f"{root}/published", schemas.PUBLISHED)
 
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.VERSIONS).parquet(f"{root}/versions")
+    return commits.read(spark, f"{root}/versions", schemas.VERSIONS)
 
 
 def current_locations(pointers: DataFrame) -> DataFrame:
@@ -65,27 +77,101 @@ def counting_entries(log: DataFrame) -> DataFrame:
     )
 
 
-def read_entries(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
-    """Archive rows that the log entries publish.
-
-    The entries are collected: one per subset and update since the last ``compact``.
-    """
-    entries = counting_entries(log).select("location", "attempt", "whole").collect()
-    locations = sorted({e["location"] for e in entries} - {None})
-    if not locations:
-        return spark.createDataFrame([], schemas.ARCHIVE)
+def placed_rows(spark: SparkSession, root: str, locations: list[str]) -> DataFrame:
+    """All archive rows of some folders, each with its file and its number in it."""
     found = (
         spark.read.schema(schemas.ARCHIVE)
         .option("basePath", f"{root}/data")
         .parquet(*[f"{root}/data/{location}" for location in locations])
     )
-    attempts = sorted({e["attempt"] for e in entries if not e["whole"]})
-    if not attempts:
-        return found
-    removed = spark.read.schema(schemas.REMOVED).parquet(
-        *[f"{root}/removed/{attempt}" for attempt in attempts]
+    return found.select(
+        "*",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    )
+
+
+def bitmaps(places: DataFrame) -> DataFrame:
+    """Rows of ``PLACE`` as one bitmap for each file and bucket of rows."""
+    return places.groupBy(*FILE, F.expr(f"row div {BITMAP_ROWS}").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("row") % BITMAP_ROWS).alias("rows")
+    )
+
+
+def read_removed(spark: SparkSession, root: str, folders: list[str], targets: list[str]) -> DataFrame:
+    """Bitmaps that updates wrote for some targets, one for each file and bucket."""
+    found = spark.read.schema(schemas.REMOVED).parquet(*[f"{root}/removed/{f}" for f in folders])
+    return (
+        found.where(F.col("target").isin(targets))
+        .groupBy(*FILE, "bucket")
+        .agg(F.bitmap_or_agg("rows").alias("rows"))
     )
-    return found.join(removed, KEY, "left_anti").select(found.columns)
+
+
+def is_set(bitmap: Column, place: Column) -> Column:
+    """Whether a bit of a bitmap is set; false for a null bitmap."""
+    byte = F.substring(bitmap, F.expr("1") + F.floor(place / 8).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.coalesce(F.getbit(value, (place % 8).cast("int")) == 1, F.lit(False))
+
+
+def without_removed(
+    rows: DataFrame, removed: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Placed rows whose bit is not set in the bitmaps of their file.
+
+    Bitmaps are counted. Files are dealt into as many groups as keep each broadcast below
+    the bound, and every group is scanned with its own bitmaps.
+    """
+    n = removed.count()
+    if not n:
+        return rows
+    groups = min(n, -(-n * (BITMAP_BYTES + 256) // broadcast_bytes))
+
+    def in_group(g: int) -> Column:
+        # On the file's name alone, so files of other groups are not opened.
+        return F.pmod(F.xxhash64("file"), F.lit(groups)) == g
+
+    def left(g: int) -> DataFrame:
+        own = F.broadcast(removed.where(in_group(g)).withColumnRenamed("rows", "_rows"))
+        bucket = F.expr(f"row div {BITMAP_ROWS}")
+        return (
+            rows.where(in_group(g))
+            .withColumn("bucket", bucket)
+            .join(own, [*FILE, "bucket"], "left")
+            .where(~is_set(F.col("_rows"), F.col("row") % BITMAP_ROWS))
+            .select(rows.columns)
+        )
+
+    return reduce(DataFrame.unionByName, [left(g) for g in range(groups)])
+
+
+def read_placed(
+    spark: SparkSession, root: str, log: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """Archive rows that the log entries publish, with their places; None without files.
+
+    The entries are collected: one per subset and update since the last ``compact``.
+    """
+    entries = counting_entries(log).select("location", "removed").collect()
+    locations = sorted({e["location"] for e in entries} - {None})
+    if not locations:
+        return None
+    found = placed_rows(spark, root, locations)
+    folders = sorted({e["removed"] for e in entries} - {None})
+    if not folders:
+        return found
+    targets = sorted({location.split("/target=")[1] for location in locations})
+    removed = read_removed(spark, root, folders, targets)
+    return without_removed(found, removed, broadcast_bytes)
+
+
+def read_entries(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
+    """Archive rows that the log entries publish."""
+    found = read_placed(spark, root, log)
+    if found is None:
+        return spark.createDataFrame([], schemas.ARCHIVE)
+    return found.drop("file", "row")
 
 
 def read_published(
@@ -114,16 +200,16 @@ def select_binding(
     return archives.select_files(read_entries(spark, root, log), binding_id=binding_id)
 
 
-def removed_keys(held: DataFrame, new: DataFrame, deleted: DataFrame) -> DataFrame:
-    """Keys of the rows that an update takes away.
+def removed_places(held: DataFrame | None, new: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Places of the rows that an update takes away.
 
     Held rows go if a new one has their path, and all rows of a deleted binding go,
     the new ones too: additions come first. Reads no content.
     """
-    columns = [*KEY, "binding_id"]
-    both = held.select(*columns, F.lit(True).alias("_held")).unionByName(
-        new.select(*columns, F.lit(False).alias("_held"))
-    )
+    columns = [*PLACE, "path", "binding_id"]
+    both = new.select(*columns, F.lit(False).alias("_held"))
+    if held is not None:
+        both = both.unionByName(held.select(*columns, F.lit(True).alias("_held")))
     yes = F.lit(True)
     again = new.select("path").distinct().withColumn("_again", yes)
     gone = deleted.select("binding_id").distinct().withColumn("_gone", yes)
@@ -131,8 +217,7 @@ def removed_keys(held: DataFrame, new: DataFrame, deleted: DataFrame) -> DataFra
         both.join(again, "path", "left")
         .join(gone, "binding_id", "left")
         .where(F.col("_gone") | (F.col("_held") & F.col("_again")))
-        .select(KEY)
-        .distinct()
+        .select(PLACE)
     )
 
 
@@ -142,7 +227,7 @@ def new_attempt(set_id: str, run_id: str) -> str:
 
 
 def write_rows(root: str, attempt: str, set_id: str, rows: DataFrame) -> DataFrame:
-    """Write archive rows to an attempt's folder; returns them as they are there."""
+    """Write archive rows to an attempt's folder; returns them with their places there."""
     spark = rows.sparkSession
     path = f"{root}/data/run_id={attempt}"
     target = names.folder_name(names.subset_name(F.lit(set_id), "subset_id"))
@@ -153,50 +238,67 @@ def write_rows(root: str, attempt: str, set_id: str, rows: DataFrame) -> DataFra
     )
     with unsorted_partition_writes(spark):
         placed.write.partitionBy("target", "kind").parquet(path)
-    return (
-        spark.read.schema(schemas.ARCHIVE).option("basePath", f"{root}/data").parquet(path)
-    )
+    return placed_rows(spark, root, [f"run_id={attempt}"])
 
 
-def append_entries(
-    root: str,
+@dataclass(frozen=True)
+class Update:
+    """An update whose files are written, and which nothing counts of yet."""
+
+    root: str
+    set_id: str
+    run_id: str
+    attempt: str
+    published_at: str
+    new: DataFrame
+    deleted: DataFrame
+    locations: dict[str, str | None]
+    #: Number of the set's last entry that ``removed`` takes into account.
+    seen: int = -1
+    removed: str | None = None
+    tries: int = field(default=0)
+
+
+def locations_of(attempt: str, subset_ids: list[str], written: DataFrame) -> dict[str, str | None]:
+    """Folder of each subset's new files; None if it has none."""
+    targets = dict(written.select("subset_id", "target").distinct().collect())
+    return {
+        s: f"run_id={attempt}/target={targets[s]}" if s in targets else None for s in subset_ids
+    }
+
+
+def entries_of(
     set_id: str,
     run_id: str,
     attempt: str,
-    subset_ids: list[str],
-    written: DataFrame,
+    locations: dict[str, str | None],
+    removed: str | None,
     whole: bool,
     published_at: str | None,
-) -> None:
-    """Add an entry per subset to the log, under the next number."""
-    spark = written.sparkSession
-    log = read_pointers(spark, root)
-    number = (log.agg(F.max("seq")).first()[0] or 0) + 1
-    targets = dict(written.select("subset_id", "target").distinct().collect())
-    entries = [
-        (
-            s,
-            f"run_id={attempt}/target={targets[s]}" if s in targets else None,
-        )
-        for s in subset_ids
+    seq: int,
+) -> list[dict]:
+    """Log rows of a number, one per subset."""
+    return [
+        {
+            "set_id": set_id,
+            "subset_id": subset_id,
+            "run_id": run_id,
+            "attempt": attempt,
+            "seq": seq,
+            "location": location,
+            "removed": removed,
+            "whole": whole,
+            "published_at": published_at,
+        }
+        for subset_id, location in locations.items()
     ]
-    rows = spark.createDataFrame(entries, "subset_id string, location string").select(
-        F.lit(set_id).alias("set_id"),
-        "subset_id",
-        F.lit(run_id).alias("run_id"),
-        F.lit(attempt).alias("attempt"),
-        F.lit(number).cast("bigint").alias("seq"),
-        "location",
-        F.lit(whole).alias("whole"),
-        F.lit(published_at).cast("timestamp").alias("published_at"),
-    )
-    rows.coalesce(1).write.mode("append").parquet(f"{root}/published")
-    same = read_pointers(spark, root).where(F.col("seq") == number)
-    if same.select("attempt").distinct().count() > 1:
-        raise RuntimeError(f"two updates were published at once, as number {number}")
 
 
-def apply_update(
+def of_set(log: DataFrame, set_id: str) -> DataFrame:
+    return log.where(F.col("set_id") == set_id)
+
+
+def prepare_update(
     spark: SparkSession,
     root: str,
     set_id: str,
@@ -204,63 +306,141 @@ def apply_update(
     published_at: str,
     added: DataFrame,
     deleted: DataFrame,
-) -> None:
-    """Write and publish what an update adds to and takes from a set.
+) -> Update:
+    """Write what an update adds to and takes from a set, without publishing it.
 
     ``added`` are archive rows with ``subset_id``, ``deleted`` has ``subset_id,
-    binding_id``. Only subsets named by either are touched. A run that was broken off
-    can be repeated: it writes to a new folder, and nothing was published. A run
-    that is in the log is refused.
+    binding_id``. Only subsets named by either are touched.
     """
-    log = read_pointers(spark, root).where(F.col("set_id") == set_id)
-    if not log.where(F.col("run_id") == run_id).isEmpty():
-        raise ValueError(f"run {run_id} of {set_id} is already published")
+    refuse_published(read_pointers(spark, root), set_id, run_id)
     attempt = new_attempt(set_id, run_id)
     new = write_rows(root, attempt, set_id, added)
     touched = new.select("subset_id").union(deleted.select("subset_id")).distinct()
     # One row per subset of the set's split.
     subset_ids = [r["subset_id"] for r in touched.collect()]
-    if not subset_ids:
-        return
-    held = read_entries(spark, root, log.where(F.col("subset_id").isin(subset_ids)))
-    removed_keys(held, new, deleted).write.parquet(f"{root}/removed/{attempt}")
-    append_entries(root, set_id, run_id, attempt, subset_ids, new, False, published_at)
+    locations = locations_of(attempt, subset_ids, new)
+    update = Update(root, set_id, run_id, attempt, published_at, new, deleted, locations)
+    return against(update, read_pointers(spark, root)) if subset_ids else update
+
+
+def refuse_published(log: DataFrame, set_id: str, run_id: str) -> None:
+    if not of_set(log, set_id).where(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run {run_id} of {set_id} is already published")
+
+
+def against(update: Update, log: DataFrame) -> Update:
+    """The update with what it takes away from the state of a log. Writes bitmaps only."""
+    spark = update.new.sparkSession
+    log = of_set(log, update.set_id)
+    last = commits.last_number(log, "seq")
+    if last == update.seen:
+        return update
+    touched = log.where(F.col("subset_id").isin(list(update.locations)))
+    held = read_placed(spark, update.root, touched)
+    removed = f"{update.attempt}.{update.tries}"
+    places = removed_places(held, update.new, update.deleted)
+    bitmaps(places).write.parquet(f"{update.root}/removed/{removed}")
+    return replace(update, seen=last, removed=removed, tries=update.tries + 1)
+
+
+def publish(update: Update) -> int | None:
+    """Publish a prepared update; returns its number, None if it changes nothing.
+
+    Where another writer was faster, the update takes the next number, after a look at
+    what the other one has changed. A run of that name in the log is refused.
+    """
+    spark, root = update.new.sparkSession, update.root
+    time = commits.utc_text(spark, update.published_at)
+    for _ in range(TRIES):
+        if not update.locations:
+            return None
+        log = read_pointers(spark, root)
+        refuse_published(log, update.set_id, update.run_id)
+        number = commits.last_number(log, "seq") + 1
+        update = against(update, log)
+        rows = entries_of(
+            update.set_id,
+            update.run_id,
+            update.attempt,
+            update.locations,
+            update.removed,
+            False,
+            time,
+            number,
+        )
+        if commits.commit(spark, f"{root}/published", number, rows):
+            return number
+    raise RuntimeError(f"run {update.run_id} of {update.set_id} is not published: others were faster")
+
+
+def apply_update(
+    spark: SparkSession,
+    root: str,
+    set_id: str,
+    run_id: str,
+    published_at: str,
+    added: DataFrame,
+    deleted: DataFrame,
+) -> None:
+    """Write and publish what an update adds to and takes from a set.
+
+    A run that was broken off can be repeated: it writes to a new folder, and nothing
+    was published. A run that is in the log is refused.
+    """
+    publish(prepare_update(spark, root, set_id, run_id, published_at, added, deleted))
 
 
 def compact(spark: SparkSession, root: str, set_id: str) -> None:
     """Write what is published of a set anew, without removed rows, as one attempt.
 
     For a set with many updates. Published rows stay the same, and so do versions:
-    no older folder is deleted.
+    no older folder is deleted. If the set is updated meanwhile, it starts again.
     """
-    log = read_pointers(spark, root).where(F.col("set_id") == set_id)
-    subset_ids = [r["subset_id"] for r in log.select("subset_id").distinct().collect()]
-    if not subset_ids:
-        return
-    attempt = new_attempt(set_id, "whole")
-    rows = write_rows(root, attempt, set_id, read_entries(spark, root, log))
-    append_entries(root, set_id, attempt, attempt, subset_ids, rows, True, None)
+    seen, attempt, locations = -1, "", {}
+    for _ in range(TRIES):
+        log = read_pointers(spark, root)
+        own = of_set(log, set_id)
+        last = commits.last_number(own, "seq")
+        if last != seen:
+            subset_ids = [r["subset_id"] for r in own.select("subset_id").distinct().collect()]
+            if not subset_ids:
+                return
+            attempt = new_attempt(set_id, "whole")
+            rows = write_rows(root, attempt, set_id, read_entries(spark, root, own))
+            locations, seen = locations_of(attempt, subset_ids, rows), last
+            continue
+        number = commits.last_number(log, "seq") + 1
+        entries = entries_of(set_id, attempt, attempt, locations, None, True, None, number)
+        if commits.commit(spark, f"{root}/published", number, entries):
+            return
+    raise RuntimeError(f"set {set_id} is not compacted: it was updated all the time")
 
 
 def create_version(
     spark: SparkSession, root: str, version_id: str, created_at: str
 ) -> None:
     """Record the published state as a version; a known version is refused."""
-    known = read_versions(spark, root).where(F.col("version_id") == version_id)
-    if not known.isEmpty():
-        raise ValueError(f"version {version_id} is already there")
-    rows = (
-        read_pointers(spark, root)
-        .groupBy("set_id")
-        .agg(F.max("seq").alias("seq"))
-        .select(
-            F.lit(version_id).alias("version_id"),
-            F.lit(created_at).cast("timestamp").alias("created_at"),
-            "set_id",
-            "seq",
-        )
-    )
-    rows.coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    time = commits.utc_text(spark, created_at)
+    for _ in range(TRIES):
+        versions = read_versions(spark, root)
+        if not versions.where(F.col("version_id") == version_id).isEmpty():
+            raise ValueError(f"version {version_id} is already there")
+        number = commits.last_number(versions, "number") + 1
+        # One row per set; a version of the empty store has none of them.
+        state = read_pointers(spark, root).groupBy("set_id").agg(F.max("seq")).collect()
+        rows = [
+            {
+                "version_id": version_id,
+                "created_at": time,
+                "set_id": set_id,
+                "seq": seq,
+                "number": number,
+            }
+            for set_id, seq in state or [(None, 0)]
+        ]
+        if commits.commit(spark, f"{root}/versions", number, rows):
+            return
+    raise RuntimeError(f"version {version_id} is not recorded: others were faster")
 
 
 def list_versions(versions: DataFrame) -> DataFrame:
@@ -268,30 +448,35 @@ def list_versions(versions: DataFrame) -> DataFrame:
 
 
 def latest_version(versions: DataFrame) -> DataFrame:
-    """One row: the newest version, null when there is none."""
+    """One row: the version of the highest number, null when there is none."""
     return versions.agg(
-        F.max_by("version_id", "created_at").alias("version_id"),
-        F.max("created_at").alias("created_at"),
+        F.max_by("version_id", "number").alias("version_id"),
+        F.max_by("created_at", "number").alias("created_at"),
     )
 
 
 def current_version(pointers: DataFrame, versions: DataFrame) -> DataFrame:
     """One row: the version of the published state, null while it has none.
 
-    The marker is cleared by every publication and set by the next version.
+    The marker is cleared by every publication and set by the next version, whatever
+    dates they were given. A compaction publishes nothing.
     """
-    both = versions.select("version_id", "created_at").unionByName(
-        pointers.select("published_at"), allowMissingColumns=True
-    )
-    newest = both.agg(
-        F.max_by("version_id", "created_at").alias("version_id"),
-        F.max("created_at").alias("created_at"),
-        F.max("published_at").alias("published_at"),
+    published = pointers.where(~F.col("whole")).select("set_id", F.col("seq").alias("_published"))
+    both = versions.select(
+        "set_id", "version_id", "number", F.col("seq").alias("_recorded")
+    ).unionByName(published, allowMissingColumns=True)
+    by_set = both.groupBy("set_id").agg(
+        F.max_by("version_id", "number").alias("version_id"),
+        F.max("number").alias("number"),
+        (F.coalesce(F.max("_published"), F.lit(0)) > F.coalesce(F.max("_recorded"), F.lit(0))).alias(
+            "_open"
+        ),
     )
-    backed_up = F.col("published_at").isNull() | (
-        F.col("published_at") <= F.col("created_at")
+    newest = by_set.agg(
+        F.max_by("version_id", "number").alias("version_id"),
+        F.coalesce(F.bool_or("_open"), F.lit(False)).alias("_open"),
     )
-    return newest.select(F.when(backed_up, F.col("version_id")).alias("version_id"))
+    return newest.select(F.when(~F.col("_open"), F.col("version_id")).alias("version_id"))
 
 
 def read_version(

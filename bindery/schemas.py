@@ -46,10 +46,15 @@ SUBSET_SPLIT = "set_id STRING, priority INT, prefix STRING"
 RUNS = "set_id STRING, run_id STRING, state STRING, execution_date TIMESTAMP"
 PUBLISHED = (
     "set_id STRING, subset_id STRING, run_id STRING, attempt STRING, seq BIGINT, "
-    "location STRING, whole BOOLEAN, published_at TIMESTAMP"
+    "location STRING, removed STRING, whole BOOLEAN, published_at TIMESTAMP"
+)
+# A bit for each row of a data file, in buckets of equal numbers of rows.
+REMOVED = (
+    "run_id STRING, target STRING, kind STRING, file STRING, bucket BIGINT, rows BINARY"
+)
+VERSIONS = (
+    "version_id STRING, created_at TIMESTAMP, set_id STRING, seq BIGINT, number BIGINT"
 )
-REMOVED = "run_id STRING, target STRING, path STRING"
-VERSIONS = "version_id STRING, created_at TIMESTAMP, set_id STRING, seq BIGINT"
 # ``run_id``, ``target`` and ``kind`` are folders; the others are in the files.
 ARCHIVE = (
     "set_id STRING, subset_id STRING, binding_id STRING, page_number INT, "

@@ -403,6 +403,68 @@ def _(t: Tables):
     return found.select("binding_id", "path")
 
 
+@query(
+    "raced_updates",
+    f"""WITH {STORED_SQL}
+        SELECT binding_id, path, CASE o_orderstatus WHEN 'O' THEN 'late' ELSE 'early' END AS run
+        FROM stored""",
+)
+def _(t: Tables):
+    """Two updates prepared from one state, and published one after the other.
+
+    Both hold the manifests of O. The one that lost its number replaces them.
+    """
+    root = t.scratch("store")
+    rows = archive_of_manifests(t)
+    none = routed(t).select("subset_id", "binding_id").limit(0)
+    publication.create_store(t.spark, root)
+
+    def prepared(run: str, statuses: str):
+        content = F.encode(F.lit(run), "utf-8")
+        wanted = rows.where(F.col("o_orderstatus").isin(*statuses)).withColumn("content", content)
+        return publication.prepare_update(t.spark, root, "all", run, "2024-01-31", wanted, none)
+
+    updates = [prepared("early", "FOP"), prepared("late", "O")]
+    numbers = [publication.publish(update) for update in updates]
+    if numbers != [1, 2]:
+        raise RuntimeError(f"two updates got the numbers {numbers}")
+    found = publication.read_published(t.spark, root)
+    return found.select("binding_id", "path", F.decode("content", "utf-8").alias("run"))
+
+
+@query(
+    "version_markers",
+    f"""WITH {STORED_SQL}
+        SELECT marker, count(*) FILTER (contains(states, o_orderstatus)) AS n_bindings
+        FROM stored, (VALUES ('F', 'F'), ('O', 'FO'), (NULL, 'FOP')) AS m(marker, states)
+        GROUP BY marker""",
+)
+def _(t: Tables):
+    """The marker, with the number of published bindings, after each of three updates.
+
+    Updates and versions all have dates before those that came earlier. Versions follow
+    the first two updates.
+    """
+    root = t.scratch("store")
+    rows = archive_of_manifests(t)
+    none = routed(t).select("subset_id", "binding_id").limit(0)
+    publication.create_store(t.spark, root)
+    states = []
+    for number, status in enumerate("FOP"):
+        publication.apply_update(
+            t.spark, root, "all", status, f"2024-01-{20 - number}",
+            rows.where(F.col("o_orderstatus") == status), none,
+        )
+        if status != "P":
+            publication.create_version(t.spark, root, status, f"2024-01-{10 - number:02d}")
+        marker = publication.current_version(
+            publication.read_pointers(t.spark, root), publication.read_versions(t.spark, root)
+        ).select(F.col("version_id").alias("marker"))
+        held = publication.read_published(t.spark, root).agg(F.count("*").alias("n_bindings"))
+        states.append((marker.first()["marker"], held.first()["n_bindings"]))
+    return t.spark.createDataFrame(states, "marker string, n_bindings bigint")
+
+
 def pointer_history(t: Tables):
     """Purchases as publications of a user's subset, sign-ups as versions."""
     pointers = t.events.where("event_type = 'purchase'").select(
@@ -410,11 +472,15 @@ def pointer_history(t: Tables):
         F.col("user_id").cast("string").alias("subset_id"),
         F.format_string("run_id=%d", "event_id").alias("location"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("seq"),
+        F.lit(False).alias("whole"),
         F.col("ts").alias("published_at"),
     )
     versions = t.events.where("event_type = 'signup'").select(
         F.format_string("%08x", "event_id").alias("version_id"),
         F.col("ts").alias("created_at"),
+        F.lit("all").alias("set_id"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("seq"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("number"),
     )
     return pointers, versions
 

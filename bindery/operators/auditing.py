@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions import files, ids, names
@@ -92,14 +92,10 @@ def expected_files(docs: DataFrame, base_url: str, on_error: str = "raise") -> D
     )
 
 
-def missing_files(expected: DataFrame, entries: DataFrame) -> DataFrame:
-    """Expected page files that are in the archive under neither of two names.
-
-    ALTO files may be called ``al-N`` and images ``pr-N``. Both names are brought
-    to the plain form, which leaves one equality to join on.
-    """
+def expected_paths(expected: DataFrame) -> DataFrame:
+    """Expected page files with the path of their plain name, and what their lack is."""
     is_alto = F.col("filename").endswith(".xml")
-    wanted = expected.withColumn(
+    return expected.withColumn(
         "error_class",
         F.when(is_alto, F.lit("missing_alto")).otherwise(F.lit("missing_image")),
     ).withColumn(
@@ -111,17 +107,41 @@ def missing_files(expected: DataFrame, entries: DataFrame) -> DataFrame:
             "filename",
         ),
     )
-    held = entries.where(~F.col("is_dir")).select(
-        "archive", plain_name("path").alias("path")
-    )
-    # Paths share long beginnings, on which a sort is slow; a hash in front of
-    # them decides nearly all comparisons.
-    key = F.xxhash64("archive", "path").alias("_key")
-    return (
-        wanted.select("*", key)
-        .join(held.select("*", key), ["_key", "archive", "path"], "left_anti")
-        .select("archive", "binding_id", "error_class", F.col("filename").alias("detail"))
+
+
+def path_hashes(path: Column) -> list[Column]:
+    """128 bits that stand for a path in its archive; paths themselves are long, share
+    their beginnings, and would be moved and sorted."""
+    return [
+        F.xxhash64("archive", path).alias("_first"),
+        F.xxhash64(path, "archive").alias("_second"),
+    ]
+
+
+def missing_files(
+    expected: DataFrame, entries: DataFrame, differing: DataFrame | None = None
+) -> DataFrame:
+    """Expected page files that are in the archive under neither of two names.
+
+    ALTO files may be called ``al-N`` and images ``pr-N``. Both names are brought
+    to the plain form, which leaves one equality to join on. ``differing`` names the
+    bindings (``archive, binding_id``) to look at, see ``binding_states``; the paths of
+    others are not compared.
+    """
+    held = entries.where(~F.col("is_dir")).select("archive", "path")
+    key = ["archive", "binding_id"]
+    if differing is not None:
+        own = differing.select(key)
+        expected = expected.join(own, key, "left_semi")
+        held = held.withColumn("binding_id", ids.binding_of_entry("path")).join(
+            own, key, "left_semi"
+        )
+    wanted = expected_paths(expected).select(
+        "archive", "binding_id", "error_class", "filename", *path_hashes(F.col("path"))
     )
+    return wanted.join(
+        held.select(*path_hashes(plain_name("path"))), ["_first", "_second"], "left_anti"
+    ).select("archive", "binding_id", "error_class", F.col("filename").alias("detail"))
 
 
 def plain_name(path):
@@ -159,26 +179,70 @@ def unlisted_files(classified: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def binding_states(classified: DataFrame, pairs: DataFrame) -> DataFrame:
+#: Names of the sums over 32 bits each of the hashes of a binding's paths.
+SUMS = ["_sum0", "_sum1", "_sum2", "_sum3"]
+
+
+def path_sums(path: Column, sign: int) -> list[Column]:
+    """A path's hashes as four summands, which add up in any order without overflow."""
+    found = []
+    for i, hashed in enumerate(path_hashes(path)):
+        low = hashed.bitwiseAND(F.lit(0xFFFFFFFF))
+        high = F.shiftrightunsigned(hashed, 32)
+        found += [(sign * low).alias(SUMS[2 * i]), (sign * high).alias(SUMS[2 * i + 1])]
+    return found
+
+
+def binding_states(
+    classified: DataFrame, pairs: DataFrame, expected_page_files: DataFrame | None = None
+) -> DataFrame:
     """Per archive and binding: is it listed, seen, and does it have other files.
 
     One aggregation over flags answers all questions about whole bindings, and
     combines the many files of a binding before the shuffle.
+
+    With the expected page files there is ``differs``: the page files held are not those
+    expected, compared by sums of their hashes, held ones added and expected ones
+    subtracted. Where all are zero, no path has to be compared.
     """
     no, yes = F.lit(False), F.lit(True)
+    zero = F.lit(0).cast("bigint")
+    nothing = [zero.alias(name) for name in SUMS]
+    path = F.col("path")
+    of_page = F.rlike(path, F.lit(f"/({files.ALTO}|{files.ACCESS_IMAGE})/[^/]+$"))
+    sums = [
+        F.when(of_page, c).otherwise(zero).alias(name)
+        for name, c in zip(SUMS, path_sums(plain_name("path"), 1), strict=True)
+    ]
     held = classified.where(F.col("binding_id").isNotNull()).select(
         "archive",
         "binding_id",
         no.alias("listed"),
         F.col("is_mets").alias("seen"),
         (~F.col("is_mets")).alias("other"),
+        no.alias("asked"),
+        *(nothing if expected_page_files is None else sums),
     )
-    listed = pairs.select(
-        "archive", "binding_id", yes.alias("listed"), no.alias("seen"), no.alias("other")
+    key = ["archive", "binding_id"]
+    flags = ["listed", "seen", "other", "asked"]
+    both = held.unionByName(
+        pairs.select(
+            *key, yes.alias("listed"), *[no.alias(f) for f in flags[1:]], *nothing
+        )
     )
-    return held.unionByName(listed).groupBy("archive", "binding_id").agg(
-        *[F.bool_or(flag).alias(flag) for flag in ("listed", "seen", "other")]
+    if expected_page_files is not None:
+        both = both.unionByName(
+            expected_paths(expected_page_files).select(
+                *key, *[no.alias(f) for f in flags[:3]], yes.alias("asked"), *path_sums(path, -1)
+            )
+        )
+    states = both.groupBy(*key).agg(
+        *[F.bool_or(flag).alias(flag) for flag in flags], *[F.sum(c).alias(c) for c in SUMS]
     )
+    apart = reduce(lambda a, b: a | b, [F.col(c) != 0 for c in SUMS])
+    if expected_page_files is None:
+        return states.select(*key, *flags[:3])
+    return states.select(*key, *flags[:3], (F.col("asked") & apart).alias("differs"))
 
 
 def binding_faults(
@@ -186,25 +250,31 @@ def binding_faults(
     expected_ids: DataFrame,
     archives: DataFrame | None = None,
     guess_prefix: bool = True,
+    expected_page_files: DataFrame | None = None,
 ) -> DataFrame:
-    """Bindings that are listed but not seen, or held but not listed.
+    """Bindings that are listed but not seen, or held but not listed, or, with the
+    expected page files, whose page files differ from those.
 
     ``archives`` names those to audit; without it, those that have entries.
     """
     named = entries if archives is None else archives
     pairs = expected_bindings(expected_ids, named, guess_prefix)
-    return binding_states(classified_entries(entries), pairs).where(
-        (F.col("listed") != F.col("seen")) | (F.col("other") & ~F.col("listed"))
-    )
+    states = binding_states(classified_entries(entries), pairs, expected_page_files)
+    fault = (F.col("listed") != F.col("seen")) | (F.col("other") & ~F.col("listed"))
+    return states.where(fault if expected_page_files is None else fault | F.col("differs"))
 
 
 def integrity_errors(
-    entries: DataFrame, expected_page_files: DataFrame, faults: DataFrame
+    entries: DataFrame,
+    expected_page_files: DataFrame,
+    faults: DataFrame,
+    differing: DataFrame | None = None,
 ) -> DataFrame:
     """All errors of all archives: archive, binding_id, error_class, detail.
 
     ``faults`` are those of whole bindings; the few unlisted ones among them pick
-    their files from the entries.
+    their files from the entries. ``differing`` are the bindings whose page files are
+    compared, all by default.
     """
     classified = classified_entries(entries)
     none = F.lit(None).cast("string")
@@ -227,7 +297,7 @@ def integrity_errors(
         errors(
             malformed_paths(classified), F.lit("malformed_path"), none, F.col("path")
         ),
-        missing_files(expected_page_files, entries),
+        missing_files(expected_page_files, entries, differing),
         errors(others, F.lit("unlisted_file"), F.col("binding_id"), F.col("path")),
         errors(faults.where(listed != seen), of_mets, F.col("binding_id"), none),
     ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions import files, names
 from bindery.operators import auditing
+from bindery.partitioning import broadcast_if_small
 from bindery.plans.stages import stored
 from bindery.sources import archives
 from bindery.sources.manifests import decoded
@@ -28,17 +29,20 @@ def audit(
     ``entries`` should be a stored table, as they are read several times. What
     goes into several joins is written to ``staging``: the names of the archives
     and the faulty bindings, so that the planner knows that they are few, and the
-    files that the manifests ask for, so that each manifest is parsed once.
+    files that the manifests ask for, so that each manifest is parsed once. Paths are
+    compared for the bindings whose sums of path hashes differ; paths of others stay
+    where they are read, as long as the differing bindings are few enough to broadcast.
     """
     named = entries if archives is None else archives
     named = named.select([c for c in ("archive", "set_id") if c in named.columns]).distinct()
     named = stored(named, f"{staging}/archives")
+    wanted = stored(auditing.expected_files(docs, base_url), f"{staging}/expected")
     faults = stored(
-        auditing.binding_faults(entries, expected_ids, named, guess_prefix),
+        auditing.binding_faults(entries, expected_ids, named, guess_prefix, wanted),
         f"{staging}/faults",
     )
-    wanted = stored(auditing.expected_files(docs, base_url), f"{staging}/expected")
-    return auditing.integrity_errors(entries, wanted, faults)
+    differing = broadcast_if_small(faults.where("differs").select("archive", "binding_id"))
+    return auditing.integrity_errors(entries, wanted, faults, differing)
 
 
 def audit_archive(

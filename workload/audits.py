@@ -163,6 +163,20 @@ def _(t: Tables):
     return auditing.missing_files(expected, held_entries(t))
 
 
+@query(
+    "differing_bindings",
+    f"""WITH {AUDIT_SQL} SELECT DISTINCT archive, binding_id FROM f
+        WHERE s <> 'P' AND flag = 'R'""",
+)
+def _(t: Tables):
+    """Bindings whose page files are not those of their manifest, by sums of hashes."""
+    classified = auditing.classified_entries(held_entries(t))
+    pairs = auditing.expected_bindings(expected_ids(t), held_entries(t))
+    expected = auditing.expected_files(held_docs(t), BASE)
+    states = auditing.binding_states(classified, pairs, expected)
+    return states.where("differs").select("archive", "binding_id")
+
+
 @query("malformed_paths", of_class("malformed_path", "archive, detail"))
 def _(t: Tables):
     classified = auditing.classified_entries(held_entries(t))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions import ids
 from bindery.plans import runs as run_history
-from bindery.sources import listings, lists
+from bindery.sources import listings, lists, page_index
 
 
 def listed_changes(
@@ -45,17 +45,24 @@ def run_listing(
     list_date: str,
     root: str,
     runs: DataFrame | None = None,
+    index: str | None = None,
 ) -> None:
     """Read the landed pages and write the day's lists of the configured sets.
 
-    ``runs`` is the run history of an incremental listing; None lists all.
+    ``runs`` is the run history of an incremental listing; None lists all. With a folder
+    for the ``index`` of pages, only those are read that reach the last runs.
     """
     last_runs = None if runs is None else run_history.last_successful_runs(runs)
-    changes = listed_changes(
-        listings.read_headers(spark, landing),
-        listings.read_headers(spark, deleted_landing),
-        base_url,
-        last_runs,
-    )
+    if index is None:
+        added, deleted = (listings.read_headers(spark, p) for p in (landing, deleted_landing))
+    else:
+        added, deleted = (
+            page_index.headers_since(spark, path, f"{index}/{name}", sets, of, last_runs)
+            for path, name, of in (
+                (landing, "added", page_index.requested_set()),
+                (deleted_landing, "deleted", page_index.named_sets()),
+            )
+        )
+    changes = listed_changes(added, deleted, base_url, last_runs)
     wanted = changes.join(sets.select("set_id").distinct(), "set_id", "left_semi")
     lists.write_binding_lists(wanted, sets, list_date, root)

@@ -15,6 +15,8 @@ from bindery import schemas
 from bindery.functions import dates, ids
 
 _XML = {"ignoreNamespace": "true"}
+#: Options of the XML source for rows that are headers.
+HEADER_ROWS = {"rowTag": "header", **_XML}
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -22,7 +24,7 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
     schema = schemas.HEADERS + ", set_id STRING"
     return (
         spark.read.format("xml")
-        .options(rowTag="header", **_XML)
+        .options(**HEADER_ROWS)
         .schema(schema)
         .load(path)
     )

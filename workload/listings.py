@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from bindery.plans import listing, runs
-from bindery.sources import listings, lists
+from bindery.sources import listings, lists, page_index
+from bindery.streaming import changes as stream_changes
 from bindery.streaming import listing as stream
 from workload.registry import BASE, Tables, query
 
@@ -98,6 +99,93 @@ def _(t: Tables):
     return found.select("set_id", "dc_identifier")
 
 
+def land(t: Tables, rows, folder: str, mode: str = "append") -> None:
+    """Land orders as pages of their priority's set, or as deleted records."""
+    rows.select(
+        F.col("set_id"),
+        F.concat(F.lit("oai:host:"), F.col("o_orderkey").cast("string")).alias("identifier"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datestamp"),
+        F.array("o_orderpriority", "o_orderstatus").alias("setSpec"),
+    ).write.mode(mode).format("xml").options(rootTag="ListIdentifiers", rowTag="header").partitionBy(
+        "set_id"
+    ).save(folder)
+
+
+def priorities(t: Tables):
+    return t.orders.select(F.col("o_orderpriority").alias("set_id")).distinct()
+
+
+@query(
+    "indexed_listing",
+    f"""WITH last_runs AS (
+          SELECT o_orderpriority AS set_id, CAST(max(o_orderdate) - INTERVAL 100 DAY AS DATE) AS last_run
+          FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY o_orderpriority)
+        SELECT o_orderpriority AS set_id, CASE o_orderstatus WHEN 'F' THEN 'deleted' ELSE 'added' END AS kind,
+               '{BASE}' || o_orderkey AS dc_identifier
+        FROM orders LEFT JOIN last_runs ON o_orderpriority = set_id
+        WHERE last_run IS NULL OR o_orderdate >= last_run""",
+)
+def _(t: Tables):
+    """The listing job over pages of four landings, by an index that each one extends."""
+    added, deleted, index, root = (
+        t.scratch(name) for name in ("landing", "deleted", "index", "lists")
+    )
+    sets = priorities(t)
+    of_set = F.col("o_orderpriority")
+    old = F.col("o_orderdate") < "1995-01-01"
+    for part in (old, ~old):
+        rows = t.orders.where(part).repartitionByRange(4, "o_orderdate")
+        land(t, rows.where("o_orderstatus <> 'F'").withColumn("set_id", of_set), added)
+        land(t, rows.where("o_orderstatus = 'F'").withColumn("set_id", F.lit("gone")), deleted)
+        page_index.update_index(t.spark, added, f"{index}/added", page_index.requested_set())
+    last = F.max("o_orderdate") - F.expr("INTERVAL 100 DAYS")
+    history = t.orders.where("o_orderpriority <> '5-LOW'").groupBy(of_set.alias("set_id")).agg(
+        F.lit("r").alias("run_id"), F.lit("success").alias("state"), last.alias("execution_date")
+    )
+    listing.run_listing(
+        t.spark, added, deleted, sets, BASE, "2024-05-01", root, history, index
+    )
+    found = lists.read_binding_lists(t.spark, root)
+    return found.select("set_id", "kind", "dc_identifier")
+
+
+@query(
+    "streamed_changes",
+    f"""SELECT '2024-05-01' AS list_date, o_orderpriority AS set_id, 'added' AS kind,
+               '{BASE}' || o_orderkey AS dc_identifier
+        FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
+        UNION ALL
+        SELECT '2024-06-01', o_orderpriority, CASE o_orderstatus WHEN 'F' THEN 'deleted' ELSE 'added' END,
+               '{BASE}' || o_orderkey
+        FROM orders WHERE o_orderstatus = 'F' OR o_orderdate >= TIMESTAMP '1996-01-01'""",
+)
+def _(t: Tables):
+    """Two landings of the stream, a list of each.
+
+    The second one lands the later orders, all of the first one again, and the deletion
+    of fulfilled orders, of which some were not heard of before.
+    """
+    added, deleted, root, progress = (
+        t.scratch(name) for name in ("landing", "deleted", "lists", "progress")
+    )
+    orders = t.orders.withColumn("set_id", F.col("o_orderpriority"))
+    early = orders.where("o_orderdate < TIMESTAMP '1996-01-01'")
+    late = orders.where("o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderstatus <> 'F'")
+    gone = orders.where("o_orderstatus = 'F'").withColumn("set_id", F.lit("gone"))
+    for day, some, without in (("2024-05-01", early, gone.limit(0)), ("2024-06-01", late.unionByName(early), gone)):
+        land(t, some, added)
+        land(t, without, deleted)
+        headers = (stream.stream_headers(t.spark, folder) for folder in (added, deleted))
+        done = stream_changes.write_changes(
+            stream_changes.header_changes(*headers, BASE), priorities(t), day, root, progress
+        )
+        done.awaitTermination()
+    found = lists.read_binding_lists(t.spark, root)
+    return found.select(
+        F.date_format("list_date", "yyyy-MM-dd").alias("list_date"), "set_id", "kind", "dc_identifier"
+    )
+
+
 @query(
     "deleted_since",
     f"""SELECT o_orderpriority AS set_id, '{BASE}' || o_orderkey AS dc_identifier

@@ -5,6 +5,9 @@ The fetcher is given by the caller: a function from a URL to
 go straight from the task to Parquet, because content must neither be shuffled
 nor be fetched twice by a second evaluation. Rows are keyed by path, so a task
 that is run again writes the same rows. Turn speculation off for fetch jobs.
+
+A binding's files of one kind are requested one after the other, in their order. After
+an unexpected status the rest of them are not requested; 404, 401 and timeouts go on.
 """
 
 from __future__ import annotations
@@ -31,7 +34,10 @@ _RESULT = [
     T.StructField("n_bytes", T.LongType()),
     T.StructField("content", T.BinaryType()),
     T.StructField("skipped", T.BooleanType()),
+    T.StructField("attempted", T.BooleanType()),
 ]
+#: Files that one task requests in order.
+GROUP = ["subset_id", "binding_id", "kind"]
 
 
 def manifest_plan(bindings: DataFrame) -> DataFrame:
@@ -76,29 +82,47 @@ def with_manifest(page_files: DataFrame, fetched_manifests: DataFrame) -> DataFr
     return page_files.join(arrived, "binding_id", "left_semi")
 
 
+def group_of(plan: DataFrame) -> list[str]:
+    """Columns that name a binding's files of one kind; none for plans without those."""
+    if not {"binding_id", "kind"} <= set(plan.columns):
+        return []
+    return [c for c in GROUP if c in plan.columns]
+
+
 def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> DataFrame:
     """Fetch ``download_url`` of every row; adds the columns of ``_RESULT``.
 
-    Rows are range-partitioned by path, so that a task covers neighbouring
-    bindings of one or few subsets and a huge binding spans several tasks. The
-    number of tasks is fixed (by default that of shuffle partitions): plan rows
-    are small, and left to itself Spark would pack very many files into one
-    task. Write the result before using it.
+    Rows are range-partitioned by binding and kind, so that a task covers neighbouring
+    bindings of one or few subsets, each group whole, and sorted by ``position``. A path
+    that has arrived for its group is not requested again (``skipped``), and nothing
+    after an unexpected status is (``attempted`` is false). Plans without a binding or a
+    kind are dealt by path and have no such stop. The number of tasks is fixed (by
+    default that of shuffle partitions): plan rows are small, and left to itself Spark
+    would pack very many files into one task. Write the result before using it.
     """
-    keys = [c for c in ("subset_id", "path") if c in plan.columns]
-    plan = spread(plan, partitions, *keys).sortWithinPartitions(*keys)
+    group = group_of(plan)
+    keys = group or [c for c in ("subset_id", "path") if c in plan.columns]
+    order = keys + [c for c in ("position", "path") if c in plan.columns and c not in keys]
+    plan = spread(plan, partitions, *keys).sortWithinPartitions(*order)
     schema = T.StructType(plan.schema.fields + _RESULT)
 
     def fetch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        present = None
+        current, present, stopped = None, set(), False
         for batch in batches:
             start, held, results = 0, 0, []
-            for path, url in zip(batch["path"], batch["download_url"]):
-                if path == present:
+            names = zip(*(batch[c] for c in keys))
+            for name, path, url in zip(names, batch["path"], batch["download_url"]):
+                if name != current:
+                    current, present, stopped = name, set(), False
+                if stopped:
+                    result = _STOPPED
+                elif path in present:
                     result = _SKIPPED
                 else:
                     result = _fetch_one(fetcher, url)
-                    present = path if result[2] else None
+                    if result[2]:
+                        present.add(path)
+                    stopped = bool(group) and is_unexpected(result[0])
                 results.append(result)
                 held += result[2] or 0
                 if held >= MAX_BATCH_BYTES or len(results) >= MAX_BATCH_ROWS:
@@ -110,30 +134,37 @@ def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> D
     return plan.mapInPandas(fetch_rows, schema)
 
 
-_SKIPPED = (None, None, None, None, True)
+_SKIPPED = (None, None, None, None, True, True)
+_STOPPED = (None, None, None, None, False, False)
+
+
+def is_unexpected(status: int | None) -> bool:
+    """Whether a status ends a binding's files of a kind, as ``outcomes.outcome`` has it."""
+    return status is not None and status >= 400 and status not in (404, 401)
 
 
 def _fetch_one(fetcher: Fetcher, url: str | None) -> tuple:
     if url is None:
-        return None, "no download URL", None, None, False
+        return None, "no download URL", None, None, False, True
     try:
         status, content = fetcher(url)
     except Exception as e:  # any failure of one file is an outcome of that file
-        return None, f"{type(e).__name__}: {e}", None, None, False
+        return None, f"{type(e).__name__}: {e}", None, None, False, True
     if status >= 400:
-        return status, None, None, None, False
-    return status, None, len(content), content, False
+        return status, None, None, None, False, True
+    return status, None, len(content), content, False, True
 
 
 def _with_results(batch: pd.DataFrame, start: int, results: list[tuple]) -> pd.DataFrame:
     part = batch.iloc[start : start + len(results)].reset_index(drop=True)
-    status, error, n_bytes, content, skipped = zip(*results)
+    status, error, n_bytes, content, skipped, attempted = zip(*results)
     return part.assign(
         status=pd.array(status, dtype="Int32"),
         error=pd.Series(error, dtype="object"),
         n_bytes=pd.array(n_bytes, dtype="Int64"),
         content=pd.Series(content, dtype="object"),
         skipped=skipped,
+        attempted=attempted,
     )
 
 
@@ -142,28 +173,46 @@ def from_responses(plan: DataFrame, responses: DataFrame) -> DataFrame:
 
     ``responses`` has ``url, status, content``, one row per URL, and is matched by
     equality. A URL without a row had no response. A path that is planned again
-    counts as skipped when it did arrive.
+    counts as skipped when it did arrive. Statuses are matched first: they decide what
+    is skipped and where a binding's files of a kind stop. Content meets the result of
+    that, and moves once.
     """
+    group = group_of(plan)
     keys = [c for c in ("subset_id", "path") if c in plan.columns]
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("position"))
-    landed = responses.select(
+    statuses = responses.select(
         F.col("url").alias("_url"),
         F.col("status").cast("int").alias("_status"),
-        F.col("content").alias("_content"),
     )
     got = plan.withColumn("_number", number).join(
-        landed, F.col("download_url") == F.col("_url"), "left"
+        statuses, F.col("download_url") == F.col("_url"), "left"
     )
-    arrived = F.coalesce(F.col("_status") < 400, F.lit(False))
-    skipped = arrived & (F.col("_number") > 1)
-    new = arrived & ~skipped
-    return got.select(
+    status = F.col("_status")
+    ends = F.when((status >= 400) & ~status.isin(404, 401), F.col("position"))
+    stop = F.min(ends).over(Window.partitionBy(*group)) if group else F.lit(None).cast("int")
+    got = got.withColumn("_stop", stop)
+    attempted = F.col("_stop").isNull() | (F.col("position") <= F.col("_stop"))
+    arrived = F.coalesce(status < 400, F.lit(False))
+    skipped = attempted & arrived & (F.col("_number") > 1)
+    asked = attempted & ~skipped
+    got = got.select(
         *plan.columns,
-        F.when(~skipped, F.col("_status")).alias("status"),
-        F.when(F.col("_url").isNull(), F.lit("no response")).alias("error"),
-        F.when(new, F.octet_length("_content").cast("bigint")).alias("n_bytes"),
-        F.when(new, F.col("_content")).alias("content"),
+        F.when(asked, status).alias("status"),
+        F.when(asked & F.col("_url").isNull(), F.lit("no response")).alias("error"),
         skipped.alias("skipped"),
+        attempted.alias("attempted"),
+        (asked & arrived).alias("_new"),
+    )
+    contents = responses.select(F.col("url").alias("_url"), F.col("content").alias("_content"))
+    full = got.join(contents, F.col("download_url") == F.col("_url"), "left")
+    return full.select(
+        *plan.columns,
+        "status",
+        "error",
+        F.when(F.col("_new"), F.octet_length("_content").cast("bigint")).alias("n_bytes"),
+        F.when(F.col("_new"), F.col("_content")).alias("content"),
+        "skipped",
+        "attempted",
     )
 
 

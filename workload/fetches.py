@@ -236,6 +236,40 @@ def _(t: Tables):
     )
 
 
+@query(
+    "stopped_downloads",
+    f"""WITH {PLAN_SQL}, requests AS (
+          SELECT binding_id, kind, page_number,
+                 CASE WHEN kind = 'access_img' AND flag = 'A' AND page_number % 2 = 1 THEN 'error'
+                      WHEN flag = 'A' THEN 'unauthorized'
+                      WHEN flag = 'R' THEN 'not_found' ELSE 'ok' END AS outcome
+          FROM plan),
+        ends AS (SELECT binding_id, kind, min(page_number) AS stop FROM requests
+                 WHERE outcome = 'error' GROUP BY binding_id, kind)
+        SELECT r.binding_id, r.kind, page_number,
+               CASE WHEN page_number > stop THEN 'not_attempted' ELSE outcome END AS outcome,
+               outcome = 'ok' AND (stop IS NULL OR page_number < stop) AS has_content
+        FROM requests r LEFT JOIN ends e ON r.binding_id = e.binding_id AND r.kind = e.kind""",
+)
+def _(t: Tables):
+    """Page files from landed responses; images flagged A end theirs on odd pages."""
+    plan = page_plan(t).withColumn("position", F.col("page_number"))
+    odd = (F.col("kind") == files.ACCESS_IMAGE) & (F.col("page_number") % 2 == 1)
+    responses = plan.select(
+        F.col("download_url").alias("url"),
+        F.when((F.col("flag") == "A") & odd, F.lit(500))
+        .when(F.col("flag") == "A", F.lit(401))
+        .when(F.col("flag") == "R", F.lit(404))
+        .otherwise(F.lit(200))
+        .alias("status"),
+        F.encode("path", "utf-8").alias("content"),
+    )
+    found = outcomes.with_outcomes(fetching.from_responses(plan, responses))
+    return found.select(
+        "binding_id", "kind", "page_number", "outcome", F.col("content").isNotNull().alias("has_content")
+    )
+
+
 @query("fetch_outcomes", f"WITH {STOPPED_SQL} SELECT * FROM counts")
 def _(t: Tables):
     return outcomes.outcome_counts(outcomes.stop_at_errors(logged(t)))

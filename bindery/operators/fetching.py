@@ -134,8 +134,9 @@ def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> D
     return plan.mapInPandas(fetch_rows, schema)
 
 
-_SKIPPED = (None, None, None, None, True, True)
-_STOPPED = (None, None, None, None, False, False)
+_SKIPPED = (None, None, None, None, True)
+#: Not requested at all, so neither skipped nor not.
+_STOPPED = (None, None, None, None, None)
 
 
 def is_unexpected(status: int | None) -> bool:
@@ -145,26 +146,26 @@ def is_unexpected(status: int | None) -> bool:
 
 def _fetch_one(fetcher: Fetcher, url: str | None) -> tuple:
     if url is None:
-        return None, "no download URL", None, None, False, True
+        return None, "no download URL", None, None, False
     try:
         status, content = fetcher(url)
     except Exception as e:  # any failure of one file is an outcome of that file
-        return None, f"{type(e).__name__}: {e}", None, None, False, True
+        return None, f"{type(e).__name__}: {e}", None, None, False
     if status >= 400:
-        return status, None, None, None, False, True
-    return status, None, len(content), content, False, True
+        return status, None, None, None, False
+    return status, None, len(content), content, False
 
 
 def _with_results(batch: pd.DataFrame, start: int, results: list[tuple]) -> pd.DataFrame:
     part = batch.iloc[start : start + len(results)].reset_index(drop=True)
-    status, error, n_bytes, content, skipped, attempted = zip(*results)
+    status, error, n_bytes, content, skipped = zip(*results)
     return part.assign(
         status=pd.array(status, dtype="Int32"),
         error=pd.Series(error, dtype="object"),
         n_bytes=pd.array(n_bytes, dtype="Int64"),
         content=pd.Series(content, dtype="object"),
-        skipped=skipped,
-        attempted=attempted,
+        skipped=[bool(s) for s in skipped],
+        attempted=[s is not None for s in skipped],
     )
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions import files, ids, names
-from bindery.operators import manifests
+from bindery.operators import manifests, routing
+from bindery.partitioning import broadcast_if_small
+from bindery.scratch import stored
 
 ERROR_CLASSES = [
     "malformed_path",
@@ -37,21 +39,28 @@ def expected_bindings(
 
     The prefix comes from the archive's name and may be empty; without
     ``guess_prefix`` no archive has one. If both tables have a ``set_id``, an archive
-    expects IDs of its own set only. IDs are matched by equality with their own heads,
-    not by comparing all pairs.
+    expects IDs of its own set only. The archives' prefixes are stored and, as far as
+    they are few enough, broadcast; an ID is cut to the lengths that occur among them.
+    So IDs are neither compared with all prefixes nor moved by a head that many share.
     """
     both = "set_id" in expected.columns and "set_id" in archives.columns
     of_set = ["set_id"] if both else []
     prefix = names.archive_prefix("archive") if guess_prefix else F.lit("")
-    prefixes = archives.select("archive", *of_set).distinct().withColumn("_prefix", prefix)
-    lengths = F.sequence(F.lit(0), F.length("binding_id")) if guess_prefix else F.array(F.lit(0))
-    heads = expected.select("binding_id", *of_set).distinct().withColumn(
-        "_prefix",
-        F.explode(
-            F.transform(lengths, lambda n: F.col("binding_id").substr(F.lit(1), n))
-        ),
+    prefixes = stored(
+        archives.select("archive", *of_set).distinct().withColumn("_prefix", prefix), "prefixes"
+    )
+    id_ = F.col("binding_id")
+    heads = [
+        F.when(F.length(id_) >= n, id_.substr(F.lit(1), F.lit(n)))
+        for n in routing.prefix_lengths(prefixes, "_prefix")
+    ]
+    cut = F.explode(F.array_compact(F.array(*heads).cast("array<string>"))).alias("_prefix")
+    ids_of_sets = expected.select("binding_id", *of_set).distinct()
+    return (
+        ids_of_sets.select("*", cut)
+        .join(broadcast_if_small(prefixes), [*of_set, "_prefix"])
+        .select("archive", "binding_id")
     )
-    return heads.join(prefixes, [*of_set, "_prefix"]).select("archive", "binding_id")
 
 
 def expected_counts(pairs: DataFrame) -> DataFrame:

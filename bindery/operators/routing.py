@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.ids import col
+from bindery.partitioning import broadcast_if_small
+from bindery.scratch import stored
 
 # The production prefixes in their order, 10 to 19 and 2 to 9.
 PRODUCTION_PREFIXES = [str(i) for i in range(10, 20)] + [str(i) for i in range(2, 10)]
@@ -65,31 +67,36 @@ def _with_prefix(bindings: DataFrame, prefixes: list[str] | DataFrame) -> DataFr
     return _with_prefix_from_table(bindings, table)
 
 
+def prefix_lengths(table: DataFrame, prefix: str = "prefix") -> list[int]:
+    """Lengths that occur among the prefixes; at most one for each length of an ID."""
+    found = table.select(F.length(prefix).alias("n")).distinct().collect()
+    return sorted({r["n"] for r in found} - {None})
+
+
 def _with_prefix_from_table(bindings: DataFrame, table: DataFrame) -> DataFrame:
-    """Equi-join form for split tables.
+    """Look-up form for split tables.
 
-    A binding's subset depends only on its head, the ID cut to the longest
-    prefix. The distinct heads are few, so only they are exploded into their
-    prefixes, matched, and reduced to the match of lowest priority.
+    For each length that occurs among the prefixes, the ID's head of that length is
+    looked up, and of the matches that of lowest priority counts. The look-ups are joins
+    with a broadcast of measured size, so bindings are not moved, however many share a
+    head. A larger table is joined by Spark's choice.
     """
-    longest = table.agg(F.max(F.length("prefix"))).first()[0] or 0
-    head = F.substring("binding_id", 1, longest)
-    heads = bindings.select(head.alias("_head")).distinct()
-    lengths = F.sequence(F.lit(0), F.length("_head"))
-    candidates = heads.select(
-        "_head",
-        F.explode(
-            F.transform(lengths, lambda n: F.col("_head").substr(F.lit(1), n))
-        ).alias("prefix"),
-    )
-    matches = (
-        candidates.join(table.select("prefix", "priority"), "prefix")
-        .groupBy("_head")
-        .agg(F.min_by("prefix", "priority").alias("subset_id"))
-    )
-    return (
-        bindings.withColumn("_head", head).join(matches, "_head", "left").drop("_head")
+    table = stored(
+        table.groupBy("prefix").agg(F.min("priority").alias("priority")), "prefixes"
     )
+    best = F.lit(None).cast("struct<priority: int, prefix: string>")
+    found = bindings
+    for n in prefix_lengths(table):
+        own = table.where(F.length("prefix") == n).select(
+            F.col("prefix").alias("_head"),
+            F.struct(F.col("priority").cast("int").alias("priority"), "prefix").alias(f"_match{n}"),
+        )
+        head = F.substring("binding_id", 1, n)
+        found = found.withColumn("_head", head).join(
+            broadcast_if_small(own), "_head", "left"
+        ).drop("_head")
+        best = F.least(best, F.col(f"_match{n}"))
+    return found.withColumn("subset_id", best["prefix"]).select(*bindings.columns, "subset_id")
 
 
 def subset_counts(changes: DataFrame, by: list[str] | None = None) -> DataFrame:

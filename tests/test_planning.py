@@ -134,3 +134,21 @@ def test_no_window_over_a_whole_subset(spark):
     windows = [line for line in plan.splitlines() if "Window [" in line]
     by_binding = [w for w in windows if "binding_id" in w]
     assert by_binding and all("_without_4" in w for w in by_binding)
+
+
+def test_routing_by_a_table_moves_no_bindings(spark):
+    prefixes = ["123", "1", "45", "9", "1", ""]
+    split = spark.createDataFrame(list(enumerate(prefixes)), "priority int, prefix string")
+    ids = bindings(spark, ["1234", "19", "45", "4", "999", "12"])
+    found = routing.route(ids, split)
+    assert dict(rows(found.select("binding_id", "subset_id"))) == {
+        "1234": "123", "19": "1", "45": "45", "4": "", "999": "9", "12": "1",
+    }
+    assert found.columns == [*ids.columns, "subset_id"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Generate" not in plan
+    # The first of the list wins, not the longest.
+    turned = spark.createDataFrame([(0, "1"), (1, "123")], "priority int, prefix string")
+    assert {r.subset_id for r in routing.route(ids.where("binding_id LIKE '1%'"), turned).collect()} == {"1"}
+    empty = routing.unrouted(ids, split.limit(0))
+    assert empty.count() == 6

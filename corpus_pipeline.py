@@ -29,11 +29,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, and one row of repeated rows of an ID.
 
-    Rows without an ID are linked with nothing and stay.
+    Rows of one ID are repeated if their texts are equal; different texts of a kept ID
+    all stay. Rows without an ID are linked with nothing and stay.
     """
     kept = neardup.link(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     rest = docs.where("doc_id IS NULL")
-    return docs.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(rest)
+    whole = docs.join(kept, "doc_id").dropDuplicates(["doc_id", "text"])
+    return whole.select(docs.columns).unionByName(rest)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,28 +30,25 @@ SMOOTHING = 1.0
 THRESHOLD = -50_000
 
 
-def repeat_words(n: str, hashes: str, w: str) -> Column:
-    """Number of words in three-word windows that occur twice or more in the text.
+def repeat_words(hashes: str, w: str, bits: str) -> Column:
+    """Places of three-word windows that occur twice or more in the text, in order.
 
     ``hashes`` names the sorted array of windows: a hash in the upper bits, the place
-    in the lower ones, as many as ``bin(n)`` has digits. Equal neighbours are compared
-    word by word, so equal hashes of different windows do not count.
+    in the lowest ``bits``. Equal neighbours are compared word by word, so equal hashes
+    of different windows do not count.
     """
-    bits = f"length(bin({n}))"
-    place = f"shiftleft(1L, {bits}) - 1L"
+    place = f"(shiftleft(1L, {bits}) - 1L)"
 
-    def same(a: str, b: str) -> str:
-        p, q = f"cast({a} & ({place}) AS INT)", f"cast({b} & ({place}) AS INT)"
+    def same(other: str) -> str:
+        p, q = f"cast(x & {place} AS INT)", f"cast({other} & {place} AS INT)"
         equal = " AND ".join(f"get({w}, {p} + {k}) = get({w}, {q} + {k})" for k in range(3))
-        return (
-            f"(shiftrightunsigned({a}, {bits}) = shiftrightunsigned({b}, {bits}) AND {equal})"
-        )
+        return f"(shiftrightunsigned(x ^ {other}, {bits}) = 0 AND {equal})"
 
     repeated = (
-        f"filter({hashes}, (x, j) -> coalesce({same('x', f'get({hashes}, j - 1)')}, false) "
-        f"OR coalesce({same('x', f'get({hashes}, j + 1)')}, false))"
+        f"filter({hashes}, (x, j) -> {same(f'get({hashes}, j - 1)')} "
+        f"OR {same(f'get({hashes}, j + 1)')})"
     )
-    return F.expr(f"sort_array(transform({repeated}, x -> x & ({place})))")
+    return F.expr(f"sort_array(transform({repeated}, x -> x & {place}))")
 
 
 def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -68,13 +65,13 @@ def base_metrics(documents: DataFrame) -> DataFrame:
     text = whole(F.col("text"))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"\S"))
     rows = once(documents, "w", words(F.col("text"))).withColumn("n", F.size("w"))
+    rows = once(rows, "bits", F.expr("length(bin(n))"))
     hashes = F.expr(
-        "sort_array(transform(sequence(1, greatest(n - 2, 1)), i -> shiftleft("
-        "xxhash64(get(w, i - 1), get(w, i), get(w, i + 1)), length(bin(n))) "
-        "| cast(i - 1 AS BIGINT)))"
+        "sort_array(transform(slice(w, 1, greatest(n - 2, 0)), (x, i) -> "
+        "shiftleft(xxhash64(x, get(w, i + 1), get(w, i + 2)), bits) | cast(i AS BIGINT)))"
     )
     rows = once(rows, "hashes", hashes)
-    rows = once(rows, "places", F.when(F.col("n") >= 3, repeat_words("n", "hashes", "w")))
+    rows = once(rows, "places", repeat_words("hashes", "w", "bits"))
     return (
         rows.withColumn("lines", lines)
         .withColumn("n_words", F.col("n").cast("long"))
@@ -103,7 +100,7 @@ def base_metrics(documents: DataFrame) -> DataFrame:
             (F.col("n_words") < FEWEST_WORDS)
             | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
         )
-        .drop("n", "lines", "hashes", "places")
+        .drop("n", "bits", "lines", "hashes", "places")
     )
 
 
@@ -179,10 +176,10 @@ def judge(
             "kept", ~F.col("base_failed")
         )
     total = F.expr(
-        "aggregate(sequence(1, greatest(size(w), 1)), 0L, (a, i) -> a "
-        f"+ coalesce(get(ratios, cast({bucket('get(w, i - 1)', buckets)} AS INT)), 0L) "
-        "+ coalesce(get(ratios, cast("
-        f"{bucket("concat(get(w, i - 1), ' ', get(w, i))", buckets)} AS INT)), 0L))"
+        "aggregate(zip_with(w, slice(w, 2, greatest(size(w), 1)), (x, y) -> "
+        f"get(ratios, cast({bucket('x', buckets)} AS INT)) "
+        f"+ coalesce(get(ratios, cast({bucket("concat(x, ' ', y)", buckets)} AS INT)), 0L)), "
+        "0L, (a, ratio) -> a + ratio)"
     )
     return (
         once(measured.withColumn("ratios", table), "total", total)

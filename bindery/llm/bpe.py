@@ -1,11 +1,11 @@
 """Byte-level BPE: texts to token IDs and back, by recursive queries in each task.
 
-A text is cut by the tokenizer's pattern. Every task holds an in-process DuckDB with
+A text is cut by the tokenizer's pattern. Every Python worker holds an in-process DuckDB with
 the vocabulary and the merge table, and contracts all new words of a slice of its
 documents in one recursive query over rows (place, token): each round joins
 neighbouring tokens with the merge table and contracts the pairs of a word's lowest
 rank, leftmost first, until no word has a pair left. Finished words leave the
-recursion. Decoding joins IDs with the vocabulary and aggregates bytes in order.
+recursion, and a Python worker remembers them for its next tasks. Decoding joins IDs with the vocabulary and aggregates bytes in order.
 
 The vocabulary is a fixed file that the driver reads; its size bounds what is sent
 to the tasks. Nothing is shuffled, and a lost executor costs its tasks only.
@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 #: Code points that a task works on at a time; a longer text is a slice of its own.
 SLICE_CHARS = 4_000_000
-#: Encoded words that a task remembers.
+#: Encoded words that a Python worker remembers, from task to task.
 REMEMBERED = 500_000
 #: Words that one recursive query contracts, and tokens that one query decodes.
 WORDS_PER_QUERY = 50_000
@@ -57,8 +57,7 @@ WITH RECURSIVE state(place, token, done) AS (
      FROM hits)
    SELECT place, CASE WHEN hit THEN merged ELSE token END, rank IS NULL
    FROM runs WHERE before % 2 = 0))
-SELECT place >> 32 AS word, list(token ORDER BY place) AS tokens
-FROM state WHERE done GROUP BY word"""
+SELECT place >> 32 AS word, token FROM state WHERE done ORDER BY place"""
 
 DECODE = """
 SELECT doc, sha256(unhex(string_agg(hex, '' ORDER BY place))) AS digest
@@ -90,7 +89,7 @@ def unicode_pattern(pattern: str) -> str:
 
 
 class Coder:
-    """Encoder and decoder of one task."""
+    """Encoder and decoder, with the tokens of the words that it has met."""
 
     def __init__(self, ranks: dict[bytes, int], merges: pa.Table, pattern: str) -> None:
         import duckdb
@@ -98,7 +97,8 @@ class Coder:
 
         self.words = regex.compile(unicode_pattern(pattern)).findall
         self.ranks = ranks
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.letters = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.forget()
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         vocabulary = pa.table(
             {
@@ -111,60 +111,79 @@ class Coder:
             self.db.execute(f"CREATE TABLE {name} AS FROM given")
             self.db.unregister("given")
 
+    def forget(self) -> None:
+        # A word's number, and by it the place and number of its tokens.
+        self.known: dict[str, int] = {}
+        self.tokens = np.empty(0, np.int32)
+        self.sizes = np.empty(0, np.int64)
+
+    def contracted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of words, one after the other, and how many each word has."""
+        lengths = np.array([len(w) for w in words])
+        start = pa.table(
+            {
+                "place": (np.repeat(np.arange(len(words)), lengths) << 32)
+                + np.arange(lengths.sum()),
+                "token": self.letters[np.frombuffer(b"".join(words), np.uint8)],
+            }
+        )
+        self.db.register("start", start)
+        found = self.db.execute(CONTRACT).fetchnumpy()
+        self.db.unregister("start")
+        return found["token"], np.bincount(found["word"], minlength=len(words))
+
     def learn(self, words: set[str]) -> None:
         """Encode words that are not known yet."""
-        rest = []
-        for word in words:
-            raw = word.encode()
-            rank = self.ranks.get(raw)
-            if rank is None:
-                rest.append((word, raw))
-            else:
-                self.known[word] = (rank,)
+        raw = {w: w.encode() for w in words}
+        single = [w for w in words if raw[w] in self.ranks]
+        rest = [w for w in words if raw[w] not in self.ranks]
+        tokens = [self.tokens, np.array([self.ranks[raw[w]] for w in single], np.int32)]
+        sizes = [self.sizes, np.ones(len(single), np.int64)]
         for at in range(0, len(rest), WORDS_PER_QUERY):
-            some = rest[at : at + WORDS_PER_QUERY]
-            lengths = np.array([len(raw) for _, raw in some])
-            letters = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-            start = pa.table(
-                {
-                    "place": (np.repeat(np.arange(len(some)), lengths) << 32)
-                    + np.arange(lengths.sum()),
-                    "token": letters[np.frombuffer(b"".join(r for _, r in some), np.uint8)],
-                }
-            )
-            self.db.register("start", start)
-            found = self.db.execute(CONTRACT).fetchall()
-            self.db.unregister("start")
-            for i, tokens in found:
-                self.known[some[i][0]] = tuple(tokens)
+            found, lengths = self.contracted([raw[w] for w in rest[at : at + WORDS_PER_QUERY]])
+            tokens.append(found)
+            sizes.append(lengths)
+        self.known.update(zip(chain(single, rest), count(len(self.known))))
+        self.tokens, self.sizes = np.concatenate(tokens), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token IDs of each text."""
+        ids, lengths = self.encode_all(texts)
+        return np.split(ids, np.cumsum(lengths)[:-1])
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token IDs of the texts, one after the other, and how many each text has."""
         cut = [self.words(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.forget()
         self.learn(set(chain.from_iterable(cut)) - self.known.keys())
-        known = self.known
-        return [
-            np.array(list(chain.from_iterable([known[w] for w in words])), dtype=np.uint32)
-            for words in cut
-        ]
+        n_words = np.array([len(words) for words in cut])
+        numbers = np.fromiter(
+            map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, n_words.sum()
+        )
+        sizes = self.sizes[numbers]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.repeat(self.starts[numbers] - ends[:-1], sizes) + np.arange(ends[-1])
+        return self.tokens[places], np.diff(ends[np.concatenate([[0], np.cumsum(n_words)])])
+
+    def decoded_digests(self, ids: np.ndarray, lengths: np.ndarray) -> list[str]:
+        """SHA-256 of the bytes that the IDs of each text stand for.
 
-    def decoded_digests(self, ids: list[np.ndarray]) -> list[str]:
-        """SHA-256 of the bytes that each list of IDs stands for."""
-        digests = [hashlib.sha256(b"").hexdigest()] * len(ids)
+        ``ids`` holds those of all texts, ``lengths`` how many each has.
+        """
+        digests = [hashlib.sha256(b"").hexdigest()] * len(lengths)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
         first = 0
-        while first < len(ids):
-            last, n = first + 1, len(ids[first])
-            while last < len(ids) and n + len(ids[last]) <= TOKENS_PER_QUERY:
-                n += len(ids[last])
-                last += 1
-            lengths = np.array([len(i) for i in ids[first:last]])
+        while first < len(lengths):
+            last = int(np.searchsorted(ends, ends[first] + TOKENS_PER_QUERY, "right")) - 1
+            last = min(max(last, first + 1), len(lengths))
+            some = ids[ends[first] : ends[last]]
             encoded = pa.table(
                 {
-                    "doc": np.repeat(np.arange(first, last, dtype=np.int32), lengths),
-                    "place": np.arange(n, dtype=np.int32),
-                    "token": np.concatenate(ids[first:last]).astype(np.int32),
+                    "doc": np.repeat(np.arange(first, last, dtype=np.int32), lengths[first:last]),
+                    "place": np.arange(len(some), dtype=np.int32),
+                    "token": some,
                 }
             )
             self.db.register("encoded", encoded)
@@ -175,6 +194,18 @@ class Coder:
         return digests
 
 
+#: The coder of this Python worker, by the key of its vocabulary and pattern.
+CODERS: dict[str, Coder] = {}
+
+
+def coder_of(key: str, ranks: dict[bytes, int], merges: pa.Table, pattern: str) -> Coder:
+    """The worker's coder; one of another vocabulary or pattern gives way to it."""
+    if key not in CODERS:
+        CODERS.clear()
+        CODERS[key] = Coder(ranks, merges, pattern)
+    return CODERS[key]
+
+
 def slices(texts: list[str]) -> Iterator[list[str]]:
     """Consecutive texts with a bounded number of code points."""
     some, size = [], 0
@@ -196,10 +227,13 @@ def tokenize(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     ``text`` and any that clash with the new ones, then ``token_ids`` (array),
     ``n_tokens``, ``ids_sha256`` (of the IDs as little-endian 32-bit integers),
     ``decoded_sha256``. Special tokens do not exist. A null or empty text has no
-    tokens. Rows are encoded one by one, so repeated rows give repeated results.
+    tokens. Rows are encoded one by one, so repeated rows give repeated results. An
+    empty table gives an empty result. Texts are encoded whole, however long; the time of
+    a single word without a break grows faster than its length.
     """
     ranks = read_ranks(path)
     merges = merge_table(ranks)
+    key = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
     added = T.StructType(
         [
             T.StructField("token_ids", T.ArrayType(T.IntegerType())),
@@ -212,19 +246,24 @@ def tokenize(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     schema = T.StructType([documents.schema[c] for c in rest] + added.fields)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = None
         for batch in batches:
-            coder = coder or Coder(ranks, merges, pattern)
+            coder = coder_of(key, ranks, merges, pattern)
             at = 0
             for texts in slices([t or "" for t in batch.column("text").to_pylist()]):
-                ids = coder.encode(texts)
-                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-                flat = np.concatenate(ids).astype(np.int32)
+                ids, lengths = coder.encode_all(texts)
+                ends = np.concatenate([[0], np.cumsum(lengths)])
+                raw = ids.astype("<u4")
                 columns = [batch.column(c).slice(at, len(texts)) for c in rest] + [
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                    pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids]),
-                    pa.array(coder.decoded_digests(ids), pa.string()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                    pa.array(lengths, pa.int64()),
+                    pa.array(
+                        [
+                            hashlib.sha256(raw[i:j]).hexdigest()
+                            for i, j in zip(ends, ends[1:], strict=False)
+                        ],
+                        pa.string(),
+                    ),
+                    pa.array(coder.decoded_digests(ids, lengths), pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
                 at += len(texts)

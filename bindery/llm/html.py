@@ -7,10 +7,12 @@ of linked text. The ratios are smoothed over the places of the page by a Gaussia
 window, fused as a geometric mean, and a threshold on the fused ratio, relative to
 the page's deviation, marks content paths. The subtree around which content gathers
 is the article: all its blocks are taken, in page order, except what its tags or
-names mark as something else (menus, notices, adverts, comments and the like). Unmarked
-headings and blocks on content paths beside it are taken, too.
+names mark as something else (menus, notices, adverts, comments and the like), and
+lists of nothing but links. Names are not believed where an element holds nearly all
+content of the page. Unmarked headings and blocks on content paths beside the article
+are taken, too.
 
-A page is worked on alone: no shuffle, and memory in proportion to the page.
+A page is worked on alone: no shuffle, time and memory in proportion to the page.
 """
 
 from __future__ import annotations
@@ -61,42 +63,74 @@ ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
     "form toolbar".split()
 )
-HEADING = re.compile(r"/h[1-6](/|$)")
+#: Classes that tell of something beside the element, or of an article's own header.
+NOT_ITSELF = re.compile(
+    r"(has|no|with|without|not|hide|show|js)[-_]|(entry|post|article|story|content)[-_]header$"
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose text belongs to an article although all of it may be linked.
+TEXT_BLOCKS = HEADINGS | {"p", "td", "th", "blockquote", "pre", "figcaption", "caption"}
 PUNCTUATION = re.compile(r"[^\w\s]")
 SPACE = re.compile(r"\s+")
 #: Standard deviation of the smoothing window, in nodes.
 SIGMA = 1.0
 #: Content paths have at least this share of the page's deviation of fused ratios.
 THRESHOLD = 0.5
+#: Share of a page's content from which an element's names are not believed: if the
+#: element holds the page's title, main or article, and if it holds none of them.
+HOLDS_ARTICLE, HOLDS_ALL = 0.8, 0.95
+#: Linked texts of one path from which blocks of nothing else are a menu.
+MENU_LINKS = 3
 
 
 class Node:
-    """A text node: its block, its path, and where it stands in the tree."""
+    """A text node: its block, the number of its path and of its element."""
+
+    __slots__ = ("block", "path", "element", "linked", "heading", "prose", "text")
+
+    def __init__(self, block, path, element, linked, heading, prose, text):
+        self.block, self.path, self.element = block, path, element
+        self.linked, self.heading, self.prose, self.text = linked, heading, prose, text
+
+
+class Open:
+    """An open element: what its text inherits from it."""
 
-    __slots__ = ("block", "path", "ancestors", "linked", "skipped", "text")
+    __slots__ = ("tag", "number", "path", "linked", "heading", "prose", "skipped")
 
-    def __init__(self, block, path, ancestors, linked, skipped, text):
-        self.block, self.path, self.ancestors = block, path, ancestors
-        self.linked, self.skipped, self.text = linked, skipped, text
+    def __init__(self, tag, number, path, linked, heading, prose, skipped):
+        self.tag, self.number, self.path = tag, number, path
+        self.linked, self.heading, self.prose, self.skipped = linked, heading, prose, skipped
 
 
 class PageReader(HTMLParser):
     """Text nodes of a page in order, with their paths from the root.
 
     Missing end tags are supplied: a block ends an open paragraph, an end tag ends
-    what is open inside its element.
+    what is open inside its element. Text of elements that are never content is left out.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.nodes: list[Node] = []
-        # Open elements: tag, number, path, in a link, marked as no content.
-        self.open: list[tuple[str, int, str, bool, bool]] = [("", 0, "", False, False)]
-        self.tags: dict[int, tuple[str, int]] = {0: ("", -1)}
+        self.open = [Open("", 0, 0, False, False, False, False)]
+        self.counts: dict[str, int] = {}  # open elements by tag
+        self.tags: list[tuple[str, int]] = [("", -1)]  # tag and parent of each element
+        self.paths: dict[tuple[int, str], int] = {}  # by the parent's path and the tag
+        self.marked: list[int] = []  # elements that their names mark as no content
         self.block = 0
 
+    def any_open(self, tags) -> bool:
+        return any(self.counts.get(t) for t in tags)
+
+    def end(self, at: int) -> None:
+        """Close the open elements from that place on."""
+        for element in self.open[at:]:
+            self.counts[element.tag] -= 1
+        del self.open[at:]
+
     def handle_starttag(self, tag, attributes):
-        if tag not in IN_HEAD and not any(o[0] in HOLDS_ANY for o in self.open):
+        if tag not in IN_HEAD and not self.any_open(HOLDS_ANY):
             self.close("head")
         if tag in BLOCKS:
             self.block += 1
@@ -117,53 +151,76 @@ class PageReader(HTMLParser):
         if tag in VOID:
             return
         given = dict(attributes)
-        names = " ".join(filter(None, (given.get("class"), given.get("id")))).lower()
-        marked = (
-            tag in SKIPPED
+        above = self.open[-1]
+        skipped = (
+            above.skipped
+            or tag in SKIPPED
             or (given.get("role") or "").lower() in ROLES
             or "hidden" in given
             or (given.get("aria-hidden") or "").lower() == "true"
             or "display:none" in (given.get("style") or "").lower().replace(" ", "")
-            or (tag == "header" and not any(o[0] in ("article", "main") for o in self.open))
-            or (
-                tag not in ("html", "body", "main", "article")
-                and bool(BOILERPLATE.search(names.replace("_", "-")))
-            )
         )
-        _, parent, path, linked, skipped = self.open[-1]
         number = len(self.tags)
-        self.tags[number] = (tag, parent)
+        self.tags.append((tag, above.number))
+        if (tag == "header" and not self.any_open(("article", "main"))) or (
+            tag not in ("html", "body", "main", "article")
+            and self.named(f"{given.get('class') or ''} {given.get('id') or ''}")
+        ):
+            self.marked.append(number)
+        path = self.paths.setdefault((above.path, tag), len(self.paths) + 1)
+        self.counts[tag] = self.counts.get(tag, 0) + 1
         self.open.append(
-            (tag, number, f"{path}/{tag}", linked or tag == "a", skipped or marked)
+            Open(
+                tag,
+                number,
+                path,
+                above.linked or tag == "a",
+                above.heading or tag in HEADINGS,
+                above.prose or tag in TEXT_BLOCKS,
+                skipped,
+            )
+        )
+
+    @staticmethod
+    def named(names: str) -> bool:
+        """Whether a class or an ID marks something else than the article."""
+        return any(
+            BOILERPLATE.search(name.replace("_", "-")) and not NOT_ITSELF.match(name)
+            for name in names.lower().split()
         )
 
     def close(self, tag, stop=()):
+        if not self.counts.get(tag):
+            return
         for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
+            if self.open[i].tag == tag:
+                self.end(i)
                 return
-            if self.open[i][0] in stop or (tag == "p" and self.open[i][0] in BLOCKS):
+            if self.open[i].tag in stop or (tag == "p" and self.open[i].tag in BLOCKS):
                 return
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.block += 1
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                return
+        if self.counts.get(tag):
+            for i in range(len(self.open) - 1, 0, -1):
+                if self.open[i].tag == tag:
+                    self.end(i)
+                    return
 
     def handle_data(self, data):
-        if self.open[-1][0] == "head" and data.strip():
+        if self.open[-1].tag == "head" and data.strip():
             self.close("head")
-        if data:
-            _, number, path, linked, skipped = self.open[-1]
-            self.nodes.append(Node(self.block, path, number, linked, skipped, data))
+        at = self.open[-1]
+        if data and not at.skipped:
+            self.nodes.append(
+                Node(self.block, at.path, at.number, at.linked, at.heading, at.prose, data)
+            )
 
 
-def fused_ratios(nodes: list[Node]) -> np.ndarray:
-    """Fused tag-path ratio at each node, smoothed over the page."""
-    sums: dict[str, list[float]] = {}
+def path_sums(nodes: list[Node]) -> dict[int, list[float]]:
+    """Text length, punctuation, nodes and linked text of each path."""
+    sums: dict[int, list[float]] = {}
     for node in nodes:
         s = sums.setdefault(node.path, [0.0, 0.0, 0.0, 0.0])
         length = len(node.text.strip())
@@ -171,6 +228,12 @@ def fused_ratios(nodes: list[Node]) -> np.ndarray:
         s[1] += len(PUNCTUATION.findall(node.text))
         s[2] += 1
         s[3] += length if node.linked else 0
+    return sums
+
+
+def fused_ratios(nodes: list[Node]) -> np.ndarray:
+    """Fused tag-path ratio at each node, smoothed over the page."""
+    sums = path_sums(nodes)
     text, punctuation = np.empty(len(nodes)), np.empty(len(nodes))
     for i, node in enumerate(nodes):
         chars, marks, n, linked = sums[node.path]
@@ -187,8 +250,72 @@ def fused_ratios(nodes: list[Node]) -> np.ndarray:
     return np.sqrt(smooth(text) * smooth(1 + punctuation))
 
 
+def content_of(nodes: list[Node]) -> np.ndarray:
+    """Whether each node is on a content path."""
+    ratios = fused_ratios(nodes)
+    return ratios >= THRESHOLD * ratios.std()
+
+
+def scores_of(nodes: list[Node], content: np.ndarray, tags: list[tuple[str, int]]) -> list[float]:
+    """Text of content nodes in each element; parents come before their children."""
+    score = [0.0] * len(tags)
+    for node, good in zip(nodes, content, strict=True):
+        if good:
+            score[node.element] += len(node.text.strip())
+    for number in range(len(tags) - 1, 0, -1):
+        score[tags[number][1]] += score[number]
+    return score
+
+
+def within(roots: set[int], tags: list[tuple[str, int]]) -> list[bool]:
+    """Whether each element is one of those, or inside one."""
+    found = [False] * len(tags)
+    for number, (_, parent) in enumerate(tags):
+        found[number] = number in roots or (parent >= 0 and found[parent])
+    return found
+
+
+def other_than_article(
+    nodes: list[Node], tags: list[tuple[str, int]], marked: list[int]
+) -> list[bool]:
+    """Whether each element is something else, or inside it, as its names say.
+
+    A marked element that holds nearly all content, and the title, the main or the
+    article of the page, or just all content, is the page's frame; what is marked
+    inside a frame is measured against it.
+    """
+    score = scores_of(nodes, content_of(nodes), tags)
+    total = score[0]
+    names = set(marked)
+    holds = [
+        tag in ("h1", "main")
+        or (tag == "article" and number not in names and score[number] >= total / 2)
+        for number, (tag, _) in enumerate(tags)
+    ]
+    for number in range(len(tags) - 1, 0, -1):
+        holds[tags[number][1]] |= holds[number]
+    others = set()
+    for number in marked:
+        if total and score[number] >= (HOLDS_ARTICLE if holds[number] else HOLDS_ALL) * total:
+            total = score[number]
+        else:
+            others.add(number)
+    return within(others, tags)
+
+
+def menus(nodes: list[Node]) -> set[int]:
+    """Blocks of nothing but links, on paths of nothing but links, outside of prose."""
+    sums = path_sums(nodes)
+    rest = {
+        n.block
+        for n in nodes
+        if n.prose or not n.linked or sums[n.path][2] < MENU_LINKS
+    }
+    return {n.block for n in nodes} - rest
+
+
 def article_of(
-    nodes: list[Node], ratios: np.ndarray, tags: dict[int, tuple[str, int]]
+    nodes: list[Node], content: np.ndarray, tags: list[tuple[str, int]]
 ) -> tuple[int, set[int]]:
     """Number of the element around which content paths gather, and blocks beside it.
 
@@ -199,26 +326,19 @@ def article_of(
     content paths or in headings are taken within that main, or, where it passed neither,
     within the page.
     """
-    content = ratios >= THRESHOLD * ratios.std()
-    score: dict[int, float] = {}
-    for node, good in zip(nodes, content, strict=True):
-        if good:
-            value = float(len(node.text.strip()))
-            at = node.ancestors
-            while at >= 0:
-                score[at] = score.get(at, 0.0) + value
-                at = tags[at][1]
-    children: dict[int, list[int]] = {}
-    for number, (_, parent) in tags.items():
-        children.setdefault(parent, []).append(number)
+    score = scores_of(nodes, content, tags)
+    best = [-1] * len(tags)  # the child with the highest score, the first of equal ones
+    for number in range(1, len(tags)):
+        parent = tags[number][1]
+        if best[parent] < 0 or score[number] > score[best[parent]]:
+            best[parent] = number
     at, passed = 0, [0]
-    while True:
-        best = max(children.get(at, ()), key=lambda c: score.get(c, 0.0), default=None)
-        if best is None or tags[best][0] not in BLOCKS or tags[best][0] == "p":
+    while (child := best[at]) >= 0:
+        if tags[child][0] not in BLOCKS or tags[child][0] == "p":
             break
-        if score.get(best, 0.0) < 0.8 * score.get(at, 0.0) or not score.get(best):
+        if score[child] < 0.8 * score[at] or not score[child]:
             break
-        at = best
+        at = child
         passed.append(at)
     article, main = (
         next((n for n in passed if tags[n][0] == name), None) for name in ("article", "main")
@@ -227,22 +347,15 @@ def article_of(
     bound = main if article is not None or main is not None else 0
     beside: set[int] = set()
     if bound is not None and bound < root:
+        near = within({bound}, tags)
         beside = {
             n.block
             for n, good in zip(nodes, content, strict=True)
-            if not n.linked
-            and (good or HEADING.search(n.path))
-            and inside(n.ancestors, bound, tags)
+            if not n.linked and (good or n.heading) and near[n.element]
         }
     return root, beside
 
 
-def inside(number: int, root: int, tags: dict[int, tuple[str, int]]) -> bool:
-    while number > root:
-        number = tags[number][1]
-    return number == root
-
-
 def main_text(html: str) -> str:
     """Main text of a page: blocks in page order, joined by an empty line."""
     reader = PageReader()
@@ -251,16 +364,20 @@ def main_text(html: str) -> str:
         HTMLParser.close(reader)
     except (AssertionError, ValueError):  # a broken declaration: keep what was read
         pass
-    nodes = [n for n in reader.nodes if not n.skipped]
-    if not nodes:
-        return ""
+    nodes, tags = reader.nodes, reader.tags
     seen = [n for n in nodes if n.text.strip()]
+    if seen and reader.marked:
+        other = other_than_article(seen, tags, reader.marked)
+        nodes = [n for n in nodes if not other[n.element]]
+        seen = [n for n in seen if not other[n.element]]
     if not seen:
         return ""
-    root, beside = article_of(seen, fused_ratios(seen), reader.tags)
+    links = menus(seen)
+    root, beside = article_of(seen, content_of(seen), tags)
+    article = within({root}, tags)
     blocks: dict[int, list[str]] = {}
     for node in nodes:
-        if node.block in beside or inside(node.ancestors, root, reader.tags):
+        if node.block in beside or (article[node.element] and node.block not in links):
             blocks.setdefault(node.block, []).append(node.text)
     texts = (SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n\n".join(t for t in texts if t)
@@ -270,7 +387,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """Main text of each page: ``page_id``, ``url``, ``text``, ``n_chars``.
 
     A null or empty page, or one without text, has the empty text. Pages are read one
-    by one, so repeated rows give repeated results; other columns are ignored.
+    by one and whole, however long, so repeated rows give repeated results; other columns
+    are ignored. An empty table gives an empty result.
     """
     schema = T.StructType(
         [

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 #: Code points that a task works on at a time; a longer text is a slice of its own.
 SLICE_CHARS = 4_000_000
 #: Encoded words that a Python worker remembers, from task to task.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: Words that one recursive query contracts, and tokens that one query decodes.
 WORDS_PER_QUERY = 50_000
 TOKENS_PER_QUERY = 2_000_000
@@ -52,7 +53,7 @@ WITH RECURSIVE state(place, token, done) AS (
      SELECT place, token, i, merged, rank, coalesce(merged = rank, false) AS hit
      FROM ranked JOIN lowest USING (word)),
    runs AS (
-     SELECT *, i - 1 - coalesce(max(CASE WHEN NOT hit THEN i END) OVER (
+     SELECT *, i - 1 - coalesce(last_value(CASE WHEN NOT hit THEN i END IGNORE NULLS) OVER (
        ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
      FROM hits)
    SELECT place, CASE WHEN hit THEN merged ELSE token END, rank IS NULL
@@ -113,7 +114,7 @@ class Coder:
 
     def forget(self) -> None:
         # A word's number, and by it the place and number of its tokens.
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = defaultdict(count().__next__)
         self.tokens = np.empty(0, np.int32)
         self.sizes = np.empty(0, np.int64)
 
@@ -132,19 +133,25 @@ class Coder:
         self.db.unregister("start")
         return found["token"], np.bincount(found["word"], minlength=len(words))
 
-    def learn(self, words: set[str]) -> None:
-        """Encode words that are not known yet."""
-        raw = {w: w.encode() for w in words}
-        single = [w for w in words if raw[w] in self.ranks]
-        rest = [w for w in words if raw[w] not in self.ranks]
-        tokens = [self.tokens, np.array([self.ranks[raw[w]] for w in single], np.int32)]
-        sizes = [self.sizes, np.ones(len(single), np.int64)]
-        for at in range(0, len(rest), WORDS_PER_QUERY):
-            found, lengths = self.contracted([raw[w] for w in rest[at : at + WORDS_PER_QUERY]])
-            tokens.append(found)
-            sizes.append(lengths)
-        self.known.update(zip(chain(single, rest), count(len(self.known))))
-        self.tokens, self.sizes = np.concatenate(tokens), np.concatenate(sizes)
+    def learn(self, words: list[str]) -> None:
+        """Encode words, numbered in this order after those that are encoded."""
+        raw = [w.encode() for w in words]
+        ranks = [self.ranks.get(r) for r in raw]
+        rest = [i for i, rank in enumerate(ranks) if rank is None]
+        sizes = np.ones(len(words), np.int64)
+        found = [self.contracted([raw[i] for i in rest[at : at + WORDS_PER_QUERY]])
+                 for at in range(0, len(rest), WORDS_PER_QUERY)]
+        if rest:
+            sizes[rest] = np.concatenate([n for _, n in found])
+        alone = np.ones(len(words), bool)
+        alone[rest] = False
+        tokens = np.empty(sizes.sum(), np.int32)
+        of_alone = np.repeat(alone, sizes)
+        tokens[of_alone] = [rank for rank in ranks if rank is not None]
+        if rest:
+            tokens[~of_alone] = np.concatenate([t for t, _ in found])
+        self.tokens = np.concatenate([self.tokens, tokens])
+        self.sizes = np.concatenate([self.sizes, sizes])
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -157,11 +164,12 @@ class Coder:
         cut = [self.words(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.forget()
-        self.learn(set(chain.from_iterable(cut)) - self.known.keys())
         n_words = np.array([len(words) for words in cut])
-        numbers = np.fromiter(
+        numbers = np.fromiter(  # a word that is not known gets the next number
             map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, n_words.sum()
         )
+        if len(self.known) > len(self.sizes):
+            self.learn(list(islice(self.known, len(self.sizes), None)))
         sizes = self.sizes[numbers]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         places = np.repeat(self.starts[numbers] - ends[:-1], sizes) + np.arange(ends[-1])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bindery.llm import bpe, mixing, neardup, quality_rules, secrets
@@ -19,11 +19,24 @@ from bindery.llm.texts import words
 from bindery.scratch import stored
 
 
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
+    """The rows with all but the needed columns under private names, and the way back."""
+    private = {
+        c: c if c in needed else f"other column {i}" for i, c in enumerate(docs.columns)
+    }
+    inner = docs.select([docs[f"`{c.replace('`', '``')}`"].alias(p) for c, p in private.items()])
+    return inner, [F.col(f"`{p}`").alias(c) for c, p in private.items()]
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, with all their columns.
+
+    A null or empty text is rejected; no rows give no rows.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality_rules.judge(docs, quality_rules.trusted_ids(labels))
-    return judged.where("kept").select(docs.columns)
+    inner, columns = set_aside(docs, "doc_id", "text")
+    judged = quality_rules.judge(inner, quality_rules.trusted_ids(labels))
+    return judged.where("kept").select(columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +45,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows of one ID are repeated if their texts are equal; different texts of a kept ID
     all stay. Rows without an ID are linked with nothing and stay.
     """
-    kept = neardup.link(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    linked = neardup.link(docs.select("doc_id", "text"))
+    kept = linked.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     rest = docs.where("doc_id IS NULL")
     whole = docs.join(kept, "doc_id").dropDuplicates(["doc_id", "text"])
-    return whole.select(docs.columns).unionByName(rest)
+    return whole.select(rest.columns).unionByName(rest)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,21 +58,31 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it whole.
+    """Each document as often as the mix takes it whole, with all its columns.
 
-    Rows of one ID are told apart by their number in order of source and size.
+    Rows of equal ID, source and size are told apart by a number.
     """
-    mixed = mixing.mix(docs)
-    number = F.row_number().over(Window.partitionBy("id").orderBy("mixed_source", "size", "copies"))
-    copies = mixed.select(
-        F.col("doc_id").alias("id"), F.col("source").alias("mixed_source"), "size", "copies"
-    ).withColumn("number", number)
+    inner, columns = set_aside(docs, "doc_id", "source", "text")
+    same = ["id", "mixed_source", "size"]
+    number = F.row_number().over(Window.partitionBy(*same).orderBy("copies"))
+    copies = (
+        mixing.mix(inner.select("doc_id", "source", "text"))
+        .select(F.col("doc_id").alias("id"), F.col("source").alias("mixed_source"), "size", "copies")
+        .withColumn("number", number)
+        .where("copies > 0")
+    )
     size = F.size(words(F.col("text"))).cast("long")
-    own = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", size))
-    joined = docs.withColumn("own", own).join(
-        copies.where("copies > 0"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("number"))
+    own = F.row_number().over(
+        Window.partitionBy("doc_id", "source", "own_size").orderBy(F.xxhash64("text"))
+    )
+    joined = inner.withColumn("own_size", size).withColumn("own", own).join(
+        copies,
+        F.col("doc_id").eqNullSafe(F.col("id"))
+        & F.col("source").eqNullSafe(F.col("mixed_source"))
+        & (F.col("own_size") == F.col("size"))
+        & (F.col("own") == F.col("number")),
     )
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

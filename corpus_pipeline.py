@@ -45,16 +45,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows of one ID are repeated if their texts are equal; different texts of a kept ID
     all stay. Rows without an ID are linked with nothing and stay.
     """
-    linked = neardup.link(docs.select("doc_id", "text"))
+    inner, columns = set_aside(docs, "doc_id", "text")
+    linked = neardup.link(inner.select("doc_id", "text"))
     kept = linked.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rest = docs.where("doc_id IS NULL")
-    whole = docs.join(kept, "doc_id").dropDuplicates(["doc_id", "text"])
-    return whole.select(rest.columns).unionByName(rest)
+    rest = inner.where("doc_id IS NULL")
+    whole = inner.join(kept, "doc_id").dropDuplicates(["doc_id", "text"])
+    return whole.unionByName(rest).select(columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without secrets: each is replaced by a mark."""
-    return secrets.redact(docs)
+    inner, columns = set_aside(docs, "text", "n_chars")
+    return secrets.redact(inner).select(columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

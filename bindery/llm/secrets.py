@@ -6,8 +6,9 @@ those that they do, there with the symbols that end the patterns' values. A dyna
 programme finds the cheapest way to guess a value: it is cut into known words, dates,
 repeats, keyboard walks and brute-force spans, each with the logarithm of its number of
 guesses. A value whose cheapest cut still takes ``MIN_GUESSES`` (log10) is a secret and
-adds a span; ``password = changeme`` does not. In a value without a digit, letters whose
-pairs are those of words cost a word of a dictionary, which keeps out prose.
+adds a span; ``password = changeme`` does not. Letters whose pairs are those of words cost
+a word of a dictionary, in every value, which keeps out prose. Addresses, and names in
+code that are not quoted (``request.headers.get('x')``), are as hard as their hardest part.
 
 All work is inside one row: no shuffle, and an executor's loss costs its tasks only.
 """
@@ -101,6 +102,30 @@ FOLLOWERS = (
 PAIRS = {line[0] + c for line in FOLLOWERS for c in line[1:]}
 DICTIONARY, LONG_WORD, FURTHER_LETTER = 5.0, 12, 0.5
 WORD = re.compile(r"(?<![^\W\d_])(?:[A-Za-z][a-z]{3,}|[A-Z]{4,})(?![^\W\d_])")
+#: What starts an address, what names a thing in code (letters before a bracket, or
+#: joined by dots), the pieces of such a name, and the least letters of one on average.
+ADDRESS = re.compile(r"[a-z][a-z0-9+.-]*://", re.IGNORECASE | re.ASCII)
+NAME = re.compile(r"([A-Za-z_]+(?:\.[A-Za-z_]+)*)[(\[]|([A-Za-z_]+(?:\.[A-Za-z_]+)+)\Z")
+PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+PIECE_LETTERS = 3
+#: What lies between the parts of an address or of code.
+PARTS = re.compile(r"[\s./:?&=#()\[\]{},;'\"_-]+")
+
+
+def like_a_word(letters: str) -> bool:
+    """Whether all neighbours among lower-case letters are pairs of words."""
+    return all(a + b in PAIRS for a, b in zip(letters, letters[1:], strict=False))
+
+
+def is_name(value: str) -> bool:
+    """Whether a value starts with the name of something in code that is read or called."""
+    found = NAME.match(value)
+    if not found:
+        return False
+    pieces = [p.lower() for p in PIECE.findall(found.group(1) or found.group(2))]
+    letters = sum(map(len, pieces))
+    known = all(p in RANK or like_a_word(p) for p in pieces)
+    return known and letters >= PIECE_LETTERS * max(1, len(pieces))
 
 
 def runs(value: str) -> Iterator[tuple[int, int, float]]:
@@ -116,12 +141,11 @@ def runs(value: str) -> Iterator[tuple[int, int, float]]:
                     if case and part not in (part.upper(), part.capitalize()):
                         case = math.log10(2) * sum(c.isupper() for c in part)
                     yield i, j, math.log10(rank + 1) + case + swapped
-    if not any(c.isdigit() for c in value):  # words of prose, by their letter pairs
-        for m in WORD.finditer(value):
-            word = m.group().lower()
-            if all(a + b in PAIRS for a, b in zip(word, word[1:], strict=False)):
-                case = 0.0 if m.group() == word else math.log10(2)
-                yield *m.span(), DICTIONARY + FURTHER_LETTER * max(0, len(word) - LONG_WORD) + case
+    for m in WORD.finditer(value):  # words of prose, by their letter pairs
+        word = m.group().lower()
+        if like_a_word(word):
+            case = 0.0 if m.group() == word else math.log10(2)
+            yield *m.span(), DICTIONARY + FURTHER_LETTER * max(0, len(word) - LONG_WORD) + case
     for i in range(len(value)):
         found = DATE.match(value, i)
         if found:
@@ -161,6 +185,13 @@ def guesses(value: str) -> float:
     return best[-1]
 
 
+def hardness(value: str, quoted: bool) -> float:
+    """Log10 of a value's guesses; for addresses and names in code, those of the hardest part."""
+    if ADDRESS.match(value) or (not quoted and is_name(value)):
+        return max(map(guesses, PARTS.split(value)))
+    return guesses(value)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base spans, in their order."""
     spans = []
@@ -178,10 +209,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def hard_values(text: str, least: float) -> list[tuple[int, int]]:
     """Values in a credential context that take that many guesses."""
-    found = set()
+    found: dict[tuple[int, int], bool] = {}  # spans, and whether they are in quotes
     if ASSIGN_HINTS.search(text):
         for m in ASSIGN.finditer(text):
-            found.add(m.span(2))
+            start, end = m.span(2)
+            if text[end : end + 1] not in ("(", "["):  # a call: the whole is judged below
+                quoted = text[start - 1] in "\"'" and text[end : end + 1] == text[start - 1]
+                found[start, end] = quoted
     if HINTS.search(text):
         for pattern in CONTEXTS:
             for m in pattern.finditer(text):
@@ -189,9 +223,11 @@ def hard_values(text: str, least: float) -> list[tuple[int, int]]:
                 quoted = text[start - 1] in "\"'" and text[end : end + 1] == text[start - 1]
                 while not quoted and end > start and text[end - 1] in "\"',;.)]}>":
                     end -= 1
-                found.add((start, end))
+                found.setdefault((start, end), quoted)
     return sorted(
-        (s, e) for s, e in found if e - s >= LEAST_VALUE and guesses(text[s:e]) >= least
+        (s, e)
+        for (s, e), quoted in found.items()
+        if e - s >= LEAST_VALUE and hardness(text[s:e], quoted) >= least
     )
 
 

@@ -372,6 +372,13 @@ def test_secrets_with_symbols(text, value):
         ("the token: identifiers of a basic understanding, pass: REQUIRED", None),
         ("Basic authentication, bearer instruments; auth: permission.", None),
         ("password = changeme, secret: ********, pwd=${PASSWORD}", None),
+        ("token: Authentication2, secret: configuration3", None),
+        ("token = request.headers.get('x')", None),
+        ("password = self.settings.password_field", None),
+        ("auth: https://example.org/path", None),
+        ("auth: https://example.org/hook/x9Kd82LqZ7", "https://example.org/hook/x9Kd82LqZ7"),
+        ("token = decode('x9Kd82LqZ7')", "decode('x9Kd82LqZ7"),
+        ("secret = kQzW.vXnbTrPlM", "kQzW.vXnbTrPlM"),
     ],
 )
 def test_secrets_without_digits(text, value):
@@ -395,6 +402,73 @@ def test_guess_costs(easy, hard):
     assert secrets.guesses(hard) <= len(hard)
 
 
+def test_guesses_are_the_cheapest_of_all_cuts():
+    r = random.Random(11)
+    parts = ["pass", "love", "2021", "abab", "qwer", "x", "7", "Admin", "#", "zq", "tion", "P@ss", "999"]
+    for _ in range(60):
+        value = "".join(r.choice(parts) for _ in range(4))[:11]
+        cost = {}
+        for i, j, c in secrets.runs(value):
+            cost[i, j] = min(c, cost.get((i, j), c))
+        least = math.inf
+        for cuts in range(2 ** (len(value) - 1)):
+            at = [0, *[i + 1 for i in range(len(value) - 1) if cuts >> i & 1], len(value)]
+            spans = list(zip(at, at[1:]))
+            sums = sum(min(j - i, cost.get((i, j), math.inf)) for i, j in spans)
+            least = min(least, sums + math.log10(2) * (len(spans) - 1))
+        assert secrets.guesses(value) == pytest.approx(least)
+
+
+def plain_base_spans(text):
+    """Base spans by walking over characters."""
+    small = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    inside = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+
+    def run(i, allowed):
+        while i < len(text) and text[i] in allowed:
+            i += 1
+        return i
+
+    def assign(i):
+        for name in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if small.startswith(name, i):
+                at = i + len(name)
+                at += text[at : at + 1] in ("'", '"')
+                at = run(at, " ")
+                if text[at : at + 1] in (":", "="):
+                    at = run(at + 1, " ")
+                    at += text[at : at + 1] in ("'", '"')
+                    end = run(at, inside)
+                    if end > at:
+                        return end, end - at >= 6
+        return None
+
+    def access(i):
+        end = run(i + 4, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+        return (end, end - i >= 20) if text.startswith("AKIA", i) and end > i + 4 else None
+
+    def digits(i):
+        end = run(i, "0123456789abcdef")
+        return (end, end - i >= 24) if end > i else None
+
+    spans = []
+    for kind, match in enumerate((assign, access, digits)):
+        i = 0
+        while i < len(text):
+            found = match(i)
+            if found and found[1]:
+                spans.append((i, kind, found[0]))
+            i = found[0] if found else i + 1
+    return sorted(spans)
+
+
+def test_base_spans_over_a_table(spark):
+    texts = [r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    texts += ["TOKEN='abcdef' secret=token=abcdefg", "password:secret:abcdef", "AKIAAKIA" * 4, "api_\u212aey=abcdefg"]
+    assert any(secrets.base_spans(t) for t in texts)
+    assert all(secrets.base_spans(t) == plain_base_spans(t) for t in texts)
+
+
 def test_long_value_is_fast():
     assert secrets.guesses("a1" * 50_000) < 50_000
 

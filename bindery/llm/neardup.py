@@ -6,15 +6,18 @@ that differ. The lanes are split into chunks. If at most ``DISTANCE`` lanes diff
 some chunk has at most ``DISTANCE // CHUNKS`` errors, so a document gets a key for
 every chunk and every choice of that many lanes to leave out of it: all pairs within
 the distance share a key. With 32 lanes, a pair of similarity 0.85 exceeds a distance
-of 15 about once in 200,000 times. Candidates are confirmed on their full sets.
+of 15 once in 286,000 times, by the binomial tail. Candidates are confirmed on their full
+sets.
 
-Documents of one word sequence are one class first, with the smallest ID for all. The
-pairs of a group are not listed: each member is compared with the group's pivot, the
+Rows of one word sequence are one class first. Keys, links and components are those of
+classes, so rows of one ID with different texts are told apart; IDs come back at the end.
+The pairs of a group are not listed: each member is compared with the group's pivot, the
 member whose keys are the most common, and links join into components. Only pairs
 across components are left. Those take part whose finer signatures of ``FINE`` single
 bits are near, each at the smallest key that its two documents share, and are confirmed
-in turn. So no link between components is lost, and a large group of copies costs one
-comparison for each member.
+in turn. A pair of similarity 0.85 is not near once in 4,260,000 times, and less often
+above; other links between components are not lost, and a large group of copies costs
+one comparison for each member.
 """
 
 from __future__ import annotations
@@ -36,10 +39,10 @@ PERCENT = 85
 LANES, BITS = 32, 16
 DISTANCE, CHUNKS = 15, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Lanes of the finer signature, and its greatest distance: 4.5 standard deviations
-#: beyond the one expected at a similarity of 0.85, exceeded once in 300,000 times.
+#: Lanes of the finer signature, and its greatest distance. At a similarity of 0.85 it is
+#: exceeded once in 4,260,000 times, a fifteenth of what the keys lose.
 FINE = 1024
-FINE_DISTANCE = 115
+FINE_DISTANCE = 122
 #: Hashes of sets that a task remembers.
 REMEMBERED = 4_000_000
 SEEDS = np.random.default_rng(5).integers(1, 2**63, (2, LANES + FINE, 1), dtype=np.uint64)
@@ -124,11 +127,17 @@ def keys() -> list[Column]:
     return found
 
 
+def text_key() -> Column:
+    """What tells the texts of one ID apart."""
+    return F.xxhash64("text")
+
+
 def read_documents(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, hash of the word sequence, and the signature's lanes."""
+    """``doc_id``, ``text_key``, ``n_shingles``, hash of the word sequence, and the signature's lanes."""
     schema = T.StructType(
         [
             documents.schema["doc_id"],
+            T.StructField("text_key", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("sequence", T.StringType()),
             T.StructField("lanes", T.ArrayType(T.IntegerType())),
@@ -147,13 +156,14 @@ def read_documents(documents: DataFrame) -> DataFrame:
                 lanes.append(signature(found) if words else None)
             columns = [
                 batch.column("doc_id"),
+                batch.column("text_key"),
                 pa.array(sizes, pa.int64()),
                 pa.array(sequences, pa.string()),
                 pa.array(lanes, pa.list_(pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return documents.select("doc_id", "text").mapInArrow(rows, schema)
+    return documents.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(rows, schema)
 
 
 def fine_signatures(texts: DataFrame) -> DataFrame:
@@ -249,16 +259,24 @@ def link(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Groups of near-duplicates: one row per document.
 
     Columns: ``doc_id``, ``n_shingles``, ``component_id`` (smallest ID that a chain of
-    links reaches, its own included), ``kept`` (that is its own). Null and empty texts,
-    and texts without words, are linked with nothing. Repeated rows of one ID are
-    copies with one result each. Rows with a null ID take no part in linking and are
-    kept. Other columns are ignored; an empty table gives an empty result.
+    links reaches, its own included), ``kept`` (that is its own), ``text_key`` (hash of
+    the text), ``chosen`` (true for one ID and text of each component). Null and empty texts, and texts without words, are linked
+    with nothing; texts of any length are read whole. Equal rows of one ID have one
+    result each. Different texts of one ID are linked each by itself, and not with each
+    other. Rows with a null ID take no part in linking and are kept. Other columns are
+    ignored; an empty table gives an empty result.
     """
     read = stored(read_documents(documents), "signatures")
     usable = read.where("doc_id IS NOT NULL AND sequence IS NOT NULL")
     classes = stored(
-        usable.groupBy("sequence").agg(
-            F.min("doc_id").alias("id"), F.first("lanes").alias("lanes")
+        usable.groupBy("sequence")
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("own"), F.first("lanes").alias("lanes"))
+        .select(
+            F.monotonically_increasing_id().alias("id"),
+            "sequence",
+            "lanes",
+            F.col("own.doc_id").alias("first_id"),
+            F.col("own.text_key").alias("text_key"),
         ),
         "classes",
     )
@@ -277,11 +295,14 @@ def link(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(),
         "pairs",
     )
+    # One text of each class; equal rows of an ID have equal texts.
     ids = members.select("id").distinct()
+    sharers = classes.join(ids, "id", "left_semi").select("id", "first_id", "text_key")
     texts = stored(
         documents.where("doc_id IS NOT NULL")
-        .select(F.col("doc_id").alias("id"), "text")
-        .join(ids, "id", "left_semi")
+        .select(F.col("doc_id").alias("first_id"), text_key().alias("text_key"), "text")
+        .join(sharers, ["first_id", "text_key"])
+        .select("id", "text")
         .dropDuplicates(["id"]),
         "texts",
     )
@@ -334,15 +355,27 @@ def link(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     more = confirmed(pairs, texts, percent)
     groups = components(near.unionByName(more))
-    result = classes.select("sequence", "id").join(groups, "id", "left")
-    result = result.select("sequence", F.coalesce("component", "id").alias("component"))
-    joined = read.join(result, "sequence", "left").withColumn(
-        "component_id",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")),
+    placed = (
+        classes.join(groups, "id", "left")
+        .select(
+            "sequence",
+            F.struct(F.col("first_id").alias("doc_id"), "text_key").alias("own"),
+            F.coalesce("component", "id").alias("place"),
+        )
+    )
+    least = placed.groupBy("place").agg(F.min("own").alias("first"))
+    result = placed.join(least, "place").select("sequence", "first")
+    with_words = read.where("sequence IS NOT NULL").join(result, "sequence", "left")
+    without = read.where("sequence IS NULL").withColumn(
+        "first", F.struct("doc_id", "text_key")
     )
-    return joined.select(
+    component = F.when(F.col("doc_id").isNotNull(), F.col("first.doc_id"))
+    alone = F.col("doc_id").isNull()
+    return with_words.unionByName(without).select(
         "doc_id",
         "n_shingles",
-        "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        component.alias("component_id"),
+        (alone | (F.col("doc_id") == F.col("first.doc_id"))).alias("kept"),
+        "text_key",
+        (alone | (F.struct("doc_id", "text_key") == F.col("first"))).alias("chosen"),
     )

@@ -225,21 +225,22 @@ def test_extraction_keeps_pages(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
-def plain_groups(rows):
+def plain_groups(rows, key=lambda doc_id, text: doc_id):
     sets = {}
     for doc_id, text, *_ in rows:
         w = split(lower(text))
         if doc_id is not None:
-            sets[doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-    group = {i: i for i in sets}
+            found = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+            sets[key(doc_id, text)] = doc_id, found
+    group = {i: doc_id for i, (doc_id, _) in sets.items()}
     changed = True
     while changed:
         changed = False
-        for a, x in sets.items():
-            for b, y in sets.items():
+        for a, (_, x) in sets.items():
+            for b, (_, y) in sets.items():
                 if x and y and 100 * len(x & y) >= 85 * len(x | y) and group[b] < group[a]:
                     group[a], changed = group[b], True
-    return {i: (len(sets[i]), group[i], group[i] == i) for i in sets}
+    return {i: (len(x), group[i], group[i] == doc_id) for i, (doc_id, x) in sets.items()}
 
 
 def test_near_duplicates_on_edges(documents, empty):
@@ -254,6 +255,31 @@ def test_near_duplicates_on_edges(documents, empty):
     assert neardup.link(empty).count() == 0
 
 
+def test_near_duplicates_with_repeated_ids(spark):
+    """Several texts of an ID, each with copies under other IDs."""
+    r = random.Random(6)
+    bases = [prose(90, 50 + i) for i in range(6)]
+    rows = [(5, bases[0]), (5, bases[1]), (6, bases[1] + " more"), (7, bases[0] + " more"), (7, "")]
+    for _ in range(60):
+        words = r.choice(bases).split()
+        for _ in range(r.choice([0, 0, 1, 2, 5])):
+            words[r.randrange(len(words))] = f"w{r.randrange(9)}"
+        rows.append((r.randrange(10, 25), " ".join(words)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = documents.select("doc_id", "text", neardup.text_key().alias("k"))
+    texts = {(x.doc_id, x.k): x.text for x in keyed.collect()}
+    found = neardup.link(documents).collect()
+    assert len(found) == len(rows)
+    got = {(x.doc_id, texts[x.doc_id, x.text_key]): (x.n_shingles, x.component_id, x.kept) for x in found}
+    assert got == plain_groups(rows, lambda doc_id, text: (doc_id, text))
+    assert [v[1] for k, v in got.items() if k[0] == 6] == [5]
+    # One ID and text of each component, and of each text without words.
+    chosen = {(x.doc_id, x.text_key) for x in found if x.chosen}
+    assert chosen <= {(x.doc_id, x.text_key) for x in found if x.kept}
+    with_words = [k for k in chosen if texts[k]]
+    assert len(with_words) == len(chosen) - 1
+
+
 def test_near_duplicates_in_a_family(spark):
     """Copies of a base at all distances, and chains of small changes."""
     r = random.Random(4)

@@ -42,15 +42,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, and one row of repeated rows of an ID.
 
-    Rows of one ID are repeated if their texts are equal; different texts of a kept ID
-    all stay. Rows without an ID are linked with nothing and stay.
+    Rows of one ID are repeated if their texts are equal; different texts of one ID are
+    documents of their own. Rows without an ID are linked with nothing and stay.
     """
     inner, columns = set_aside(docs, "doc_id", "text")
     linked = neardup.link(inner.select("doc_id", "text"))
-    kept = linked.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = linked.where("chosen AND doc_id IS NOT NULL").select("doc_id", "text_key").distinct()
     rest = inner.where("doc_id IS NULL")
-    whole = inner.join(kept, "doc_id").dropDuplicates(["doc_id", "text"])
-    return whole.unionByName(rest).select(columns)
+    own = inner.withColumn("text_key", neardup.text_key())
+    whole = own.join(kept, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    return whole.drop("text_key").unionByName(rest).select(columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

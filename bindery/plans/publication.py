@@ -39,6 +39,7 @@ BITMAP_ROWS = 32_768
 BITMAP_BYTES = 4_096
 #: Bytes of bitmaps that one broadcast holds, with some for the names of their files.
 BROADCAST_BYTES = 64 * 1024 * 1024
+WASTE = "subset_id STRING, n_folders BIGINT, n_rows BIGINT, n_removed BIGINT"
 #: Times that a writer tries again after others were faster.
 TRIES = 100
 
@@ -390,11 +391,59 @@ def apply_update(
     publish(prepare_update(spark, root, set_id, run_id, published_at, added, deleted))
 
 
-def compact(spark: SparkSession, root: str, set_id: str) -> None:
-    """Write what is published of a set anew, without removed rows, as one attempt.
+def waste(spark: SparkSession, root: str, set_id: str) -> DataFrame:
+    """What each of a set's subsets has in the store: ``subset_id, n_folders, n_rows,
+    n_removed``; removed rows are counted in ``n_rows``.
 
-    For a set with many updates. Published rows stay the same, and so do versions:
-    no older folder is deleted. If the set is updated meanwhile, it starts again.
+    Counts file rows and bits of bitmaps, and reads no content. Subsets without files are
+    left out.
+    """
+    entries = counting_entries(of_set(read_pointers(spark, root), set_id))
+    places = entries.where("location IS NOT NULL").select(
+        "subset_id",
+        F.regexp_extract("location", "^run_id=(.*)/target=(.*)$", 1).alias("run_id"),
+        F.regexp_extract("location", "^run_id=(.*)/target=(.*)$", 2).alias("target"),
+        "location",
+    )
+    # One entry per subset and update since the subset was last written anew.
+    found = [r.asDict() for r in places.distinct().collect()]
+    locations = sorted(r["location"] for r in found)
+    if not found:
+        return spark.createDataFrame([], WASTE)
+    folder = ["run_id", "target"]
+    counted = placed_rows(spark, root, locations).groupBy(*folder).agg(F.count("*").alias("n_rows"))
+    removed = [r[0] for r in entries.where("removed IS NOT NULL").select("removed").distinct().collect()]
+    gone = spark.createDataFrame([], "run_id string, target string, n_removed bigint")
+    if removed:
+        targets = sorted({r["target"] for r in found})
+        bits = read_removed(spark, root, removed, targets)
+        gone = bits.groupBy(*folder).agg(F.sum(F.bitmap_count("rows")).alias("n_removed"))
+    return (
+        places.distinct()
+        .join(counted, folder)
+        .join(gone, folder, "left")
+        .groupBy("subset_id")
+        .agg(
+            F.count("*").alias("n_folders"),
+            F.sum("n_rows").alias("n_rows"),
+            F.coalesce(F.sum("n_removed"), F.lit(0)).alias("n_removed"),
+        )
+    )
+
+
+def compact(
+    spark: SparkSession,
+    root: str,
+    set_id: str,
+    least_removed: float = 0.0,
+    most_folders: int | None = None,
+) -> list[str]:
+    """Write subsets of a set anew, each without removed rows and in one folder.
+
+    Those are taken of whose rows at least the share ``least_removed`` is removed, or
+    which have more than ``most_folders`` folders; by default all. Files of the others stay
+    untouched. Returns the subsets taken. Published rows stay the same, and so do
+    versions: no older folder is deleted. If the set is updated meanwhile, it starts again.
     """
     seen, attempt, locations = -1, "", {}
     for _ in range(TRIES):
@@ -402,20 +451,38 @@ def compact(spark: SparkSession, root: str, set_id: str) -> None:
         own = of_set(log, set_id)
         last = commits.last_number(own, "seq")
         if last != seen:
-            subset_ids = [r["subset_id"] for r in own.select("subset_id").distinct().collect()]
+            subset_ids = wasteful(spark, root, own, set_id, least_removed, most_folders)
             if not subset_ids:
-                return
+                return []
             attempt = new_attempt(set_id, "whole")
-            rows = write_rows(root, attempt, set_id, read_entries(spark, root, own))
+            taken = own.where(F.col("subset_id").isin(subset_ids))
+            rows = write_rows(root, attempt, set_id, read_entries(spark, root, taken))
             locations, seen = locations_of(attempt, subset_ids, rows), last
             continue
         number = commits.last_number(log, "seq") + 1
         entries = entries_of(set_id, attempt, attempt, locations, None, True, None, number)
         if commits.commit(spark, f"{root}/published", number, entries):
-            return
+            return sorted(locations)
     raise RuntimeError(f"set {set_id} is not compacted: it was updated all the time")
 
 
+def wasteful(
+    spark: SparkSession,
+    root: str,
+    own: DataFrame,
+    set_id: str,
+    least_removed: float,
+    most_folders: int | None,
+) -> list[str]:
+    """Subsets that a compaction takes; one row per subset of a set's split comes here."""
+    if least_removed <= 0:
+        return [r["subset_id"] for r in own.select("subset_id").distinct().collect()]
+    bad = F.col("n_removed") >= least_removed * F.col("n_rows")
+    if most_folders is not None:
+        bad |= F.col("n_folders") > most_folders
+    return [r["subset_id"] for r in waste(spark, root, set_id).where(bad).select("subset_id").collect()]
+
+
 def create_version(
     spark: SparkSession, root: str, version_id: str, created_at: str
 ) -> None:

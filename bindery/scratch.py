@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -19,11 +20,16 @@ def local_root(application: str) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names.
 
-    Without the setting an application gets one folder of this machine, which
-    serves tests, where the driver and its tasks are one process.
+    Without the setting an application in local mode gets one folder of this machine,
+    since the driver and its tasks are one process there. On a cluster it is an error.
     """
     root = spark.conf.get(SETTING, None)
-    return (root or local_root(spark.sparkContext.applicationId)).rstrip("/")
+    if not root:
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
+        root = local_root(context.applicationId)
+    return root.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

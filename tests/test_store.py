@@ -136,6 +136,38 @@ def test_a_compaction_starts_again_after_an_update(store, monkeypatch):
     assert store.paths() == ["13/a", "14/a"]
 
 
+def test_a_compaction_of_some_subsets_leaves_the_others(spark, store):
+    def rows_of(subset, *paths):
+        return archive_rows(spark, *paths).withColumn("subset_id", F.lit(subset))
+
+    def update(run, added, gone=()):
+        deleted = spark.createDataFrame(list(gone), "subset_id string, binding_id string")
+        publication.apply_update(spark, store.root, "s", run, "2024-01-31", added, deleted)
+
+    none = archive_rows(spark, "11/a").limit(0)
+    first = rows_of("1", "11/a", "12/a").unionByName(rows_of("2", "21/a", "22/a", "23/a", "24/a"))
+    update("r1", first)
+    update("r2", rows_of("2", "25/a"), [("1", "12"), ("2", "21")])
+    update("r3", none, [("2", "21")])  # gone before
+    found = {r["subset_id"]: r[1:] for r in publication.waste(spark, store.root, "s").collect()}
+    assert found == {"1": (1, 2, 1), "2": (2, 5, 1)}
+    store.version("v1")
+    held, marker = store.held(), store.marker()
+    untouched = set(publication.read_published(spark, store.root, "s", ["2"]).inputFiles())
+    assert publication.compact(spark, store.root, "s", least_removed=0.5) == ["1"]
+    assert (store.held(), store.marker()) == (held, marker)
+    assert set(publication.read_published(spark, store.root, "s", ["2"]).inputFiles()) == untouched
+    found = {r["subset_id"]: r[1:] for r in publication.waste(spark, store.root, "s").collect()}
+    assert found == {"1": (1, 1, 0), "2": (2, 5, 1)}
+    assert publication.compact(spark, store.root, "s", least_removed=0.5) == []
+    assert publication.compact(spark, store.root, "s", least_removed=0.5, most_folders=1) == ["2"]
+    found = {r["subset_id"]: r[1:] for r in publication.waste(spark, store.root, "s").collect()}
+    assert found == {"1": (1, 1, 0), "2": (1, 4, 0)} and store.held() == held
+    assert publication.read_version(spark, store.root, "v1").count() == len(held)
+    assert publication.waste(spark, store.root, "t").count() == 0
+    assert publication.compact(spark, store.root, "t", least_removed=0.5) == []
+
+
 def test_the_marker_follows_the_order_of_entries(store):
     assert store.marker() is None
     store.version("empty", "2024-05-01")

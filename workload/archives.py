@@ -259,7 +259,11 @@ def _(t: Tables):
     f"WITH {ZIPPED_SQL} SELECT archive, path, content FROM zipped",
 )
 def _(t: Tables):
-    return archived_batches(t).select(
+    """Manifests among the members of the batches' archives, by their entries."""
+    batches = archived_batches(t)
+    entries = archives.with_directories(batches)
+    wanted = archives.matching(entries.where("NOT is_dir"), include="_METS[.]xml$", exclude="/$")
+    return batches.join(wanted.select("archive", "path"), ["archive", "path"], "left_semi").select(
         "archive", "path", F.decode("content", "utf-8").alias("content")
     )
 
@@ -358,6 +362,34 @@ def _(t: Tables):
     return found.select("subset_id", "binding_id", "path")
 
 
+@query(
+    "compacted_subsets",
+    f"""WITH {STORED_SQL}, counted AS (
+          SELECT subset_id, count(*) AS n_rows,
+                 count(*) FILTER (o_orderstatus = 'F') AS n_removed,
+                 count(DISTINCT o_orderstatus = 'P') AS n_folders
+          FROM stored GROUP BY subset_id)
+        SELECT subset_id, n_folders, n_rows, n_removed,
+               CASE WHEN 100 * n_removed >= 45 * n_rows THEN 1 ELSE n_folders END
+                 AS folders_after,
+               n_rows - CASE WHEN 100 * n_removed >= 45 * n_rows THEN n_removed ELSE 0 END
+                 AS rows_after
+        FROM counted WHERE n_rows > n_removed""",
+)
+def _(t: Tables):
+    """Subsets before and after those were written anew that had lost 45 % of their rows."""
+    root = published_store(t)
+    before = publication.waste(t.spark, root, "all")
+    before = stored(before.where("n_rows > n_removed"), t.scratch("waste"))
+    publication.compact(t.spark, root, "all", least_removed=0.45)
+    after = publication.waste(t.spark, root, "all").select(
+        "subset_id",
+        F.col("n_folders").alias("folders_after"),
+        F.col("n_rows").alias("rows_after"),
+    )
+    return before.join(after, "subset_id")
+
+
 @query(
     "sets_of_alike_names",
     f"""WITH {STORED_SQL}

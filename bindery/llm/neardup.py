@@ -15,7 +15,7 @@ The pairs of a group are not listed: each member is compared with the group's pi
 member whose keys are the most common, and links join into components. Only pairs
 across components are left. Those take part whose finer signatures of ``FINE`` single
 bits are near, each at the smallest key that its two documents share, and are confirmed
-in turn. A pair of similarity 0.85 is not near once in 4,260,000 times, and less often
+in turn. A pair of similarity 0.85 is not near once in 3,570,000 times, and less often
 above; other links between components are not lost, and a large group of copies costs
 one comparison for each member.
 """
@@ -40,14 +40,14 @@ LANES, BITS = 32, 16
 DISTANCE, CHUNKS = 15, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Lanes of the finer signature, and its greatest distance. At a similarity of 0.85 it is
-#: exceeded once in 4,260,000 times, a fifteenth of what the keys lose.
-FINE = 1024
-FINE_DISTANCE = 122
+#: exceeded once in 3,570,000 times, a twelfth of what the keys lose.
+FINE = 2048
+FINE_DISTANCE = 216
 #: Hashes of sets that a task remembers.
 REMEMBERED = 4_000_000
 SEEDS = np.random.default_rng(5).integers(1, 2**63, (2, LANES + FINE, 1), dtype=np.uint64)
 #: Shingles that are hashed by all lanes at a time.
-AT_ONCE = 4096
+AT_ONCE = 2048
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -165,3 +165,57 @@ def test_issue_dates(spark):
     assert between(end="1898") == []
     with pytest.raises(Exception, match="not a date"):
         between("nonsense")
+
+
+def test_usual_form_reads_as_from_xml(spark, monkeypatch):
+    """Documents are read alike by both readers, and plain ones by the fast one."""
+    from pyspark.sql import functions as F
+
+    from bindery.functions import mets
+
+    where = '<FLocat x:href="a.jp2"/>'
+
+    def one(inner, head="", tail="", use="Images", section="fileSec"):
+        return (
+            f'<mets xmlns:x="urn:x">{head}<{section}><fileGrp ID="IMGGRP" USE="{use}">{inner}'
+            f"</fileGrp></{section}>{tail}</mets>"
+        )
+
+    usual = [
+        manifest([image_group(3), TEXTS, *OTHERS], "mets", "1899"),
+        one(f"<file SEQ='1'>\n {where}\n</file><file GROUPID='2' SEQ='x'>{where}</file>"),
+        one(f'<file SEQ="1">{where}</file>', "<!-- <fileSec> --><a b='/>'>/></a>", "<c>&#65;</c>"),
+        one('<file SEQ="1"><FLocat x:href="a&amp;lt;>b.jp2"></FLocat></file>'),
+        one(f'<file ID="1">{where}</file>'),
+        '<?xml version="1.0" encoding="latin1"?>' + one(f'<file SEQ="07">{where}</file>', use="Ö"),
+        f'<mets><fileSec><fileGrp ID="A"><file>{where}</file></fileGrp></fileSec></mets>',
+    ]
+    others = [
+        one(f'<file SEQ="1">{where}</file>')[:-1],
+        one(f'<file SEQ="1">{where}</file>') + "junk",
+        one(f'<file SEQ="1">{where}{where}</file>'),
+        one(f'<file SEQ="1">text{where}</file>'),
+        one(f'<file SEQ=" 1 ">{where}</file>'),
+        one(f'<file SEQ="+1">{where}</file>'),
+        one('<file SEQ="1"><FLocat href=""/></file>'),
+        one('<file SEQ="1"><flocat href="a"/></file>'),
+        one('<file SEQ="1"><FLocat href="a" x:href="b"/></file>'),
+        one('<file SEQ="1"><FLocat href="a&#66;"/></file>'),
+        one(f'<file SEQ="1">{where}</file>', section="filesec"),
+        one(f'<file SEQ="1">{where}</file>', tail="<fileSec/>"),
+        f"<a><b>{one(f'<file SEQ="1">{where}</file>')}</b></a>",
+        f'<a><![CDATA[<!--]]><fileSec><fileGrp ID="I"><file>{where}</file></fileGrp></fileSec></a>',
+        "<!DOCTYPE mets>" + one(f'<file SEQ="1">{where}</file>'),
+        "<mets><fileSec/></mets>",
+        "",
+        None,
+    ]
+    texts = docs(spark, *usual, *others)
+    read = texts.select("binding_id", mets.usual_elements(F.col("xml")).elements.isNotNull().alias("u"))
+    assert [r["u"] for r in sorted(read.collect(), key=lambda r: int(r[0]))] == (
+        [True] * len(usual) + [False] * len(others)
+    )
+    found = rows(manifests.parse_manifests(texts))
+    none = F.lit(None).cast(f"struct<elements:{mets.ELEMENTS},manifest_error:string>")
+    monkeypatch.setattr(mets, "usual_elements", lambda xml: none)
+    assert found == rows(manifests.parse_manifests(texts))

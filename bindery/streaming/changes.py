@@ -5,23 +5,21 @@ counts if it is newer than that, a deletion also if it is as old as an addition.
 page that is landed again, or one that comes late with older headers, changes nothing,
 and an identifier that is added and deleted between two runs is deleted only.
 
-State is kept for every identifier ever listed; the store behind it is Spark's.
+State is what every micro-batch found that counts, a Parquet folder for each below the
+checkpoint. A micro-batch compares its headers with those of all earlier ones in one
+aggregation, so neither a process nor a task holds the state of many identifiers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bindery.functions import ids
 from bindery.sources import lists
 
-KINDS = ["added", "deleted"]
+KEY = ["set_id", "dc_identifier"]
 CHANGE = "set_id STRING, dc_identifier STRING, kind STRING, at BIGINT"
 #: Time of headers without a date stamp: before all others.
 OLDEST = -(2**63)
@@ -42,27 +40,21 @@ def header_changes(added: DataFrame, deleted: DataFrame, base_url: str) -> DataF
     return new.unionByName(gone)
 
 
-def newest(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """The newest of an identifier's headers, if it is newer than its state."""
-    known = state.get if state.exists else None
-    best = known
-    for batch in batches:
-        found = zip(batch["at"].tolist(), map(KINDS.index, batch["kind"]), strict=True)
-        best = max([*([best] if best is not None else []), *found])
-    if best is not None and best != known:
-        state.update(best)
-        yield pd.DataFrame(
-            {"set_id": [key[0]], "dc_identifier": [key[1]], "kind": [KINDS[best[1]]], "at": [best[0]]}
-        )
-
+def net_changes(headers: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The newest of each identifier's headers, if it is newer than what is ``known``.
 
-def net_changes(changes: DataFrame) -> DataFrame:
-    """Stream of the changes that count, in the form of the stream it reads."""
-    return changes.groupBy("set_id", "dc_identifier").applyInPandasWithState(
-        newest, CHANGE, "at BIGINT, kind INT", "update", GroupStateTimeout.NoTimeout
-    )
+    Both tables have the columns of ``CHANGE``, and so has the result.
+    """
+    deleted = F.col("kind") == "deleted"
+    heard = F.struct("at", deleted.alias("deleted"))
+    rows = headers.select(*KEY, heard.alias("new"), F.lit(None).cast("struct<at:bigint,deleted:boolean>").alias("old"))
+    if known is not None:
+        before = known.select(*KEY, F.lit(None).cast("struct<at:bigint,deleted:boolean>").alias("new"), heard.alias("old"))
+        rows = rows.unionByName(before)
+    last = rows.groupBy(*KEY).agg(F.max("new").alias("new"), F.max("old").alias("old"))
+    counts = F.col("new").isNotNull() & (F.col("old").isNull() | (F.col("new") > F.col("old")))
+    kind = F.when(F.col("new.deleted"), F.lit("deleted")).otherwise(F.lit("added"))
+    return last.where(counts).select(*KEY, kind.alias("kind"), F.col("new.at").alias("at"))
 
 
 def write_changes(
@@ -74,15 +66,23 @@ def write_changes(
 ) -> StreamingQuery:
     """Write a day's lists, with markers, from what has landed since the last call.
 
-    Each micro-batch has a folder of its own below ``root/changes``, which a batch that
-    is run again replaces. The day's lists are made of all batches of the day, by the
+    Each micro-batch has a folder of its own below ``root/changes`` and one below
+    ``checkpoint/known``, which a batch that is run again replaces; what later batches
+    found is not known to it. The day's lists are made of all batches of the day, by the
     last change of each identifier, so they are whole after any number of batches.
     """
     spark = changes.sparkSession
     wanted = sets.select("set_id").distinct()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(
+        state = f"{checkpoint}/known"
+        known = None
+        if batch_id > 0:
+            read = batch.sparkSession.read.schema(f"{CHANGE}, batch_id BIGINT").parquet(state)
+            known = read.where(F.col("batch_id") < batch_id)
+        own = f"{state}/batch_id={batch_id}"
+        net_changes(batch, known).write.mode("overwrite").parquet(own)
+        spark.read.schema(CHANGE).parquet(own).write.mode("overwrite").parquet(
             f"{root}/changes/list_date={list_date}/batch_id={batch_id}"
         )
         of_day = spark.read.schema(f"{CHANGE}, batch_id BIGINT").parquet(
@@ -95,9 +95,7 @@ def write_changes(
         lists.write_binding_lists(listed, wanted, list_date, root)
 
     return (
-        net_changes(changes)
-        .writeStream.foreachBatch(write)
-        .outputMode("update")
+        changes.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

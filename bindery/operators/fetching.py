@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,14 +55,18 @@ def manifest_plan(bindings: DataFrame) -> DataFrame:
 
 
 def page_plan(page_files: DataFrame) -> DataFrame:
-    """Page files with the path they get in the archive."""
-    return page_files.withColumn("path", entry_path("binding_id", "kind", "filename"))
+    """Page files with the path they get in the archive.
 
+    Their binding's ``directory`` may come with them, made once for all of its files.
+    """
+    directory = "directory" if "directory" in page_files.columns else None
+    return page_files.withColumn("path", entry_path("binding_id", "kind", "filename", directory))
 
-def entry_path(binding_id, kind, filename):
-    return F.concat_ws(
-        "/", ids.binding_dir(binding_id), ids.col(kind), ids.col(filename)
-    )
+
+def entry_path(binding_id, kind, filename, directory=None):
+    if directory is None:
+        directory = ids.binding_dir(binding_id)
+    return F.concat_ws("/", ids.col(directory), ids.col(kind), ids.col(filename))
 
 
 def not_present(plan: DataFrame, present: DataFrame) -> DataFrame:
@@ -106,12 +110,13 @@ def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> D
     plan = spread(plan, partitions, *keys).sortWithinPartitions(*order)
     schema = T.StructType(plan.schema.fields + _RESULT)
 
-    def fetch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fetch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, present, stopped = None, set(), False
         for batch in batches:
             start, held, results = 0, 0, []
-            names = zip(*(batch[c] for c in keys))
-            for name, path, url in zip(names, batch["path"], batch["download_url"]):
+            read = {c: batch.column(c).to_pylist() for c in {*keys, "path", "download_url"}}
+            names = zip(*(read[c] for c in keys))
+            for name, path, url in zip(names, read["path"], read["download_url"]):
                 if name != current:
                     current, present, stopped = name, set(), False
                 if stopped:
@@ -131,7 +136,7 @@ def fetch(plan: DataFrame, fetcher: Fetcher, partitions: int | None = None) -> D
             if results:
                 yield _with_results(batch, start, results)
 
-    return plan.mapInPandas(fetch_rows, schema)
+    return plan.mapInArrow(fetch_rows, schema)
 
 
 _SKIPPED = (None, None, None, None, True)
@@ -156,17 +161,26 @@ def _fetch_one(fetcher: Fetcher, url: str | None) -> tuple:
     return status, None, len(content), content, False
 
 
-def _with_results(batch: pd.DataFrame, start: int, results: list[tuple]) -> pd.DataFrame:
-    part = batch.iloc[start : start + len(results)].reset_index(drop=True)
+def _result_arrays(results: list[tuple]) -> list[pa.Array]:
+    """What was found, as the columns of ``_RESULT``."""
     status, error, n_bytes, content, skipped = zip(*results)
-    return part.assign(
-        status=pd.array(status, dtype="Int32"),
-        error=pd.Series(error, dtype="object"),
-        n_bytes=pd.array(n_bytes, dtype="Int64"),
-        content=pd.Series(content, dtype="object"),
-        skipped=[bool(s) for s in skipped],
-        attempted=[s is not None for s in skipped],
-    )
+    return [
+        pa.array(status, pa.int32()),
+        pa.array(error, pa.string()),
+        pa.array(n_bytes, pa.int64()),
+        pa.array(content, pa.binary()),
+        pa.array([bool(s) for s in skipped], pa.bool_()),
+        pa.array([s is not None for s in skipped], pa.bool_()),
+    ]
+
+
+def _with_results(batch, start: int, results: list[tuple]):
+    """Planned rows as they came, with what was found for them; of a frame, a frame."""
+    if not isinstance(batch, pa.RecordBatch):
+        return _with_results(pa.RecordBatch.from_pandas(batch), start, results).to_pandas()
+    part = batch.slice(start, len(results))
+    names = [*part.schema.names, *[f.name for f in _RESULT]]
+    return pa.RecordBatch.from_arrays([*part.columns, *_result_arrays(results)], names)
 
 
 def same_url(left: str, right: str) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from bindery.functions import files
+from bindery.functions import files, ids
 from bindery.operators import fetching, manifests, outcomes
 from bindery.plans import download
 from bindery.plans.stages import stored
@@ -18,11 +18,15 @@ from workload.registry import (
 )
 
 
+def placed_plan(images):
+    """Page files of images with their path and their binding's directory."""
+    placed = images.withColumn("directory", ids.binding_dir("binding_id"))
+    return fetching.page_plan(manifests.with_names(manifests.altos_for_images(placed)))
+
+
 def page_plan(t: Tables):
     """All page files with their path; ``flag`` of the page is kept."""
-    return fetching.page_plan(
-        manifests.with_names(manifests.altos_for_images(t.page_images))
-    )
+    return placed_plan(t.page_images).drop("directory")
 
 
 PLAN_SQL = f"""{PAGE_FILES_SQL}, plan AS (
@@ -110,6 +114,8 @@ def _(t: Tables):
     plan = page_plan(t).withColumn(
         "download_url", F.concat_ws("?", "download_url", "flag")
     )
+    # Stored, since partitioning by ranges reads the plan twice.
+    plan = stored(plan, t.scratch("plan"))
     got = fetching.write_fetched(
         fetching.fetch(plan, flagged_response), t.scratch("fetched")
     )

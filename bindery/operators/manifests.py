@@ -206,11 +206,21 @@ def with_names(page_files: DataFrame) -> DataFrame:
 
 
 def altos_for_images(images: DataFrame) -> DataFrame:
-    """Images and one ALTO row per image, for page rows that are not in a document."""
-    altos = images.withColumn("kind", F.lit(files.ALTO)).withColumn(
-        "location_xlink", F.lit(None).cast("string")
+    """Images and one ALTO row per image, for page rows that are not in a document.
+
+    Rows are doubled where they are: a union would compute the images twice.
+    """
+    both = images.withColumn("_alto", F.explode(F.array(F.lit(False), F.lit(True))))
+    return both.select(
+        *[
+            F.when(F.col("_alto"), F.lit(files.ALTO)).otherwise(F.col(c)).alias(c)
+            if c == "kind"
+            else F.when(~F.col("_alto"), F.col(c)).alias(c)
+            if c == "location_xlink"
+            else F.col(c)
+            for c in images.columns
+        ]
     )
-    return images.unionByName(altos)
 
 
 def files_of_kind(page_files: DataFrame, kind: str) -> DataFrame:

@@ -30,9 +30,17 @@ def mets_ids(entries: DataFrame) -> DataFrame:
     )
 
 
-def present_paths(archive: DataFrame) -> DataFrame:
-    """Distinct paths already held, empty files not counted."""
-    return archive.where(files.is_present("size")).select("path").distinct()
+def present_paths(archive: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Distinct paths already held, empty files not counted.
+
+    With ``partitions`` paths are dealt to that many tasks before copies are looked for.
+    Otherwise each task first looks among its own paths, all of which it holds, and their
+    number grows with the archive.
+    """
+    paths = archive.where(files.is_present("size")).select("path")
+    if partitions is not None:
+        paths = paths.repartition(partitions, "path")
+    return paths.distinct()
 
 
 def binding_ids(archive: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ from workload.registry import (
 METS_PATH_SQL = f"{binding_dir_sql('binding_id')} || '/mets/' || binding_id || '_METS.xml'"
 
 
-def mets_path():
+def mets_path(directory=None):
     return fetching.entry_path(
-        "binding_id", F.lit(files.METS), ids.mets_file_name("binding_id")
+        "binding_id", F.lit(files.METS), ids.mets_file_name("binding_id"), directory
     )
 
 
@@ -179,7 +179,7 @@ def _(t: Tables):
     f"WITH {PLAN_SQL} SELECT path FROM plan WHERE flag <> 'R'",
 )
 def _(t: Tables):
-    return archives.present_paths(archive_of_pages(t))
+    return archives.present_paths(archive_of_pages(t), t.page_tasks)
 
 
 @query(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from bindery.scratch import new_folder
 
 BASE = "https://library.example/item/"
+#: Line items that one task groups.
+LINES_PER_TASK = 300_000
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -66,26 +68,41 @@ class Tables:
             "flag",
         )
 
+    @property
+    def page_tasks(self) -> int:
+        """Number of tasks for line items, so that what one task holds does not grow.
+
+        Several times that of cores: making and parsing documents costs far more than
+        moving their pages, by whose bytes Spark would deal them.
+        """
+        shuffled = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        least = max(shuffled, 4 * self.spark.sparkContext.defaultParallelism)
+        # Counted from the files' footers.
+        return max(least, -(-self.lineitem.count() // LINES_PER_TASK))
+
     @property
     def flagged_pages(self) -> DataFrame:
-        return self.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-            # As a number: hash aggregation cannot hold the maximum of a string.
-            F.chr(F.max(F.ascii("l_returnflag"))).alias("flag")
+        """Distinct pages with their flag, dealt to tasks by binding."""
+        # As a number: hash aggregation cannot hold the maximum of a string.
+        lines = self.lineitem.select(
+            "l_orderkey", "l_linenumber", F.ascii("l_returnflag").alias("_flag")
+        )
+        return (
+            lines.repartition(self.page_tasks, "l_orderkey")
+            .groupBy("l_orderkey", "l_linenumber")
+            .agg(F.chr(F.max("_flag")).alias("flag"))
         )
 
     @property
     def pages_of_bindings(self) -> DataFrame:
         """Bindings with their pages ``p`` (number and flag) in order.
 
-        Grouped by the key as it is, before texts are made of it. The number of tasks is
-        several times that of cores: making and parsing documents costs far more than
-        moving their pages, by whose bytes Spark would deal them.
+        Grouped by the key as it is, before texts are made of it: their pages are in one
+        task already.
         """
         id_ = F.col("l_orderkey").cast("string")
         members = F.struct(F.col("l_linenumber").alias("page_number"), "flag")
-        shuffled = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        tasks = max(shuffled, 4 * self.spark.sparkContext.defaultParallelism)
-        pages = self.flagged_pages.repartition(tasks, "l_orderkey").groupBy("l_orderkey").agg(
+        pages = self.flagged_pages.groupBy("l_orderkey").agg(
             F.sort_array(F.collect_list(members)).alias("p")
         )
         return pages.select(

@@ -30,7 +30,13 @@ def fetch_tasks(plan: DataFrame) -> int:
 
 
 def broadcast_if_small(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint for a key table whose measured size is below the limit.
+    """Broadcast hint for a key table whose measured size is below the limit."""
+    found = small_broadcast(keys, limit)
+    return keys if found is None else found
+
+
+def small_broadcast(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame | None:
+    """A key table to broadcast; None if its measured size is above the limit.
 
     Runs one aggregation over the keys, so give it stored ones.
     """
@@ -42,7 +48,7 @@ def broadcast_if_small(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Dat
         ],
     )
     size = keys.agg(F.sum(row.cast("bigint"))).first()[0] or 0
-    return F.broadcast(keys) if size <= limit else keys
+    return F.broadcast(keys) if size <= limit else None
 
 
 @contextmanager

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from bindery import commits, schemas
 from bindery.functions import names
-from bindery.partitioning import unsorted_partition_writes
+from bindery.partitioning import MAX_BROADCAST_BYTES, small_broadcast, unsorted_partition_writes
 from bindery.sources import archives
 
 COLUMNS = ["binding_id", "kind", "page_number", "path", "size", "content"]
@@ -201,18 +201,29 @@ def select_binding(
     return archives.select_files(read_entries(spark, root, log), binding_id=binding_id)
 
 
-def removed_places(held: DataFrame | None, new: DataFrame, deleted: DataFrame) -> DataFrame:
+def removed_places(
+    held: DataFrame | None,
+    new: DataFrame,
+    deleted: DataFrame,
+    broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """Places of the rows that an update takes away.
 
     Held rows go if a new one has their path, and all rows of a deleted binding go,
-    the new ones too: additions come first. Reads no content.
+    the new ones too: additions come first. Reads no content. The new paths are broadcast
+    if they measure little: Spark guesses from the files' sizes, which for many short paths
+    is far too low, and would send them all through the driver.
     """
     columns = [*PLACE, "path", "binding_id"]
     both = new.select(*columns, F.lit(False).alias("_held"))
     if held is not None:
         both = both.unionByName(held.select(*columns, F.lit(True).alias("_held")))
     yes = F.lit(True)
-    again = new.select("path").distinct().withColumn("_again", yes)
+    few = small_broadcast(new.select("path"), broadcast_bytes) is not None
+    again = (
+        new.select("path").distinct().withColumn("_again", yes)
+        .hint("broadcast" if few else "merge")
+    )
     gone = deleted.select("binding_id").distinct().withColumn("_gone", yes)
     return (
         both.join(again, "path", "left")

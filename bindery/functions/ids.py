@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Length up to which an ID's directory is written out without functions over arrays.
+INLINE_DEPTH = 10
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -47,10 +51,19 @@ def binding_dir(id_: Column | str, depth: Column | int | None = None) -> Column:
     id_ = col(id_)
     if depth is None or (isinstance(depth, int) and depth == 0):
         depth = F.length(id_)
-    elif isinstance(depth, int):
+        short = F.concat_ws(
+            "/", *[F.when(depth >= n, F.substring(id_, 1, n)) for n in range(1, INLINE_DEPTH + 1)], id_
+        )
+        return F.when(depth <= INLINE_DEPTH, short).otherwise(_tree_dir(id_, depth))
+    if isinstance(depth, int):
         depth = F.lit(depth)
     else:
         depth = F.when(depth == 0, F.length(id_)).otherwise(depth)
+    return _tree_dir(id_, depth)
+
+
+def _tree_dir(id_: Column, depth: Column) -> Column:
+    """Directory of any depth; functions over arrays cost some three times ``short`` above."""
     # sequence(1, 0) counts downwards, hence the guard.
     heads = F.transform(
         F.sequence(F.lit(1), F.greatest(depth, F.lit(1))),
@@ -68,7 +81,8 @@ def binding_of_entry(path: Column | str) -> Column:
     """
     path = col(path)
     tail = F.substring_index(path, "/", -3)
-    return F.when(path.like("%/%/%"), F.substring_index(tail, "/", 1))
+    # A path that its first two segments are not the whole of has three; a pattern costs more.
+    return F.when(F.substring_index(path, "/", 2) != path, F.substring_index(tail, "/", 1))
 
 
 def binding_of_path(path: Column | str) -> Column:

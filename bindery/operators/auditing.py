@@ -156,17 +156,25 @@ def missing_files(
 def plain_name(path):
     """Path with the optional name prefix of page files taken off."""
     path = ids.col(path)
-    return (
-        F.when(
-            path.contains("alto/al-"),
-            F.regexp_replace(path, r"(^|/)alto/al-(?=[^/]*$)", "$1alto/"),
-        )
-        .when(
-            path.contains("access_img/pr-"),
-            F.regexp_replace(path, r"(^|/)access_img/pr-(?=[^/]*$)", "$1access_img/"),
-        )
-        .otherwise(path)
-    )
+    tail = F.substring_index(path, "/", -2)
+    plain = path
+    # Images below something that is called like a prefixed text stay as they are.
+    may_be = {files.ALTO: F.lit(True), files.ACCESS_IMAGE: ~path.contains("alto/al-")}
+    for kind, prefix in ((files.ALTO, "al-"), (files.ACCESS_IMAGE, "pr-")):
+        # The prefix is what the path's end has before the rest of the name.
+        rest = tail.substr(F.lit(len(kind) + len(prefix) + 2), F.length(tail))
+        head = F.left(path, F.length(path) - F.length(rest) - len(prefix))
+        found = tail.startswith(f"{kind}/{prefix}") & may_be[kind]
+        plain = F.when(found, F.concat(head, rest)).otherwise(plain)
+    return plain
+
+
+def is_page_file(path):
+    """Whether a path is that of a file in a directory for page files below another one."""
+    path = ids.col(path)
+    tail = F.substring_index(path, "/", -2)
+    of_kind = tail.startswith(f"{files.ALTO}/") | tail.startswith(f"{files.ACCESS_IMAGE}/")
+    return of_kind & (tail != path) & ~path.endswith("/")
 
 
 def missing_mets(pairs: DataFrame, seen: DataFrame) -> DataFrame:
@@ -181,11 +189,21 @@ def extra_mets(seen: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def unlisted_files(classified: DataFrame, pairs: DataFrame) -> DataFrame:
     """Files other than manifests whose binding is not expected, one row each."""
-    return (
-        classified.where(~F.col("is_mets") & F.col("binding_id").isNotNull())
-        .select("archive", "binding_id", "path")
-        .join(pairs, ["archive", "binding_id"], "left_anti")
-    )
+    others = classified.where(~F.col("is_mets") & F.col("binding_id").isNotNull())
+    return joined_by_pair(others.select("archive", "binding_id", "path"), pairs, "left_anti")
+
+
+def joined_by_pair(rows: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
+    """Rows with or without a partner of their archive and binding.
+
+    A hash of the two is the first key: rows are sorted by it, and names of archives share
+    their beginnings.
+    """
+    key = ["archive", "binding_id"]
+    hashed = F.xxhash64(*key).alias("_pair")
+    return rows.select(hashed, "*").join(
+        pairs.select(hashed, *key), ["_pair", *key], how
+    ).drop("_pair")
 
 
 #: Names of the sums over 32 bits each of the hashes of a binding's paths.
@@ -218,7 +236,7 @@ def binding_states(
     zero = F.lit(0).cast("bigint")
     nothing = [zero.alias(name) for name in SUMS]
     path = F.col("path")
-    of_page = F.rlike(path, F.lit(f"/({files.ALTO}|{files.ACCESS_IMAGE})/[^/]+$"))
+    of_page = is_page_file(path)
     sums = [
         F.when(of_page, c).otherwise(zero).alias(name)
         for name, c in zip(SUMS, path_sums(plain_name("path"), 1), strict=True)
@@ -299,9 +317,7 @@ def integrity_errors(
 
     of_mets = F.when(listed, F.lit("missing_mets")).otherwise(F.lit("extra_mets"))
     unlisted = faults.where(~listed & F.col("other")).select("archive", "binding_id")
-    others = classified.where(~F.col("is_mets")).join(
-        unlisted, ["archive", "binding_id"], "left_semi"
-    )
+    others = joined_by_pair(classified.where(~F.col("is_mets")), unlisted, "left_semi")
     parts = [
         errors(
             malformed_paths(classified), F.lit("malformed_path"), none, F.col("path")

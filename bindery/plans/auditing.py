@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions import files, names
 from bindery.operators import auditing
-from bindery.partitioning import broadcast_if_small
+from bindery.partitioning import small_broadcast
 from bindery.plans.stages import stored
 from bindery.sources import archives
 from bindery.sources.manifests import decoded
@@ -30,8 +30,10 @@ def audit(
     goes into several joins is written to ``staging``: the names of the archives
     and the faulty bindings, so that the planner knows that they are few, and the
     files that the manifests ask for, so that each manifest is parsed once. Paths are
-    compared for the bindings whose sums of path hashes differ; paths of others stay
-    where they are read, as long as the differing bindings are few enough to broadcast.
+    compared for the bindings whose sums of path hashes differ, if these are few enough to
+    broadcast: paths of others stay where they are read. If they are more, all paths are
+    compared by their hashes, with the same result: to pick some, both sides would be moved
+    by their bindings first, with paths that are longer than the hashes.
     """
     named = entries if archives is None else archives
     named = named.select([c for c in ("archive", "set_id") if c in named.columns]).distinct()
@@ -41,7 +43,7 @@ def audit(
         auditing.binding_faults(entries, expected_ids, named, guess_prefix, wanted),
         f"{staging}/faults",
     )
-    differing = broadcast_if_small(faults.where("differs").select("archive", "binding_id"))
+    differing = small_broadcast(faults.where("differs").select("archive", "binding_id"))
     return auditing.integrity_errors(entries, wanted, faults, differing)
 
 

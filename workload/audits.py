@@ -7,7 +7,7 @@ from bindery.operators import auditing, changes, fetching, routing
 from bindery.plans.auditing import audit, audit_archive
 from bindery.plans.stages import stored
 from workload.archives import mets_path
-from workload.fetches import page_plan
+from workload.fetches import placed_plan
 from workload.manifests import HEAD, manifest_docs
 from workload.planning import PREFIXES
 from workload.registry import (
@@ -32,30 +32,48 @@ def held_entries(t: Tables):
     Files of pages flagged A have the prefixed names. Notes lie outside all
     binding directories.
     """
-    of_mets = t.bindings.where("o_orderstatus <> 'P'").select(
-        "binding_id", mets_path().alias("path")
-    )
     prefixed = F.when(F.col("kind") == files.ALTO, F.lit("al-")).otherwise(F.lit("pr-"))
     name = F.when(F.col("flag") == "A", F.concat(prefixed, "filename")).otherwise(
         F.col("filename")
     )
-    of_pages = page_plan(t).where("flag <> 'R'").select(
-        "binding_id", fetching.entry_path("binding_id", "kind", name).alias("path")
-    )
-    notes = t.bindings.select(
-        "binding_id", F.concat_ws("/", F.lit("notes"), F.concat("binding_id", F.lit(".txt"))).alias("path")
+    # Archives and directories are found once for each page and each binding.
+    images = t.page_images.where("flag <> 'R'").transform(in_archives)
+    of_pages = placed_plan(images).select(
+        "archive", fetching.entry_path("binding_id", "kind", name, "directory").alias("path")
     )
-    directories = t.bindings.select(
-        "binding_id", F.concat(ids.binding_dir("binding_id"), F.lit("/")).alias("path")
+    of_bindings = (
+        t.bindings.transform(in_archives)
+        .withColumn("directory", ids.binding_dir("binding_id"))
+        .select(
+            "archive",
+            F.explode(
+                F.array(
+                    F.when(F.col("o_orderstatus") != "P", mets_path("directory")),
+                    F.concat_ws("/", F.lit("notes"), F.concat("binding_id", F.lit(".txt"))),
+                    F.concat("directory", F.lit("/")),
+                )
+            ).alias("path"),
+        )
+        .where(F.col("path").isNotNull())
     )
-    entries = of_mets.unionByName(of_pages).unionByName(notes).unionByName(directories)
-    return (
-        entries.withColumn("archive", archive_name())
-        .where(F.col("archive").isNotNull())
-        .select("archive", "path", F.col("path").endswith("/").alias("is_dir"))
+    return of_pages.unionByName(of_bindings).select(
+        "archive", "path", F.col("path").endswith("/").alias("is_dir")
     )
 
 
+def in_archives(rows):
+    """Rows of bindings with the archive that holds them; those without one are left out.
+
+    The filter would otherwise go down to the scan and make the ID anew for each prefix.
+    """
+    return ids.computed_once(rows, "archive", archive_name()).where(F.col("archive").isNotNull())
+
+
+def stored_entries(t: Tables):
+    """The entries as a table, for queries that read them more than once."""
+    return stored(held_entries(t), t.scratch("entries"))
+
+
 def expected_ids(t: Tables):
     """The list names O and P, so F is unlisted."""
     return t.bindings.where("o_orderstatus <> 'F'").select("binding_id")
@@ -67,8 +85,7 @@ def held_docs(t: Tables):
         t.bindings.where("o_orderstatus <> 'P'").select("binding_id"), "binding_id", "left_semi"
     )
     return (
-        docs.withColumn("archive", archive_name())
-        .where(F.col("archive").isNotNull())
+        docs.transform(in_archives)
         .select("archive", mets_path().alias("path"), "xml")
     )
 
@@ -170,8 +187,9 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Bindings whose page files are not those of their manifest, by sums of hashes."""
-    classified = auditing.classified_entries(held_entries(t))
-    pairs = auditing.expected_bindings(expected_ids(t), held_entries(t))
+    entries = stored_entries(t)
+    classified = auditing.classified_entries(entries)
+    pairs = auditing.expected_bindings(expected_ids(t), entries)
     expected = auditing.expected_files(held_docs(t), BASE)
     states = auditing.binding_states(classified, pairs, expected)
     return states.where("differs").select("archive", "binding_id")
@@ -185,7 +203,7 @@ def _(t: Tables):
 
 @query("unlisted_files", of_class("unlisted_file", "archive, binding_id, detail"))
 def _(t: Tables):
-    entries = held_entries(t)
+    entries = stored_entries(t)
     pairs = auditing.expected_bindings(expected_ids(t), entries)
     found = auditing.unlisted_files(auditing.classified_entries(entries), pairs)
     return found.withColumnRenamed("path", "detail")
@@ -193,7 +211,7 @@ def _(t: Tables):
 
 @query("missing_mets", of_class("missing_mets", "archive, binding_id"))
 def _(t: Tables):
-    entries = held_entries(t)
+    entries = stored_entries(t)
     pairs = auditing.expected_bindings(expected_ids(t), entries)
     seen = auditing.seen_bindings(auditing.classified_entries(entries))
     return auditing.missing_mets(pairs, seen)
@@ -201,7 +219,7 @@ def _(t: Tables):
 
 @query("extra_mets", of_class("extra_mets", "archive, binding_id"))
 def _(t: Tables):
-    entries = held_entries(t)
+    entries = stored_entries(t)
     pairs = auditing.expected_bindings(expected_ids(t), entries)
     seen = auditing.seen_bindings(auditing.classified_entries(entries))
     return auditing.extra_mets(seen, pairs)

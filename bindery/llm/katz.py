@@ -9,15 +9,18 @@ after it, so its probabilities add up to exactly 1. Unigram mass that the discou
 leave belongs to one unknown word.
 
 Evaluation is recursive: the bigram if it was seen, else the weight of the history
-times the unigram, else the unknown word. Words, bigrams and weights are tables; all
-of them grow with the corpus.
-
-``FREQUENT_SHARE`` says only how rows are dealt, not what is counted. Pairs of two
-frequent words (or the start and one) fit into a table of bounded size, and are looked
-up where the text is read. Another token goes to its word's bucket, or, if that is a
-frequent word, to the bucket of the word before it, packed by task and bucket, and
-meets the counts there; so no bucket is hot. Joins on a word or history take frequent
-ones from a broadcast. Weights of other histories are joined to what was not seen.
+times the unigram, else the unknown word.
+
+Texts are coded once, some megabytes of them as one batch: a batch's distinct words and
+its tokens as numbers of them. Twice a batch asks the buckets of a shuffle about what it
+holds, each thing once, and adds what training has of it: first words, whose buckets
+count and number them, then pairs, whose buckets count them and weigh their histories.
+An answer is in the order of its question, so it repeats no keys. A batch then adds up
+its texts' scores by itself.
+
+``FREQUENT_SHARE`` says only how pairs are dealt, not what is counted: by history, or
+after frequent ones and the start by word, so that no bucket gets all pairs of one
+history. The sums of those histories are put together over the buckets.
 """
 
 from __future__ import annotations
@@ -27,54 +30,81 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
 
-#: Words with this share of the tokens, and the end, are dealt as frequent ones.
+#: Words with this share of the training tokens are dealt as frequent ones.
 FREQUENT_SHARE = 1e-3
 RELIABLE = 5
 LEAST_MASS = 1e-6
-#: Training tokens for which there is one bucket, and the fewest buckets.
+#: Tokens for which there is one bucket, and the fewest buckets.
 TOKENS_PER_BUCKET = 2_000_000
 FEWEST_BUCKETS = 64
+#: Bytes of text of a batch, at most, but for a longer text.
+BATCH_BYTES = 1 << 24
 #: No word holds a space, so this is the hash of none.
-END = np.int64(np.uint64(xxhash.xxh64_intdigest(b" end")).astype(np.int64))
-START = np.int64(np.uint64(xxhash.xxh64_intdigest(b" start")).astype(np.int64))
+END = xxhash.xxh64_intdigest(b" end")
+#: Numbers of the start as a history, and of a bucket's sums over all its pairs.
+START, ALL = -1, -2
+#: Rows to no batch: what a bucket tells of itself.
+NOWHERE = -1
+#: Sources of a batch's own rows, which come before those of buckets.
+WORDS, TEXTS = -2, -1
+MAIL = "to long, source long, payload binary"
 
 
-def tokens_of(text: str | None, known: dict[bytes, int]) -> np.ndarray:
-    """Signed 64-bit hashes of a text's lower-cased words, and the end."""
-    words = (text or "").encode().lower().split()
-    if len(known) > 1_000_000:
-        known.clear()
-    out = np.empty(len(words) + 1, dtype=np.uint64)
-    for i, word in enumerate(words):
-        h = known.get(word)
-        if h is None:
-            h = known[word] = xxhash.xxh64_intdigest(word)
-        out[i] = h
-    signed = out.view(np.int64)
-    signed[-1] = END
-    return signed
+def thin(values: np.ndarray) -> np.ndarray:
+    """Numbers of at least 0 by the bytes of their places, which compress better."""
+    most = int(values.max()) if len(values) else 0
+    kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if most <= np.iinfo(k).max)
+    narrow = np.ascontiguousarray(values, kind)
+    return np.ascontiguousarray(narrow.view(np.uint8).reshape(len(values), narrow.itemsize).T)
 
 
-def place_in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Places of values in an array without repeats, -1 where they are not in it."""
-    if not len(ordered):
-        return np.full(len(values), -1)
-    at = np.searchsorted(ordered, values)
-    at[at == len(ordered)] = 0
-    return np.where(ordered[at] == values, at, -1)
+def thick(planes: np.ndarray) -> np.ndarray:
+    """The numbers that ``thin`` got."""
+    return np.ascontiguousarray(planes.T).view(f"<u{len(planes)}")[:, 0].astype(np.int64)
 
 
-def before_each(tokens: np.ndarray) -> np.ndarray:
-    """The histories of a text's tokens."""
-    return np.concatenate([[START], tokens[:-1]])
+def steps(ascending: np.ndarray) -> np.ndarray:
+    return thin(np.diff(ascending, prepend=ascending.dtype.type(0)))
+
+
+def climbed(planes: np.ndarray) -> np.ndarray:
+    return np.cumsum(thick(planes))
+
+
+def packed(*parts) -> bytes:
+    raw = pickle.dumps(parts, protocol=5)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(payload: bytes) -> tuple:
+    size = int.from_bytes(payload[:8], "little")
+    return pickle.loads(pa.decompress(payload[8:], size, "zstd", asbytes=True))
+
+
+def mail(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    to, source, payload = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(to, pa.int64()), pa.array(source, pa.int64()), pa.array(payload, pa.binary())],
+        ["to", "source", "payload"],
+    )
+
+
+def letters(table: pa.Table) -> list[tuple[int, tuple]]:
+    """Sources and parts of the mail of one receiver, by source."""
+    order = np.argsort(table.column("source").to_numpy(), kind="stable")
+    return [
+        (table.column("source")[i].as_py(), unpacked(table.column("payload")[i].as_py()))
+        for i in order.tolist()
+    ]
 
 
 def discounts(of: list[int]) -> np.ndarray:
@@ -98,16 +128,22 @@ def discounted(counts: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return counts * all_factors[np.clip(counts, 1, RELIABLE + 1) - 1]
 
 
-def kept(count: str, factors: np.ndarray) -> Column:
-    """Discounted count of a column."""
-    share = F.lit(1 - LEAST_MASS)
-    for r in range(RELIABLE, 0, -1):
-        share = F.when(F.col(count) == r, float(factors[r - 1])).otherwise(share)
-    return F.col(count) * share
+def left(sums: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """What the discounts take off; ``sums`` has how many things have the counts 1 to
+    ``RELIABLE``, and the sum of the larger counts."""
+    return sums @ np.append(np.arange(1, RELIABLE + 1) * (1 - factors), LEAST_MASS)
+
 
+def tally(counts: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
+    """Those sums by group."""
+    columns = [np.bincount(groups[counts == r], minlength=n) for r in range(1, RELIABLE + 1)]
+    large = counts > RELIABLE
+    rest = np.bincount(groups[large], counts[large], n).astype(np.int64)
+    return np.stack([*columns, rest], axis=1)
 
-def count_of_counts() -> list:
-    return [F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, RELIABLE + 2)]
+
+def counts_of_counts(counts: np.ndarray) -> list[int]:
+    return [int((counts == r).sum()) for r in range(1, RELIABLE + 2)]
 
 
 @dataclass
@@ -116,14 +152,13 @@ class Model:
 
     tokens: int
     words: int
+    starts: int  # training texts
+    buckets: int
     unigram_factors: np.ndarray
-    pair_factors: np.ndarray
     unknown: float  # probability of the unknown word
-    hot: np.ndarray  # sorted hashes of frequent words
-    hot_counts: np.ndarray
-    starts: int  # training texts
-    log_weights: np.ndarray  # of histories: others (0), the frequent words, the start
-    table: np.ndarray | None = None  # log10 probabilities of frequent words by history
+    hot: np.ndarray  # sorted numbers of the start and frequent words
+    pair_factors: np.ndarray | None = None
+    hot_weights: np.ndarray | None = None  # log10
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         """Probabilities of words with those counts."""
@@ -132,366 +167,407 @@ class Model:
         known = discounted(np.maximum(counts, 1), self.unigram_factors) / self.tokens
         return np.where(counts > 0, known, self.unknown)
 
-    def history_counts(self) -> np.ndarray:
-        return np.concatenate([[1], self.hot_counts, [max(1, self.starts)]])
-
-    def log_score(self, word_counts, pair_counts, histories) -> np.ndarray:
-        """Log10 probabilities; ``pair_counts`` is 0 where the pair was not seen."""
-        backed = np.log10(self.unigram(word_counts)) + self.log_weights[histories]
-        seen = discounted(np.maximum(pair_counts, 1), self.pair_factors)
-        return np.where(
-            pair_counts > 0, np.log10(seen / self.history_counts()[histories]), backed
-        )
-
-    def log_base(self, word_counts) -> np.ndarray:
-        return np.log10((word_counts + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
-
-    def numbers(self, words: np.ndarray) -> np.ndarray:
-        """Numbers of words or the start, 0 for those that are not frequent."""
-        return np.where(words == START, len(self.hot) + 1, place_in(self.hot, words) + 1)
-
-    def histories(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of a text's tokens among the frequent words, 0 for others, and of
-        the tokens before them: of histories, the start is the last one."""
-        mine = place_in(self.hot, tokens) + 1
-        before = np.concatenate([[len(self.hot) + 1], mine[:-1]])
-        return mine, before
-
+    def log_base(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
+
+    def hot_places(self, histories: np.ndarray) -> np.ndarray:
+        """Places of histories among the frequent ones, -1 for others."""
+        at = np.minimum(np.searchsorted(self.hot, histories), len(self.hot) - 1)
+        return np.where(self.hot[at] == histories, at, -1)
+
+    def log_weights(self, sums: np.ndarray, mass: np.ndarray) -> np.ndarray:
+        """Log10 backoff weights of histories; that of one not in training is 0."""
+        total = sums @ np.append(np.arange(1, RELIABLE + 1), 1)
+        known = total > 0
+        share = left(sums[known], self.pair_factors) / total[known]
+        out = np.zeros(len(total))
+        out[known] = np.log10(share / (1 - mass[known]))
+        return out
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch cut into runs of rows with about ``BATCH_BYTES`` of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes.astype(np.int64))
+    n = max(1, -(-int(ends[-1]) // BATCH_BYTES)) if len(ends) else 0
+    cuts = np.searchsorted(ends, [ends[-1] * i / n for i in range(1, n)]) if n else []
+    edges = np.unique([0, *cuts, batch.num_rows])
+    for a, b in zip(edges, edges[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
+def code(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct lower-cased words and the end, the commonest first; the
+    tokens as numbers of them, each text with its end; and their number by text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    words = lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0)
+    of = np.repeat(np.arange(len(text)), lengths)[real.to_numpy(zero_copy_only=False)]
+    lengths = np.bincount(of, minlength=len(text)) + 1
+    coded = words.filter(real).dictionary_encode()
+    names = coded.dictionary.cast(pa.binary()).to_pylist()
+    hashes = np.array([*map(xxhash.xxh64_intdigest, names), END], dtype=np.uint64)
+    tokens = np.full(lengths.sum(), len(names))
+    inside = np.ones(len(tokens), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    tokens[inside] = coded.indices.to_numpy(zero_copy_only=False)
+    hashes, same = np.unique(hashes, return_inverse=True)  # words of one hash are one
+    counts = np.bincount(same[tokens], minlength=len(hashes))
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    return hashes[order], rank[same][tokens], lengths
+
+
+def code_texts(rows: DataFrame) -> DataFrame:
+    """Batches of texts: distinct words with their counts in training, and tokens."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in pieces(batch):
+                hashes, tokens, lengths = code(part.column("text"))
+                trains, scored = (
+                    part.column(c).to_numpy(zero_copy_only=False) for c in ("trains", "scored")
+                )
+                own = np.repeat(trains, lengths)
+                learnt = np.bincount(tokens[own], minlength=len(hashes))
+                ids = part.column("doc_id").filter(pa.array(scored))
+                columns = {
+                    "batch": number,
+                    "tokens": len(tokens),
+                    "train_tokens": int(own.sum()),
+                    "train_texts": int(trains.sum()),
+                    "words": packed(hashes, thin(learnt)),
+                    "texts": packed(thin(tokens), thin(lengths), trains, scored, ids),
+                }
+                yield pa.RecordBatch.from_pylist([columns])
+                number += 1
+
+    return rows.mapInArrow(
+        encode,
+        "batch long, tokens long, train_tokens long, train_texts long, words binary, texts binary",
+    )
 
-def grouped(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(values or [np.empty(0, np.int64)]), return_counts=True)
 
+def deal_words(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of words by bucket and hash, and where the buckets begin in it."""
+    bucket = (hashes >> np.uint64(8)) % np.uint64(buckets)
+    order = np.lexsort([hashes, bucket])
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``w, c``: counts of tokens, summed by task before the shuffle."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+def ask_words(buckets: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w, n = grouped([tokens_of(t, known) for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(n)], ["w", "n"])
+            for source, payload in zip(batch.column("batch"), batch.column("words"), strict=True):
+                hashes, learnt = unpacked(payload.as_py())
+                learnt = thick(learnt)
+                order, edges = deal_words(hashes, buckets)
+                rows = []
+                for i in range(buckets):
+                    part = order[edges[i] : edges[i + 1]]
+                    if len(part):
+                        rows.append((i, source.as_py(), packed(hashes[part], thin(learnt[part]))))
+                yield mail(rows)
+
+    return ask
+
+
+def count_words(buckets: int, frequent: float):
+    """A bucket's answers: words' counts in training and numbers; and what it has in all."""
+
+    def count(table: pa.Table) -> pa.Table:
+        bucket = table.column("to")[0].as_py()
+        asked = letters(table)
+        words, place = np.unique(np.concatenate([h for _, (h, _) in asked]), return_inverse=True)
+        learnt = np.concatenate([thick(n) for _, (_, n) in asked])
+        counts = np.bincount(place, learnt, len(words)).astype(np.int64)
+        numbers = np.arange(len(words)) * buckets + bucket
+        ends = np.cumsum([len(h) for _, (h, _) in asked])
+        rows = [
+            (source, bucket, packed(thin(counts[at]), steps(numbers[at])))
+            for (source, _), at in zip(asked, np.split(place, ends[:-1]), strict=True)
+        ]
+        sums = tally(counts, np.zeros(len(counts), np.int64), 1)[0]
+        own = (int((counts > 0).sum()), counts_of_counts(counts), sums, numbers[counts >= frequent])
+        rows.append((NOWHERE, bucket, packed(*own)))
+        return pa.Table.from_batches([mail(rows)])
+
+    return count
+
+
+def pairs_of(tokens: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a batch by history and word, and each token's among them. The
+    start is the history ``n``, the number of words."""
+    before = np.concatenate([[n], tokens[:-1]]) if len(tokens) else tokens
+    before[np.cumsum(lengths) - lengths] = n
+    pairs, place = np.unique(before * n + tokens, return_inverse=True)
+    return pairs // n, pairs % n, place
+
+
+def deal_pairs(model: Model, h: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of pairs by bucket, history and word, and where the buckets begin in it."""
+    bucket = np.where(model.hot_places(h) < 0, h, w) % model.buckets
+    order = np.lexsort([w, h, bucket])
+    return order, np.searchsorted(bucket[order], np.arange(model.buckets + 1))
+
+
+def known_words(model: Model, hashes: np.ndarray, answers: list) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of a batch's words and numbers of them and the start."""
+    order, _ = deal_words(hashes, model.buckets)
+    counts, numbers = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+    counts[order] = np.concatenate([thick(c) for c, _ in answers])
+    numbers[order] = np.concatenate([climbed(n) for _, n in answers])
+    return counts, np.append(numbers, START)
+
+
+def list_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch's words and distinct pairs, with their counts in training."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            hashes, _ = unpacked(batch.column("words")[i].as_py())
+            tokens, lengths, trains, *_ = unpacked(batch.column("texts")[i].as_py())
+            tokens, lengths = thick(tokens), thick(lengths)
+            h, w, place = pairs_of(tokens, lengths, len(hashes))
+            learnt = np.bincount(place[np.repeat(trains, lengths)], minlength=len(h))
+            runs = np.bincount(h, minlength=len(hashes) + 1)
+            own = packed(hashes, thin(runs), thin(w), thin(learnt))
+            yield mail([(batch.column("batch")[i].as_py(), WORDS, own)])
+
+
+def ask_pairs(model: Model):
+    def ask(table: pa.Table) -> pa.Table:
+        source = table.column("to")[0].as_py()
+        (_, (hashes, runs, w, learnt)), *answers = letters(table)
+        counts, numbers = known_words(model, hashes, [a for _, a in answers])
+        w, learnt = thick(w), thick(learnt)
+        history = np.repeat(numbers, thick(runs))
+        order, edges = deal_pairs(model, history, numbers[w])
+        rows = []
+        for i in range(model.buckets):
+            part = order[edges[i] : edges[i + 1]]
+            if not len(part):
+                continue
+            histories, run = np.unique(history[part], return_counts=True)
+            words, first, at = np.unique(numbers[w[part]], return_index=True, return_inverse=True)
+            rows.append(
+                (
+                    i,
+                    source,
+                    packed(
+                        steps(histories - START),
+                        thin(run),
+                        steps(words),
+                        thin(counts[w[part][first]]),
+                        thin(at),
+                        thin(learnt[part]),
+                    ),
+                )
+            )
+        return pa.Table.from_batches([mail(rows)])
 
-    rows = texts.select("text").mapInArrow(count, "w long, n long")
-    return rows.groupBy("w").agg(F.sum("n").alias("c"))
+    return ask
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """``w, h, c``: counts of words after the words before them."""
+def count_pairs(model: Model):
+    """A bucket's answers: pairs' counts in training and, of histories with pairs that it
+    has not, but for the frequent ones, the sums that weigh them; and what it has in all."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for batch in batches:
-            some = [tokens_of(t, known) for t in batch.column("text").to_pylist()]
-            if not some:
-                continue
-            words, place = np.unique(np.concatenate(some), return_inverse=True)
-            histories, before = np.unique(
-                np.concatenate([before_each(t) for t in some]), return_inverse=True
-            )
-            width = len(histories)
-            pairs, n = np.unique(place * width + before, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words[pairs // width]), pa.array(histories[pairs % width]), pa.array(n)],
-                ["w", "h", "n"],
-            )
+    def count(table: pa.Table) -> pa.Table:
+        bucket = table.column("to")[0].as_py()
+        asked = [(source, [thick(x) for x in parts]) for source, parts in letters(table)]
+        for _, parts in asked:
+            parts[0] = np.cumsum(parts[0]) + START
+            parts[2] = np.cumsum(parts[2])
+        histories, h = np.unique(np.concatenate([p[0] for _, p in asked]), return_inverse=True)
+        words, first, w = np.unique(
+            np.concatenate([p[2] for _, p in asked]), return_index=True, return_inverse=True
+        )
+        unigrams = model.unigram(np.concatenate([p[3] for _, p in asked])[first])
+        keys, h_at, w_at = [], 0, 0
+        for _, (own_h, run, own_w, _, at, _) in asked:
+            of = np.repeat(h[h_at : h_at + len(own_h)], run)
+            keys.append(of * len(words) + w[w_at : w_at + len(own_w)][at])
+            h_at, w_at = h_at + len(own_h), w_at + len(own_w)
+        pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
+        learnt = np.concatenate([p[5] for _, p in asked])
+        counts = np.bincount(place, learnt, len(pairs)).astype(np.int64)
+        of, seen = pairs // len(words), counts > 0
+        sums = tally(counts, of, len(histories))
+        mass = np.bincount(of[seen], unigrams[pairs[seen] % len(words)], len(histories))
+        hot = model.hot_places(histories) >= 0
+        rows, start = [], 0
+        for (source, _), key in zip(asked, keys, strict=True):
+            found = counts[place[start : start + len(key)]]
+            start += len(key)
+            open_ = np.unique((key // len(words))[found == 0])
+            open_ = open_[~hot[open_]]
+            own = (thin(found), [thin(c) for c in sums[open_].T], mass[open_])
+            rows.append((source, bucket, packed(*own)))
+        own = (np.append(histories[hot], ALL), sums[hot], mass[hot], counts_of_counts(counts))
+        rows.append((NOWHERE, bucket, packed(*own)))
+        return pa.Table.from_batches([mail(rows)])
+
+    return count
+
+
+SUMS = [f"s{r}" for r in range(1, RELIABLE + 2)]
+
+
+def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What buckets have in all, as rows: sums of frequent histories and counts of counts."""
+    for batch in batches:
+        for payload in batch.column("payload"):
+            histories, sums, mass, of = unpacked(payload.as_py())
+            columns = [pa.array(histories, pa.int64())]
+            columns += [pa.array(c, pa.int64()) for c in np.concatenate([sums, [of]]).T]
+            columns.append(pa.array(np.append(mass, 0.0), pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, ["h", *SUMS, "mass"])
+
+
+def add_up(model: Model):
+    """A batch's scores of its texts, from the answers about its words and pairs."""
+
+    def add(table: pa.Table) -> pa.Table:
+        post = letters(table)
+        own = dict(post[:2])
+        hashes, (tokens, lengths, _, scored, ids) = own[WORDS][0], own[TEXTS]
+        about_words = [a for source, a in post if 0 <= source < model.buckets]
+        about_pairs = [a for source, a in post if source >= model.buckets]
+        tokens, lengths = thick(tokens), thick(lengths)
+        counts, numbers = known_words(model, hashes, about_words)
+        h, w, place = pairs_of(tokens, lengths, len(hashes))
+        order, _ = deal_pairs(model, numbers[h], numbers[w])
+        found = np.empty(len(order), np.int64)
+        found[order] = np.concatenate([thick(c) for c, _, _ in about_pairs])
+        hot = model.hot_places(numbers[h])
+        weights = np.where(hot < 0, 0.0, model.hot_weights[hot])
+        # Other histories of pairs not seen, as the buckets have them.
+        open_ = order[(found[order] == 0) & (hot[order] < 0)]
+        sums = np.concatenate([np.stack([thick(c) for c in s], axis=1) for _, s, _ in about_pairs])
+        mass = np.concatenate([m for *_, m in about_pairs])
+        new = np.diff(h[open_], prepend=-1) != 0
+        weights[open_] = model.log_weights(sums, mass)[np.cumsum(new) - 1]
+        history_counts = np.maximum(1, np.append(counts, model.starts))
+        seen = discounted(np.maximum(found, 1), model.pair_factors) / history_counts[h]
+        logs = np.where(found > 0, np.log10(seen), np.log10(model.unigram(counts))[w] + weights)
+        of, n = np.repeat(np.arange(len(lengths)), lengths), len(lengths)
+        columns = [
+            lengths,
+            np.bincount(of, (counts > 0)[tokens], n).astype(np.int64),
+            np.full(n, model.tokens),
+            np.bincount(of, model.log_base(counts)[tokens], n),
+            np.bincount(of, logs[place], n),
+        ]
+        return pa.Table.from_arrays(
+            [ids, *[pa.array(c[scored]) for c in columns]],
+            ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
 
-    rows = texts.select("text").mapInArrow(count, "w long, h long, n long")
-    return rows.groupBy("w", "h").agg(F.sum("n").alias("c"))
+    return add
 
 
-def joined_by(rows: DataFrame, table: DataFrame, key: str, frequent: DataFrame) -> DataFrame:
-    """Inner join whose frequent keys meet a broadcast, so that no task gets one whole."""
-    near = F.broadcast(frequent.select(F.col("w").alias(key)))
-    hot = rows.join(F.broadcast(table.join(near, key)), key)
-    others = rows.join(near, key, "left_anti").join(table.join(near, key, "left_anti"), key)
-    return hot.unionByName(others)
+def own_mail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for number, words, texts in zip(*batch.columns, strict=True):
+            to = number.as_py()
+            yield mail([(to, WORDS, words.as_py()), (to, TEXTS, texts.as_py())])
 
 
-def learn(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The model; its words ``w, c``, bigrams ``w, h, c`` and histories ``h, all, weight``
-    (log10) as stored tables; and what is dealt as frequent, ``w``."""
-    words = stored(word_counts(texts), "words")
-    row = words.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("words"), *count_of_counts()
+def learn_words(coded: DataFrame) -> tuple[Model, DataFrame]:
+    """The model without its pairs, and what batches are told of their words."""
+    total = coded.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "train_tokens", "train_texts")]
     ).first()
-    factors = discounts(list(row[2:]))
-    # At most 1 / FREQUENT_SHARE rows by definition, and the end.
-    found = words.where(
-        (F.col("c") >= max(1.0, FREQUENT_SHARE * row["tokens"])) | (F.col("w") == int(END))
+    buckets = max(FEWEST_BUCKETS, -(-total[0] // TOKENS_PER_BUCKET))
+    answers = stored(
+        coded.select("batch", "words")
+        .mapInArrow(ask_words(buckets), MAIL)
+        .groupBy("to")
+        .applyInArrow(count_words(buckets, max(1.0, FREQUENT_SHARE * total[1])), MAIL),
+        "words",
     )
-    hot = sorted((r["w"], r["c"]) for r in found.collect())
-    ends = words.where(F.col("w") == int(END)).first()
-    frequent = texts.sparkSession.createDataFrame(
-        [(int(w),) for w, _ in hot] + [(int(START),)], "w long"
-    )
-    model = Model(
-        tokens=row["tokens"],
-        words=row["words"],
+    # One row for each bucket, with at most 1 / FREQUENT_SHARE words in all.
+    own = [unpacked(r["payload"]) for r in answers.where(F.col("to") == NOWHERE).collect()]
+    of = np.sum([o[1] for o in own], axis=0) if own else np.zeros(RELIABLE + 1)
+    factors = discounts(list(of))
+    mass = sum(left(o[2], factors) for o in own)
+    return Model(
+        tokens=total[1],
+        words=sum(o[0] for o in own),
+        starts=total[2],
+        buckets=buckets,
         unigram_factors=factors,
-        pair_factors=factors,
-        unknown=0.0,
-        hot=np.array([w for w, _ in hot], dtype=np.int64),
-        hot_counts=np.array([c for _, c in hot], dtype=np.int64),
-        starts=ends["c"] if ends else 0,
-        log_weights=np.zeros(len(hot) + 2),
+        unknown=mass / max(1, total[1]),
+        hot=np.sort(np.concatenate([[START], *[o[3] for o in own]])).astype(np.int64),
+    ), answers.where(F.col("to") != NOWHERE)
+
+
+def learn_pairs(coded: DataFrame, model: Model, words: DataFrame) -> DataFrame:
+    """What batches are told of their pairs; adds factors and weights to the model."""
+    answers = stored(
+        coded.select("batch", "words", "texts")
+        .mapInArrow(list_pairs, MAIL)
+        .unionByName(words)
+        .groupBy("to")
+        .applyInArrow(ask_pairs(model), MAIL)
+        .groupBy("to")
+        .applyInArrow(count_pairs(model), MAIL),
+        "bigrams",
     )
-    pairs = stored(pair_counts(texts), "bigrams")
-    if model.tokens:
-        left = words.agg(F.sum(F.col("c") - kept("c", factors))).first()[0]
-        model.unknown = left / model.tokens
-        model.pair_factors = discounts(list(pairs.agg(*count_of_counts()).first()))
-    # By history: mass of the pairs seen, and unigram mass of their words.
-    open_ = 1 - F.sum(kept("c_w", factors)) / max(1, model.tokens)
-    left = F.sum(F.col("c") - kept("c", model.pair_factors))
-    histories = stored(
-        joined_by(pairs, words.select("w", F.col("c").alias("c_w")), "w", frequent)
+    in_all = (
+        answers.where(F.col("to") == NOWHERE)
+        .select("payload")
+        .mapInArrow(told, f"h long, {', '.join(f'{c} long' for c in SUMS)}, mass double")
         .groupBy("h")
-        .agg(F.sum("c").alias("all"), F.log10(left / F.sum("c") / open_).alias("weight")),
-        "histories",
-    )
-    for r in histories.join(F.broadcast(frequent), F.col("h") == F.col("w")).collect():
-        model.log_weights[model.numbers(np.array([r["h"]]))] = r["weight"]
-    # Frequent words after frequent histories: at most 1 / FREQUENT_SHARE squared.
-    among = pairs.join(F.broadcast(frequent), "w").join(
-        F.broadcast(frequent.withColumnRenamed("w", "h")), "h"
-    )
-    among = among.select("w", "h", "c").toArrow() if model.tokens else None
-    counts = np.zeros((len(hot) + 1, len(hot) + 2), dtype=np.int64)
-    if among is not None:
-        w, h, c = (among.column(i).to_numpy() for i in range(3))
-        counts[model.numbers(w), model.numbers(h)] = c
-    own = np.concatenate([[0], model.hot_counts])
-    model.table = np.stack(
-        [model.log_score(own, counts[:, h], np.full(len(own), h)) for h in range(counts.shape[1])],
-        axis=1,
-    )
-    return model, words, pairs, histories, frequent
-
-
-def unpack(payload: bytes, size: int) -> list[np.ndarray]:
-    return pickle.loads(pa.decompress(payload, size, "zstd", asbytes=True))
-
-
-def bucket_of(w: np.ndarray, buckets: int) -> np.ndarray:
-    return (w.view(np.uint64) >> np.uint64(8)) % np.uint64(buckets)
-
-
-def sent(documents: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """``bucket, size, payload``: tokens of the documents by bucket, but for those where
-    both the word and its history are frequent.
-
-    A payload has documents' keys, their sums over frequent words (in one bucket of a
-    task), and of the other tokens the words, how often each stands there, histories
-    and documents.
-    """
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for batch in batches:
-            keys = batch.column("key").to_numpy()
-            tokens, before, dealt, docs = [], [], [], []
-            sums = np.zeros((len(keys), 4))  # tokens, known ones, base, score
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                t = tokens_of(text, known)
-                mine, h = model.histories(t)
-                near = mine > 0
-                sums[i, 0] = len(t)
-                if near.any():
-                    counts = model.hot_counts[mine[near] - 1]
-                    sums[i, 1] = near.sum()
-                    sums[i, 2] = model.log_base(counts).sum()
-                held = near & (h > 0)
-                sums[i, 3] = model.table[mine[held], h[held]].sum()
-                previous = before_each(t)
-                tokens.append(t[~held])
-                before.append(previous[~held])
-                dealt.append(np.where(near, previous, t)[~held])
-                docs.append(np.full(len(t) - held.sum(), i, dtype=np.int32))
-            if not tokens:
-                continue
-            t, h, d = map(np.concatenate, (tokens, before, docs))
-            b = bucket_of(np.concatenate(dealt), buckets)
-            order = np.lexsort([d, t, b])
-            t, h, d, b = t[order], h[order], d[order], b[order]
-            edges = np.searchsorted(b, np.arange(buckets + 1))
-            numbers, sizes, payloads = [], [], []
-            own = int(np.uint64(keys.view(np.uint64)[0]) % np.uint64(buckets))
-            for i in sorted({*np.unique(b).tolist(), own}):
-                part = slice(edges[i], edges[i + 1])
-                words, times = np.unique(t[part], return_counts=True)
-                used, local = np.unique(d[part], return_inverse=True)
-                histories, after = np.unique(h[part], return_inverse=True)
-                arrays = [
-                    words,
-                    times.astype(np.int32),
-                    histories,
-                    after.astype(np.int32),
-                    local.astype(np.int32),
-                    keys[used],
-                    keys if i == own else keys[:0],
-                    sums if i == own else sums[:0],
-                ]
-                raw = pickle.dumps(arrays, protocol=5)
-                numbers.append(i)
-                sizes.append(len(raw))
-                payloads.append(pa.compress(raw, "zstd", asbytes=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(numbers, pa.int32()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(payloads, pa.binary()),
-                ],
-                ["bucket", "size", "payload"],
-            )
-
-    return documents.select("key", "text").mapInArrow(
-        rows, "bucket int, size long, payload binary"
+        .agg(*[F.sum(c).alias(c) for c in (*SUMS, "mass")])
     )
+    rows = {r["h"]: r for r in in_all.collect()}  # at most 1 / FREQUENT_SHARE, and two
+    of = list(rows.pop(ALL)[1:-1]) if rows else [0] * (RELIABLE + 1)
+    model.pair_factors = discounts(of)
+    model.hot_weights = np.zeros(len(model.hot))
+    for at, h in enumerate(model.hot.tolist()):
+        if h in rows:
+            *sums, mass = rows[h][1:]
+            model.hot_weights[at] = model.log_weights(np.array([sums]), np.array([mass]))[0]
+    return answers.where(F.col("to") != NOWHERE)
 
 
-def evaluate(model: Model):
-    """Function of a bucket's tokens and of its rows of the tables: sums by document,
-    and how often a document needs the weight of a history that is not frequent."""
-
-    def sums(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        out_keys, out = [], []
-        late: list[tuple] = []
-        seen_pair = table["pair"].to_numpy(bool)
-        w_all, value = table["w"].to_numpy(np.int64), table["value"].to_numpy(np.float64)
-        order = np.argsort(w_all[~seen_pair])
-        words = w_all[~seen_pair][order]
-        counts = value[~seen_pair][order].astype(np.int64)
-        h_pair = table["h"].to_numpy(np.int64)[seen_pair]
-        pair_words, pair_histories = np.unique(w_all[seen_pair]), np.unique(h_pair)
-        width = len(pair_histories)
-        pair = place_in(pair_words, w_all[seen_pair]) * width + place_in(pair_histories, h_pair)
-        order = np.argsort(pair)
-        pair, log_pair = pair[order], value[seen_pair][order]
-        for size, payload in zip(asked["size"], asked["payload"], strict=True):
-            w, times, histories, after, local, keys, all_keys, hot_sums = unpack(payload, size)
-            if len(all_keys):
-                out_keys.append(all_keys)
-                out.append(hot_sums)
-            if not len(w):
-                continue
-            number = model.numbers(w)
-            count = np.append(counts, 0)[place_in(words, w)]  # the last one where not found
-            count = np.where(number > 0, np.append(model.hot_counts, 0)[number - 1], count)
-            c, other = np.repeat(count, times), np.repeat(number == 0, times)
-            in_w = np.repeat(place_in(pair_words, w), times)
-            in_h = place_in(pair_histories, histories)[after]
-            place = place_in(pair, np.where((in_w < 0) | (in_h < 0), -1, in_w * width + in_h))
-            numbers = model.numbers(histories)[after]
-            backed = np.log10(model.unigram(c)) + model.log_weights[numbers]
-            found = np.zeros((len(keys), 4))
-            n = len(keys)
-            found[:, 1] = np.bincount(local, other & (c > 0), n)
-            found[:, 2] = np.bincount(local, np.where(other, model.log_base(c), 0.0), n)
-            logs = np.where(place < 0, backed, np.append(log_pair, 0.0)[place])
-            found[:, 3] = np.bincount(local, logs, n)
-            out_keys.append(keys)
-            out.append(found)
-            open_ = (place < 0) & (numbers == 0)
-            code, often = np.unique(after[open_].astype(np.int64) * n + local[open_], return_counts=True)
-            late.append((keys[code % n], histories[code // n], often))
-        keys = np.concatenate(out_keys) if out_keys else np.empty(0, np.int64)
-        values = np.concatenate(out) if out else np.empty((0, 4))
-        unique, place = np.unique(keys, return_inverse=True)
-        columns = [np.bincount(place, values[:, i], len(unique)) for i in range(4)]
-        late_keys, late_h, late_n = (
-            np.concatenate([x[i] for x in late]) if late else np.empty(0, np.int64) for i in range(3)
-        )
-        none = np.zeros(len(late_keys))
-        own = np.zeros(len(unique), np.int64)
-        return pd.DataFrame(
-            {
-                "key": np.concatenate([unique, late_keys]),
-                "h": np.concatenate([own, late_h]),
-                "times": np.concatenate([own, late_n]),
-                "n_tokens": np.concatenate([columns[0], none]).astype(np.int64),
-                "n_known": np.concatenate([columns[1], none]).astype(np.int64),
-                "base_score": np.concatenate([columns[2], none]),
-                "score": np.concatenate([columns[3], none]),
-            }
-        )
-
-    return sums
-
-
-def score(documents: DataFrame, training: DataFrame) -> DataFrame:
-    """Scores of documents under the model of the ``training`` texts.
+def score(documents: DataFrame, training: DataFrame | Column) -> DataFrame:
+    """Scores of documents under the model of the ``training`` texts: those of a table,
+    or those documents for which a condition holds, which are then read once.
 
     Columns: ``doc_id``, ``n_tokens``, ``n_known`` (tokens that occur in training),
     ``train_tokens``, ``base_score`` (add-half unigrams), ``score`` (log10 probability of
-    the text under the model). A null or empty text is its end alone. Rows with equal
-    ID and text share their result. Without training texts, ``score`` is 0. Other
-    columns are ignored; an empty table gives an empty result. Words are compared by
-    64-bit hashes.
+    the text under the model). A null or empty text is its end alone. Without training
+    texts, ``score`` is 0. Other columns are ignored; an empty table gives an empty
+    result. Words are compared by 64-bit hashes.
     """
-    model, words, pairs, histories, frequent = learn(training)
-    buckets = max(FEWEST_BUCKETS, -(-model.tokens // TOKENS_PER_BUCKET))
-    keyed = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-
-    def number(word):  # The same as bucket_of: the shift makes the number positive.
-        return F.expr(f"cast(shiftrightunsigned({word}, 8) % {buckets} as int)").alias("bucket")
-
-    near = F.broadcast(frequent)
-    hot = F.broadcast(frequent.withColumn("hot", F.lit(True)))
-    logs = (
-        joined_by(pairs, histories.select("h", "all"), "h", frequent)
-        .join(hot, "w", "left")
-        .join(hot.toDF("h", "hot_h"), "h", "left")
-        .where("hot IS NULL OR hot_h IS NULL")
-    )
-    table = (
-        words.join(near, "w", "left_anti")
-        .select(
-            number("w"),
-            "w",
-            F.lit(0).cast("long").alias("h"),
-            F.lit(False).alias("pair"),
-            F.col("c").cast("double").alias("value"),
-        )
-        .unionByName(
-            logs.select(
-                number("if(hot, h, w)"),
-                "w",
-                "h",
-                F.lit(True).alias("pair"),
-                F.log10(kept("c", model.pair_factors) / F.col("all")).alias("value"),
-            )
+    yes, no = F.lit(True).alias("scored"), F.lit(False)
+    if isinstance(training, Column):
+        trains = F.coalesce(training, no).alias("trains")
+        rows = documents.select("doc_id", "text", yes, trains)
+    else:
+        no_id = F.lit(None).cast(documents.schema["doc_id"].dataType).alias("doc_id")
+        rows = documents.select("doc_id", "text", yes, no.alias("trains")).unionByName(
+            training.select(no_id, "text", no.alias("scored"), F.lit(True).alias("trains"))
         )
-    )
-    partial = stored(
-        sent(keyed, model, buckets)
-        .groupBy("bucket")
-        .cogroup(table.groupBy("bucket"))
-        .applyInPandas(
-            evaluate(model),
-            "key long, h long, times long, n_tokens long, n_known long, base_score double, score double",
-        ),
-        "sums",
-    )
-    names = ("n_tokens", "n_known", "base_score", "score")
-    weighed = (
-        partial.where("times > 0")
-        .join(histories, "h")  # one that training does not have has the weight 1
-        .select("key", "n_tokens", "n_known", "base_score", (F.col("times") * F.col("weight")).alias("score"))
-    )
-    sums = (
-        partial.where("times = 0")
-        .select("key", *names)
-        .unionByName(weighed)
-        .groupBy("key")
-        .agg(*[F.sum(c).alias(c) for c in names])
-    )
-    copies = keyed.groupBy("key").agg(F.count("*").alias("copies"))
-    result = keyed.select("doc_id", "key").join(sums.join(copies, "key"), "key")
-    return result.select(
-        "doc_id",
-        (F.col("n_tokens") / F.col("copies")).cast("long").alias("n_tokens"),
-        (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") / F.col("copies")).alias("base_score"),
-        (F.col("score") / F.col("copies")).alias("score"),
+    coded = stored(code_texts(rows), "texts")
+    model, words = learn_words(coded)
+    pairs = learn_pairs(coded, model, words)
+    schema = documents.select("doc_id").schema
+    for name in ("n_tokens", "n_known", "train_tokens"):
+        schema = schema.add(name, "long")
+    for name in ("base_score", "score"):
+        schema = schema.add(name, "double")
+    # Sources tell the answers apart: those about pairs follow those about words.
+    return (
+        coded.select("batch", "words", "texts")
+        .mapInArrow(own_mail, MAIL)
+        .unionByName(words)
+        .unionByName(pairs.withColumn("source", F.col("source") + model.buckets))
+        .groupBy("to")
+        .applyInArrow(add_up(model), schema)
     )

@@ -120,7 +120,7 @@ def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op9_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     held_out = remainder(F.col("doc_id"), 5) == 1
-    scored = katz.score(documents, documents.where(~held_out))
+    scored = katz.score(documents, ~held_out)
     return scored.select(
         "doc_id",
         held_out.alias("held_out"),

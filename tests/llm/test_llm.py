@@ -9,7 +9,9 @@ import zlib
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -612,6 +614,58 @@ def test_katz_has_bigrams_after_every_word(spark, empty, monkeypatch, share):
     assert untrained.count() == len(rows)
 
 
+def test_katz_stores_no_row_for_each_pair(spark, tmp_path, monkeypatch):
+    rows = [(i, prose(200, i), "en", "a", 9) for i in range(200)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(2).write.parquet(f"{tmp_path}/documents")
+    documents = spark.read.parquet(f"{tmp_path}/documents")
+    training = documents.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1)
+    tables = []
+
+    def stored(rows, name, plain=katz.stored):
+        tables.append(plain(rows, name))
+        return tables[-1]
+
+    monkeypatch.setattr(katz, "stored", stored)
+    assert katz.score(documents, training).count() == len(rows)
+    batches = 4  # of two files, once as documents and once as training
+    assert all(t.count() <= (batches + 1) * katz.FEWEST_BUCKETS for t in tables)
+
+
+@pytest.mark.parametrize("share", [katz.FREQUENT_SHARE, 0.02])
+def test_katz_of_marked_documents_and_many_batches(spark, monkeypatch, share):
+    monkeypatch.setattr(katz, "FREQUENT_SHARE", share)
+    rows = [*EDGES, *((100 + i, prose(300, 100 + i % 3) + " rare one", "en", "a", 9) for i in range(8))]
+    rows += [(None, "one unheard", "en", "a", 9), (100, rows[-8][1], "en", "a", 9)]
+    documents = spark.createDataFrame(rows, SCHEMA)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    found = [
+        sorted_rows(katz.score(documents, documents.where(~held_out))),
+        sorted_rows(katz.score(documents.repartition(7), ~held_out)),
+        sorted_rows(katz.score(documents.coalesce(1), ~held_out)),
+    ]
+    expected = sorted(plain_katz(rows), key=str)
+    for scores in found:
+        for got, want in zip(sorted(scores, key=str), expected, strict=True):
+            assert got[:4] == want[:4]
+            assert got[4:] == pytest.approx(want[4:])
+
+
+def test_katz_batches_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(katz, "BATCH_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 25, None, "b", "", "c" * 9, "d" * 9]})
+    cut = list(katz.pieces(batch))
+    assert len(cut) > 2
+    assert [t for part in cut for t in part.column("text").to_pylist()] == batch.column("text").to_pylist()
+    assert not list(katz.pieces(batch.slice(0, 0)))
+
+
+@pytest.mark.parametrize("most", [0, 255, 256, 70_000, 1 << 40])
+def test_katz_numbers_come_back(most):
+    for values in ([], [0], [most, 0, 3, most // 2]):
+        ascending = np.sort(np.array(values, dtype=np.int64))
+        assert katz.thick(katz.thin(np.array(values, dtype=np.int64))).tolist() == values
+        assert katz.climbed(katz.steps(ascending)).tolist() == ascending.tolist()
+
 def test_substrings(documents, empty):
     counts = collections.Counter()
     for _, text, *_ in EDGES:

@@ -47,7 +47,7 @@ LEAST_MASS = 1e-6
 TOKENS_PER_BUCKET = 2_000_000
 FEWEST_BUCKETS = 64
 #: Bytes of text of a batch, at most, but for a longer text.
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 10 << 20
 #: No word holds a space, so this is the hash of none.
 END = xxhash.xxh64_intdigest(b" end")
 #: Numbers of the start as a history, and of a bucket's sums over all its pairs.

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -21,12 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bindery.functions import files, ids
-from bindery.partitioning import spread
+from bindery.partitioning import shuffles_cleared, small_broadcast, spread
+from bindery.scratch import stored
 
 Fetcher = Callable[[str], tuple[int, bytes]]
 
 MAX_BATCH_BYTES = 32 * 1024 * 1024
 MAX_BATCH_ROWS = 10_000
+#: Planned rows or responses that one task joins.
+ROWS_PER_TASK = 500_000
+#: Planned rows that a task may hold in memory to look up responses in.
+MAX_HELD_ROWS = 1_000_000
 
 _RESULT = [
     T.StructField("status", T.IntegerType()),
@@ -196,47 +203,148 @@ def from_responses(plan: DataFrame, responses: DataFrame) -> DataFrame:
 
     ``responses`` has ``url, status, content``, one row per URL, and is matched by
     equality. A URL without a row had no response. A path that is planned again
-    counts as skipped when it did arrive. Statuses are matched first: they decide what
-    is skipped and where a binding's files of a kind stop. Content meets the result of
-    that, and moves once.
+    counts as skipped when it did arrive.
+
+    The plan and the responses meet once, and what decides about a file comes to it
+    from short tables: paths that are planned more than once, and stops of a binding's
+    files of a kind. Give a stored plan, which is read several times.
     """
+    tasks = _join_tasks(plan, responses)
     group = group_of(plan)
-    keys = [c for c in ("subset_id", "path") if c in plan.columns]
-    copies = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy("position")
-    statuses = responses.select(
+    planned = _numbered(plan, tasks)
+    stops = _stops(plan, responses, group, tasks) if group else None
+    stop = F.lit(None).cast("int")
+    with_url = planned.where(F.col("download_url").isNotNull())
+    if stops is None:
+        without = planned.where(F.col("download_url").isNull()).withColumn("_stop", stop)
+        with_url = with_url.withColumn("_stop", stop).repartition(tasks, "download_url")
+    elif (few := small_broadcast(stops)) is not None:
+        planned = _with_stops(planned, few, group)
+        without = planned.where(F.col("download_url").isNull())
+        with_url = planned.where(F.col("download_url").isNotNull()).repartition(tasks, "download_url")
+    else:
+        without = _with_stops(planned.where(F.col("download_url").isNull()), stops, group)
+        # By address alone, like the responses, so that planned rows move once.
+        late = _late(plan, stops, group).repartition(tasks, "_late_url").hint("shuffle_hash")
+        with_url = with_url.repartition(tasks, "download_url")
+        with_url = with_url.join(late, F.col("download_url") == F.col("_late_url"), "left")
+        own = F.filter(
+            "_late", lambda s: reduce(and_, [s[c].eqNullSafe(F.col(c)) for c in group])
+        )
+        with_url = with_url.withColumn("_stop", F.get(own, F.lit(0))["_stop"]).drop(
+            "_late_url", "_late"
+        )
+    # Planned rows are held in memory, so that content is neither sorted nor spilled.
+    held = with_url.hint("shuffle_hash") if _rows_of_task(plan, tasks) <= MAX_HELD_ROWS else with_url
+    landed = responses.where(F.col("url").isNotNull()).select(
         F.col("url").alias("_url"),
         F.col("status").cast("int").alias("_status"),
+        F.col("content").alias("_content"),
     )
-    got = plan.withColumn("_number", F.row_number().over(copies)).join(
-        statuses, same_url("download_url", "_url"), "left"
+    met = held.join(
+        landed.repartition(tasks, "_url"), F.col("download_url") == F.col("_url"), "left"
     )
+    got = met.unionByName(without, allowMissingColumns=True)
     status = F.col("_status")
-    ends = F.when((status >= 400) & ~status.isin(404, 401), F.col("position"))
-    files_of_group = Window.partitionBy(F.xxhash64(*group), *group) if group else None
-    stop = F.min(ends).over(files_of_group) if group else F.lit(None).cast("int")
-    got = got.withColumn("_stop", stop)
     attempted = F.col("_stop").isNull() | (F.col("position") <= F.col("_stop"))
     arrived = F.coalesce(status < 400, F.lit(False))
     skipped = attempted & arrived & (F.col("_number") > 1)
     asked = attempted & ~skipped
-    got = got.select(
+    return got.select(
         *plan.columns,
         F.when(asked, status).alias("status"),
         F.when(asked & F.col("_url").isNull(), F.lit("no response")).alias("error"),
+        F.when(asked & arrived, F.octet_length("_content").cast("bigint")).alias("n_bytes"),
+        F.when(asked & arrived, F.col("_content")).alias("content"),
         skipped.alias("skipped"),
         attempted.alias("attempted"),
-        (asked & arrived).alias("_new"),
     )
-    contents = responses.select(F.col("url").alias("_url"), F.col("content").alias("_content"))
-    full = got.join(contents, same_url("download_url", "_url"), "left")
-    return full.select(
-        *plan.columns,
-        "status",
-        "error",
-        F.when(F.col("_new"), F.octet_length("_content").cast("bigint")).alias("n_bytes"),
-        F.when(F.col("_new"), F.col("_content")).alias("content"),
-        "skipped",
-        "attempted",
+
+
+def _join_tasks(*tables: DataFrame) -> int:
+    """Number of tasks for a join of these tables, so that what one holds does not grow."""
+    most = max(t.count() for t in tables)
+    shuffled = int(tables[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffled, -(-most // ROWS_PER_TASK))
+
+
+def _rows_of_task(rows: DataFrame, tasks: int) -> int:
+    return -(-rows.count() // tasks)
+
+
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    """A short table, stored, without the shuffle files that led to it."""
+    with shuffles_cleared(rows.sparkSession):
+        return stored(rows, name)
+
+
+def _numbered(plan: DataFrame, tasks: int) -> DataFrame:
+    """The plan with ``_number``, the place of a file among those of its path.
+
+    Few paths are planned more than once, so these are sought by 64-bit hashes, and only
+    the rows of hashes that repeat are moved to be numbered.
+    """
+    keys = [c for c in ("subset_id", "path") if c in plan.columns]
+    copies = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy("position")
+    number = F.row_number().over(copies)
+    place = F.xxhash64(*keys)
+    counts = plan.select(place.alias("_place")).repartition(tasks, "_place").groupBy("_place")
+    repeated = _kept(
+        counts.agg(F.count("*").alias("_n")).where("_n > 1").select("_place"), "repeated"
+    )
+    if repeated.isEmpty():
+        return plan.withColumn("_number", F.lit(1))
+    few = small_broadcast(repeated)
+    if few is None:
+        return plan.withColumn("_number", number)
+    same = place == F.col("_place")
+    once = plan.join(few, same, "left_anti").withColumn("_number", F.lit(1))
+    return once.unionByName(plan.join(few, same, "left_semi").withColumn("_number", number))
+
+
+def _stops(plan: DataFrame, responses: DataFrame, group: list[str], tasks: int) -> DataFrame | None:
+    """Position at which requests for a binding's files of a kind end; None if none do."""
+    status = F.col("status").cast("int")
+    ended = responses.where(
+        (status >= 400) & ~status.isin(404, 401) & F.col("url").isNotNull()
+    ).select(F.col("url").alias("_url"))
+    ended = _kept(ended, "ended")
+    if ended.isEmpty():
+        return None
+    asked = plan.where(F.col("download_url").isNotNull()).select("download_url", *group, "position")
+    few = small_broadcast(ended)
+    if few is None:
+        asked, few = asked.repartition(tasks, "download_url"), ended.repartition(tasks, "_url")
+    stops = (
+        asked.join(few, F.col("download_url") == F.col("_url"))
+        .groupBy(*group)
+        .agg(F.min("position").alias("_stop"))
+        .where(F.col("_stop").isNotNull())
+    )
+    stops = _kept(stops, "stops")
+    return None if stops.isEmpty() else stops
+
+
+def _with_stops(rows: DataFrame, stops: DataFrame, group: list[str]) -> DataFrame:
+    """Rows with the ``_stop`` of their group, null where it has none."""
+    names = [f"_of_{c}" for c in group]
+    of = stops.select(*[F.col(c).alias(n) for c, n in zip(group, names)], "_stop")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(group, names)])
+    return rows.join(of, same, "left").drop(*names)
+
+
+def _late(plan: DataFrame, stops: DataFrame, group: list[str]) -> DataFrame:
+    """Addresses of files that are not known to come before their group's stop.
+
+    These are few beside the plan, so they are moved to it instead of moving it. An
+    address has the groups that ask for it, with their stops.
+    """
+    asked = plan.where(F.col("download_url").isNotNull()).select("download_url", *group, "position")
+    before = F.coalesce(F.col("position") <= F.col("_stop"), F.lit(False))
+    late = _with_stops(asked, stops, group).where(F.col("_stop").isNotNull() & ~before)
+    groups = F.collect_set(F.struct(*group, "_stop"))
+    return _kept(
+        late.groupBy(F.col("download_url").alias("_late_url")).agg(groups.alias("_late")), "late"
     )
 
 
@@ -252,7 +360,8 @@ def write_fetched(fetched: DataFrame, path: str, kind: str | None = None) -> Dat
     order, which lets row groups be skipped instead.
     """
     codec = CODECS.get(kind, "zstd")
-    fetched.write.mode("errorifexists").option("compression", codec).parquet(path)
+    with shuffles_cleared(fetched.sparkSession):
+        fetched.write.mode("errorifexists").option("compression", codec).parquet(path)
     return fetched.sparkSession.read.schema(fetched.schema).parquet(path)
 
 

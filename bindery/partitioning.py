@@ -13,6 +13,7 @@ FILES_PER_TASK = 2_000
 #: Partitions of one shuffle that a driver can still track.
 MAX_FETCH_TASKS = 20_000
 OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+CLEARED_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def spread(rows: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
@@ -52,6 +53,18 @@ def small_broadcast(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFr
 
 
 @contextmanager
+def _setting(spark: SparkSession, name: str, value):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def unsorted_partition_writes(spark: SparkSession, writers: int = 16):
     """Let a task keep several partition folders open.
 
@@ -59,9 +72,14 @@ def unsorted_partition_writes(spark: SparkSession, writers: int = 16):
     for rows with content means spilling it all. Beyond the number of open
     writers the rest of a task is sorted as usual.
     """
-    before = spark.conf.get(OPEN_WRITERS)
-    spark.conf.set(OPEN_WRITERS, writers)
-    try:
-        yield
-    finally:
-        spark.conf.set(OPEN_WRITERS, before)
+    return _setting(spark, OPEN_WRITERS, writers)
+
+
+def shuffles_cleared(spark: SparkSession):
+    """Let Spark delete a query's shuffle files when the query ends.
+
+    For tables that are written between steps: nothing reads those files again, and
+    left alone they stay until the driver's garbage is collected, so that the disk
+    holds all steps of a job at once.
+    """
+    return _setting(spark, CLEARED_SHUFFLES, "true")

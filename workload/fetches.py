@@ -259,7 +259,14 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Page files from landed responses; images flagged A end theirs on odd pages."""
-    plan = page_plan(t).withColumn("position", F.col("page_number"))
+    # Stored, since the responses are made of it and it is read in several steps.
+    plan = stored(
+        page_plan(t)
+        .withColumn("position", F.col("page_number"))
+        .select("binding_id", "kind", "page_number", "position", "flag", "download_url", "path"),
+        t.scratch("plan"),
+        compression="zstd",
+    )
     odd = (F.col("kind") == files.ACCESS_IMAGE) & (F.col("page_number") % 2 == 1)
     responses = plan.select(
         F.col("download_url").alias("url"),

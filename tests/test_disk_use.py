@@ -3,12 +3,13 @@
 import time
 
 import pytest
-from conftest import rows
+from conftest import BASE, image_group, manifest, rows
 from pyspark.sql import functions as F
 from test_growth import physical
 
 from bindery.operators import fetching
 from bindery.partitioning import CLEARED_SHUFFLES
+from bindery.plans import download
 from bindery.plans.stages import stored
 
 PLAN = (
@@ -125,3 +126,67 @@ def test_shuffle_files_of_a_stored_step_are_deleted(spark, tmp_path):
     assert not shuffled() - before
     assert rows(found) == rows(numbers)
     assert spark.conf.get(CLEARED_SHUFFLES, "false") == "false"
+
+
+def test_dealt_responses_do_not_move(spark, tmp_path):
+    plan = stored(spark.createDataFrame(PLANNED, PLAN), str(tmp_path / "plan"))
+    answers = [(u, *a) for u, a in LANDED.items()] + [(None, 200, b"n")]
+    responses = spark.createDataFrame(answers, "url string, status int, content binary")
+    dealt = fetching.deal_responses(responses, str(tmp_path / "landed"), 3)
+    assert dealt.rows.count() == len(LANDED)  # those without an address answer nothing
+    got = fetching.from_responses(plan, dealt).collect()
+    assert sorted(str(tuple(bytes(v) if isinstance(v, bytearray) else v for v in r)) for r in got) == expected()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        alone = plan.where("path = '1/i'")
+        assert physical(fetching.from_responses(alone, dealt)).count("Exchange") == 1
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("responses_")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    none = fetching.from_responses(plan.where("kind = 'none'"), dealt)
+    assert none.count() == 0 and none.schema.names == fetching.from_responses(plan, dealt).schema.names
+
+
+def landed_manifest(pages):
+    group = image_group(pages)
+    return manifest([group]).encode()
+
+
+def test_stowing_dealt_responses_is_stowing_a_fetch(spark, tmp_path):
+    """Of two attempts and more, the second ones ask for what is not held only."""
+    answers = {}
+    for id_, n in (("11", 2), ("21", 3), ("22", 1)):
+        answers[f"{BASE}{id_}/mets.xml?full=true"] = (200, landed_manifest(n))
+        for i in range(1, n + 1):
+            answers[f"{BASE}{id_}/image/{i}"] = (200, b"i") if i % 2 else (404, None)
+            answers[f"{BASE}{id_}/page-{i}.xml"] = (200, b"" if i == 3 else b"t")
+    answers[f"{BASE}23/mets.xml?full=true"] = (200, b"")
+    answers[f"{BASE}24/mets.xml?full=true"] = (200, b"<mets>")
+
+    def fetch(url):
+        status, content = answers[url]
+        return status, content or b""
+
+    given = [("s", i // 2, b, BASE + b) for i, b in enumerate(["11", "21", "22", "23", "24", "25"])]
+    bindings = spark.createDataFrame(
+        given, "subset_id string, batch_index int, binding_id string, dc_identifier string"
+    )
+    responses = spark.createDataFrame(
+        [(u, *a) for u, a in answers.items()], "url string, status int, content binary"
+    )
+    dealt = fetching.deal_responses(responses, str(tmp_path / "landed"), 3)
+    found = []
+    for name, source in (("fetch", fetch), ("dealt", dealt)):
+        staged = download.stow_with_retries(bindings, source, str(tmp_path / name))
+        log = staged.log.drop("error", "n_bytes")  # a fetch has its own words for errors
+        found.append([
+            sorted(str(tuple(r)) for r in part.collect())
+            for part in (log, staged.verdicts, staged.content)
+        ])
+        written = spark.read.parquet(str(tmp_path / name / "attempt_1" / "pages" / "alto"))
+        assert not {"path", "download_url", "location_xlink"} & set(written.columns)
+        assert not (tmp_path / name / "attempt_1" / "page_log").exists()
+    assert found[0] == found[1]
+    asked = staged.log.where("path IS NOT NULL").groupBy("path").count()
+    assert {r["count"] for r in asked.collect()} == {1, 3}

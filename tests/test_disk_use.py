@@ -7,7 +7,8 @@ from conftest import BASE, image_group, manifest, rows
 from pyspark.sql import functions as F
 from test_growth import physical
 
-from bindery.operators import fetching
+from bindery.functions import mets
+from bindery.operators import fetching, manifests
 from bindery.partitioning import CLEARED_SHUFFLES
 from bindery.plans import download
 from bindery.plans.stages import stored
@@ -190,3 +191,25 @@ def test_stowing_dealt_responses_is_stowing_a_fetch(spark, tmp_path):
     assert found[0] == found[1]
     asked = staged.log.where("path IS NOT NULL").groupBy("path").count()
     assert {r["count"] for r in asked.collect()} == {1, 3}
+
+
+def test_held_files_are_left_out_without_moving_files(spark):
+    elements = [("ACIMGGRP", "reference", i != 2, i, 1, f"x/{i}.jp2") for i in (1, 2, 3)]
+    parsed = spark.createDataFrame(
+        [("s", 0, b, BASE + b, elements, None) for b in ("12", "13")],
+        "subset_id string, batch_index int, binding_id string, dc_identifier string, "
+        f"elements {mets.ELEMENTS}, manifest_error string",
+    )
+    held = spark.createDataFrame(
+        [("1/12/12/access_img/00001.jp2", 5), ("1/12/12/alto/00003.xml", 0), ("1/12/12/alto/00001.xml", None),
+         ("1/13/13/mets/13_METS.xml", 9), ("1/12/12/alto/00001.xml", 1), (None, 1), ("a", 2)],
+        "path string, size long",
+    )
+    plan = fetching.page_plan(manifests.manifest_files(parsed))
+    wanted = rows(fetching.not_present(plan, held).select("path", "position"))
+    listed = download._with_held(parsed, held)
+    left = download._not_held(fetching.page_plan(manifests.manifest_files(listed)))
+    assert left.columns == plan.columns
+    assert rows(left.select("path", "position")) == wanted and len(wanted) == 6
+    shown = physical(left)
+    assert shown.index("Generate") < shown.index("Exchange")  # files are made above all moves
